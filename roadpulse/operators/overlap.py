@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from roadpulse import constants as C
 from roadpulse.functions.geometry import box_iou
-from roadpulse.session import ensure_checkpoint_dir
+from roadpulse.session import written_out
 
 BOX = ["x1", "y1", "x2", "y2"]
 
@@ -39,7 +39,7 @@ def suppress_overlaps(
         return _fold_frames(df, group, threshold, box_id)
     small = _fold_frames(df.join(oversize, group, "left_anti"), group, threshold, box_id)
     large = _solve_in_rounds(df.join(oversize, group, "left_semi"), group, threshold, box_id)
-    return small.unionByName(large)
+    return small.unionByName(large).select(*df.columns)
 
 
 def _fold_frames(df: DataFrame, group: list[str], threshold: float, box_id: str) -> DataFrame:
@@ -80,68 +80,77 @@ def _reach(size: Column, center: Column, growth: float, threshold: float, step:
     return F.transform(cells, lambda c: F.struct(level.alias("level"), c.alias("cell")))
 
 
+def _near(df: DataFrame, columns: list[str], threshold: float) -> DataFrame:
+    """Each box once per cell that may hold a clashing box."""
+    growth = 1.0 / threshold
+    width, height, cx, cy = _extent()
+    along_x, along_y = (
+        F.flatten(F.array(*[_reach(size, mid, growth, threshold, s) for s in (-1, 0, 1)]))
+        for size, mid in ((width, cx), (height, cy))
+    )
+    return (
+        df.select(*columns, F.explode(along_x).alias("nx"), along_y.alias("ys"))
+        .select(*columns, "nx", F.explode("ys").alias("ny"))
+        .select(
+            *columns,
+            F.col("nx.level").alias("_lx"),
+            F.col("nx.cell").alias("_cx"),
+            F.col("ny.level").alias("_ly"),
+            F.col("ny.cell").alias("_cy"),
+        )
+    )
+
+
+def _extent() -> tuple[Column, Column, Column, Column]:
+    x1, y1, x2, y2 = (F.col(c) for c in BOX)
+    return x2 - x1, y2 - y1, (x1 + x2) / 2, (y1 + y2) / 2
+
+
 def _solve_in_rounds(df: DataFrame, group: list[str], threshold: float, box_id: str) -> DataFrame:
     """Exact greedy result for frames of any size, without forming all pairs of boxes.
 
     Boxes lie in grid cells scaled to their size, so that clashing boxes are in neighbouring
     cells. Per round the best box of each cell that also beats the best of every neighbouring
-    cell is kept - nothing better can clash with it - and all boxes clashing with it go.
+    cell is kept - nothing better can clash with it - and all boxes clashing with it go. What is
+    left is written out, which cuts the lineage of the round.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     growth = 1.0 / threshold
-    width, height = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    cx, cy = (F.col("x1") + F.col("x2")) / 2, (F.col("y1") + F.col("y2")) / 2
-    cell = ["_lx", "_ly", "_cx", "_cy"]
-    at = [*group, *cell]
-
+    width, height, cx, cy = _extent()
+    at = [*group, "_lx", "_ly", "_cx", "_cy"]
+    has_area = (width > 0) & (height > 0)
+    (lx, gx), (ly, gy) = _cell(width, cx, growth, threshold), _cell(height, cy, growth, threshold)
     # A box without area overlaps nothing.
-    flat = df.where(~((width > 0) & (height > 0)))
-    lx, gx = _cell(width, cx, growth, threshold)
-    ly, gy = _cell(height, cy, growth, threshold)
-    undecided = df.where((width > 0) & (height > 0)).withColumns(
-        {"_lx": lx, "_cx": gx, "_ly": ly, "_cy": gy}
+    kept = [df.where(~has_area)]
+    undecided = written_out(
+        df.where(has_area).withColumns({"_lx": lx, "_cx": gx, "_ly": ly, "_cy": gy}), "boxes"
     )
     rank = F.struct(F.col("confidence").alias("c"), (-F.col(box_id)).alias("i"))
-    kept = [flat]
-    undecided = undecided.checkpoint()
+    own = {c: F.col(c) for c in BOX}
     while not undecided.isEmpty():
         best = undecided.groupBy(*at).agg(F.max_by(F.struct(*df.columns), rank).alias("b"))
-        best = best.select(*cell, "b.*")
-        along_x = F.flatten(F.array(*[_reach(width, cx, growth, threshold, s) for s in (-1, 0, 1)]))
-        along_y = F.flatten(F.array(*[_reach(height, cy, growth, threshold, s) for s in (-1, 0, 1)]))
-        near = (
-            best.select(*df.columns, F.explode(along_x).alias("nx"), along_y.alias("ys"))
-            .select(*df.columns, "nx", F.explode("ys").alias("ny"))
-            .select(
-                *df.columns,
-                F.col("nx.level").alias("_lx"),
-                F.col("nx.cell").alias("_cx"),
-                F.col("ny.level").alias("_ly"),
-                F.col("ny.cell").alias("_cy"),
-            )
+        best = best.select(*at[len(group):], "b.*")
+        # A box's own cell is among those near it, so the best rank found is at least its own.
+        winners = written_out(
+            _near(best, df.columns, threshold)
+            .join(best.select(*at, rank.alias("_rival")), at)
+            .groupBy(*group, box_id)
+            .agg(F.max("_rival").alias("_top"), F.any_value(F.struct(*df.columns)).alias("b"))
+            .select("_top", "b.*")
+            .where(F.col("_top") == rank)
+            .select(*df.columns),
+            "winners",
         )
-        rivals = best.select(*at, rank.alias("_rival"))
-        beaten = (
-            near.withColumn("_own", rank)
-            .join(rivals, at)
-            .where(F.col("_rival") > F.col("_own"))
-            .select(*group, box_id)
-            .distinct()
+        clash = (
+            _near(winners, [*group, *BOX], threshold)
+            .groupBy(*at)
+            .agg(F.collect_list(F.struct(*BOX)).alias("_kept"))
         )
-        # The winners are few per neighbourhood; writing them out cuts the lineage of the round.
-        reach = near.join(beaten, [*group, box_id], "left_anti").checkpoint()
-        winners = reach.select(*df.columns).distinct()
-        clash = reach.groupBy(*at).agg(F.collect_list(F.struct(*BOX)).alias("_kept"))
-        own = {c: F.col(c) for c in BOX}
-        undecided = (
+        overlaps = F.exists("_kept", lambda k: box_iou(k, own) > threshold)
+        undecided = written_out(
             undecided.join(clash, at, "left")
-            .where(
-                ~F.coalesce(
-                    F.exists("_kept", lambda k: box_iou(k, own) > threshold), F.lit(False)
-                )
-            )
-            .drop("_kept")
-            .checkpoint()
+            .where(~F.coalesce(overlaps, F.lit(False)))
+            .drop("_kept"),
+            "boxes",
         )
         kept.append(winners)
     return reduce(DataFrame.unionByName, kept)

@@ -113,8 +113,8 @@ def contract_violations(
     if key:
         parts.append(
             df.groupBy(*key)
-            .agg(F.count("*").alias("n"))
-            .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0).cast("bigint")).alias("violations"))
+            .agg(F.count("*").alias("_rows"))
+            .agg(F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0).cast("bigint")).alias("violations"))
             .select(
                 F.lit("unique").alias("check"),
                 F.lit(",".join(key)).alias("column_name"),

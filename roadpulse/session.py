@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime options that the operators are written for. Values already set are kept.
 RUNTIME_OPTIONS = {
@@ -43,18 +43,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark) + "/checkpoints")
-
-
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh, unused path below the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def written_out(df: DataFrame, label: str) -> DataFrame:
+    """Write rows to the shared folder and read them back.
+
+    Cuts the lineage, survives lost executors and, unlike a checkpoint, computes the rows once.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system it names."""
     jvm = spark._jvm

@@ -186,7 +186,7 @@ def stream_rate_limit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _SESSIONS = f"""marked AS (SELECT source_id, tracker_id, ts, speed_kmh,
-    CASE WHEN ts < lag(ts) OVER w + INTERVAL 12 HOUR THEN 0 ELSE 1 END AS opens
+    CASE WHEN ts <= lag(ts) OVER w + INTERVAL 12 HOUR THEN 0 ELSE 1 END AS opens
     FROM det WHERE source_id IS NOT NULL AND speed_kmh IS NOT NULL
     WINDOW w AS (PARTITION BY source_id, tracker_id ORDER BY ts)),
   visits AS (SELECT *, sum(opens) OVER (PARTITION BY source_id, tracker_id ORDER BY ts
