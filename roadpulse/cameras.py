@@ -46,19 +46,36 @@ def camera_table(spark: SparkSession, cameras: list[dict] | None = None) -> Data
     return spark.createDataFrame(pa.Table.from_pylist(rows, schema=_CAMERA))
 
 
-def corners(roi: Column) -> list[tuple[Column, Column]]:
-    return [(roi[i]["x"], roi[i]["y"]) for i in range(4)]
+# Corners and matrices travel as plain number columns. Reading them out of arrays for every
+# detection made the generated code so large that the JVM would only interpret it.
+CORNERS = [f"roi_{axis}{i}" for i in range(4) for axis in "xy"]
+TO_METRES = [f"to_metres_{i}" for i in range(9)]
+TO_PIXELS = [f"to_pixels_{i}" for i in range(9)]
+
+
+def corners() -> list[tuple[Column, Column]]:
+    return [(F.col(f"roi_x{i}"), F.col(f"roi_y{i}")) for i in range(4)]
+
+
+def matrix(columns: list[str]) -> list[Column]:
+    return [F.col(c) for c in columns]
+
+
+def with_corners(cameras: DataFrame) -> DataFrame:
+    """Add the region's corners as columns; null where the region has no such corner."""
+    points = {f"roi_{axis}{i}": F.get("roi", F.lit(i))[axis] for i in range(4) for axis in "xy"}
+    return cameras.withColumns(points)
 
 
 def with_projection(cameras: DataFrame, minus_one: bool = True) -> DataFrame:
-    """Add ``to_metres`` and ``to_pixels``, each a 9-element projection matrix.
+    """Add corners and both projections, pixels to metres and back.
 
     ``minus_one`` spans the target over (w-1) x (h-1) as in production; calibration uses w x h.
     """
     span = 1.0 if minus_one else 0.0
     width = F.col("target_w") - F.lit(span)
     height = F.col("target_h") - F.lit(span)
-    to_quad = G.square_to_quad(corners(F.col("roi")))
+    to_quad = G.square_to_quad(corners())
     to_square = G.adjugate(to_quad)
     to_metres = (
         [value * width for value in to_square[0:3]]
@@ -66,16 +83,12 @@ def with_projection(cameras: DataFrame, minus_one: bool = True) -> DataFrame:
         + to_square[6:9]
     )
     scale = [width, height, F.lit(1.0)] * 3
-    to_pixels = [value / F.nullif(by, F.lit(0.0)) for value, by in zip(to_quad, scale)]
-    return cameras.withColumns(
-        {"to_metres": F.array(*to_metres), "to_pixels": F.array(*to_pixels)}
+    to_pixels = [F.try_divide(value, by) for value, by in zip(to_quad, scale)]
+    return with_corners(cameras).withColumns(
+        dict(zip(TO_METRES + TO_PIXELS, to_metres + to_pixels))
     )
 
 
-def matrix(column: str) -> list[Column]:
-    return [F.col(column)[i] for i in range(9)]
-
-
 def config_violations(cameras: DataFrame) -> DataFrame:
     """One row (source_id, problem) per broken rule of a camera setting.
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,20 +37,26 @@ def adjugate(m: list[Column]) -> list[Column]:
 
 def project(m: list[Column], x: Column, y: Column) -> tuple[Column, Column]:
     """Point (x, y) after the projection ``m``; null where the point has no image."""
-    depth = F.nullif(m[6] * x + m[7] * y + m[8], F.lit(0.0))
-    return (m[0] * x + m[1] * y + m[2]) / depth, (m[3] * x + m[4] * y + m[5]) / depth
+    depth = m[6] * x + m[7] * y + m[8]
+    across, along = m[0] * x + m[1] * y + m[2], m[3] * x + m[4] * y + m[5]
+    return F.try_divide(across, depth), F.try_divide(along, depth)
 
 
 def inside_quad(corners: list[tuple[Column, Column]], x: Column, y: Column) -> Column:
-    """Even-odd ray casting over the four edges, unrolled so that it stays in codegen."""
+    """Even-odd ray casting over the four edges.
+
+    Unrolled, and the parity is taken with boolean inequality instead of a sum of cases: the
+    generated method has to stay small enough for the JVM to compile it.
+    """
+    above = [yc > y for _, yc in corners]
 
-    def crossing(start: tuple[Column, Column], end: tuple[Column, Column]) -> Column:
-        (xs, ys), (xe, ye) = start, end
-        at = xs + (y - ys) * (xe - xs) / F.nullif(ye - ys, F.lit(0.0))
-        return F.when(((ys > y) != (ye > y)) & (x < at), 1).otherwise(0)
+    def crosses(a: int, b: int) -> Column:
+        (xa, ya), (xb, yb) = corners[a], corners[b]
+        at = xa + F.try_divide((y - ya) * (xb - xa), yb - ya)
+        return (above[a] != above[b]) & (x < at)
 
-    edges = zip(corners, corners[1:] + corners[:1])
-    return reduce(add, [crossing(a, b) for a, b in edges]) % 2 == 1
+    first, second, third, fourth = crosses(0, 1), crosses(1, 2), crosses(2, 3), crosses(3, 0)
+    return (first != second) != (third != fourth)
 
 
 def box_center(x1: Column, y1: Column, x2: Column, y2: Column) -> tuple[Column, Column]:

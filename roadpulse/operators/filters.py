@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse import constants as C
-from roadpulse.cameras import corners
+from roadpulse.cameras import CORNERS, corners, with_corners
 from roadpulse.functions import clock
 from roadpulse.functions.geometry import inside_quad
 from roadpulse.functions.traffic import plausible_speed
@@ -52,8 +52,8 @@ def class_confidence(
 
 def in_roi(df: DataFrame, cameras: DataFrame, x: str = "px", y: str = "py") -> DataFrame:
     """Detections whose anchor lies inside the polygon of their own camera."""
-    joined = with_camera(df, cameras.select("source_id", "roi"))
-    return joined.where(inside_quad(corners(F.col("roi")), F.col(x), F.col(y))).drop("roi")
+    joined = with_camera(df, with_corners(cameras).select("source_id", *CORNERS))
+    return joined.where(inside_quad(corners(), F.col(x), F.col(y))).drop(*CORNERS)
 
 
 def min_trajectory(df: DataFrame, points: int = 2, column: str = "points") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse import constants as C
-from roadpulse.cameras import matrix, with_projection
+from roadpulse.cameras import TO_METRES, TO_PIXELS, matrix, with_projection
 from roadpulse.functions.geometry import project
 
 SNAPSHOT_FIELDS = ["total_vehicles", "avg_speed", "max_speed", "traffic_status", "last_update"]
@@ -24,20 +24,20 @@ def to_metres(
     df: DataFrame, cameras: DataFrame, x: str = "px", y: str = "py", minus_one: bool = True
 ) -> DataFrame:
     """Add ``mx``, ``my``: the point on the road plane in metres."""
-    dimension = with_projection(cameras, minus_one).select("source_id", "to_metres")
+    dimension = with_projection(cameras, minus_one).select("source_id", *TO_METRES)
     joined = with_camera(df, dimension)
-    mx, my = project(matrix("to_metres"), F.col(x), F.col(y))
-    return joined.withColumns({"mx": mx, "my": my}).drop("to_metres")
+    mx, my = project(matrix(TO_METRES), F.col(x), F.col(y))
+    return joined.withColumns({"mx": mx, "my": my}).drop(*TO_METRES)
 
 
 def to_pixels(
     df: DataFrame, cameras: DataFrame, x: str = "mx", y: str = "my", minus_one: bool = True
 ) -> DataFrame:
     """Add ``ix``, ``iy``: the frame pixel of a point on the road plane."""
-    dimension = with_projection(cameras, minus_one).select("source_id", "to_pixels")
+    dimension = with_projection(cameras, minus_one).select("source_id", *TO_PIXELS)
     joined = with_camera(df, dimension)
-    ix, iy = project(matrix("to_pixels"), F.col(x), F.col(y))
-    return joined.withColumns({"ix": ix, "iy": iy}).drop("to_pixels")
+    ix, iy = project(matrix(TO_PIXELS), F.col(x), F.col(y))
+    return joined.withColumns({"ix": ix, "iy": iy}).drop(*TO_PIXELS)
 
 
 def upsert_rows(

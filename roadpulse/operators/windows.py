@@ -86,6 +86,15 @@ def _trailing(keys: list[str], order: str, rows: int):
     return Window.partitionBy(*keys).orderBy(order).rowsBetween(-(rows - 1), 0)
 
 
+# Spark evaluates an aggregate over a trailing frame anew for every row, at a cost per row that
+# grows with the frame. Positions, offsets and running sums cost the same whatever the frame.
+
+
+def _trailing_sum(value: str, ordered, rows: int) -> Column:
+    """Sum over the last ``rows`` rows as a difference of two running sums in columns ``value``."""
+    return F.col(value) - F.coalesce(F.lag(value, rows).over(ordered), F.lit(0.0))
+
+
 def endpoint_speed(
     df: DataFrame,
     fps: float = C.DEFAULT_FPS,
@@ -102,12 +111,17 @@ def endpoint_speed(
     rows = max(int(fps), 1)
 
     def compute(part: DataFrame, keys: list[str]) -> DataFrame:
-        w = _trailing(keys, order, rows)
-        moved = F.hypot(F.col(x) - F.first(x).over(w), F.col(y) - F.first(y).over(w))
-        points = F.count(F.lit(1)).over(w)
-        return part.withColumns(
-            {"points": points, "speed_kmh": moved / (points / F.lit(float(fps))) * F.lit(3.6)}
-        )
+        ordered = Window.partitionBy(*keys).orderBy(order)
+        so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
+
+        def oldest(column: str) -> Column:
+            earlier = F.lag(column, rows - 1).over(ordered)
+            return F.when(F.col("points") == rows, earlier).otherwise(F.first(column).over(so_far))
+
+        points = F.least(F.row_number().over(ordered).cast("bigint"), F.lit(rows))
+        moved = F.hypot(F.col(x) - oldest(x), F.col(y) - oldest(y))
+        speed = moved / (F.col("points") / F.lit(float(fps))) * F.lit(3.6)
+        return part.withColumn("points", points).withColumn("speed_kmh", speed)
 
     return over_recent_rows(df, compute, rows - 1, order=order, **sliced)
 
@@ -116,14 +130,16 @@ def _path_columns(
     part: DataFrame, keys: list[str], x: str, y: str, order: str, points: int, fps: float
 ) -> DataFrame:
     ordered = Window.partitionBy(*keys).orderBy(order)
-    steps = _trailing(keys, order, points - 1)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
     step = F.hypot(F.col(x) - F.lag(x).over(ordered), F.col(y) - F.lag(y).over(ordered))
-    n = F.count(F.lit(1)).over(_trailing(keys, order, points))
-    speed = F.sum("_step").over(steps) / (n / F.lit(float(fps))) * F.lit(3.6)
+    n = F.least(F.row_number().over(ordered).cast("bigint"), F.lit(points))
+    length = _trailing_sum("_walked", ordered, points - 1)
+    speed = length / (F.col("points") / F.lit(float(fps))) * F.lit(3.6)
     return (
-        part.withColumn("_step", step)
-        .withColumns({"points": n, "path_speed_kmh": F.when(n >= 3, speed)})
-        .drop("_step")
+        part.withColumns({"points": n, "_step": F.coalesce(step, F.lit(0.0))})
+        .withColumn("_walked", F.sum("_step").over(so_far))
+        .withColumn("path_speed_kmh", F.when(F.col("points") >= 3, speed))
+        .drop("_step", "_walked")
     )
 
 
@@ -162,11 +178,18 @@ def smooth_speed(
     are 3 of them, before that the path speed itself."""
 
     def compute(part: DataFrame, keys: list[str]) -> DataFrame:
-        w = _trailing(keys, order, last)
+        ordered = Window.partitionBy(*keys).orderBy(order)
+        so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
         raw = F.col("path_speed_kmh")
-        smooth = F.when(F.count(raw).over(w) >= at_least, F.avg(raw).over(w)).otherwise(raw)
-        speeds = _path_columns(part, keys, x, y, order, points, fps)
-        return speeds.withColumn("smooth_speed_kmh", smooth)
+        # The first two rows of a track have no speed yet.
+        n = F.least(F.row_number().over(ordered) - 2, F.lit(last))
+        mean = _trailing_sum("_speeds", ordered, last) / F.col("_n")
+        return (
+            _path_columns(part, keys, x, y, order, points, fps)
+            .withColumns({"_speeds": F.sum(F.coalesce(raw, F.lit(0.0))).over(so_far), "_n": n})
+            .withColumn("smooth_speed_kmh", F.when(F.col("_n") >= at_least, mean).otherwise(raw))
+            .drop("_speeds", "_n")
+        )
 
     return over_recent_rows(df, compute, points + last - 2, order=order, **sliced)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse import constants as C
-from roadpulse.cameras import corners, matrix, with_projection
+from roadpulse.cameras import CORNERS, TO_METRES, corners, matrix, with_projection
 from roadpulse.functions.geometry import inside_quad, project
 from roadpulse.operators import filters, projections, windows
 from roadpulse.operators.joins import with_camera
@@ -14,12 +14,13 @@ from roadpulse.operators.joins import with_camera
 
 def located(detections: DataFrame, cameras: DataFrame, minus_one: bool = True) -> DataFrame:
     """Detections inside their camera's region, with metres, in a single camera lookup."""
-    dimension = with_projection(cameras, minus_one).select("source_id", "roi", "to_metres")
+    numbers = [*CORNERS, *TO_METRES]
+    dimension = with_projection(cameras, minus_one).select("source_id", *numbers)
     joined = with_camera(detections, dimension).where(
-        inside_quad(corners(F.col("roi")), F.col("px"), F.col("py"))
+        inside_quad(corners(), F.col("px"), F.col("py"))
     )
-    mx, my = project(matrix("to_metres"), F.col("px"), F.col("py"))
-    return joined.withColumns({"mx": mx, "my": my}).drop("roi", "to_metres")
+    mx, my = project(matrix(TO_METRES), F.col("px"), F.col("py"))
+    return joined.withColumns({"mx": mx, "my": my}).drop(*numbers)
 
 
 def tracked_events(

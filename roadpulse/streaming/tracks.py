@@ -35,7 +35,7 @@ class _RecentPoints(StatefulProcessor):
     ) -> Iterator[pd.DataFrame]:
         # The rows of one track in one trigger; the source's rate limit bounds their number.
         new = pd.concat(list(rows), ignore_index=True).sort_values("frame", kind="stable")
-        old = self.recent.get() if self.recent.exists() else ([], [], [])
+        old = self.recent.get() or ([], [], [])
         frame = np.concatenate([np.array(old[0], dtype="int32"), new["frame"].to_numpy("int32")])
         x = np.concatenate([np.array(old[1], dtype="float64"), new["mx"].to_numpy("float64")])
         y = np.concatenate([np.array(old[2], dtype="float64"), new["my"].to_numpy("float64")])

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadpulse import constants as C
-from roadpulse.cameras import camera_table, corners, matrix, with_projection
+from roadpulse.cameras import TO_METRES, TO_PIXELS, camera_table, corners, matrix, with_corners, with_projection
 from roadpulse.functions import geometry as G
 
 ALL = [*C.CAMERAS, {**C.CALIBRATION_CAMERAS[0], "source_id": "cam_03"}]
@@ -25,8 +25,8 @@ def test_projection_equals_linear_solve_and_returns(spark, minus_one):
     points = [(900.0, 300.0), (1000.0, 450.0), (850.0, 270.0), (500.0, 400.0)]
     grid = spark.createDataFrame(points, "px double, py double")
     cameras = with_projection(camera_table(spark, ALL), minus_one)
-    mx, my = G.project(matrix("to_metres"), F.col("px"), F.col("py"))
-    ix, iy = G.project(matrix("to_pixels"), F.col("mx"), F.col("my"))
+    mx, my = G.project(matrix(TO_METRES), F.col("px"), F.col("py"))
+    ix, iy = G.project(matrix(TO_PIXELS), F.col("mx"), F.col("my"))
     rows = (
         cameras.crossJoin(grid).withColumns({"mx": mx, "my": my}).withColumns({"ix": ix, "iy": iy})
     ).collect()
@@ -45,8 +45,8 @@ def test_polygon_with_horizontal_edges(spark):
     square = {"source_id": "s", "roi": [(0, 0), (10, 0), (10, 10), (0, 10)], "target_w": 2, "target_h": 2}
     points = [(5.0, 5.0), (-1.0, 5.0), (11.0, 5.0), (5.0, -0.1), (5.0, 10.1), (9.9, 0.1)]
     grid = spark.createDataFrame(points, "px double, py double")
-    inside = G.inside_quad(corners(F.col("roi")), F.col("px"), F.col("py"))
-    rows = camera_table(spark, [square]).crossJoin(grid).select("px", "py", inside.alias("i")).collect()
+    inside = G.inside_quad(corners(), F.col("px"), F.col("py"))
+    rows = with_corners(camera_table(spark, [square])).crossJoin(grid).select("px", "py", inside.alias("i")).collect()
     assert {(r.px, r.py): r.i for r in rows} == dict(zip(points, [True, False, False, False, False, True]))
 
 
