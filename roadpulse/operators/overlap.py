@@ -32,19 +32,26 @@ def suppress_overlaps(
     group overlaps it with IoU above the threshold.
     """
     group = [*keys, class_col] if class_col else list(keys)
-    oversize = (
-        df.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > max_boxes).drop("_n")
-    )
+    oversize = df.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > max_boxes)
+    # One pass over the keys decides, now, whether the rounds are needed at all.
     if oversize.isEmpty():
         return _fold_frames(df, group, threshold, box_id)
-    small = _fold_frames(df.join(oversize, group, "left_anti"), group, threshold, box_id)
-    large = _solve_in_rounds(df.join(oversize, group, "left_semi"), group, threshold, box_id)
-    return small.unionByName(large).select(*df.columns)
+    # As text the key is never null, so boxes without a class or camera match their own group.
+    key = F.to_json(F.struct(*group)).alias("_group")
+    marked, large_keys = df.select("*", key), oversize.select(key)
+    small = marked.join(large_keys, "_group", "left_anti").drop("_group")
+    large = marked.join(large_keys, "_group", "left_semi")
+    solved = _solve_in_rounds(large, ["_group"], threshold, box_id).select(*df.columns)
+    return _fold_frames(small, group, threshold, box_id).select(*df.columns).unionByName(solved)
+
+
+def _confidence() -> Column:
+    return F.coalesce("confidence", F.lit(-1.0))
 
 
 def _fold_frames(df: DataFrame, group: list[str], threshold: float, box_id: str) -> DataFrame:
     """Greedy pass as one fold over the ordered boxes of a frame."""
-    ranked = F.struct((-F.col("confidence")).alias("_rank"), F.col(box_id).alias("_id"), *df.columns)
+    ranked = F.struct((-_confidence()).alias("_rank"), F.col(box_id).alias("_id"), *df.columns)
     boxes = df.groupBy(*group).agg(F.sort_array(F.collect_list(ranked)).alias("boxes"))
 
     def take(kept: Column, box: Column) -> Column:
@@ -117,14 +124,14 @@ def _solve_in_rounds(df: DataFrame, group: list[str], threshold: float, box_id:
     growth = 1.0 / threshold
     width, height, cx, cy = _extent()
     at = [*group, "_lx", "_ly", "_cx", "_cy"]
-    has_area = (width > 0) & (height > 0)
+    has_area = F.coalesce((width > 0) & (height > 0), F.lit(False))
     (lx, gx), (ly, gy) = _cell(width, cx, growth, threshold), _cell(height, cy, growth, threshold)
     # A box without area overlaps nothing.
     kept = [df.where(~has_area)]
     undecided = written_out(
         df.where(has_area).withColumns({"_lx": lx, "_cx": gx, "_ly": ly, "_cy": gy}), "boxes"
     )
-    rank = F.struct(F.col("confidence").alias("c"), (-F.col(box_id)).alias("i"))
+    rank = F.struct(_confidence().alias("c"), (-F.col(box_id)).alias("i"))
     own = {c: F.col(c) for c in BOX}
     while not undecided.isEmpty():
         best = undecided.groupBy(*at).agg(F.max_by(F.struct(*df.columns), rank).alias("b"))
@@ -140,6 +147,8 @@ def _solve_in_rounds(df: DataFrame, group: list[str], threshold: float, box_id:
             .select(*df.columns),
             "winners",
         )
+        if winners.isEmpty():
+            raise ValueError("boxes must have finite corners")
         clash = (
             _near(winners, [*group, *BOX], threshold)
             .groupBy(*at)

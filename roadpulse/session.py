@@ -58,8 +58,19 @@ def written_out(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return target.getFileSystem(conf), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system it names."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
+    system, target = _file_system(spark, path)
+    return system.exists(target)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    system, target = _file_system(spark, path)
+    system.create(target).close()

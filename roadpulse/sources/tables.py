@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from roadpulse.operators.filters import between
 from roadpulse.operators.joins import upsert_rows
 from roadpulse.schema import EVENT_SCHEMA
-from roadpulse.session import path_exists
+from roadpulse.session import mark, path_exists
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -82,14 +82,18 @@ def upsert_table(
     ``staging`` must be a path of this batch alone, the same when the batch is retried. The
     batch is written there, merged with the stored rows, and the merged rows are swapped in.
     A retry after a lost driver finds the merged rows complete and only repeats the swap, so no
-    stored row is lost and no batch is merged twice.
+    stored row is lost and no batch is merged twice. A batch that has been swapped in stays so:
+    repeating it later does nothing, and cannot undo newer batches. Staging paths may be removed
+    once their batch can no longer be retried.
 
     With ``day_of`` the table is partitioned by the date of that column and only days between
     the first and the last of the batch are read and rewritten, so the cost does not grow with
     the history.
     """
     spark = incoming.sparkSession
-    merged_path = f"{staging}/merged"
+    merged_path, done = f"{staging}/merged", f"{staging}/_SWAPPED"
+    if path_exists(spark, done):
+        return True
     if not path_exists(spark, f"{merged_path}/_SUCCESS"):
         batch = write_staging(incoming, f"{staging}/incoming")
         if batch.isEmpty():
@@ -105,20 +109,26 @@ def upsert_table(
                 stored = stored.join(batch.select("day").distinct(), "day", "left_semi")
             merged = upsert_rows(stored.select(*batch.columns), batch, keys, keep, newest)
         merged.write.mode("overwrite").parquet(merged_path)
-    ready = spark.read.parquet(merged_path)
-    writer = ready.write.mode("overwrite")
-    if day_of:
-        writer = (
-            ready.repartition("day")
-            .sortWithinPartitions("day", *keys)
-            .write.mode("overwrite")
-            .partitionBy("day")
-            .option("partitionOverwriteMode", "dynamic")
-        )
-    writer.parquet(table)
+    _swap_in(spark.read.parquet(merged_path), table, keys, day_of)
+    mark(spark, done)
     return True
 
 
+def _swap_in(ready: DataFrame, table: str, keys: list[str], day_of: str | None) -> None:
+    """Replace the table, or its days that occur in ``ready``."""
+    if day_of is None:
+        ready.write.mode("overwrite").parquet(table)
+        return
+    (
+        ready.repartition("day")
+        .sortWithinPartitions("day", *keys)
+        .write.mode("overwrite")
+        .partitionBy("day")
+        .option("partitionOverwriteMode", "dynamic")
+        .parquet(table)
+    )
+
+
 def read_table(spark: SparkSession, table: str, day_of: str | None = None) -> DataFrame:
     """A table written by ``upsert_table``."""
     df = spark.read.parquet(table)

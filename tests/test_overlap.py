@@ -40,7 +40,8 @@ def boxes(seed, n):
             x1, y1 = rng.uniform(-50, 150), rng.uniform(-50, 150)
             w = rng.choice([0.0, 3.0, 20.0, 60.0, 65.0, 70.0, 300.0]) * rng.uniform(0.9, 1.1)
             x2, y2 = x1 + w, y1 + w * rng.uniform(0.8, 1.2)
-        rows.append((i, frame, rng.choice([2, 3]), rng.randrange(30) / 30, x1, y1, x2, y2))
+        kind = rng.choice([2, 3, None])
+        rows.append((i, frame, kind, rng.randrange(30) / 30, x1, y1, x2, y2))
     return rows
 
 

@@ -65,18 +65,33 @@ def test_partitioned_upsert_rewrites_touched_days_only(spark):
 
 
 @pytest.mark.parametrize("day_of", [None, "window_start"])
-def test_lost_driver_between_merge_and_swap(spark, day_of, monkeypatch):
-    """The table is gone when the batch is repeated; the staged merge brings all rows back."""
+def test_lost_driver_during_the_swap(spark, day_of, monkeypatch):
+    """The swap fails with the stored rows already gone; repeating the batch brings all back."""
     table, staging = new_folder(spark, "t"), new_folder(spark, "s")
     tables.upsert_table(hours(spark, [(DAY, "a", 1, 1)]), table, f"{staging}/0", KEY, day_of=day_of)
     batch = hours(spark, [(DAY, "b", 2, 2)])
-    tables.upsert_table(batch, table, f"{staging}/1", KEY, day_of=day_of)
-    spark.range(0).write.mode("overwrite").parquet(table)
-    tables.upsert_table(batch, table, f"{staging}/1", KEY, day_of=day_of)
+
+    def fail(ready, path, keys, day_of):
+        ready.limit(0).write.mode("overwrite").parquet(path)
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "_swap_in", fail)
+        with pytest.raises(OSError):
+            tables.upsert_table(batch, table, f"{staging}/1", KEY, day_of=day_of)
+    assert tables.upsert_table(batch, table, f"{staging}/1", KEY, day_of=day_of)
     got = {(r.source_id, r.n) for r in tables.read_table(spark, table, day_of).collect()}
     assert got == {("a", 1), ("b", 2)}
 
 
+def test_repeating_an_old_batch_does_not_undo_newer_ones(spark):
+    table, staging = new_folder(spark, "t"), new_folder(spark, "s")
+    batches = [hours(spark, [(DAY, "a", n, n)]) for n in (1, 2)]
+    for n in (0, 1, 0):
+        tables.upsert_table(batches[n], table, f"{staging}/{n}", KEY, day_of="window_start")
+    assert tables.read_table(spark, table, "d").first().n == 2
+
+
 def test_empty_batch_is_skipped(spark):
     table, staging = new_folder(spark, "t"), new_folder(spark, "s")
     assert not tables.upsert_table(hours(spark, []), table, staging, KEY)

@@ -179,10 +179,9 @@ def stream_rate_limit(spark: SparkSession, folder: str) -> DataFrame:
 
     batch_stream(decoded, "append", count, new_folder(spark, "position"))
     counts = spark.read.parquet(table)
-    batches = counts.agg(F.count_distinct("batch").alias("batches"))
-    return (
-        counts.groupBy("source_id").agg(F.sum("n").alias("messages")).join(F.broadcast(batches))
-    )
+    batches = counts.agg(F.count_distinct("batch")).scalar().alias("batches")
+    per_source = counts.groupBy("source_id").agg(F.sum("n").alias("messages"))
+    return per_source.select("source_id", "messages", batches)
 
 
 _SESSIONS = f"""marked AS (SELECT source_id, tracker_id, ts, speed_kmh,
