@@ -115,12 +115,15 @@ def upsert_table(
 
 
 def _swap_in(ready: DataFrame, table: str, keys: list[str], day_of: str | None) -> None:
-    """Replace the table, or its days that occur in ``ready``."""
+    """Replace the table, or its days that occur in ``ready``.
+
+    Rebalancing gathers the rows of a day in few files, yet lets AQE split a day that is large.
+    """
     if day_of is None:
         ready.write.mode("overwrite").parquet(table)
         return
     (
-        ready.repartition("day")
+        ready.hint("rebalance", "day")
         .sortWithinPartitions("day", *keys)
         .write.mode("overwrite")
         .partitionBy("day")

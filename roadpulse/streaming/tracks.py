@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -18,6 +20,9 @@ SPEED_SCHEMA = (
 )
 _STATE_SCHEMA = "frames array<int>, xs array<double>, ys array<double>"
 
+# The processor travels to the executors by value, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class _RecentPoints(StatefulProcessor):
     """Keeps the last int(fps) points of one track; forgets them after ``ttl_ms`` unseen."""
