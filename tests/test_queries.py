@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from workload import catalog
 from workload.compare import canonical, same_types
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
