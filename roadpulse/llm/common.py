@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,3 +29,23 @@ def words(text: Column) -> Column:
     """The words of a text as an array; null gives an empty array."""
     parts = F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD)
     return F.array_remove(parts, "")
+
+
+def with_computed(df: DataFrame, source: str, out: str, kind: str, start: Callable) -> DataFrame:
+    """The rows with column ``out`` of SQL type ``kind``, computed from column ``source`` in the tasks.
+
+    ``start()`` runs once per task and gives a function from an Arrow array to an Arrow array. The
+    other columns pass through; a column already named ``out`` is replaced.
+    """
+    kept = [c for c in df.columns if c != out]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = start()
+        for batch in batches:
+            made = compute(batch.column(batch.num_columns - 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=[*kept, out])
+
+    own = [F.col(f"`{c}`") for c in kept]
+    given = df.select(*own, F.col(f"`{source}`").alias("__source__"))
+    schema = df.select(*own, F.lit(None).cast(kind).alias(out)).schema
+    return given.mapInArrow(run, schema)
