@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import bpe, chat, quality, urls
+from roadpulse.llm import bpe, chat, licenses, quality, urls
 from roadpulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,23 @@ def query(function: Callable) -> Callable:
     return function
 
 
+@query
+def op1_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Places of the license phrases, and labels of the license templates, in every document."""
+    scanned = licenses.scan_licenses(table(spark, folder, "documents"))
+    starts = F.transform("places", lambda p: p["word"].cast("long"))
+    return scanned.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
 
