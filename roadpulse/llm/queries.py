@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import bpe, chat, licenses, quality, urls
+from roadpulse.llm import bpe, chat, licenses, quality, urls, winnow
 from roadpulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,34 @@ def op8_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.filter_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+def _digest(values: Column) -> Column:
+    return F.sha2(F.array_join(values.cast("array<string>"), ","), 256)
+
+
+@query
+def op9_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they and the next are."""
+    made = winnow.edited_beside_next(table(spark, folder, "documents"))
+    return made.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        _digest(F.col("fingerprint")).alias("fingerprint"),
+        _digest(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        winnow.hashes(F.col("fingerprint")).alias("own"),
+        winnow.hashes(F.col("edited_fingerprint")).alias("changed"),
+        winnow.hashes(F.col("next_fingerprint")).alias("following"),
+    ).select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        winnow.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        winnow.likeness(F.col("own"), F.col("following")).alias("near_next"),
+    )
+
+
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
