@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import bpe, chat, licenses, quality, urls, winnow
+from roadpulse.llm import bpe, chat, licenses, quality, simhash, urls, winnow
 from roadpulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,21 @@ def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+SHINGLE, DISTANCE = 3, 2
+
+
+@query
+def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint of every document and the smallest document that it is linked with."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    groups = simhash.near_groups(simhash.with_simhash(docs, SHINGLE).drop("text"), DISTANCE)
+    return groups.select(
+        "doc_id",
+        simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 URL_RULES = [
     ("allow", "org", "/"),
     ("block", "example.org", "/es/"),
