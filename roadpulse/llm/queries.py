@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import bpe, chat, licenses, quality, simhash, urls, winnow
+from roadpulse.llm import bpe, chat, decontaminate, licenses, quality, simhash, urls, winnow
 from roadpulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,22 @@ def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document inside a window of a benchmark item, and those items."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    hits = decontaminate.benchmark_hits(docs, table(spark, folder, "benchmark"))
+    items = F.array_sort(F.col("hits.items").cast("array<string>"))
+    return hits.select(
+        "doc_id",
+        "hits.n_words",
+        "hits.n_hit",
+        F.size("hits.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        (F.col("hits.n_hit") > 0).alias("contaminated"),
+    )
+
+
 URL_RULES = [
     ("allow", "org", "/"),
     ("block", "example.org", "/es/"),

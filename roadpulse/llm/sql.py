@@ -60,4 +60,32 @@ SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, z A
 FROM worded LEFT JOIN base USING (doc_id) LEFT JOIN method USING (doc_id) LEFT JOIN every USING (doc_id)
 """
 
-SQL = {"op1_license_scans": OP1, "op2_chat_formatting": OP2}
+OP7 = r"""
+WITH worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, len(p) AS n, array_to_string(p, ' ') AS p FROM (
+    SELECT item_id, w[i + 1 : i + 10] AS p
+    FROM (SELECT item_id, w, unnest(range(0, greatest(len(w) - 10, 0) + 1)) AS i FROM items WHERE len(w) > 0))
+), lengths AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT doc_id, w, unnest(range(len(w))) AS i FROM worded),
+occurrences AS (
+  SELECT doc_id, i, windows.n, item_id FROM places, lengths, windows
+  WHERE windows.n = lengths.n AND i + lengths.n <= len(w) AND array_to_string(w[i + 1 : i + lengths.n], ' ') = p
+), hit AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT doc_id, i, unnest(range(n)) AS k FROM occurrences) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM occurrences GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(found.n, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM worded LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+SQL = {"op7_benchmark_decontamination": OP7, "op1_license_scans": OP1, "op2_chat_formatting": OP2}
