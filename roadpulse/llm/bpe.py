@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from roadpulse.llm.common import with_computed
 
-MOST_CHUNKS, MOST_WORDS = 400_000, 600_000  # remembered by a task; beyond it the memory starts anew
+MOST_CHUNKS, MOST_WORDS = 200_000, 500_000  # remembered by a task; beyond it the memory starts anew
 _SHIFT = 20  # bits of a token id
 _ODD_SPACES = regex.compile("[\x1c-\x1f]")
 _SPACES = regex.compile(r"\p{White_Space}+")
