@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import bpe, chat, decontaminate, licenses, quality, simhash, urls, winnow
+from roadpulse.llm import bpe, chat, decontaminate, licenses, quality, repeats, simhash, urls, winnow
 from roadpulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,20 @@ def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What stays of every document without the 50-byte strings of smaller ones."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cut = repeats.cut_repeats(docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document inside a window of a benchmark item, and those items."""

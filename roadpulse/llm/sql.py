@@ -88,4 +88,28 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, c
 FROM worded LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
-SQL = {"op7_benchmark_decontamination": OP7, "op1_license_scans": OP1, "op2_chat_formatting": OP2}
+OP6 = r"""
+WITH coded AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+windows AS (
+  SELECT doc_id, i, substring(x, 2 * i + 1, 100) AS s
+  FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 49)) AS i FROM coded WHERE len(x) >= 100)
+), owned AS (SELECT s, min(doc_id) AS owner FROM windows GROUP BY s HAVING count(DISTINCT doc_id) > 1),
+cut AS (SELECT doc_id, i FROM windows JOIN owned USING (s) WHERE doc_id > owner),
+reach AS (
+  SELECT doc_id, i, i > coalesce(max(i + 50) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS fresh
+  FROM cut
+), runs AS (SELECT doc_id, i, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM reach),
+spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS z FROM runs GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, run, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY run), 0) AS a, a AS z FROM spans
+  UNION ALL SELECT doc_id, max(run) + 1, max(z), NULL FROM spans GROUP BY doc_id
+), stays AS (
+  SELECT doc_id, string_agg(substring(x, 2 * a + 1, 2 * (coalesce(z, len(x) // 2) - a)), '' ORDER BY run) AS x
+  FROM gaps JOIN coded USING (doc_id) GROUP BY doc_id
+), sums AS (SELECT doc_id, sum(z - a) AS n, count(*) AS k FROM spans GROUP BY doc_id)
+SELECT doc_id, CAST(len(coded.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(k, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(stays.x, coded.x))) AS kept_sha256
+FROM coded LEFT JOIN stays USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
+
+SQL = {"op6_suffix_array_dedup": OP6, "op7_benchmark_decontamination": OP7, "op1_license_scans": OP1, "op2_chat_formatting": OP2}
