@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import bpe, chat, decontaminate, licenses, quality, repeats, simhash, urls, winnow
+from roadpulse.llm import bpe, chat, decontaminate, licenses, quality, repeats, simhash, tokens, urls, winnow
 from roadpulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,49 @@ def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
 SHINGLE, DISTANCE = 3, 2
 
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def stated_edits(text: Column) -> Column:
+    """Three edits of a text: one replacement, one insertion before its middle, one cut at its end."""
+    n = F.length(text)
+    changed = n + F.least(n, F.lit(12)) - F.least(F.lit(20), n - F.floor(n / 3).cast("int"))
+
+    def step(start: Column, removed: Column, inserted: Column) -> Column:
+        return F.struct(
+            start.cast("int").alias("start"), removed.cast("int").alias("removed"), inserted.alias("inserted")
+        )
+
+    return F.array(
+        step(F.floor(n / 3), F.least(F.lit(20), n - F.floor(n / 3)), F.substring(text, 1, 12)),
+        step(F.floor(changed / 2), F.lit(0), F.concat(F.lit(" "), F.reverse(F.substring(text, 1, 9)))),
+        step(F.greatest(changed, F.lit(0)), F.lit(1_000), F.lit("")),
+    )
+
+
+@query
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document, and again after three edits by updating its tree."""
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    counted = tokens.with_tree(docs, BYTE_RANKS, public_tokenizers.PATTERN).select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.col("tree.n_tokens").alias("n_tokens"),
+        stated_edits(F.col("text")).alias("edits"),
+        "text",
+        "tree",
+    )
+    return tokens.with_edits(counted, BYTE_RANKS, public_tokenizers.PATTERN).select(
+        "doc_id",
+        "n_chars",
+        "n_tokens",
+        F.length("text").cast("long").alias("edited_chars"),
+        F.col("tree.n_tokens").alias("edited_tokens"),
+        "reencoded_chars",
+        F.sha2("text", 256).alias("edited_sha256"),
+    )
+
+
 @query
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint of every document and the smallest document that it is linked with."""
@@ -184,3 +227,11 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"),
     )
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """The stages of the corpus pipeline over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)

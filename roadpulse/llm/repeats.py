@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadpulse.llm.common import with_computed
 from roadpulse.llm.suffixes import repeated_windows
 from roadpulse.session import written_out
 
@@ -424,3 +425,12 @@ def cut_repeats(
     ).schema
     every = beside(judged.where(F.col("kind") == CUT).unionByName(sorted_), passing)
     return every.mapInArrow(_cut_texts(passing, kept, spans, length), out)
+
+
+def whole_characters(df: DataFrame, kept: str = "kept", out: str = "text") -> DataFrame:
+    """The rows with ``out``, the text of the bytes in ``kept``; of a character that a cut parted nothing stays."""
+
+    def start() -> Callable:
+        return lambda blobs: pa.array([(x.as_py() or b"").decode("utf-8", "ignore") for x in blobs], pa.string())
+
+    return with_computed(df, kept, out, "string", start)

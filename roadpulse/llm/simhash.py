@@ -12,7 +12,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import with_computed
@@ -156,6 +156,25 @@ def near_groups(df: DataFrame, distance: int, key: str = "doc_id", fingerprint:
     )
 
 
+def one_per_group(
+    docs: DataFrame, shingle: int, distance: int, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of the smallest key of each group of near-duplicates; of rows that repeat a key, one.
+
+    Rows with a null key belong to no group and stay. All columns pass through.
+    """
+    own = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
+    groups = near_groups(with_simhash(own, shingle, "t", "fp").drop("t"), distance, "k", "fp")
+    beaten = groups.where(F.col("component") != F.col("k")).select(F.col("k").alias("__k")).distinct()
+    left = docs.join(beaten, F.col(f"`{key}`") == F.col("__k"), "left_anti")
+    repeats = own.where(F.col("k").isNotNull()).groupBy("k").count().where("count > 1")
+    if repeats.isEmpty():
+        return left
+    first = Window.partitionBy(F.col(f"`{key}`")).orderBy(F.xxhash64(F.col(f"`{text}`")))
+    numbered = left.withColumn("__row", F.row_number().over(first))
+    return numbered.where(F.col(f"`{key}`").isNull() | (F.col("__row") == 1)).drop("__row")
+
+
 def hex_digits(fingerprint: Column) -> Column:
     """The 16 lowercase hex digits of a fingerprint."""
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
