@@ -8,26 +8,29 @@ none is left or all words stand in place. Proximity matches need the words near
 
 from __future__ import annotations
 
-import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import TO_LOWER, WORD, words
+from roadpulse.llm.common import words
 
 WINDOW = 10
 BLOCK_ITEMS = 20_000  # benchmark items that one pass looks up; more items take more passes
-SEGMENT = 2_000_000  # characters of text that are indexed at once, whole documents
-_WORDS = re.compile(WORD)
+SEGMENT = 4_000_000  # bytes of text that are indexed at once, whole documents
+#: Of each byte of a text: A-Z lower-cased, other ASCII outside words a space; bytes beyond ASCII stay.
+_LETTERS = bytes(
+    ord(chr(b).lower()) if chr(b).isalnum() or b > 127 else 32 for b in range(128)
+) + bytes(range(128, 256))
 
 
-def text_words(text: str) -> list[str]:
-    """The words of a whole text."""
-    return _WORDS.findall(text.translate(TO_LOWER))
+def text_words(text: bytes) -> list[bytes]:
+    """The words of a whole text in UTF-8."""
+    return text.translate(_LETTERS).split()
 
 
 class Queries:
@@ -38,7 +41,7 @@ class Queries:
     """
 
     def __init__(self, items: list[tuple[int, list[str]]], counts: dict[str, int], window: int) -> None:
-        self.ids: dict[str, int] = {}
+        self.ids: dict[bytes, int] = {}
         owners: dict[tuple[str, ...], set[int]] = {}
         for item, found in items:
             for at in range(max(len(found) - window, 0) + 1 if found else 0):
@@ -46,7 +49,7 @@ class Queries:
         self.windows = []
         for run, own in owners.items():
             if all(counts.get(w) for w in run):
-                numbers = [self.ids.setdefault(w, len(self.ids)) for w in run]
+                numbers = [self.ids.setdefault(w.encode(), len(self.ids)) for w in run]
                 order = sorted(range(len(run)), key=lambda i: (counts[run[i]], i))
                 self.windows.append((len(run), [(numbers[i], i) for i in order], sorted(own)))
 
@@ -101,12 +104,15 @@ class Index:
         return places
 
 
-def _segments(texts: pa.Array, ids: dict[str, int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _segments(texts: pa.Array, ids: dict[bytes, int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, word numbers in one line, start of each document in it) for runs of whole documents."""
     first, size, lines = 0, 0, []
     for row, value in enumerate(texts):
-        text = value.as_py() or ""
-        lines.append(np.array([ids.get(w, -1) for w in text_words(text)] + [-1], dtype=np.int32))
+        text = value.as_buffer().to_pybytes() if value.is_valid and len(value.as_buffer() or b"") else b""
+        found = text_words(text)
+        line = np.full(len(found) + 1, -1, dtype=np.int32)
+        line[:-1] = np.fromiter(map(ids.get, found, repeat(-1)), np.int32, len(found))
+        lines.append(line)
         size += len(text)
         if size >= SEGMENT or row == len(texts) - 1:
             starts = np.cumsum([0, *map(len, lines)])
@@ -170,15 +176,16 @@ def _with_hits(docs: DataFrame, items: list, counts: dict[str, int], text: str,
 
 def _counts(docs: DataFrame, vocabulary: set[str], text: str) -> dict[str, int]:
     """Occurrences in all documents of the words of one block of benchmark items."""
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    sent = docs.sparkSession.sparkContext.broadcast({w.encode() for w in vocabulary})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally: Counter = Counter()
+        tally, known = Counter(), sent.value.__contains__
         for batch in batches:
             for value in batch.column(0):
-                tally.update(w for w in text_words(value.as_py() or "") if w in sent.value)
+                tally.update(filter(known, text_words((value.as_py() or "").encode())))
+        found = [w.decode() for w in tally]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(tally.keys(), pa.string()), pa.array(tally.values(), pa.int64())], names=["word", "n"]
+            [pa.array(found, pa.string()), pa.array(tally.values(), pa.int64())], names=["word", "n"]
         )
 
     seen = docs.select(text).mapInArrow(run, "word string, n bigint")
