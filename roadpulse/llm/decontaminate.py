@@ -90,17 +90,19 @@ class Index:
         starts, at = starts[inside], at[inside]
         return starts[own[at] == starts + offset]
 
-    def near(self, terms: list[int], within: int) -> np.ndarray:
-        """Places of the rarest word that have every other word at most ``within`` places away."""
+    def near(self, terms: list[int], within: int, starts: np.ndarray) -> np.ndarray:
+        """Places of the rarest word with every other word at most ``within`` places away in the document."""
         listed = sorted((self.postings(w) for w in set(terms)), key=len)
         places = listed[0]
+        doc = np.searchsorted(starts, places, side="right") - 1
+        low, high = np.maximum(places - within, starts[doc]), np.minimum(places + within, starts[doc + 1] - 1)
         for own in listed[1:]:
             if not len(places) or not len(own):
                 return places[:0]
-            at = np.searchsorted(own, places - within)
-            inside = at < len(own)
-            places, at = places[inside], at[inside]
-            places = places[own[at] <= places + within]
+            at = np.searchsorted(own, low)
+            there = at < len(own)
+            there[there] = own[at[there]] <= high[there]
+            places, low, high = places[there], low[there], high[there]
         return places
 
 
@@ -120,34 +122,47 @@ def _segments(texts: pa.Array, ids: dict[bytes, int]) -> Iterator[tuple[int, np.
             first, size, lines = row + 1, 0, []
 
 
-def _scan(queries: Queries, texts: pa.Array, places: bool) -> Iterator[tuple[int, int, list[int], list]]:
-    """(words, words hit, items found, hit spans) of each text."""
+def _scan(queries: Queries, texts: pa.Array, within: int | None) -> Iterator[tuple[int, int, list, list, list]]:
+    """(words, words hit, items found, items near, hit spans) of each text."""
     for _, numbers, starts in _segments(texts, queries.ids):
         index = Index(numbers, len(queries.ids))
         cover = np.zeros(len(numbers) + 1, dtype=np.int32)
         items: dict[int, set[int]] = {}
+        close: dict[int, set[int]] = {}
         for length, terms, own in queries.windows:
             found = index.phrase(terms)
             if len(found):
                 np.add.at(cover, found, 1)
                 np.add.at(cover, found + length, -1)
-                for doc in np.unique(np.searchsorted(starts, found, side="right") - 1).tolist():
-                    items.setdefault(doc, set()).update(own)
+                _note(items, starts, found, own)
+            if within is not None:
+                _note(close, starts, index.near([w for w, _ in terms], within, starts), own)
         hit = np.cumsum(cover)[:-1] > 0
         total = np.concatenate(([0], np.cumsum(hit)))
         for doc in range(len(starts) - 1):
             a, z = int(starts[doc]), int(starts[doc + 1])
             spans = []
-            if places and doc in items:
+            if doc in items:
                 step = np.diff(np.concatenate(([0], hit[a:z].view(np.int8), [0])))
                 spans = list(zip(np.flatnonzero(step > 0).tolist(), np.flatnonzero(step < 0).tolist()))
-            yield z - a - 1, int(total[z] - total[a]), sorted(items.get(doc, ())), spans
+            yield z - a - 1, int(total[z] - total[a]), sorted(items.get(doc, ())), sorted(close.get(doc, ())), spans
 
 
-_FOUND = "struct<n_words:bigint,n_hit:bigint,items:array<bigint>,spans:array<struct<start:int,stop:int>>>"
+def _note(items: dict[int, set[int]], starts: np.ndarray, places: np.ndarray, own: list[int]) -> None:
+    """Add the items of a window to the documents that hold the places."""
+    for doc in np.unique(np.searchsorted(starts, places, side="right") - 1).tolist():
+        items.setdefault(doc, set()).update(own)
 
 
-def _with_hits(docs: DataFrame, items: list, counts: dict[str, int], text: str, out: str, window: int) -> DataFrame:
+_FOUND = (
+    "struct<n_words:bigint,n_hit:bigint,items:array<bigint>,near_items:array<bigint>,"
+    "spans:array<struct<start:int,stop:int>>>"
+)
+
+
+def _with_hits(
+    docs: DataFrame, items: list, counts: dict[str, int], text: str, out: str, window: int, within: int | None
+) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(Queries(items, counts, window))
     kept = [c for c in docs.columns if c != out]
 
@@ -158,13 +173,14 @@ def _with_hits(docs: DataFrame, items: list, counts: dict[str, int], text: str,
                 ("n_words", pa.int64()),
                 ("n_hit", pa.int64()),
                 ("items", pa.list_(pa.int64())),
+                ("near_items", pa.list_(pa.int64())),
                 ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
             ]
         )
         for batch in batches:
             found = [
-                {"n_words": n, "n_hit": h, "items": i, "spans": [{"start": a, "stop": z} for a, z in s]}
-                for n, h, i, s in _scan(queries, batch.column(batch.num_columns - 1), True)
+                {"n_words": n, "n_hit": h, "items": i, "near_items": c, "spans": [{"start": a, "stop": z} for a, z in s]}
+                for n, h, i, c, s in _scan(queries, batch.column(batch.num_columns - 1), within)
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, kind)], names=[*kept, out])
 
@@ -199,12 +215,14 @@ def benchmark_hits(
     item: str = "item_id",
     window: int = WINDOW,
     out: str = "hits",
+    within: int | None = None,
     block_items: int = BLOCK_ITEMS,
 ) -> DataFrame:
-    """The rows with ``out``: n_words, n_hit, items and spans (start, stop in words from 0) of a text.
+    """The rows with ``out``: n_words, n_hit, items, near_items and spans (start, stop in words from 0).
 
     A window is ``window`` consecutive words of an item, or all of a shorter item; a word inside any
-    occurrence is hit. A null text and an item without words have none; an item with a null id is ignored.
+    occurrence is hit. With ``within``, near_items are those with a window whose words all stand at most so
+    many places from its rarest word, in any order. A null text and an item without words have none; an item with a null id is ignored.
     Rows that repeat an item's id add their windows to it. Other columns pass through; ``out`` is replaced.
 
     The benchmark is taken in blocks of ``block_items`` items, so that what is sent to the tasks has a
@@ -219,13 +237,14 @@ def benchmark_hits(
         block = asked.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == n) if blocks > 1 else asked
         items = [(r["i"], r["w"]) for r in block.collect()]
         counts = _counts(docs, {w for _, own in items for w in own}, text)
-        found = _with_hits(found, items, counts, text, name, window)
+        found = _with_hits(found, items, counts, text, name, window, within)
     joined = F.col(names[0])
     for name in names[1:]:
         joined = F.struct(
             joined["n_words"].alias("n_words"),
             joined["n_hit"].alias("n_hit"),
             F.concat(joined["items"], F.col(name)["items"]).alias("items"),
+            F.concat(joined["near_items"], F.col(name)["near_items"]).alias("near_items"),
             F.concat(joined["spans"], F.col(name)["spans"]).alias("spans"),
         )
     if blocks > 1:
@@ -235,6 +254,7 @@ def benchmark_hits(
             joined["n_words"].alias("n_words"),
             total.alias("n_hit"),
             F.array_sort(F.array_distinct(joined["items"])).alias("items"),
+            F.array_sort(F.array_distinct(joined["near_items"])).alias("near_items"),
             merged.alias("spans"),
         )
     return found.select(*[F.col(f"`{c}`") for c in docs.columns if c != out], joined.alias(out))
