@@ -4,14 +4,16 @@ A word's symbols form a doubly linked list; possible merges wait in a priority q
 position, and an entry whose symbols have changed since is skipped. Decoding concatenates the
 vocabulary's strings. Results are those of the file's own library without special tokens added:
 special tokens inside a text are found first, then the text is normalised, split and encoded.
+Characters that Python's Unicode tables do not have yet count as symbols; a library with newer tables may
+know some of them as letters or digits.
 """
 
 from __future__ import annotations
 
 import json
-import unicodedata
 from collections.abc import Callable
 from heapq import heapify, heappop, heappush
+from unicodedata import category, normalize
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,7 @@ from roadpulse.llm.common import with_computed
 
 MOST_CHUNKS, MOST_WORDS = 200_000, 500_000  # remembered by a task; beyond it the memory starts anew
 _SHIFT = 20  # bits of a token id
+_UNKNOWN = "\ufdd0"  # stands for any unassigned character while a text is split
 _ODD_SPACES = regex.compile("[\x1c-\x1f]")
 _SPACES = regex.compile(r"\p{White_Space}+")
 
@@ -109,8 +112,11 @@ class _Chunks(dict):
     def __missing__(self, chunk: str) -> bytes:
         v, words, ids = self.vocabulary, self.words, []
         # Letters are lowered one by one, so a final sigma is not special.
-        plain = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        for word in v.split.findall(plain):
+        plain = normalize("NFC", chunk).replace("Σ", "σ").lower()
+        # Characters that the file's library does not know yet are neither letters nor digits.
+        shown = plain if plain.isascii() else "".join(_UNKNOWN if category(c) == "Cn" else c for c in plain)
+        for at in v.split.finditer(shown):
+            word = plain[at.start() : at.end()]
             known = words.get(word)
             if known is None:
                 known = words[word] = v.word(word)
