@@ -4,8 +4,8 @@ A word's symbols form a doubly linked list; possible merges wait in a priority q
 position, and an entry whose symbols have changed since is skipped. Decoding concatenates the
 vocabulary's strings. Results are those of the file's own library without special tokens added:
 special tokens inside a text are found first, then the text is normalised, split and encoded.
-Characters that Python's Unicode tables do not have yet count as symbols; a library with newer tables may
-know some of them as letters or digits.
+Unicode tables differ in age: characters that Python's lack count as symbols here, and combining marks
+younger than Unicode 13 are put in order here but not by the library's normaliser.
 """
 
 from __future__ import annotations
