@@ -30,9 +30,10 @@ from roadpulse.llm.suffixes import repeated_windows
 from roadpulse.session import written_out
 
 LENGTH, GRAM = 50, 24
-GROUP_BYTES = 16 << 20  # text per group; the number of groups follows the size of the corpus
-FLUSH = 32 << 20  # bytes of text whose anchors a task holds before it passes them on
+GROUP_BYTES = 8 << 20  # text per group; the number of groups follows the size of the corpus
+FLUSH = 8 << 20  # bytes of text whose anchors a task holds before it passes them on
 CHUNK = 1 << 20  # windows of a text that are hashed at once
+PIECE = 128 << 10  # text that is sorted at once, in whole anchors
 CUT, ASK = 0, 1  # marks: windows to cut; contexts to sort
 
 _LOW = np.uint64((1 << 24) - 1)
@@ -282,25 +283,45 @@ def _cut_contexts(groups: int, length: int) -> Callable:
         for a, z in zip(heads, np.append(heads[1:], len(order))):
             own = order[a:z]
             sizes = np.array([len(t) for t in texts[own]], dtype=np.uint32)
-            rows.append((int(bucket[own[0]]), _pack(doc[own], first[own], sizes) + b"".join(texts[own])))
+            rows.append((int(bucket[own[0]]), _pack(doc[own], h[own], first[own], sizes) + b"".join(texts[own])))
         yield _rows(rows, ["bucket", "blob"])
 
     return _texts_with_marks(("<u8", "<u4", "<u4"), each, finish)
 
 
+def _pieces(h: np.ndarray, size: np.ndarray) -> Iterator[slice]:
+    """Runs of texts of about ``PIECE`` bytes that hold all texts of an anchor; ``h`` is sorted."""
+    heads = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    before = np.cumsum(size) - size
+    part = before[heads] // PIECE
+    first = heads[np.concatenate(([True], part[1:] != part[:-1]))]
+    for a, z in zip(first, np.append(first[1:], len(h))):
+        yield slice(a, z)
+
+
 def _sort_contexts(groups: int, per: int, length: int) -> Callable:
     """From the contexts of some anchors: marks of windows that a smaller document has too."""
 
     def run(table: pa.Table) -> pa.Table:
-        docs, firsts, sizes, texts = [], [], [], []
+        kinds, columns, texts = ("<u8", "<u4", "<u4"), [], []
         for blob in table["blob"].to_pylist():
-            doc, first, size = _unpack(blob, "<u4", "<u4")
-            docs.append(doc)
-            firsts.append(first)
-            sizes.append(size)
-            texts.append(blob[8 + 16 * len(doc) :])
-        doc, first, size = (np.concatenate(c) for c in (docs, firsts, sizes))
-        text, place = repeated_windows(b"".join(texts), size.astype(np.int64), doc // per, length)
+            columns.append(_unpack(blob, *kinds))
+            texts.append(blob[8 + 24 * len(columns[-1][0]) :])
+        doc, h, first, size = (np.concatenate(c) for c in zip(*columns))
+        size = size.astype(np.int64)
+        stop = np.cumsum(size)
+        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        order = np.argsort(h, kind="stable")
+        found = []
+        for own in _pieces(h[order], size[order]):
+            rows = order[own]
+            lengths = size[rows]
+            # Places of the piece's bytes in ``data``, text after text.
+            inside = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            part = data[np.repeat(stop[rows] - lengths, lengths) + inside]
+            text, place = repeated_windows(part, lengths, doc[rows] // per, length)
+            found.append((rows[text], place))
+        text, place = (np.concatenate(c) for c in zip(*found))
         marks = _spans(doc[text], (first[text] + place).astype(np.uint32), np.ones(len(text), np.uint32))
         rows = [(g, CUT, b) for g, b in _dealt(marks[0] % groups, *marks)]
         return pa.Table.from_batches([_rows(rows, ["bucket", "kind", "blob"])])

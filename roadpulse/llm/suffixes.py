@@ -7,15 +7,15 @@ import numpy as np
 _ROOM = 1 << 62
 
 
-def packed(columns: list[np.ndarray], sizes: list[int]) -> np.ndarray:
-    """One number per row that orders rows as their columns do; values of column i are below sizes[i]."""
-    key, size = columns[0], sizes[0]
-    for column, more in zip(columns[1:], sizes[1:]):
-        if size * more >= _ROOM:  # too wide for 64 bits: number the distinct values first
-            distinct, key = np.unique(key, return_inverse=True)
-            size = len(distinct)
-        key, size = key * np.int64(more) + column, size * more
-    return key
+def _paired(first: np.ndarray, second: np.ndarray, size: int, more: int) -> tuple[np.ndarray, int]:
+    """One number per row that orders rows as (first, second) do, and a bound of it.
+
+    Values of ``first`` are below ``size``, those of ``second`` below ``more``.
+    """
+    if size * more >= _ROOM:  # too wide for 64 bits: number the distinct values first
+        distinct, first = np.unique(first, return_inverse=True)
+        size = len(distinct)
+    return first * np.int64(more) + second, size * more
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
@@ -30,38 +30,40 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         row = s.tolist()
         return np.array(sorted(range(n), key=lambda i: row[i:]), dtype=np.int64)
     size = int(s.max()) + 1
-    s = np.concatenate((s.astype(np.int64), np.zeros(3, dtype=np.int64)))
-    firsts, seconds = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
-    sample = np.concatenate((firsts, seconds))
-    triples = packed([s[sample], s[sample + 1], s[sample + 2]], [size] * 3)
+    s = np.concatenate((s.astype(np.int64, copy=False), np.zeros(4, dtype=np.int64)))
+    pairs, wide = _paired(s[:-1], s[1:], size, size)
+    # With n = 3k + 1 the empty suffix at n joins the sample, so that every other place has its successor in it.
+    firsts, seconds = (n + (n % 3 == 1) + 1) // 3, n // 3
+    triples, _ = _paired(pairs[:-1], s[2:], wide, size)
+    triples = np.concatenate((triples[1::3][:firsts], triples[2::3][:seconds]))
     order = np.argsort(triples)
-    new = np.concatenate(([True], triples[order[1:]] != triples[order[:-1]]))
-    if new.all():
-        sample_order = order
-    else:
-        names = np.empty(len(sample), dtype=np.int64)
+    ordered_triples = triples[order]
+    new = np.concatenate(([True], ordered_triples[1:] != ordered_triples[:-1]))
+    if not new.all():
+        names = np.empty(len(order), dtype=np.int64)
         names[order] = np.cumsum(new)
-        sample_order = suffix_array(names)
-    ordered = sample[sample_order]
+        order = suffix_array(names)
+    is_first = order < firsts
+    ordered = np.where(is_first, 3 * order + 1, 3 * (order - firsts) + 2)
     rank = np.zeros(n + 3, dtype=np.int64)
     rank[ordered] = np.arange(1, len(ordered) + 1)
     ranks = len(ordered) + 1
 
-    rest = ordered[ordered % 3 == 1] - 1
-    rest = rest[np.argsort(s[rest], kind="stable")]
-    ordered = ordered[ordered < n]
-    before = np.arange(len(rest))
-    one, two = ordered[ordered % 3 == 1], ordered[ordered % 3 == 2]
-    both = np.concatenate((rest, one))
-    key = packed([s[both], rank[both + 1]], [size, ranks])
-    before += np.searchsorted(key[len(rest) :], key[: len(rest)])
-    both = np.concatenate((rest, two))
-    key = packed([s[both], s[both + 1], rank[both + 2]], [size, size, ranks])
-    before += np.searchsorted(key[len(rest) :], key[: len(rest)])
+    # The others: by their first number and the rank of the sample suffix that follows.
+    count = (n + 2) // 3
+    key, _ = _paired(s[:n:3], rank[1 : n + 2 : 3][:count], size, ranks)
+    place = np.argsort(key)
+    rest, key = 3 * place, key[place]
+    one, two = ordered[is_first], ordered[~is_first]
+    one = one[one < n]
+    before = np.arange(count) + np.searchsorted(_paired(s[one], rank[one + 1], size, ranks)[0], key)
+    # The other class of the sample is compared by two numbers and the rank after them.
+    key, _ = _paired(pairs[: n + 1], rank[2 : n + 3], wide, ranks)
+    before += np.searchsorted(key[two], key[rest])
     merged, free = np.empty(n, dtype=np.int64), np.ones(n, dtype=bool)
     merged[before] = rest
     free[before] = False
-    merged[free] = ordered
+    merged[free] = ordered[ordered < n]
     return merged
 
 
@@ -76,14 +78,13 @@ def equal_prefixes(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndar
     return np.concatenate(([0], np.cumsum(~same))) if len(starts) else np.zeros(0, dtype=np.int64)
 
 
-def repeated_windows(texts: bytes, lengths: np.ndarray, owners: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+def repeated_windows(data: np.ndarray, lengths: np.ndarray, owners: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(text number, start) of every window of ``length`` bytes that also stands with a smaller owner.
 
-    ``texts`` are the texts end to end, ``lengths`` their sizes (``length`` or more), ``owners`` whose each is.
+    ``data`` are the bytes of the texts end to end, ``lengths`` their sizes (``length`` or more), ``owners`` whose each is.
     """
     ends = np.cumsum(lengths)
     firsts = ends - lengths
-    data = np.frombuffer(texts, dtype=np.uint8)
     # A zero, below every byte + 1, ends each text.
     row = np.zeros(len(data) + len(lengths), dtype=np.int64)
     number = np.repeat(np.arange(len(lengths)), lengths)
