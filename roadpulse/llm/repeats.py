@@ -12,6 +12,11 @@ among equals; equal windows have equal anchors at the same place. The windows of
    ``LENGTH`` bytes are equal windows, and all but the smallest document lose them.
 3. The spans found are brought to the documents and cut.
 
+An anchor that many contexts of one task share may stand in a third of all documents. Its contexts are
+dealt by their own hash instead, which spreads them, and its windows are sorted one by one, dealt by their
+text; of equal windows a task passes on the smallest document's alone. Every task sends a notice to the
+group of such an anchor, so that its other contexts, wherever they are, go the same way.
+
 Data between the steps travels as arrays in byte strings, one per task and group, so a row costs no more
 than its bytes. Every step's result is written to the shared folder.
 """
@@ -22,6 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +40,9 @@ GROUP_BYTES = 8 << 20  # text per group; the number of groups follows the size o
 FLUSH = 8 << 20  # bytes of text whose anchors a task holds before it passes them on
 CHUNK = 1 << 20  # windows of a text that are hashed at once
 PIECE = 128 << 10  # text that is sorted at once, in whole anchors
-CUT, ASK = 0, 1  # marks: windows to cut; contexts to sort
+CROWD = 64  # contexts of one anchor in a task from which it is dealt by context and sorted by window
+# Rows: windows to cut; contexts dealt by anchor; contexts dealt by themselves; anchors so dealt.
+CUT, ASK, CROWDED, NOTICE = range(4)
 
 _LOW = np.uint64((1 << 24) - 1)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -169,19 +177,25 @@ def _find_contexts(groups: int, per: int, length: int, gram: int) -> Callable:
         least = _class_owner(h, x, doc // per)[0]
         copy = doc // per > least
         marks = _spans(doc[copy], first[copy], count[copy])
-        own = ~copy
         rows = [(g % groups, CUT, g, b) for g, b in _dealt(marks[0] % groups, *marks)]
-        rows += [
-            (g, ASK, g, b)
-            for g, b in _dealt(
-                (h[own] % np.uint64(groups)).astype(np.int64), doc[own], h[own], x[own], first[own], count[own].astype("u1" if length - gram < 255 else "<u4")
-            )
-        ]
+        anchors, which, sizes = np.unique(h[~copy], return_inverse=True, return_counts=True)
+        crowded = np.zeros(len(h), dtype=bool)
+        crowded[~copy] = sizes[which] >= CROWD
+        few = "u1" if length - gram < 255 else "<u4"
+        for kind, own, by in ((ASK, ~copy & ~crowded, h), (CROWDED, crowded, x)):
+            columns = (doc[own], h[own], x[own], first[own], count[own].astype(few))
+            rows += [(g, kind, g, b) for g, b in _dealt(_group(by[own], groups), *columns)]
+        told = anchors[sizes >= CROWD]
+        rows += [(g, NOTICE, g, b) for g, b in _dealt(_group(told, groups), told.astype(np.int64))]
         return _rows(rows, ["bucket", "kind", "target", "blob"])
 
     return run
 
 
+def _group(hashes: np.ndarray, groups: int) -> np.ndarray:
+    return (hashes % np.uint64(groups)).astype(np.int64)
+
+
 def _class_owner(h: np.ndarray, x: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each context its class's smallest owner, and the smallest and largest of those of its anchor."""
     order = np.lexsort((x, h))
@@ -210,15 +224,18 @@ def _judge_contexts(groups: int, per: int, length: int, gram: int) -> Callable:
         blobs, targets = table["blob"].to_pylist(), table["target"].to_pylist()
         rows = [(t, CUT, b) for k, t, b in zip(kinds, targets, blobs) if k == CUT]
         few = "u1" if length - gram < 255 else "<u4"
-        doc, h, x, first, count = _joined([b for k, b in zip(kinds, blobs) if k == ASK], "<u8", "<u8", "<u4", few)
-        owner = doc // per
-        least, low, high = _class_owner(h, x, owner)
-        cut = owner > least
-        marks = _spans(doc[cut], first[cut], count[cut])
-        rows += [(g, CUT, b) for g, b in _dealt(marks[0] % groups, *marks)]
-        ask = ~cut & (low != high)
-        asked = (doc[ask], h[ask], first[ask], count[ask].astype("<u4"))
-        rows += [(g, ASK, b) for g, b in _dealt(asked[0] % groups, *asked)]
+        told = _joined([b for k, b in zip(kinds, blobs) if k == NOTICE])[0].astype(np.uint64)
+        for route in (ASK, CROWDED):
+            doc, h, x, first, count = _joined([b for k, b in zip(kinds, blobs) if k == route], "<u8", "<u8", "<u4", few)
+            owner = doc // per
+            least, low, high = _class_owner(h, x, owner)
+            cut = owner > least
+            marks = _spans(doc[cut], first[cut], count[cut])
+            rows += [(g, CUT, b) for g, b in _dealt(marks[0] % groups, *marks)]
+            alone = np.isin(h, told) if route == ASK else np.ones(len(h), dtype=bool)
+            ask = ~cut & ((low != high) | alone)
+            asked = (doc[ask], h[ask], first[ask], count[ask].astype("<u4"), alone[ask].astype("u1"))
+            rows += [(g, ASK, b) for g, b in _dealt(asked[0] % groups, *asked)]
         return pa.Table.from_batches([_rows(rows, ["bucket", "kind", "blob"])])
 
     return run
@@ -257,36 +274,58 @@ def _texts_with_marks(kinds: tuple[str, ...], each: Callable, finish: Callable)
     return run
 
 
-def _cut_contexts(groups: int, length: int) -> Callable:
-    """The asked contexts as texts, dealt by anchor."""
-    limit = 16 << 20
+def _cut_contexts(groups: int, per: int, length: int) -> Callable:
+    """The asked contexts as texts, dealt by anchor; those of crowded anchors window by window, by text."""
+    limit = 8 << 20
 
     def each(state, batch, row, doc, data, marks):
-        held = state.setdefault("held", [])
-        for h, first, count in zip(*(m.tolist() for m in marks)):
-            part = data[first : first + count - 1 + length]
-            held.append((doc, h, first, part))
-            state["size"] = state.get("size", 0) + len(part)
+        held, windows, cut = state.setdefault("parts", ([], {}, []))
+        size = 0
+        for h, first, count, alone in zip(*(m.tolist() for m in marks)):
+            if not alone:
+                held.append((doc, h, first, data[first : first + count - 1 + length]))
+                size += count + length
+                continue
+            for at in range(first, first + count):
+                window = data[at : at + length]
+                known = windows.setdefault(window, (doc, at))
+                if doc // per < known[0] // per:
+                    windows[window] = (doc, at)
+                    cut.append(known)
+                elif doc // per > known[0] // per:
+                    cut.append((doc, at))
+                elif known != (doc, at):  # again in the same document: judged like the first
+                    held.append((doc, xxhash.xxh64_intdigest(window), at, window))
+                size += 2 * length
+        state["size"] = state.get("size", 0) + size
 
     def finish(state, batch):
-        held = state.get("held", [])
-        if not held or (batch is not None and state["size"] < limit):
+        if "parts" not in state or (batch is not None and state["size"] < limit):
             return
-        doc, h, first, texts = zip(*held)
+        held, windows, cut = state["parts"]
         state.clear()
-        doc, h, first = np.array(doc, np.int64), np.array(h, np.uint64), np.array(first, np.uint32)
-        texts = np.array([*texts, None], dtype=object)[:-1]
-        bucket = (h % np.uint64(groups)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        heads = np.flatnonzero(np.concatenate(([True], np.diff(bucket[order]) != 0)))
+        held += [(doc, xxhash.xxh64_intdigest(w), at, w) for w, (doc, at) in windows.items()]
         rows = []
-        for a, z in zip(heads, np.append(heads[1:], len(order))):
-            own = order[a:z]
-            sizes = np.array([len(t) for t in texts[own]], dtype=np.uint32)
-            rows.append((int(bucket[own[0]]), _pack(doc[own], h[own], first[own], sizes) + b"".join(texts[own])))
-        yield _rows(rows, ["bucket", "blob"])
+        if cut:
+            doc, at = np.array(cut, dtype=np.int64).T
+            marks = _spans(doc, at, np.ones(len(at), dtype=np.int64))
+            rows += [(g % groups, CUT, g, b) for g, b in _dealt(marks[0] % groups, *marks)]
+        if held:
+            doc, h, first, texts = zip(*held)
+            doc, h, first = np.array(doc, np.int64), np.array(h, np.uint64), np.array(first, np.uint32)
+            texts = np.array([*texts, None], dtype=object)[:-1]
+            bucket = _group(h, groups)
+            order = np.argsort(bucket, kind="stable")
+            heads = np.flatnonzero(np.concatenate(([True], np.diff(bucket[order]) != 0)))
+            for a, z in zip(heads, np.append(heads[1:], len(order))):
+                own = order[a:z]
+                sizes = np.array([len(t) for t in texts[own]], dtype=np.uint32)
+                packed = _pack(doc[own], h[own], first[own], sizes) + b"".join(texts[own])
+                rows.append((int(bucket[own[0]]), ASK, int(bucket[own[0]]), packed))
+        if rows:
+            yield _rows(rows, ["bucket", "kind", "target", "blob"])
 
-    return _texts_with_marks(("<u8", "<u4", "<u4"), each, finish)
+    return _texts_with_marks(("<u8", "<u4", "<u4", "u1"), each, finish)
 
 
 def _pieces(h: np.ndarray, size: np.ndarray) -> Iterator[slice]:
@@ -303,10 +342,15 @@ def _sort_contexts(groups: int, per: int, length: int) -> Callable:
     """From the contexts of some anchors: marks of windows that a smaller document has too."""
 
     def run(table: pa.Table) -> pa.Table:
-        kinds, columns, texts = ("<u8", "<u4", "<u4"), [], []
-        for blob in table["blob"].to_pylist():
-            columns.append(_unpack(blob, *kinds))
+        columns, texts, rows = [], [], []
+        for kind, target, blob in zip(*(table[c].to_pylist() for c in ("kind", "target", "blob"))):
+            if kind == CUT:
+                rows.append((target, CUT, blob))
+                continue
+            columns.append(_unpack(blob, "<u8", "<u4", "<u4"))
             texts.append(blob[8 + 24 * len(columns[-1][0]) :])
+        if not columns:
+            return pa.Table.from_batches([_rows(rows, ["bucket", "kind", "blob"])])
         doc, h, first, size = (np.concatenate(c) for c in zip(*columns))
         size = size.astype(np.int64)
         stop = np.cumsum(size)
@@ -314,16 +358,16 @@ def _sort_contexts(groups: int, per: int, length: int) -> Callable:
         order = np.argsort(h, kind="stable")
         found = []
         for own in _pieces(h[order], size[order]):
-            rows = order[own]
-            lengths = size[rows]
+            chosen = order[own]
+            lengths = size[chosen]
             # Places of the piece's bytes in ``data``, text after text.
             inside = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            part = data[np.repeat(stop[rows] - lengths, lengths) + inside]
-            text, place = repeated_windows(part, lengths, doc[rows] // per, length)
-            found.append((rows[text], place))
+            part = data[np.repeat(stop[chosen] - lengths, lengths) + inside]
+            text, place = repeated_windows(part, lengths, doc[chosen] // per, length)
+            found.append((chosen[text], place))
         text, place = (np.concatenate(c) for c in zip(*found))
         marks = _spans(doc[text], (first[text] + place).astype(np.uint32), np.ones(len(text), np.uint32))
-        rows = [(g, CUT, b) for g, b in _dealt(marks[0] % groups, *marks)]
+        rows += [(g, CUT, b) for g, b in _dealt(marks[0] % groups, *marks)]
         return pa.Table.from_batches([_rows(rows, ["bucket", "kind", "blob"])])
 
     return run
@@ -415,7 +459,8 @@ def cut_repeats(
     groups = _prime(max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // GROUP_BYTES))
     texts = rows.select("__doc", F.col(f"`{text}`").alias("__text"))
 
-    found = texts.mapInArrow(_find_contexts(groups, per, length, gram), "bucket bigint, kind bigint, target bigint, blob binary")
+    dealt = "bucket bigint, kind bigint, target bigint, blob binary"
+    found = texts.mapInArrow(_find_contexts(groups, per, length, gram), dealt)
     marks = "bucket bigint, kind bigint, blob binary"
     judged = _step(found.groupBy("bucket").applyInArrow(_judge_contexts(groups, per, length, gram), marks), "marks")
 
@@ -435,7 +480,7 @@ def cut_repeats(
         return both.select(*names).repartition("b").sortWithinPartitions("b", F.col("kind").asc_nulls_last())
 
     asked = beside(judged.where(F.col("kind") == ASK), [])
-    cut = asked.mapInArrow(_cut_contexts(groups, length), "bucket bigint, blob binary")
+    cut = asked.mapInArrow(_cut_contexts(groups, per, length), dealt)
     sorted_ = _step(cut.groupBy("bucket").applyInArrow(_sort_contexts(groups, per, length), marks), "sorted")
 
     passing = [c for c in docs.columns if c not in (text, kept, spans)]

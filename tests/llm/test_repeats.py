@@ -42,6 +42,18 @@ def test_equals_all_windows(spark, prose):
     assert cut(spark, rows) == by_hand(rows, 50)
 
 
+@pytest.mark.parametrize("crowd", [1, 2, 5])
+def test_crowded_anchors(spark, prose, crowd, monkeypatch):
+    monkeypatch.setattr(R, "CROWD", crowd)
+    monkeypatch.setattr(R, "FLUSH", 3_000)
+    rng = random.Random(crowd)
+    passage = prose[40][:90] * 2
+    around = ["".join(rng.choice("abcdefgh ") for _ in range(60)) for _ in range(40)]
+    rows = [(i % 33, a + passage + b) for i, (a, b) in enumerate(zip(around, around[3:] + around[:3]))]
+    rows += [(50 + i, t) for i, t in enumerate(prose)]
+    assert cut(spark, rows) == by_hand(rows, 50)
+
+
 def test_characters_that_share_bytes(spark):
     common = "ü" * 3 + "abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJK"
     rows = [(1, common + "é" + "x" * 60), (2, "q" + common + "è" + "x" * 55)]
