@@ -37,6 +37,7 @@ HOURLY_WINDOW_MINUTES = 60
 HOURLY_RECORDS_PER_TRIGGER = 20_000
 TRACK_TIMEOUT = "5 seconds"
 DEFAULT_FPS = 25.0
+MAX_FPS = 60
 
 # Trajectory lengths.
 PATH_POINTS = 30

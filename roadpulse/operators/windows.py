@@ -12,24 +12,40 @@ from roadpulse.functions.traffic import class_name, plausible_speed, speed_norm
 
 TRACK = ["source_id", "tracker_id"]
 
-# At most this many over-long tracks are split; the table of them is broadcast, so its size is
-# bounded. Any further track is computed whole, which is exact too and by then comparatively small.
+# Only so many over-long tracks are split, so that the table of them, which is broadcast, has a bound.
+# Any other track holds less than a hundred-thousandth of all rows and is computed whole.
 MAX_SPLIT_TRACKS = 100_000
 ROWS_PER_SLICE = 1_000_000
+# A long track is cut at quantiles of its rows; a slice then holds a thousandth of it at least.
+_QUANTILES = 1024
 
 
-def _long_tracks(df: DataFrame, keys: list[str], order: str, slice_rows: int) -> DataFrame:
-    """The longest tracks with their range of ``order`` and how many slices they need."""
-    size = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
-        F.count("*").alias("_n"),
-        F.min(F.col(order).cast("double")).alias("_lo"),
-        F.max(F.col(order).cast("double")).alias("_hi"),
+def _long_tracks(df: DataFrame, sizes: DataFrame, keys: list[str], order: str, slice_rows: int) -> DataFrame:
+    """The longest tracks with the places of ``order`` at which they are cut, about equal in rows."""
+    named = [F.col(k).alias(f"_{k}") for k in keys]
+    size = sizes.groupBy(*named).agg(F.count("*").alias("_n")).where(F.col("_n") > slice_rows)
+    longest = F.broadcast(size.orderBy(F.desc("_n")).limit(MAX_SPLIT_TRACKS))
+    same_key = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    fractions = [i / _QUANTILES for i in range(1, _QUANTILES)]
+    spread = (
+        df.join(longest, same_key)
+        .groupBy(*[f"_{k}" for k in keys], "_n")
+        .agg(F.percentile_approx(F.col(order).cast("double"), fractions, 100 * _QUANTILES).alias("_q"))
     )
-    return (
-        size.where(F.col("_n") > slice_rows)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_SPLIT_TRACKS)
-        .withColumn("_slices", F.ceil(F.col("_n") / slice_rows))
+    slices = F.least(F.ceil(F.col("_n") / slice_rows), F.lit(_QUANTILES)).cast("int")
+    places = F.transform(
+        F.sequence(F.lit(1), slices - 1), lambda i: F.get("_q", (i * _QUANTILES / slices).cast("int") - 1)
+    )
+    return spread.select(*[f"_{k}" for k in keys], F.array_distinct(places).alias("_cuts"))
+
+
+def _slice_of(cuts: Column, value: Column) -> Column:
+    """How many cuts lie below a value, by bisection."""
+    steps = F.array(*[F.lit(_QUANTILES >> i) for i in range(1, _QUANTILES.bit_length())])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda found, step: F.when(F.get(cuts, found + step - 1) < value, found + step).otherwise(found),
     )
 
 
@@ -40,6 +56,7 @@ def over_recent_rows(
     keys: list[str] | None = None,
     order: str = "frame",
     slice_rows: int = ROWS_PER_SLICE,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Apply ``compute(rows, partition_columns)``, whose result depends on the row itself and
     the ``lookback`` rows before it within its key.
@@ -47,15 +64,18 @@ def over_recent_rows(
     A key with more than ``slice_rows`` rows is cut into slices along ``order`` that are computed
     side by side. The first rows of a slice lack predecessors there, so they are computed once
     more from the rows around the slice borders alone. Results are the same as without slices.
+
+    ``sizes`` may be a cheaper table with at least the rows of each key, such as the scan from which
+    ``df`` is filtered; its keys are counted instead of those of ``df``.
     """
     keys = keys or TRACK
-    broadcast_long = F.broadcast(_long_tracks(df, keys, order, slice_rows))
+    sizes = df if sizes is None else sizes
+    long_tracks = F.broadcast(_long_tracks(df.select(*keys, order), sizes.select(*keys), keys, order, slice_rows))
     same_key = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
 
-    share = (F.col(order).cast("double") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
-    part = F.floor(share * F.col("_slices")).alias("_slice")
-    sliced = df.join(broadcast_long, same_key, "left").select(
-        *df.columns, F.coalesce(part, F.lit(-1)).alias("_slice")
+    part = _slice_of(F.col("_cuts"), F.col(order).cast("double"))
+    sliced = df.join(long_tracks, same_key, "left").select(
+        *df.columns, F.when(F.col("_cuts").isNull(), F.lit(-1)).otherwise(part).alias("_slice")
     )
     # Every slice row is computed in its slice; only the heads of later slices are replaced.
     within = Window.partitionBy(*keys, "_slice").orderBy(order)
@@ -67,7 +87,7 @@ def over_recent_rows(
     )
 
     # Borders: the rows next to a cut, from long tracks only (usually there are none).
-    long_rows = df.join(broadcast_long, same_key, "inner").select(*df.columns, part)
+    long_rows = df.join(long_tracks, same_key, "inner").select(*df.columns, part.alias("_slice"))
     border = (
         long_rows.withColumn("_position", position)
         .withColumn("_last", F.lead(F.lit(1), lookback).over(within).isNull())
@@ -82,116 +102,169 @@ def over_recent_rows(
     return whole.unionByName(heads)
 
 
-def _trailing(keys: list[str], order: str, rows: int):
-    return Window.partitionBy(*keys).orderBy(order).rowsBetween(-(rows - 1), 0)
+def _by_visit(part: DataFrame, keys: list[str], order: str, gap: str | None, time: str) -> tuple[DataFrame, list[str]]:
+    """Rows with the visit they belong to, and the keys of a visit.
 
+    A track that stays unseen for longer than ``gap`` is forgotten: what comes after is another visit.
+    """
+    if gap is None:
+        return part, keys
+    ordered = Window.partitionBy(*keys).orderBy(order)
+    opens = F.col(time) > F.lag(time).over(ordered) + F.expr(f"interval {gap}")
+    marked = part.withColumn("_opens", F.when(opens, F.row_number().over(ordered)))
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    return marked.withColumn("_visit", F.coalesce(F.max("_opens").over(so_far), F.lit(0))), [*keys, "_visit"]
 
-# Spark evaluates an aggregate over a trailing frame anew for every row, at a cost per row that
-# grows with the frame. Positions, offsets and running sums cost the same whatever the frame.
 
+def _per_second(fps: float | str) -> Column:
+    """Frame rate of a row; ``fps`` is a number or the column that holds it (25 where it is null)."""
+    if isinstance(fps, str):
+        return F.coalesce(F.col(fps).cast("double"), F.lit(C.DEFAULT_FPS))
+    return F.lit(float(fps))
 
-def _trailing_sum(value: str, ordered, rows: int) -> Column:
-    """Sum over the last ``rows`` rows as a difference of two running sums in columns ``value``."""
-    return F.col(value) - F.coalesce(F.lag(value, rows).over(ordered), F.lit(0.0))
+
+def _trailing(keys: list[str], order: str, rows: int):
+    return Window.partitionBy(*keys).orderBy(order).rowsBetween(-(rows - 1), 0)
 
 
 def endpoint_speed(
     df: DataFrame,
-    fps: float = C.DEFAULT_FPS,
+    fps: float | str = C.DEFAULT_FPS,
     x: str = "mx",
     y: str = "my",
     order: str = "frame",
+    rates: list[float] | None = None,
+    first: str | None = None,
+    gap: str | None = None,
+    time: str = "ts",
     **sliced,
 ) -> DataFrame:
     """Speed from the first to the last of the most recent int(fps) points.
 
     Adds ``points`` (trajectory length) and ``speed_kmh``. Time is points / fps, one step more
-    than lies between the points; that is how published speeds are defined.
+    than lies between the points; that is how published speeds are defined. ``fps`` may name a column
+    that is constant in a track; ``rates`` then lists its values (all whole rates up to 60 if not given).
+
+    ``first`` names a column that is replaced by its value in the track's first row. With ``gap`` a track
+    unseen for longer starts anew.
     """
-    rows = max(int(fps), 1)
+    if isinstance(fps, str):
+        kept = sorted({max(int(r), 1) for r in rates or range(1, C.MAX_FPS + 1)} | {int(C.DEFAULT_FPS)})
+    else:
+        kept = [max(int(fps), 1)]
 
     def compute(part: DataFrame, keys: list[str]) -> DataFrame:
-        ordered = Window.partitionBy(*keys).orderBy(order)
+        part, own = _by_visit(part, keys, order, gap, time)
+        ordered = Window.partitionBy(*own).orderBy(order)
         so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
+        rate = _per_second(fps)
+        rows = F.greatest(F.floor(rate), F.lit(1)).cast("bigint")
+        number = F.row_number().over(ordered).cast("bigint")
 
         def oldest(column: str) -> Column:
-            earlier = F.lag(column, rows - 1).over(ordered)
-            return F.when(F.col("points") == rows, earlier).otherwise(F.first(column).over(so_far))
+            value = F.first(column).over(so_far)
+            for r in kept:
+                full = (rows == r) & (number >= r)
+                value = F.when(full, F.lag(column, r - 1).over(ordered)).otherwise(value)
+            return value
 
-        points = F.least(F.row_number().over(ordered).cast("bigint"), F.lit(rows))
         moved = F.hypot(F.col(x) - oldest(x), F.col(y) - oldest(y))
-        speed = moved / (F.col("points") / F.lit(float(fps))) * F.lit(3.6)
-        return part.withColumn("points", points).withColumn("speed_kmh", speed)
+        added = {"points": F.least(number, rows), "_moved": moved}
+        if first:
+            added[first] = F.first(first).over(so_far)
+        speed = F.col("_moved") / (F.col("points") / rate) * F.lit(3.6)
+        return part.withColumns(added).withColumn("speed_kmh", speed).drop("_moved", "_opens", "_visit")
+
+    if not first or gap is not None:
+        return over_recent_rows(df, compute, kept[-1] - 1 + (1 if gap else 0), order=order, **sliced)
+    return _with_first_of_long_tracks(df, compute, kept[-1] - 1, order, first, **sliced)
 
-    return over_recent_rows(df, compute, rows - 1, order=order, **sliced)
+
+def _with_first_of_long_tracks(df, compute, lookback, order, first, slice_rows=ROWS_PER_SLICE, sizes=None):
+    """``over_recent_rows`` for a result that also holds the first value of the whole track.
+
+    Slices do not see the first row of their track, so the value is joined to the long tracks alone.
+    """
+    done = over_recent_rows(df, compute, lookback, order=order, slice_rows=slice_rows, sizes=sizes)
+    size = (df if sizes is None else sizes).groupBy(*[F.col(k).alias(f"_{k}") for k in TRACK])
+    size = size.agg(F.count("*").alias("_n")).where(F.col("_n") > slice_rows)
+    longest = F.broadcast(size.orderBy(F.desc("_n")).limit(MAX_SPLIT_TRACKS))
+    same_key = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in TRACK]
+    firsts = df.join(longest, same_key).groupBy(*[f"_{k}" for k in TRACK]).agg(F.min_by(first, order).alias("_first"))
+    joined = done.join(F.broadcast(firsts), same_key, "left")
+    whole = F.when(F.col(f"_{TRACK[1]}").isNotNull(), F.col("_first")).otherwise(F.col(first))
+    return joined.select(*[whole.alias(c) if c == first else F.col(c) for c in done.columns])
 
 
 def _path_columns(
-    part: DataFrame, keys: list[str], x: str, y: str, order: str, points: int, fps: float
+    part: DataFrame, keys: list[str], x: str, y: str, order: str, points: int, fps: float | str
 ) -> DataFrame:
+    # Sums run over the rows of the frame itself, so an outlier or a NaN leaves with its row.
     ordered = Window.partitionBy(*keys).orderBy(order)
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
     step = F.hypot(F.col(x) - F.lag(x).over(ordered), F.col(y) - F.lag(y).over(ordered))
     n = F.least(F.row_number().over(ordered).cast("bigint"), F.lit(points))
-    length = _trailing_sum("_walked", ordered, points - 1)
-    speed = length / (F.col("points") / F.lit(float(fps))) * F.lit(3.6)
+    length = F.sum("_step").over(_trailing(keys, order, points - 1))
+    speed = length / (F.col("points") / _per_second(fps)) * F.lit(3.6)
     return (
         part.withColumns({"points": n, "_step": F.coalesce(step, F.lit(0.0))})
-        .withColumn("_walked", F.sum("_step").over(so_far))
         .withColumn("path_speed_kmh", F.when(F.col("points") >= 3, speed))
-        .drop("_step", "_walked")
+        .drop("_step")
     )
 
 
 def path_speed(
     df: DataFrame,
-    fps: float = C.DEFAULT_FPS,
+    fps: float | str = C.DEFAULT_FPS,
     x: str = "mx",
     y: str = "my",
     order: str = "frame",
     points: int = C.PATH_POINTS,
+    gap: str | None = None,
+    time: str = "ts",
     **sliced,
 ) -> DataFrame:
     """Speed along the path of the last 30 points; null below three points.
 
-    Adds ``points`` and ``path_speed_kmh``.
+    Adds ``points`` and ``path_speed_kmh``. With ``gap`` a track unseen for longer starts anew.
     """
 
     def compute(part: DataFrame, keys: list[str]) -> DataFrame:
-        return _path_columns(part, keys, x, y, order, points, fps)
+        part, own = _by_visit(part, keys, order, gap, time)
+        return _path_columns(part, own, x, y, order, points, fps).drop("_opens", "_visit")
 
-    return over_recent_rows(df, compute, points - 1, order=order, **sliced)
+    return over_recent_rows(df, compute, points, order=order, **sliced)
 
 
 def smooth_speed(
     df: DataFrame,
-    fps: float = C.DEFAULT_FPS,
+    fps: float | str = C.DEFAULT_FPS,
     x: str = "mx",
     y: str = "my",
     order: str = "frame",
     points: int = C.PATH_POINTS,
     last: int = C.SMOOTH_SPEEDS,
     at_least: int = C.SMOOTH_MIN_SPEEDS,
+    gap: str | None = None,
+    time: str = "ts",
     **sliced,
 ) -> DataFrame:
     """``path_speed`` plus ``smooth_speed_kmh``: the mean of the last 10 path speeds once there
     are 3 of them, before that the path speed itself."""
 
     def compute(part: DataFrame, keys: list[str]) -> DataFrame:
-        ordered = Window.partitionBy(*keys).orderBy(order)
-        so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
+        part, own = _by_visit(part, keys, order, gap, time)
+        recent = _trailing(own, order, last)
         raw = F.col("path_speed_kmh")
-        # The first two rows of a track have no speed yet.
-        n = F.least(F.row_number().over(ordered) - 2, F.lit(last))
-        mean = _trailing_sum("_speeds", ordered, last) / F.col("_n")
+        # The first two rows of a track have no speed yet; a mean leaves them out.
+        mean, n = F.avg(raw).over(recent), F.count(raw).over(recent)
         return (
-            _path_columns(part, keys, x, y, order, points, fps)
-            .withColumns({"_speeds": F.sum(F.coalesce(raw, F.lit(0.0))).over(so_far), "_n": n})
-            .withColumn("smooth_speed_kmh", F.when(F.col("_n") >= at_least, mean).otherwise(raw))
-            .drop("_speeds", "_n")
+            _path_columns(part, own, x, y, order, points, fps)
+            .withColumns({"_mean": mean, "_n": n})
+            .withColumn("smooth_speed_kmh", F.when(F.col("_n") >= at_least, F.col("_mean")).otherwise(raw))
+            .drop("_mean", "_n", "_opens", "_visit")
         )
 
-    return over_recent_rows(df, compute, points + last - 2, order=order, **sliced)
+    return over_recent_rows(df, compute, points + last - 1, order=order, **sliced)
 
 
 def trajectory_array(
@@ -200,16 +273,19 @@ def trajectory_array(
     y: str = "my",
     order: str = "frame",
     points: int = C.PATH_POINTS,
+    gap: str | None = None,
+    time: str = "ts",
     **sliced,
 ) -> DataFrame:
     """Add ``trajectory``: the recent points of the track, oldest first."""
 
     def compute(part: DataFrame, keys: list[str]) -> DataFrame:
-        w = _trailing(keys, order, points)
+        part, own = _by_visit(part, keys, order, gap, time)
         point = F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
-        return part.withColumn("trajectory", F.collect_list(point).over(w))
+        w = _trailing(own, order, points)
+        return part.withColumn("trajectory", F.collect_list(point).over(w)).drop("_opens", "_visit")
 
-    return over_recent_rows(df, compute, points - 1, order=order, **sliced)
+    return over_recent_rows(df, compute, points, order=order, **sliced)
 
 
 def smooth_boxes(
@@ -237,7 +313,8 @@ def with_first_class(df: DataFrame, order: str = "frame") -> DataFrame:
     """Replace each row's class by the first class of its track.
 
     A reduced table is joined back instead of an unbounded window, so a very long track can be
-    split by the adaptive skew join.
+    split by the adaptive skew join. Where the rows go through ``endpoint_speed`` anyway, its
+    ``first`` does the same in the window that is there.
     """
     return df.drop("class_id").join(first_class(df, order), TRACK)
 

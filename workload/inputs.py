@@ -24,8 +24,9 @@ TYPES = {"click": "car", "view": "motorcycle", "purchase": "bus", "error": "truc
 CLASSES = {"click": 2, "view": 3, "purchase": 5, "error": 7}
 
 CAMERAS = [
-    *C.CAMERAS,
-    {**C.CALIBRATION_CAMERAS[0], "source_id": "cam_03"},
+    C.CAMERAS[0],
+    {**C.CAMERAS[1], "fps": 30.0},
+    {**C.CALIBRATION_CAMERAS[0], "source_id": "cam_03", "fps": 10.0},
     {
         "source_id": "cam_04",
         "roi": [(400, 150), (1400, 150), (1400, 570), (400, 570)],
@@ -40,6 +41,7 @@ CAMERAS = [
         "target_h": 40.0,
     },
 ]
+RATES = sorted({camera.get("fps", C.DEFAULT_FPS) for camera in CAMERAS})
 ROSTER = [camera["source_id"] for camera in CAMERAS]
 EVENT_COLUMNS = EVENT_SCHEMA.fieldNames()
 

@@ -66,7 +66,7 @@ def filter_roi(spark: SparkSession, folder: str) -> DataFrame:
     SELECT event_id, source_id, tracker_id, points FROM points WHERE points >= 2""",
 )
 def filter_min_trajectory(spark: SparkSession, folder: str) -> DataFrame:
-    moving = windows.endpoint_speed(I.located(spark, folder))
+    moving = windows.endpoint_speed(I.located(spark, folder), "fps", rates=I.RATES)
     return filters.min_trajectory(moving).select("event_id", "source_id", "tracker_id", "points")
 
 
@@ -76,7 +76,7 @@ def filter_min_trajectory(spark: SparkSession, folder: str) -> DataFrame:
     FROM points WHERE speed_kmh > 0 AND speed_kmh < 300""",
 )
 def filter_plausible_speed(spark: SparkSession, folder: str) -> DataFrame:
-    moving = filters.plausible(windows.endpoint_speed(I.located(spark, folder)))
+    moving = filters.plausible(windows.endpoint_speed(I.located(spark, folder), "fps", rates=I.RATES))
     return moving.select("event_id", traffic.rounded(F.col("speed_kmh"), 4).alias("speed_kmh"))
 
 
@@ -161,7 +161,7 @@ def project_by_type(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "project_event_record",
     f"""WITH {S.DET}, {S.CAM},
-    loc AS (SELECT det.* EXCLUDE (speed_kmh), {S.METRES} FROM det JOIN cam USING (source_id)
+    loc AS (SELECT det.* EXCLUDE (speed_kmh), fps, {S.METRES} FROM det JOIN cam USING (source_id)
       WHERE class_id IN (2, 3, 5, 7) AND confidence > 0.5::DOUBLE AND {S.INSIDE}),
     {S.ENDPOINT},
     firsts AS (SELECT source_id, tracker_id, arg_min(class_id, frame) AS first_class

@@ -168,13 +168,14 @@ def _camera_values() -> str:
         numbers = [float(v) for p in camera["roi"] for v in p]
         numbers += _solve(camera["roi"], flat_target) + _solve(flat_target, camera["roi"])
         listed = ", ".join(f"{v!r}::DOUBLE" for v in numbers)
-        lines.append(f"('{camera['source_id']}', {listed})")
+        rate = float(camera.get("fps", 25.0))
+        lines.append(f"('{camera['source_id']}', {rate!r}::DOUBLE, {listed})")
     return ",\n  ".join(lines)
 
 
 _NAMES = [f"{a}{i}" for i in range(4) for a in "xy"]
 _NAMES += [f"h{i}" for i in range(8)] + [f"g{i}" for i in range(8)]
-CAM = f"cam AS (SELECT * FROM (VALUES {_camera_values()}) v(source_id, {', '.join(_NAMES)}))"
+CAM = f"cam AS (SELECT * FROM (VALUES {_camera_values()}) v(source_id, fps, {', '.join(_NAMES)}))"
 
 
 def _edge(a: int, b: int) -> str:
@@ -190,20 +191,26 @@ METRES = (
     "(h3 * px + h4 * py + h5) / (h6 * px + h7 * py + 1) AS my"
 )
 LOCATED = f"""{DET}, {CAM},
-loc AS (SELECT det.* EXCLUDE (speed_kmh), {METRES} FROM det JOIN cam USING (source_id) WHERE {INSIDE})"""
+loc AS (SELECT det.* EXCLUDE (speed_kmh), fps, {METRES} FROM det JOIN cam USING (source_id)
+  WHERE {INSIDE})"""
 
 TRACK = "PARTITION BY source_id, tracker_id ORDER BY frame"
 ENDPOINT = f"""points AS (SELECT *, count(*) OVER w AS points,
   sqrt((mx - first_value(mx) OVER w) ** 2 + (my - first_value(my) OVER w) ** 2)
-    / (count(*) OVER w / 25.0::DOUBLE) * 3.6::DOUBLE AS speed_kmh
-  FROM loc WINDOW w AS ({TRACK} ROWS BETWEEN 24 PRECEDING AND CURRENT ROW))"""
-PATH = f"""steps AS (SELECT *, sqrt((mx - lag(mx) OVER o) ** 2 + (my - lag(my) OVER o) ** 2) AS step
+    / (count(*) OVER w / fps) * 3.6::DOUBLE AS speed_kmh
+  FROM loc WINDOW w AS ({TRACK} ROWS BETWEEN CAST(fps - 1 AS INTEGER) PRECEDING AND CURRENT ROW))"""
+VISITED = f"""opened AS (SELECT *, CASE WHEN ts > lag(ts) OVER o + INTERVAL 12 HOUR THEN 1 ELSE 0 END AS opens
   FROM loc WINDOW o AS ({TRACK})),
-paths AS (SELECT *, CASE WHEN points >= 3 THEN path / (points / 25.0::DOUBLE) * 3.6::DOUBLE END
+visited AS (SELECT *, sum(opens) OVER ({TRACK} ROWS UNBOUNDED PRECEDING) AS visit FROM opened)"""
+VISIT = "PARTITION BY source_id, tracker_id, visit ORDER BY frame"
+PATH = f"""{VISITED},
+steps AS (SELECT *, sqrt((mx - lag(mx) OVER o) ** 2 + (my - lag(my) OVER o) ** 2) AS step
+  FROM visited WINDOW o AS ({VISIT})),
+paths AS (SELECT *, CASE WHEN points >= 3 THEN path / (points / fps) * 3.6::DOUBLE END
     AS path_speed_kmh
   FROM (SELECT *, sum(step) OVER (w ROWS BETWEEN 28 PRECEDING AND CURRENT ROW) AS path,
     count(*) OVER (w ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS points
-    FROM steps WINDOW w AS ({TRACK})))"""
+    FROM steps WINDOW w AS ({VISIT})))"""
 
 BOXES = f"""{DET},
 boxes AS (SELECT event_id AS box_id, CAST(event_id // 8 AS INTEGER) AS frame, source_id,

@@ -22,7 +22,7 @@ def _rounded(df: DataFrame, keys: list[str], digits: int, *columns: str) -> Data
     SELECT event_id, points, {S.rnd("speed_kmh", 4)} AS speed_kmh FROM points""",
 )
 def win_speed_endpoint(spark: SparkSession, folder: str) -> DataFrame:
-    speeds = windows.endpoint_speed(I.located(spark, folder))
+    speeds = windows.endpoint_speed(I.located(spark, folder), "fps", rates=I.RATES)
     return _rounded(speeds, ["event_id", "points"], 4, "speed_kmh")
 
 
@@ -32,7 +32,7 @@ def win_speed_endpoint(spark: SparkSession, folder: str) -> DataFrame:
     SELECT event_id, points, {S.rnd("path_speed_kmh", 4)} AS path_speed_kmh FROM paths""",
 )
 def win_speed_path(spark: SparkSession, folder: str) -> DataFrame:
-    speeds = windows.path_speed(I.located(spark, folder))
+    speeds = windows.path_speed(I.located(spark, folder), "fps", gap=I.SESSION_GAP)
     return _rounded(speeds, ["event_id", "points"], 4, "path_speed_kmh")
 
 
@@ -42,13 +42,35 @@ def win_speed_path(spark: SparkSession, folder: str) -> DataFrame:
     SELECT event_id, {S.rnd("path_speed_kmh", 4)} AS path_speed_kmh,
       {S.rnd('''CASE WHEN count(path_speed_kmh) OVER w >= 3 THEN avg(path_speed_kmh) OVER w
       ELSE path_speed_kmh END''', 4)} AS smooth_speed_kmh
-    FROM paths WINDOW w AS ({S.TRACK} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""",
+    FROM paths WINDOW w AS ({S.VISIT} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""",
 )
 def win_speed_smooth(spark: SparkSession, folder: str) -> DataFrame:
-    speeds = windows.smooth_speed(I.located(spark, folder))
+    speeds = windows.smooth_speed(I.located(spark, folder), "fps", gap=I.SESSION_GAP)
     return _rounded(speeds, ["event_id"], 4, "path_speed_kmh", "smooth_speed_kmh")
 
 
+_ODD = f"""{S.DET}, {S.CAM},
+  loc AS (SELECT * REPLACE (CASE WHEN event_id % 397 = 5 THEN 1e12::DOUBLE WHEN event_id % 401 = 7
+      THEN 'nan'::DOUBLE ELSE mx END AS mx)
+    FROM (SELECT det.* EXCLUDE (speed_kmh), fps, {S.METRES} FROM det JOIN cam USING (source_id) WHERE {S.INSIDE}))"""
+
+
+@query(
+    "win_speed_recovers",
+    f"""WITH {_ODD}, {S.PATH}
+    SELECT event_id, path_speed_kmh, CASE WHEN count(path_speed_kmh) OVER w >= 3
+      THEN avg(path_speed_kmh) OVER w ELSE path_speed_kmh END AS smooth_speed_kmh
+    FROM paths WINDOW w AS ({S.VISIT} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""",
+)
+def win_speed_recovers(spark: SparkSession, folder: str) -> DataFrame:
+    """Some points far off and some that are not a number: speeds recover once these have left."""
+    n = F.col("event_id")
+    far = F.when(n % 397 == 5, F.lit(1e12)).when(n % 401 == 7, F.lit(float("nan"))).otherwise(F.col("mx"))
+    odd = I.located(spark, folder).withColumn("mx", far)
+    speeds = windows.smooth_speed(odd, "fps", gap=I.SESSION_GAP)
+    return speeds.select("event_id", "path_speed_kmh", "smooth_speed_kmh")
+
+
 @query(
     "win_first_class",
     f"""WITH {S.DET} SELECT source_id, tracker_id, arg_min(class_id, frame) AS class_id
@@ -77,15 +99,15 @@ def win_last_class(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "win_trajectory_array",
-    f"""WITH {S.LOCATED},
+    f"""WITH {S.LOCATED}, {S.VISITED},
     lists AS (SELECT event_id, list(CAST({S.rnd("mx * 100", 0)} AS BIGINT)) OVER w AS xs,
-      list(CAST({S.rnd("my * 100", 0)} AS BIGINT)) OVER w AS ys FROM loc
-      WINDOW w AS ({S.TRACK} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))
+      list(CAST({S.rnd("my * 100", 0)} AS BIGINT)) OVER w AS ys FROM visited
+      WINDOW w AS ({S.VISIT} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW))
     SELECT event_id, CAST(len(xs) AS INTEGER) AS points, array_to_string(xs, ',') AS xs_cm,
       array_to_string(ys, ',') AS ys_cm FROM lists""",
 )
 def win_trajectory_array(spark: SparkSession, folder: str) -> DataFrame:
-    lists = windows.trajectory_array(I.located(spark, folder))
+    lists = windows.trajectory_array(I.located(spark, folder), gap=I.SESSION_GAP)
 
     def centimetres(axis: str):
         value = F.transform("trajectory", lambda p: rounded(p[axis] * 100, 0).cast("bigint"))
@@ -117,7 +139,7 @@ def win_detection_smoothing(spark: SparkSession, folder: str) -> DataFrame:
     f"""WITH {S.LOCATED}, {S.PATH},
     smooth AS (SELECT *, CASE WHEN count(path_speed_kmh) OVER w >= 3
         THEN avg(path_speed_kmh) OVER w ELSE path_speed_kmh END AS speed_kmh
-      FROM paths WINDOW w AS ({S.TRACK} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)),
+      FROM paths WINDOW w AS ({S.VISIT} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)),
     final AS (SELECT * FROM smooth QUALIFY row_number() OVER
       (PARTITION BY source_id, tracker_id ORDER BY frame DESC) = 1)
     SELECT source_id, tracker_id, {S.rnd("mx", 6)} AS mx, {S.rnd("my", 6)} AS my,
@@ -126,7 +148,7 @@ def win_detection_smoothing(spark: SparkSession, folder: str) -> DataFrame:
     FROM final WHERE speed_kmh > 0 AND speed_kmh < 300""",
 )
 def heat_layer(spark: SparkSession, folder: str) -> DataFrame:
-    smooth = windows.smooth_speed(I.located(spark, folder))
+    smooth = windows.smooth_speed(I.located(spark, folder), "fps", gap=I.SESSION_GAP)
     heat = windows.heat_points(smooth, speed="smooth_speed_kmh")
     heat = heat.withColumnRenamed("smooth_speed_kmh", "speed_kmh")
     placed = _rounded(heat, ["source_id", "tracker_id", "speed_kmh", "heat"], 6, "mx", "my")
