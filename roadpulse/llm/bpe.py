@@ -11,6 +11,7 @@ younger than Unicode 13 are put in order here but not by the library's normalise
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Callable
 from heapq import heapify, heappop, heappush
 from unicodedata import category, normalize
@@ -22,8 +23,9 @@ from pyspark.sql import DataFrame
 
 from roadpulse.llm.common import with_computed
 
-MOST_CHUNKS, MOST_WORDS = 200_000, 500_000  # remembered by a task; beyond it the memory starts anew
+MOST_WORDS = 250_000  # chunks and words after which a task forgets those not met since the last time
 _SHIFT = 20  # bits of a token id
+_MASK = (1 << _SHIFT) - 1
 _UNKNOWN = "\ufdd0"  # stands for any unassigned character while a text is split
 _ODD_SPACES = regex.compile("[\x1c-\x1f]")
 _SPACES = regex.compile(r"\p{White_Space}+")
@@ -72,63 +74,78 @@ class Vocabulary:
         ids = [self.inner[x] for x in data]
         ids[-1] = self.last[data[-1]]
         n, ranks = len(ids), self.ranks
-        # Entries are rank, position and merged id in one number; the smallest is the next merge.
+        # A queue entry is rank * n + position, so the smallest is the next merge, leftmost among equals.
         queue = []
-        for i in range(n - 1):
-            found = ranks.get(ids[i] << _SHIFT | ids[i + 1])
+        for i, (left, right) in enumerate(zip(ids, ids[1:])):
+            found = ranks.get(left << _SHIFT | right)
             if found is not None:
-                queue.append((found >> _SHIFT, i, found & (1 << _SHIFT) - 1, ids[i], ids[i + 1]))
+                queue.append((found >> _SHIFT) * n + i)
         if not queue:
             return ids
         heapify(queue)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while queue:
-            _, i, merged, left, right = heappop(queue)
+            rank, i = divmod(heappop(queue), n)
             j = after[i]
-            if ids[i] != left or j >= n or ids[j] != right:
+            if j >= n:
+                continue
+            found = ranks.get(ids[i] << _SHIFT | ids[j])
+            if found is None or found >> _SHIFT != rank:
                 continue  # stale: one of the two symbols has been merged meanwhile
+            merged = found & _MASK
             ids[i], ids[j] = merged, -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
                 found = ranks.get(merged << _SHIFT | ids[k])
                 if found is not None:
-                    heappush(queue, (found >> _SHIFT, i, found & (1 << _SHIFT) - 1, merged, ids[k]))
+                    heappush(queue, (found >> _SHIFT) * n + i)
             h = before[i]
             if h >= 0:
                 found = ranks.get(ids[h] << _SHIFT | merged)
                 if found is not None:
-                    heappush(queue, (found >> _SHIFT, h, found & (1 << _SHIFT) - 1, ids[h], merged))
+                    heappush(queue, (found >> _SHIFT) * n + h)
         return [x for x in ids if x >= 0]
 
 
 class _Chunks(dict):
-    """Token ids, as bytes of int32, of chunks between white space; computed when first asked for."""
+    """Token ids, as bytes of int32, of chunks between white space and of words; found when first asked for."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__()
-        self.vocabulary, self.words = vocabulary, {}
+        self.vocabulary, self.older = vocabulary, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        v, words, ids = self.vocabulary, self.words, []
+        found = self.older.get(chunk)
+        if found is not None:
+            pass
+        elif chunk.isascii() and chunk.isalpha() and chunk.islower():
+            found = array("i", self.vocabulary.word(chunk)).tobytes()
+        else:
+            found = b"".join([self._word(w) for w in self._words(chunk)])
+        self[chunk] = found
+        return found
+
+    def _word(self, word: str) -> bytes:
+        found = self.get(word) or self.older.get(word)
+        if found is None:
+            found = self[word] = array("i", self.vocabulary.word(word)).tobytes()
+        return found
+
+    def _words(self, chunk: str) -> list[str]:
         # Letters are lowered one by one, so a final sigma is not special.
         plain = normalize("NFC", chunk).replace("Σ", "σ").lower()
+        split = self.vocabulary.split
+        if plain.isascii():
+            return split.findall(plain)
         # Characters that the file's library does not know yet are neither letters nor digits.
-        shown = plain if plain.isascii() else "".join(_UNKNOWN if category(c) == "Cn" else c for c in plain)
-        for at in v.split.finditer(shown):
-            word = plain[at.start() : at.end()]
-            known = words.get(word)
-            if known is None:
-                known = words[word] = v.word(word)
-            ids += known
-        self[chunk] = found = np.array(ids, dtype=np.int32).tobytes()
-        return found
+        shown = "".join(_UNKNOWN if category(c) == "Cn" else c for c in plain)
+        return [plain[at.start() : at.end()] for at in split.finditer(shown)]
 
     def forget(self) -> None:
-        if len(self) > MOST_CHUNKS:
+        if len(self) > MOST_WORDS:
+            self.older = dict(self)
             self.clear()
-        if len(self.words) > MOST_WORDS:
-            self.words.clear()
 
     def encode(self, text: str) -> bytes:
         """Token ids of a whole text."""
@@ -183,10 +200,12 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     These files name no decoder; their library then puts a space between the strings. Null or empty
     ids give an empty text. The other columns pass through; one already named ``out`` is replaced.
     """
-    content = _content(df, path)
+    with open(path, encoding="utf-8") as file:
+        listed = Vocabulary(file.read()).strings
+    sent = df.sparkSession.sparkContext.broadcast(listed)
 
     def start() -> Callable:
-        strings = np.array(Vocabulary(content.value).strings, dtype=object)
+        strings = np.array(sent.value, dtype=object)
 
         def compute(lists: pa.Array) -> pa.Array:
             texts = [" ".join(strings[x.values.to_numpy()]) if x.is_valid and len(x) else "" for x in lists]

@@ -31,6 +31,13 @@ def words(text: Column) -> Column:
     return F.array_remove(parts, "")
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches cut into parts of few rows, so that what is made from long texts at once stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def with_computed(df: DataFrame, source: str, out: str, kind: str, start: Callable) -> DataFrame:
     """The rows with column ``out`` of SQL type ``kind``, computed from column ``source`` in the tasks.
 
@@ -41,7 +48,7 @@ def with_computed(df: DataFrame, source: str, out: str, kind: str, start: Callab
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = start()
-        for batch in batches:
+        for batch in in_parts(batches):
             made = compute(batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=[*kept, out])
 

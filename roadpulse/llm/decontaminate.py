@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import words
+from roadpulse.llm.common import in_parts, words
 
 WINDOW = 10
 BLOCK_ITEMS = 20_000  # benchmark items that one pass looks up; more items take more passes
@@ -177,7 +177,7 @@ def _with_hits(
                 ("spans", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
             ]
         )
-        for batch in batches:
+        for batch in in_parts(batches, 2_000):
             found = [
                 {"n_words": n, "n_hit": h, "items": i, "near_items": c, "spans": [{"start": a, "stop": z} for a, z in s]}
                 for n, h, i, c, s in _scan(queries, batch.column(batch.num_columns - 1), within)

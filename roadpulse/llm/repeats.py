@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import with_computed
+from roadpulse.llm.common import in_parts, with_computed
 from roadpulse.llm.suffixes import repeated_windows
 from roadpulse.session import written_out
 
@@ -158,7 +158,7 @@ def _find_contexts(groups: int, per: int, length: int, gram: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder, held, size = Anchors(length, gram), [], 0
-        for batch in batches:
+        for batch in in_parts(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = np.frombuffer(text.as_buffer(), dtype=np.uint8) if text.is_valid and text.as_py() else None
                 if doc is None or data is None:
@@ -251,7 +251,7 @@ def _texts_with_marks(kinds: tuple[str, ...], each: Callable, finish: Callable)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = start()
         bucket, blobs, marks = None, [], None
-        for batch in batches:
+        for batch in in_parts(batches):
             texts = batch.column(4)
             listed = zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3)))
             for row, (b, kind, blob, doc) in enumerate(listed):

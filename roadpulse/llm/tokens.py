@@ -17,6 +17,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadpulse.llm.common import in_parts
+
 LEAF = 64  # pre-tokens of a leaf when it is built
 MOST_PIECES = 500_000  # remembered pre-tokens of a task; beyond it the memory starts anew
 #: A pre-token is decided by characters up to this many places after its end.
@@ -162,7 +164,7 @@ def _mapped(df: DataFrame, drop: list[str], inputs: list[str], made: dict[str, s
 
     def batches(given):
         compute = run()
-        for batch in given:
+        for batch in in_parts(given):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:width], *compute(*batch.columns[width:])], names=[*kept, *made]
             )

@@ -52,7 +52,6 @@ def test_empty_table_and_null_ids(spark):
 
 
 def test_memory_starts_anew(monkeypatch, library, prose):
-    monkeypatch.setattr(bpe, "MOST_CHUNKS", 10)
     monkeypatch.setattr(bpe, "MOST_WORDS", 10)
     chunks = bpe._Chunks(bpe.Vocabulary(open(PATH, encoding="utf-8").read()))
     for text in prose[:20]:
