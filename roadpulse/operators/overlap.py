@@ -2,164 +2,59 @@
 
 from __future__ import annotations
 
-import math
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse import constants as C
 from roadpulse.functions.geometry import box_iou
-from roadpulse.session import written_out
 
 BOX = ["x1", "y1", "x2", "y2"]
 
-# Frames with more boxes than this are not gathered into one row but solved in rounds.
-MAX_BOXES_PER_FRAME = 2_000
-
 
 def suppress_overlaps(
     df: DataFrame,
-    keys: list[str],
     threshold: float = C.NMS_IOU,
     class_col: str | None = "class_id",
     box_id: str = "box_id",
-    max_boxes: int = MAX_BOXES_PER_FRAME,
+    source: str = "source_id",
+    frame: str = "frame",
 ) -> DataFrame:
-    """Greedy suppression per frame, and per class unless ``class_col`` is None.
-
-    Boxes are taken by falling confidence (ties: smaller id); one is kept if no kept box of its
-    group overlaps it with IoU above the threshold.
-    """
-    group = [*keys, class_col] if class_col else list(keys)
-    oversize = df.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > max_boxes)
-    # One pass over the keys decides, now, whether the rounds are needed at all.
-    if oversize.isEmpty():
-        return _fold_frames(df, group, threshold, box_id)
-    # As text the key is never null, so boxes without a class or camera match their own group.
-    key = F.to_json(F.struct(*group)).alias("_group")
-    marked, large_keys = df.select("*", key), oversize.select(key)
-    small = marked.join(large_keys, "_group", "left_anti").drop("_group")
-    large = marked.join(large_keys, "_group", "left_semi")
-    solved = _solve_in_rounds(large, ["_group"], threshold, box_id).select(*df.columns)
-    return _fold_frames(small, group, threshold, box_id).select(*df.columns).unionByName(solved)
-
-
-def _confidence() -> Column:
-    return F.coalesce("confidence", F.lit(-1.0))
+    """Greedy suppression per camera and frame, and per class unless ``class_col`` is None.
 
+    Boxes are taken by falling confidence (ties: smaller id; a confidence that is null or not a number
+    comes last); one is kept if no kept box of its group overlaps it with IoU above the threshold, which
+    lies from 0 to 1. A box with a corner that is null or not finite, or without area, overlaps nothing
+    and is kept. Null cameras, frames and classes are groups like any other.
 
-def _fold_frames(df: DataFrame, group: list[str], threshold: float, box_id: str) -> DataFrame:
-    """Greedy pass as one fold over the ordered boxes of a frame."""
-    ranked = F.struct((-_confidence()).alias("_rank"), F.col(box_id).alias("_id"), *df.columns)
-    boxes = df.groupBy(*group).agg(F.sort_array(F.collect_list(ranked)).alias("boxes"))
+    Boxes of a group are parted where a sweep along x, and then along y, meets a gap: boxes on both sides
+    of a gap cannot overlap. What is gathered in one row is thus a cluster of boxes that cover each other,
+    however many boxes a frame has.
+    """
+    if not 0 <= threshold <= 1:
+        raise ValueError("the threshold must lie from 0 to 1")
+    group = [source, frame, *([class_col] if class_col else [])]
+    finite = [F.coalesce(F.abs(F.col(c)) < F.lit(float("inf")), F.lit(False)) for c in BOX]
+    solid = finite[0] & finite[1] & finite[2] & finite[3] & (F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1"))
+    # NaN is greater than infinity here, so it is not finite either.
+    alone = df.withColumn("_alone", F.when(~solid, F.col(box_id)))
+    along_x = _parted(alone, [*group, "_alone"], "x1", "x2", "_cx")
+    along_y = _parted(along_x, [*group, "_alone", "_cx"], "y1", "y2", "_cy")
+    falling = F.when(F.isnull("confidence") | F.isnan("confidence"), F.lit(float("inf"))).otherwise(F.lit(0.0) - F.col("confidence"))
+    ranked = F.struct(falling.alias("_rank"), F.col(box_id).alias("_id"), *df.columns, solid.alias("_solid"))
+    clusters = along_y.groupBy(*group, "_alone", "_cx", "_cy").agg(F.sort_array(F.collect_list(ranked)).alias("boxes"))
 
     def take(kept: Column, box: Column) -> Column:
-        clash = F.exists(kept, lambda k: box_iou(k, box) > threshold)
+        clash = box["_solid"] & F.exists(kept, lambda k: k["_solid"] & (box_iou(k, box) > threshold))
         return F.when(clash, kept).otherwise(F.concat(kept, F.array(box)))
 
-    nothing = F.slice("boxes", 1, 0)
-    kept = boxes.select(F.explode(F.aggregate("boxes", nothing, take)).alias("k"))
+    kept = clusters.select(F.explode(F.aggregate("boxes", F.slice("boxes", 1, 0), take)).alias("k"))
     return kept.select(*[F.col(f"k.{c}") for c in df.columns])
 
 
-def _cell(size: Column, center: Column, growth: float, threshold: float) -> tuple[Column, Column]:
-    """Size class along one axis, and the grid cell of a centre in the grid of that class."""
-    level = F.floor(F.log(size) / math.log(growth))
-    return level, F.floor(center / _pitch(level, growth, threshold))
-
-
-def _pitch(level: Column, growth: float, threshold: float) -> Column:
-    return F.pow(F.lit(growth), level + 1) * ((1 - threshold) / threshold)
-
-
-def _reach(size: Column, center: Column, growth: float, threshold: float, step: int):
-    """Cells of the neighbouring size class that may hold the centre of a clashing box.
-
-    IoU above t needs the sizes to agree within a factor 1/t along each axis, and the centres
-    to lie within size * (1 - t) / (2 t).
-    """
-    level = F.floor(F.log(size) / math.log(growth)) + step
-    # A hair wider than the bound, so that rounding cannot lose a clash at the very edge.
-    far = size * ((1 - threshold) / (2 * threshold) * (1 + 1e-9))
-    pitch = _pitch(level, growth, threshold)
-    cells = F.sequence(F.floor((center - far) / pitch), F.floor((center + far) / pitch))
-    return F.transform(cells, lambda c: F.struct(level.alias("level"), c.alias("cell")))
-
-
-def _near(df: DataFrame, columns: list[str], threshold: float) -> DataFrame:
-    """Each box once per cell that may hold a clashing box."""
-    growth = 1.0 / threshold
-    width, height, cx, cy = _extent()
-    along_x, along_y = (
-        F.flatten(F.array(*[_reach(size, mid, growth, threshold, s) for s in (-1, 0, 1)]))
-        for size, mid in ((width, cx), (height, cy))
-    )
-    return (
-        df.select(*columns, F.explode(along_x).alias("nx"), along_y.alias("ys"))
-        .select(*columns, "nx", F.explode("ys").alias("ny"))
-        .select(
-            *columns,
-            F.col("nx.level").alias("_lx"),
-            F.col("nx.cell").alias("_cx"),
-            F.col("ny.level").alias("_ly"),
-            F.col("ny.cell").alias("_cy"),
-        )
-    )
-
-
-def _extent() -> tuple[Column, Column, Column, Column]:
-    x1, y1, x2, y2 = (F.col(c) for c in BOX)
-    return x2 - x1, y2 - y1, (x1 + x2) / 2, (y1 + y2) / 2
-
-
-def _solve_in_rounds(df: DataFrame, group: list[str], threshold: float, box_id: str) -> DataFrame:
-    """Exact greedy result for frames of any size, without forming all pairs of boxes.
-
-    Boxes lie in grid cells scaled to their size, so that clashing boxes are in neighbouring
-    cells. Per round the best box of each cell that also beats the best of every neighbouring
-    cell is kept - nothing better can clash with it - and all boxes clashing with it go. What is
-    left is written out, which cuts the lineage of the round.
-    """
-    growth = 1.0 / threshold
-    width, height, cx, cy = _extent()
-    at = [*group, "_lx", "_ly", "_cx", "_cy"]
-    has_area = F.coalesce((width > 0) & (height > 0), F.lit(False))
-    (lx, gx), (ly, gy) = _cell(width, cx, growth, threshold), _cell(height, cy, growth, threshold)
-    # A box without area overlaps nothing.
-    kept = [df.where(~has_area)]
-    undecided = written_out(
-        df.where(has_area).withColumns({"_lx": lx, "_cx": gx, "_ly": ly, "_cy": gy}), "boxes"
-    )
-    rank = F.struct(_confidence().alias("c"), (-F.col(box_id)).alias("i"))
-    own = {c: F.col(c) for c in BOX}
-    while not undecided.isEmpty():
-        best = undecided.groupBy(*at).agg(F.max_by(F.struct(*df.columns), rank).alias("b"))
-        best = best.select(*at[len(group):], "b.*")
-        # A box's own cell is among those near it, so the best rank found is at least its own.
-        winners = written_out(
-            _near(best, df.columns, threshold)
-            .join(best.select(*at, rank.alias("_rival")), at)
-            .groupBy(*group, box_id)
-            .agg(F.max("_rival").alias("_top"), F.any_value(F.struct(*df.columns)).alias("b"))
-            .select("_top", "b.*")
-            .where(F.col("_top") == rank)
-            .select(*df.columns),
-            "winners",
-        )
-        if winners.isEmpty():
-            raise ValueError("boxes must have finite corners")
-        clash = (
-            _near(winners, [*group, *BOX], threshold)
-            .groupBy(*at)
-            .agg(F.collect_list(F.struct(*BOX)).alias("_kept"))
-        )
-        overlaps = F.exists("_kept", lambda k: box_iou(k, own) > threshold)
-        undecided = written_out(
-            undecided.join(clash, at, "left")
-            .where(~F.coalesce(overlaps, F.lit(False)))
-            .drop("_kept"),
-            "boxes",
-        )
-        kept.append(winners)
-    return reduce(DataFrame.unionByName, kept)
+def _parted(df: DataFrame, keys: list[str], low: str, high: str, name: str) -> DataFrame:
+    """Number the clusters of intervals (low, high) per key; between two clusters there is a gap."""
+    ordered = Window.partitionBy(*keys).orderBy(low)
+    reached = F.max(high).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    opened = df.withColumn("_opens", F.coalesce(F.col(low) >= reached, F.lit(True)).cast("int"))
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    return opened.withColumn(name, F.sum("_opens").over(so_far)).drop("_opens")

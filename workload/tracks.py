@@ -164,21 +164,23 @@ _BOX = "{'box_id': r.box_id, 'x1': r.x1, 'y1': r.y1, 'x2': r.x2, 'y2': r.y2}"
 @query(
     "nms_frame",
     f"""WITH RECURSIVE {S.BOXES},
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY frame, class_id
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY source_id, frame, class_id
       ORDER BY confidence DESC, box_id) AS place FROM boxes),
     walk AS (
-      SELECT r.frame, r.class_id, r.place, [{_BOX}] AS kept FROM ranked r WHERE place = 1
+      SELECT r.source_id, r.frame, r.class_id, r.place, [{_BOX}] AS kept FROM ranked r WHERE place = 1
       UNION ALL
-      SELECT r.frame, r.class_id, r.place,
+      SELECT r.source_id, r.frame, r.class_id, r.place,
         CASE WHEN len(list_filter(w.kept, lambda k: {_IOU} / {_UNION} > 0.7::DOUBLE)) > 0
           THEN w.kept ELSE list_append(w.kept, {_BOX}) END
       FROM walk w JOIN ranked r
-        ON r.frame = w.frame AND r.class_id = w.class_id AND r.place = w.place + 1),
+        ON r.source_id IS NOT DISTINCT FROM w.source_id AND r.frame = w.frame
+        AND r.class_id = w.class_id AND r.place = w.place + 1),
     final AS (SELECT * FROM walk
-      QUALIFY row_number() OVER (PARTITION BY frame, class_id ORDER BY place DESC) = 1),
+      QUALIFY row_number() OVER (PARTITION BY source_id, frame, class_id ORDER BY place DESC) = 1),
     ids AS (SELECT unnest(kept).box_id AS box_id FROM final)
-    SELECT box_id, frame, class_id, confidence, x1, y1, x2, y2 FROM boxes JOIN ids USING (box_id)""",
+    SELECT box_id, source_id, frame, class_id, confidence, x1, y1, x2, y2
+    FROM boxes JOIN ids USING (box_id)""",
 )
 def nms_frame(spark: SparkSession, folder: str) -> DataFrame:
-    kept = overlap.suppress_overlaps(I.boxes(spark, folder), ["frame"])
-    return kept.select("box_id", "frame", "class_id", "confidence", "x1", "y1", "x2", "y2")
+    kept = overlap.suppress_overlaps(I.boxes(spark, folder))
+    return kept.select("box_id", "source_id", "frame", "class_id", "confidence", "x1", "y1", "x2", "y2")
