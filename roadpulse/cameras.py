@@ -93,7 +93,7 @@ def config_violations(cameras: DataFrame) -> DataFrame:
     """One row (source_id, problem) per broken rule of a camera setting.
 
     Rules: exactly four corners, each inside the frame; positive target size; the video source
-    is a stream address or a file path.
+    is a stream address or a file path. A setting that is null breaks its rule.
     """
     outside = F.exists(
         "roi",
@@ -106,11 +106,13 @@ def config_violations(cameras: DataFrame) -> DataFrame:
     stream = address.rlike("(?i)^(https?|rtsp|rtmp)://")
     problems = {
         "roi_points": F.size("roi") != 4,
-        "roi_outside_frame": (F.size("roi") == 4) & outside,
+        "roi_outside_frame": F.coalesce(F.size("roi") == 4, F.lit(False)) & outside,
         "target_size": (F.col("target_w") <= 0) | (F.col("target_h") <= 0),
         "video_source": ~stream & ((address == "") | address.contains("://")),
     }
     found = F.array_compact(
-        F.array(*[F.when(broken, F.lit(name)) for name, broken in problems.items()])
+        F.array(
+            *[F.when(F.coalesce(broken, F.lit(True)), F.lit(name)) for name, broken in problems.items()]
+        )
     )
     return cameras.select("source_id", F.explode(found).alias("problem"))

@@ -16,6 +16,48 @@ def parse_time(text: Column, fmt: str = C.TIME_FORMAT) -> Column:
     return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
 
 
+# A time of day with an optional fraction and an optional offset from UTC.
+_TIMES = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:?\d{2})?$"
+_OFFSET = r"(Z|[+-]\d{2}:?\d{2})$"
+
+
+def parse_local_time(text: Column, zone: str = C.ZONE) -> Column:
+    """Wall-clock time in ``zone`` of a text with a space or a T, a fraction and an offset, as they come.
+
+    A text without an offset is local already; with one, or Z, it is converted. Null when the text does
+    not parse. The session's zone plays no part.
+    """
+    offset = F.regexp_extract(text, r"[ T].*?" + _OFFSET, 1)
+    plain = F.regexp_replace(text, _OFFSET, "").try_cast("timestamp_ntz")
+    hours = F.substring(offset, 2, 2).try_cast("int")
+    minutes_ = hours * 60 + F.regexp_extract(offset, r"(\d{2})$", 1).try_cast("int")
+    east = F.when(F.startswith(offset, F.lit("-")), -minutes_).otherwise(minutes_)
+    utc = plain - F.make_dt_interval(mins=F.when(offset == "Z", F.lit(0)).otherwise(east))
+    local = F.when(offset == "", plain).otherwise(F.convert_timezone(F.lit("UTC"), F.lit(zone), utc))
+    return F.when(F.regexp_like(text, F.lit(_TIMES)), local)
+
+
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def as_instant(wall_clock: Column) -> Column:
+    """A zone-less time as the instant that reads the same in UTC. Streams need one for watermarks.
+
+    Windows over it start at whole hours of the wall clock in every session zone, and no hour is
+    missing or doubled where clocks change.
+    """
+    # Parts of the time itself: a difference of two times would go through the session's zone.
+    seconds = F.unix_date(F.to_date(wall_clock)).cast("bigint") * 86_400
+    seconds += F.hour(wall_clock) * 3_600 + F.minute(wall_clock) * 60
+    micros = F.extract(F.lit("SECOND"), wall_clock) * 1_000_000
+    return F.timestamp_micros(seconds * 1_000_000 + micros.cast("bigint"))
+
+
+def as_wall_clock(instant: Column) -> Column:
+    """The inverse of ``as_instant``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr(_EPOCH))
+
+
 def local_time(instant: Column, source_zone: str | None = None, zone: str = C.ZONE) -> Column:
     """Wall-clock time in ``zone``: naive values are taken as local, others are converted."""
     if source_zone is None:

@@ -23,9 +23,11 @@ def live_windows(
     """Per camera and tumbling window: vehicles, speeds, confidence and traffic status.
 
     Vehicles are counted approximately, with a fixed-size sketch per group; ``exact`` counts
-    distinct trackers and works on batch data only.
+    distinct trackers, on a stream with all trackers of a window in its state.
     """
-    if exact:
+    if exact and df.isStreaming:
+        vehicles = F.size(F.collect_set("tracker_id")).cast("bigint")
+    elif exact:
         vehicles = F.count_distinct("tracker_id")
     else:
         vehicles = F.approx_count_distinct("tracker_id", rsd)

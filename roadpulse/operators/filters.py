@@ -37,8 +37,21 @@ def valid_batch(df: DataFrame, required: list[str] | None = None) -> DataFrame:
 
 
 def parsable_time(df: DataFrame, text: str = "timestamp", into: str = "event_time") -> DataFrame:
-    """Parse the event time and drop rows whose text is not a time."""
-    return df.withColumn(into, clock.parse_time(F.col(text))).where(F.col(into).isNotNull())
+    """Parse the event time and drop rows whose text is not a time.
+
+    Texts with an offset from UTC become local times, others are local already.
+    """
+    return df.withColumn(into, clock.parse_local_time(F.col(text))).where(F.col(into).isNotNull())
+
+
+def unparsable_times(df: DataFrame, text: str = "timestamp") -> DataFrame:
+    """How many rows have a time (``parsed``), a text that is none (``dropped``), and no text (``absent``)."""
+    known = clock.parse_local_time(F.col(text)).isNotNull()
+    return df.agg(
+        F.count_if(known).alias("parsed"),
+        F.count_if(~known & F.col(text).isNotNull()).alias("dropped"),
+        F.count_if(F.col(text).isNull()).alias("absent"),
+    )
 
 
 def class_confidence(

@@ -116,7 +116,7 @@ def _by_visit(part: DataFrame, keys: list[str], order: str, gap: str | None, tim
     return marked.withColumn("_visit", F.coalesce(F.max("_opens").over(so_far), F.lit(0))), [*keys, "_visit"]
 
 
-def _per_second(fps: float | str) -> Column:
+def per_second(fps: float | str) -> Column:
     """Frame rate of a row; ``fps`` is a number or the column that holds it (25 where it is null)."""
     if isinstance(fps, str):
         return F.coalesce(F.col(fps).cast("double"), F.lit(C.DEFAULT_FPS))
@@ -157,7 +157,7 @@ def endpoint_speed(
         part, own = _by_visit(part, keys, order, gap, time)
         ordered = Window.partitionBy(*own).orderBy(order)
         so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
-        rate = _per_second(fps)
+        rate = per_second(fps)
         rows = F.greatest(F.floor(rate), F.lit(1)).cast("bigint")
         number = F.row_number().over(ordered).cast("bigint")
 
@@ -204,7 +204,7 @@ def _path_columns(
     step = F.hypot(F.col(x) - F.lag(x).over(ordered), F.col(y) - F.lag(y).over(ordered))
     n = F.least(F.row_number().over(ordered).cast("bigint"), F.lit(points))
     length = F.sum("_step").over(_trailing(keys, order, points - 1))
-    speed = length / (F.col("points") / _per_second(fps)) * F.lit(3.6)
+    speed = length / (F.col("points") / per_second(fps)) * F.lit(3.6)
     return (
         part.withColumns({"points": n, "_step": F.coalesce(step, F.lit(0.0))})
         .withColumn("path_speed_kmh", F.when(F.col("points") >= 3, speed))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from roadpulse import constants as C
 from roadpulse.operators import aggregates, filters
 from roadpulse.schema import SUMMARY_KEY, TYPE_KEY
-from roadpulse.sources.tables import read_table, upsert_table, write_staging
+from roadpulse.session import written_out
+from roadpulse.sources.tables import read_table, upsert_table
 
 
 def clean_events(events: DataFrame) -> DataFrame:
@@ -33,26 +34,27 @@ def by_type(events: DataFrame, window_minutes: int = C.HOURLY_WINDOW_MINUTES) ->
 
 @dataclass
 class HourlyTables:
-    """Where the two summaries are published, and the folder for staging."""
+    """Where the two summaries are published."""
 
     totals: str
     by_type: str
-    staging: str
 
-    def publish(self, vehicles: DataFrame, run_id: str, stamp: Column) -> None:
-        """Merge the summaries of complete vehicle rows. Repeating a run changes nothing."""
+    def publish(self, vehicles: DataFrame, writer: str, batch: int, stamp: Column) -> None:
+        """Merge the summaries of complete vehicle rows. Repeating a batch changes nothing."""
         totals_, types = aggregates.total_summary(vehicles), aggregates.type_summary(vehicles)
         upsert_table(
             totals_.withColumn("created_at", stamp),
             self.totals,
-            f"{self.staging}/{run_id}/totals",
+            writer,
+            batch,
             SUMMARY_KEY,
             day_of="window_start",
         )
         upsert_table(
             types.withColumn("created_at", stamp),
             self.by_type,
-            f"{self.staging}/{run_id}/by_type",
+            writer,
+            batch,
             TYPE_KEY,
             day_of="window_start",
         )
@@ -63,13 +65,10 @@ def run(
 ) -> tuple[DataFrame, DataFrame]:
     """Publish whole hours of events and return the quality report of the last hour.
 
-    The vehicle rows feed two summaries; they are written once to the staging folder instead of
+    The vehicle rows feed two summaries; they are written once to the shared folder instead of
     being computed twice.
     """
-    spark = events.sparkSession
     stamp = F.current_timestamp().cast("timestamp_ntz") if stamp is None else stamp
-    vehicles = write_staging(
-        aggregates.vehicle_level(clean_events(events)), f"{tables.staging}/{run_id}/vehicles"
-    )
-    tables.publish(vehicles, run_id, stamp)
-    return aggregates.quality_report(read_table(spark, tables.totals, "window_start"), as_of)
+    vehicles = written_out(aggregates.vehicle_level(clean_events(events)), "vehicles")
+    tables.publish(vehicles, f"run {run_id}", 0, stamp)
+    return aggregates.quality_report(read_table(events.sparkSession, tables.totals), as_of)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,22 +29,20 @@ def apply_runtime_options(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Where that is unset it is a folder in the warehouse, which every executor can reach too.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh, unused path below the shared folder; it is removed when the driver ends."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    system, target = _file_system(spark, path)
+    system.deleteOnExit(target)
+    return path
 
 
 def written_out(df: DataFrame, label: str) -> DataFrame:
@@ -70,7 +67,42 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
-def mark(spark: SparkSession, path: str) -> None:
-    """Create an empty file."""
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file; None where there is none."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return None
+    stream = system.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that readers see the old content or the new one, whole."""
+    jvm = spark._jvm
+    system, target = _file_system(spark, path)
+    _, fresh = _file_system(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = system.create(fresh)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), conf).rename(fresh, target, how)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder."""
+    system, target = _file_system(spark, path)
+    return [entry.getPath().getName() for entry in system.listStatus(target)]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there."""
     system, target = _file_system(spark, path)
-    system.create(target).close()
+    system.delete(target, True)

@@ -15,12 +15,17 @@ MESSAGE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 def topic_options(
     servers: str,
     topic: str,
+    per_trigger: int | None,
     starting: str = "latest",
-    per_trigger: int | None = C.LIVE_RECORDS_PER_TRIGGER,
-    fail_on_data_loss: bool = False,
+    fail_on_data_loss: bool = True,
     extra: dict[str, str] | None = None,
 ) -> dict[str, str]:
-    """Options of the Kafka source."""
+    """Options of the Kafka source.
+
+    ``per_trigger`` bounds the records of a trigger and must be chosen, None for no bound: a topic that
+    grows faster than bound and trigger allow falls behind. ``LIVE_RECORDS_PER_TRIGGER`` is the value of
+    the small deployment that the live job was first written for. Lost messages are an error by default.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -38,7 +43,7 @@ def read_topic_stream(spark: SparkSession, **options) -> DataFrame:
 
 
 def read_topic_backlog(
-    spark: SparkSession, servers: str, topic: str, cap: int = C.HOURLY_RECORDS_PER_TRIGGER
+    spark: SparkSession, servers: str, topic: str, cap: int | None, fail_on_data_loss: bool = True
 ) -> DataFrame:
     """Catch-up read for ``availableNow`` runs: from the earliest message on, in capped batches.
 
@@ -46,7 +51,12 @@ def read_topic_backlog(
     no run leaves messages behind.
     """
     return read_topic_stream(
-        spark, servers=servers, topic=topic, starting="earliest", per_trigger=cap
+        spark,
+        servers=servers,
+        topic=topic,
+        per_trigger=cap,
+        starting="earliest",
+        fail_on_data_loss=fail_on_data_loss,
     )
 
 
@@ -109,11 +119,16 @@ def decode_checked(
     return good, checked.where(F.size("missing") > 0)
 
 
-def topic_records(df: DataFrame, key: str = "source_id") -> DataFrame:
-    """Rows as messages: JSON value, keyed so that a camera stays in one topic partition."""
-    return df.select(
-        F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value")
-    )
+def topic_records(df: DataFrame, key: str = "source_id", spread: str | None = None) -> DataFrame:
+    """Rows as messages: JSON value, keyed so that a camera stays in one topic partition.
+
+    With ``spread``, such as the tracker's column, the key names camera and vehicle: a camera with a large
+    part of the traffic is then dealt over the partitions, and each vehicle stays in order.
+    """
+    named = F.col(key).cast("string")
+    if spread is not None:
+        named = F.concat_ws(":", named, F.col(spread).cast("string"))
+    return df.select(named.alias("key"), F.to_json(F.struct("*")).alias("value"))
 
 
 def producer_options(
@@ -128,6 +143,17 @@ def producer_options(
     }
 
 
-def write_topic(df: DataFrame, **options) -> None:
+def write_topic(df: DataFrame, spread: str | None = None, **options) -> None:
     """Publish a batch of rows to a topic."""
-    topic_records(df).write.format("kafka").options(**producer_options(**options)).save()
+    topic_records(df, spread=spread).write.format("kafka").options(**producer_options(**options)).save()
+
+
+def write_topic_stream(df: DataFrame, checkpoint: str, spread: str | None = None, trigger: dict | None = None, **options):
+    """A writer that publishes a stream of rows to a topic; ``start()`` it."""
+    return (
+        topic_records(df, spread=spread)
+        .writeStream.format("kafka")
+        .options(**producer_options(**options))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "0 seconds"}))
+    )

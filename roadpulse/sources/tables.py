@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +13,7 @@ from pyspark.sql import types as T
 from roadpulse.operators.filters import between
 from roadpulse.operators.joins import upsert_rows
 from roadpulse.schema import EVENT_SCHEMA
-from roadpulse.session import mark, path_exists
+from roadpulse.session import folder_names, read_text, remove_folder, replace_text
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -68,74 +70,107 @@ def write_staging(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# A published table is a folder of versions and this small file, which names those that count.
+POINTER = "CURRENT"
+WRITERS = 1_000  # whose last batch the file remembers
+
+
+def _pointer(spark: SparkSession, table: str) -> dict:
+    text = read_text(spark, f"{table}/{POINTER}")
+    return json.loads(text) if text else {"parts": {}, "done": {}, "retired": [], "schema": None}
+
+
 def upsert_table(
     incoming: DataFrame,
     table: str,
-    staging: str,
+    writer: str,
+    batch: int,
     keys: list[str],
     keep: tuple[str, ...] = ("created_at",),
     newest: str | None = None,
     day_of: str | None = None,
 ) -> bool:
-    """Merge a batch into a Parquet table; False when the batch is empty.
-
-    ``staging`` must be a path of this batch alone, the same when the batch is retried. The
-    batch is written there, merged with the stored rows, and the merged rows are swapped in.
-    A retry after a lost driver finds the merged rows complete and only repeats the swap, so no
-    stored row is lost and no batch is merged twice. A batch that has been swapped in stays so:
-    repeating it later does nothing, and cannot undo newer batches. Staging paths may be removed
-    once their batch can no longer be retried.
-
-    With ``day_of`` the table is partitioned by the date of that column and only days between
-    the first and the last of the batch are read and rewritten, so the cost does not grow with
-    the history.
+    """Merge a batch into a published table; False when the batch is empty.
+
+    ``writer`` and the rising number ``batch`` tell a repeated batch, which changes nothing: for a stream
+    take ``stream_id``, which a new checkpoint gives anew, for a job its run. One writer at a time.
+
+    The merged rows are written once, to a new version; then the pointer file is replaced in one step.
+    Readers meet the table before or after, never between, and a lost driver leaves the old table whole.
+    Versions are kept for one more batch, for readers under way, and then removed, as are leftovers.
+
+    With ``day_of`` the table is kept by the date of that column, and only days that occur in the batch are
+    read and rewritten, so the cost does not grow with the history.
     """
     spark = incoming.sparkSession
-    merged_path, done = f"{staging}/merged", f"{staging}/_SWAPPED"
-    if path_exists(spark, done):
+    known = _pointer(spark, table)
+    if known["done"].get(writer, -1) >= batch:
         return True
-    if not path_exists(spark, f"{merged_path}/_SUCCESS"):
-        batch = write_staging(incoming, f"{staging}/incoming")
-        if batch.isEmpty():
-            return False
+    rows = (incoming.withColumn("day", F.to_date(day_of)) if day_of else incoming).persist()
+    try:
         if day_of:
-            batch = batch.withColumn("day", F.to_date(day_of))
-        merged = batch
-        if path_exists(spark, table):
-            stored = spark.read.schema(batch.schema).parquet(table)
-            if day_of:
-                first, last = batch.agg(F.min("day"), F.max("day")).first()
-                stored = stored.where(F.col("day").between(F.lit(first), F.lit(last)))
-                stored = stored.join(batch.select("day").distinct(), "day", "left_semi")
-            merged = upsert_rows(stored.select(*batch.columns), batch, keys, keep, newest)
-        merged.write.mode("overwrite").parquet(merged_path)
-    _swap_in(spark.read.parquet(merged_path), table, keys, day_of)
-    mark(spark, done)
+            touched = sorted(str(r["day"]) for r in rows.select("day").distinct().collect())
+        else:
+            touched = [] if rows.isEmpty() else ["*"]
+        if not touched:
+            return False
+        merged = rows
+        stored = [known["parts"][day] for day in touched if day in known["parts"]]
+        if stored:
+            old = _read_parts(spark, table, known, stored)
+            old = old.withColumn("day", F.to_date(day_of)) if day_of else old
+            merged = upsert_rows(old.select(*rows.columns), rows, keys, keep, newest)
+        version = f"v-{uuid.uuid4().hex}"
+        _write_version(merged, f"{table}/{version}", keys, day_of)
+    finally:
+        rows.unpersist()
+    parts = {day: f"{version}/day={day}" if day_of else version for day in touched}
+    done = {w: n for w, n in known["done"].items() if w != writer} | {writer: batch}
+    fresh = {
+        "parts": known["parts"] | parts,
+        "done": dict(list(done.items())[-WRITERS:]),
+        "retired": stored,
+        "schema": incoming.schema.json(),
+    }
+    replace_text(spark, f"{table}/{POINTER}", json.dumps(fresh))
+    _remove_unused(spark, table, fresh)
     return True
 
 
-def _swap_in(ready: DataFrame, table: str, keys: list[str], day_of: str | None) -> None:
-    """Replace the table, or its days that occur in ``ready``.
-
-    Rebalancing gathers the rows of a day in few files, yet lets AQE split a day that is large.
-    """
+def _write_version(merged: DataFrame, path: str, keys: list[str], day_of: str | None) -> None:
+    """Rebalancing gathers the rows of a day in few files, yet lets AQE split a day that is large."""
     if day_of is None:
-        ready.write.mode("overwrite").parquet(table)
+        merged.write.parquet(path)
         return
-    (
-        ready.hint("rebalance", "day")
-        .sortWithinPartitions("day", *keys)
-        .write.mode("overwrite")
-        .partitionBy("day")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(table)
-    )
+    spread = merged.hint("rebalance", "day").sortWithinPartitions("day", *keys)
+    spread.write.partitionBy("day").parquet(path)
+
+
+def _remove_unused(spark: SparkSession, table: str, known: dict) -> None:
+    """Remove versions that neither the table nor a reader of the one before it may use."""
+    used = [*known["parts"].values(), *known["retired"]]
+    versions = {part.split("/")[0] for part in used}
+    for name in folder_names(spark, table):
+        if name.startswith("v-") and name not in versions:
+            remove_folder(spark, f"{table}/{name}")
+
+
+def _read_parts(spark: SparkSession, table: str, known: dict, parts: list[str]) -> DataFrame:
+    schema = T.StructType.fromJson(json.loads(known["schema"]))
+    return spark.read.schema(schema).parquet(*[f"{table}/{part}" for part in parts])
+
+
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """A table written by ``upsert_table``, as it is now."""
+    known = _pointer(spark, table)
+    if not known["parts"]:
+        raise FileNotFoundError(f"{table} has not been written")
+    return _read_parts(spark, table, known, list(known["parts"].values()))
 
 
-def read_table(spark: SparkSession, table: str, day_of: str | None = None) -> DataFrame:
-    """A table written by ``upsert_table``."""
-    df = spark.read.parquet(table)
-    return df.drop("day") if day_of else df
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a running stream's checkpoint was given; a new checkpoint has another."""
+    return json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
 
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -12,6 +12,7 @@ from roadpulse.functions.traffic import rounded
 from roadpulse.operators import filters
 from roadpulse.plans.hourly import HourlyTables
 from roadpulse.sources.streams import decode
+from roadpulse.sources.tables import stream_id
 from roadpulse.streaming.live import event_times
 
 
@@ -68,10 +69,10 @@ def start_hourly(
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         now = F.current_timestamp().cast("timestamp_ntz") if stamp is None else stamp
-        vehicles = batch.withColumn("window_start", F.col("w.start").cast("timestamp_ntz"))
+        vehicles = batch.withColumn("window_start", clock.as_wall_clock(F.col("w.start")))
         vehicles = vehicles.drop("w").persist()
         try:
-            tables.publish(vehicles, f"batch-{batch_id}", now)
+            tables.publish(vehicles, stream_id(batch.sparkSession, checkpoint), batch_id, now)
         finally:
             vehicles.unpersist()
 

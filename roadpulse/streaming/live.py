@@ -7,17 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse import constants as C
+from roadpulse.functions import clock
 from roadpulse.operators import aggregates, filters, projections
 from roadpulse.schema import LIVE_KEY
 from roadpulse.sources.streams import decode
-from roadpulse.sources.tables import upsert_table
+from roadpulse.sources.tables import stream_id, upsert_table
 
 
 def event_times(events: DataFrame, watermark: str = C.LIVE_WATERMARK) -> DataFrame:
-    """Valid events with a watermarked event time. Streams need a zoned timestamp for that."""
-    timed = events.withColumn(
-        "event_time", F.try_to_timestamp(F.col("timestamp"), F.lit(C.TIME_FORMAT))
-    )
+    """Valid events with a watermarked event time, the local time as an instant (``clock.as_instant``)."""
+    timed = events.withColumn("event_time", clock.as_instant(clock.parse_local_time(F.col("timestamp"))))
     return timed.where(F.col("event_time").isNotNull()).withWatermark("event_time", watermark)
 
 
@@ -26,30 +25,31 @@ def live_window_stream(
     window: str = C.LIVE_WINDOW,
     watermark: str = C.LIVE_WATERMARK,
     rsd: float = 0.05,
+    exact: bool = False,
 ) -> DataFrame:
     """Decoded, filtered and windowed stream with traffic status; see ``live_windows``."""
     timed = event_times(filters.valid_live(decode(messages)), watermark)
-    return aggregates.live_windows(timed, window, rsd=rsd)
+    return aggregates.live_windows(timed, window, exact=exact, rsd=rsd)
 
 
 def zoneless(df: DataFrame, *columns: str) -> DataFrame:
     """Window bounds back to wall-clock times, as tables store them."""
     names = columns or ("window_start", "window_end")
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in names})
+    return df.withColumns({c: clock.as_wall_clock(F.col(c)) for c in names})
 
 
 class SnapshotWriter:
     """``foreachBatch`` sink that keeps one current row per camera.
 
-    The staging path carries the batch number, so a batch that Spark repeats is merged once.
-    Errors are raised: the batch is then repeated instead of being lost.
+    A batch that Spark repeats is merged once; batches are told apart by the stream's checkpoint and
+    their number. Errors are raised: the batch is then repeated instead of being lost.
     """
 
     def __init__(
-        self, table: str, staging: str, mode: str = "latest", stamp: Column | None = None
+        self, table: str, checkpoint: str, mode: str = "latest", stamp: Column | None = None
     ) -> None:
         self.table = table
-        self.staging = staging
+        self.checkpoint = checkpoint
         self.mode = mode
         self.stamp = stamp
 
@@ -59,7 +59,8 @@ class SnapshotWriter:
         upsert_table(
             projections.live_row(newest, stamp),
             self.table,
-            f"{self.staging}/batch-{batch_id}",
+            stream_id(batch.sparkSession, self.checkpoint),
+            batch_id,
             LIVE_KEY,
             newest="window_start",
         )
@@ -68,19 +69,24 @@ class SnapshotWriter:
 def start_live(
     messages: DataFrame,
     table: str,
-    staging: str,
     checkpoint: str,
     window: str = C.LIVE_WINDOW,
     watermark: str = C.LIVE_WATERMARK,
     trigger: dict | None = None,
     mode: str = "latest",
     stamp: Column | None = None,
+    rsd: float = 0.05,
+    exact: bool = False,
 ) -> StreamingQuery:
-    """Run the live pipeline; by default every 30 seconds."""
-    windows = live_window_stream(messages, window, watermark)
+    """Run the live pipeline; by default every 30 seconds.
+
+    ``rsd`` is the relative error of the vehicle counts, on which the status depends; ``exact`` keeps
+    every tracker of an open window in the state instead.
+    """
+    windows = live_window_stream(messages, window, watermark, rsd, exact)
     return (
         windows.writeStream.outputMode("update")
-        .foreachBatch(SnapshotWriter(table, staging, mode, stamp))
+        .foreachBatch(SnapshotWriter(table, checkpoint, mode, stamp))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": C.LIVE_TRIGGER}))
         .start()

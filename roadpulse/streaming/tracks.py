@@ -2,88 +2,99 @@
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse import constants as C
+from roadpulse.operators import windows
 from roadpulse.operators.windows import TRACK, track_sessions
+from roadpulse.session import path_exists, remove_folder
 
-SPEED_SCHEMA = (
-    "source_id string, tracker_id int, frame int, points int, speed_kmh double, "
-    "mx double, my double"
-)
-_STATE_SCHEMA = "frames array<int>, xs array<double>, ys array<double>"
+POINT = [*TRACK, "frame", "mx", "my"]
 
-# The processor travels to the executors by value, so they need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+def speeds_after(
+    points: DataFrame,
+    kept: DataFrame | None,
+    fps: float | str = C.DEFAULT_FPS,
+    rates: list[float] | None = None,
+    forget: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(speeds of new points, last points of every track) from new points and the last ones kept so far.
 
-class _RecentPoints(StatefulProcessor):
-    """Keeps the last int(fps) points of one track; forgets them after ``ttl_ms`` unseen."""
+    A point that arrives after later frames of its track takes its place among the points that are kept;
+    speeds that are out already stay as they are. A track keeps the int(fps) points with the latest frames; with ``forget`` it is dropped once it is so many
+    frames behind its camera.
+    """
+    columns = [*POINT, fps] if isinstance(fps, str) else POINT
+    rows = points.select(*columns, F.lit(True).alias("_new"))
+    if kept is not None:
+        rows = rows.unionByName(kept.select(*columns, F.lit(False).alias("_new")))
+    speeds = windows.endpoint_speed(rows, fps, rates=rates).where("_new").drop("_new")
+    latest = Window.partitionBy(*TRACK).orderBy(F.desc("frame"))
+    length = F.greatest(F.floor(windows.per_second(fps)), F.lit(1))
+    last = rows.withColumn("_place", F.row_number().over(latest)).where(F.col("_place") <= length)
+    if forget is not None:
+        newest = F.max("frame").over(Window.partitionBy(*TRACK))
+        cameras = rows.groupBy(F.col("source_id").alias("_camera")).agg(F.max("frame").alias("_now"))
+        last = last.withColumn("_seen", newest).join(cameras, F.col("source_id").eqNullSafe(F.col("_camera")))
+        last = last.where(F.col("_seen") >= F.col("_now") - forget)
+    return speeds, last.select(*columns)
+
+
+class TrackSpeedWriter:
+    """``foreachBatch`` sink for ``endpoint_speed`` on an unbounded stream of points.
+
+    Batch n reads the points kept by batch n - 1 and writes its speeds and the points to keep, each to a
+    folder of its own, so a batch that Spark repeats writes the same again. The points lie beside the
+    stream's checkpoint and share its life. Everything runs as one Spark job on built-in functions.
+    """
 
-    def __init__(self, fps: float, ttl_ms: int | None) -> None:
+    def __init__(
+        self,
+        table: str,
+        checkpoint: str,
+        fps: float | str = C.DEFAULT_FPS,
+        rates: list[float] | None = None,
+        forget: int | None = None,
+    ) -> None:
+        self.table = table
+        self.points = f"{checkpoint}-points"
         self.fps = fps
-        self.rows = max(int(fps), 1)
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.recent = handle.getValueState("recent", _STATE_SCHEMA, self.ttl_ms)
-
-    def handleInputRows(
-        self, key, rows: Iterator[pd.DataFrame], timerValues
-    ) -> Iterator[pd.DataFrame]:
-        # The rows of one track in one trigger; the source's rate limit bounds their number.
-        new = pd.concat(list(rows), ignore_index=True).sort_values("frame", kind="stable")
-        old = self.recent.get() or ([], [], [])
-        frame = np.concatenate([np.array(old[0], dtype="int32"), new["frame"].to_numpy("int32")])
-        x = np.concatenate([np.array(old[1], dtype="float64"), new["mx"].to_numpy("float64")])
-        y = np.concatenate([np.array(old[2], dtype="float64"), new["my"].to_numpy("float64")])
-        at = np.arange(len(old[0]), len(frame))
-        start = np.maximum(at - self.rows + 1, 0)
-        points = at - start + 1
-        moved = np.hypot(x[at] - x[start], y[at] - y[start])
-        last = slice(-self.rows, None)
-        self.recent.update((frame[last].tolist(), x[last].tolist(), y[last].tolist()))
-        yield pd.DataFrame(
-            {
-                "source_id": key[0],
-                "tracker_id": key[1],
-                "frame": frame[at],
-                "points": points.astype("int32"),
-                "speed_kmh": moved / (points / self.fps) * 3.6,
-                "mx": x[at],
-                "my": y[at],
-            }
-        )
-
-    def close(self) -> None:
-        pass
-
-
-def endpoint_speed_stream(
-    points: DataFrame, fps: float = C.DEFAULT_FPS, ttl_ms: int | None = None
-) -> DataFrame:
-    """``endpoint_speed`` on an unbounded stream of points with ``mx``, ``my`` and ``frame``.
-
-    Within a trigger the rows of a track are ordered by frame. The state of a track is its last
-    int(fps) points, however long the track lives. ``ttl_ms`` forgets a track that was not seen
-    for that long by the processing clock.
-    """
+        self.rates = rates
+        self.forget = forget
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = f"{self.points}/batch-{batch_id - 1}"
+        rows = batch.persist()
+        try:
+            kept = spark.read.parquet(before) if path_exists(spark, before) else None
+            speeds, last = speeds_after(rows, kept, self.fps, self.rates, self.forget)
+            speeds.write.mode("overwrite").parquet(f"{self.table}/batch={batch_id}")
+            last.write.mode("overwrite").parquet(f"{self.points}/batch-{batch_id}")
+        finally:
+            rows.unpersist()
+        # Batch n - 1 may still be needed if this one is repeated.
+        remove_folder(spark, f"{self.points}/batch-{batch_id - 2}")
+
+
+def start_track_speed(
+    points: DataFrame,
+    table: str,
+    checkpoint: str,
+    fps: float | str = C.DEFAULT_FPS,
+    rates: list[float] | None = None,
+    forget: int | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Publish the speed of every point of a stream with ``mx``, ``my`` and ``frame``."""
     return (
-        points.select(*TRACK, "frame", "mx", "my")
-        .groupBy(*TRACK)
-        .transformWithStateInPandas(
-            statefulProcessor=_RecentPoints(fps, ttl_ms),
-            outputStructType=SPEED_SCHEMA,
-            outputMode="Append",
-            timeMode="ProcessingTime" if ttl_ms else "None",
-        )
+        points.writeStream.foreachBatch(TrackSpeedWriter(table, checkpoint, fps, rates, forget))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
     )
 
 

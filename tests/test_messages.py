@@ -51,16 +51,19 @@ def test_field_coverage(spark):
 
 
 def test_topic_options():
-    options = streams.topic_options("broker:9092", "topic", extra={"kafka.security.protocol": "SSL"})
+    options = streams.topic_options("broker:9092", "topic", 3000, extra={"kafka.security.protocol": "SSL"})
     assert options == {
         "kafka.bootstrap.servers": "broker:9092",
         "subscribe": "topic",
         "startingOffsets": "latest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
         "maxOffsetsPerTrigger": "3000",
         "kafka.security.protocol": "SSL",
     }
-    assert "maxOffsetsPerTrigger" not in streams.topic_options("b", "t", per_trigger=None)
+    assert "maxOffsetsPerTrigger" not in streams.topic_options("b", "t", None)
+    assert streams.topic_options("b", "t", None, fail_on_data_loss=False)["failOnDataLoss"] == "false"
+    with pytest.raises(TypeError):
+        streams.topic_options("b", "t")
     assert streams.producer_options("b", "t")["kafka.linger.ms"] == "5"
 
 

@@ -13,7 +13,7 @@ from roadpulse.session import new_folder
 from roadpulse.sources import streams, tables
 from roadpulse.streaming import hourly, live, tracks
 from workload import inputs as I
-from workload.runs import append_stream, batch_stream, finish, stamp, with_sentinel, write_files
+from workload.runs import batch_stream, finish, stamp, with_sentinel, write_files
 
 
 def send(spark, path, rows):
@@ -32,7 +32,7 @@ def run_live(spark, path, folder, **more):
     messages = streams.read_file_stream(spark, path)
     finish(
         live.start_live(
-            messages, f"{folder}/live", f"{folder}/staging", f"{folder}/position",
+            messages, f"{folder}/live", f"{folder}/position",
             trigger={"availableNow": True}, **more,
         )
     )
@@ -82,7 +82,7 @@ def test_late_rows_are_dropped_after_the_watermark_moved(spark):
 
 def test_hourly_stream_equals_batch_and_joins_split_hours(spark, small):
     folder, path = new_folder(spark, "out"), new_folder(spark, "in")
-    out = HourlyTables(f"{folder}/totals", f"{folder}/types", f"{folder}/staging")
+    out = HourlyTables(f"{folder}/totals", f"{folder}/types")
     events = I.detections(spark, small)
     # The split lies within an hour; both parts of that hour must count.
     split = F.lit("2024-01-15 12:30:00").cast("timestamp_ntz")
@@ -91,21 +91,21 @@ def test_hourly_stream_equals_batch_and_joins_split_hours(spark, small):
         messages = streams.read_file_stream(spark, path)
         finish(hourly.start_hourly(messages, out, f"{folder}/position", "1 hour", stamp()))
     whole = batch_hourly.by_type(events)
-    got = tables.read_table(spark, out.by_type, "window_start").drop("created_at")
+    got = tables.read_table(spark, out.by_type).drop("created_at")
     assert sorted(map(str, got.select(*whole.columns).collect())) == sorted(map(str, whole.collect()))
     totals = batch_hourly.totals(events)
-    got = tables.read_table(spark, out.totals, "window_start").drop("created_at")
+    got = tables.read_table(spark, out.totals).drop("created_at")
     assert sorted(map(str, got.select(*totals.columns).collect())) == sorted(map(str, totals.collect()))
 
 
 def test_hourly_batch_run_is_repeatable(spark, small):
     folder = new_folder(spark, "out")
-    out = HourlyTables(f"{folder}/totals", f"{folder}/types", f"{folder}/staging")
+    out = HourlyTables(f"{folder}/totals", f"{folder}/types")
     events = I.detections(spark, small)
     for run_id in ("r1", "r1", "r2"):
         duplicates, anomalies = batch_hourly.run(events, out, run_id, I.AS_OF, stamp())
     assert duplicates.isEmpty() and anomalies.where("is_anomaly").isEmpty()
-    got = tables.read_table(spark, out.totals, "window_start").drop("created_at")
+    got = tables.read_table(spark, out.totals).drop("created_at")
     want = batch_hourly.totals(events)
     assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
 
@@ -117,7 +117,7 @@ def test_track_speed_state_continues_over_triggers(spark):
     for part in (rows[:7] + rows[20:31], rows[7:20], rows[31:]):
         spark.createDataFrame(part, schema).repartition(2).write.mode("append").parquet(path)
         stream = streams.read_file_stream(spark, path, spark.read.parquet(path).schema)
-        append_stream(tracks.endpoint_speed_stream(stream, fps=5.0), out, position)
+        finish(tracks.start_track_speed(stream, out, position, 5.0))
     want = windows.endpoint_speed(spark.createDataFrame(rows, schema), 5.0).collect()
     got = {(r.tracker_id, r.frame): r for r in spark.read.parquet(out).collect()}
     assert len(got) == len(want) == 40
@@ -126,6 +126,48 @@ def test_track_speed_state_continues_over_triggers(spark):
         assert (state.points, state.speed_kmh) == pytest.approx((r.points, r.speed_kmh))
 
 
+def test_late_points_take_their_place_and_old_tracks_go(spark):
+    schema = "source_id string, tracker_id int, frame int, mx double, my double"
+
+    def points(*rows):
+        return spark.createDataFrame([("a", t, f, float(x), 0.0) for t, f, x in rows], schema)
+
+    first, kept = tracks.speeds_after(points((1, 1, 0), (1, 3, 20), (2, 1, 0)), None, 5.0)
+    assert sorted((r.tracker_id, r.frame, r.points) for r in first.collect()) == [(1, 1, 1), (1, 3, 2), (2, 1, 1)]
+    # Frame 2 comes late: it is the second point, two metres on.
+    late, kept = tracks.speeds_after(points((1, 2, 2), (1, 400, 30)), kept, 5.0, forget=100)
+    got = {r.frame: (r.points, r.speed_kmh) for r in late.collect()}
+    assert got[2] == pytest.approx((2, 2 / (2 / 5) * 3.6)) and got[400][0] == 4
+    assert sorted((r.tracker_id, r.frame) for r in kept.collect()) == [(1, 1), (1, 2), (1, 3), (1, 400)]
+
+
+def test_repeated_batch_writes_the_same(spark):
+    out, position = new_folder(spark, "out"), new_folder(spark, "position")
+    schema = "source_id string, tracker_id int, frame int, mx double, my double"
+    writer = tracks.TrackSpeedWriter(out, position, 5.0)
+    batches = [spark.createDataFrame([("a", 1, f, float(f), 0.0) for f in part], schema) for part in (range(4), range(4, 9))]
+    for n in (0, 0, 1, 1):
+        writer(batches[n], n)
+    want = windows.endpoint_speed(batches[0].unionByName(batches[1]), 5.0)
+    got = spark.read.parquet(out).select("frame", "points", "speed_kmh")
+    assert sorted(map(tuple, got.collect())) == sorted((r.frame, r.points, r.speed_kmh) for r in want.collect())
+
+
+@pytest.mark.parametrize("zone", ["Asia/Kolkata", "America/New_York"])
+def test_session_zone_plays_no_part(spark, zone):
+    """Half-hour zones and changing clocks: windows start at whole hours of the local time."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        path, folder = new_folder(spark, "in"), new_folder(spark, "out")
+        night = datetime(2024, 3, 10, 2, 30)
+        send(spark, path, [(night, "a", 1, 50), (T0 - timedelta(days=90), "b", 1, 50)])
+        got = run_live(spark, path, folder, window="1 hour", watermark="200 days")
+        assert got["a"].window_start == datetime(2024, 3, 10, 2) and got["b"].window_start.minute == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_sessions_close_after_the_gap(spark):
     rows = [("a", 1, T0 + timedelta(seconds=s), 10.0) for s in (0, 4, 8, 13, 19)]
     df = spark.createDataFrame(rows, "source_id string, tracker_id int, ts timestamp, speed_kmh double")

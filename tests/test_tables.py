@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from roadpulse.operators.joins import snapshot_changes, upsert_rows
-from roadpulse.session import new_folder, path_exists
+from roadpulse.session import folder_names, new_folder, path_exists
 from roadpulse.sources import tables
 
 ROW = "k int, v int, created_at int"
@@ -50,51 +50,82 @@ DAY = datetime(2024, 1, 1)
 KEY = ["window_start", "source_id"]
 
 
+def put(rows, table, writer, batch, day_of="window_start"):
+    return tables.upsert_table(rows, table, writer, batch, KEY, day_of=day_of)
+
+
+def content(spark, table):
+    return sorted((r.window_start.day, r.source_id, r.n, r.created_at) for r in tables.read_table(spark, table).collect())
+
+
 def test_partitioned_upsert_rewrites_touched_days_only(spark):
-    table, staging = new_folder(spark, "t"), new_folder(spark, "s")
+    table = new_folder(spark, "t")
     days = [DAY + timedelta(days=d) for d in range(4)]
-    tables.upsert_table(hours(spark, [(d, "a", 1, 1) for d in days]), table, f"{staging}/0", KEY, day_of="window_start")
-    files = {str(r[0]) for r in spark.read.parquet(table).select(F.input_file_name()).distinct().collect()}
-    update = [(days[1], "a", 2, 2), (days[1], "b", 2, 2), (days[3], "a", 2, 2)]
-    tables.upsert_table(hours(spark, update), table, f"{staging}/1", KEY, day_of="window_start")
-    after = spark.read.parquet(table).withColumn("file", F.input_file_name())
-    unchanged = {r.file for r in after.where(F.to_date("window_start").isin(days[0], days[2])).collect()}
-    assert unchanged <= files
-    got = sorted((r.window_start.day, r.source_id, r.n, r.created_at) for r in tables.read_table(spark, table, "d").collect())
-    assert got == [(1, "a", 1, 1), (2, "a", 2, 1), (2, "b", 2, 2), (3, "a", 1, 1), (4, "a", 2, 1)]
+
+    def files():
+        df = tables.read_table(spark, table).select(F.to_date("window_start").alias("d"), F.input_file_name().alias("f"))
+        return {(r.d, r.f) for r in df.collect()}
+
+    put(hours(spark, [(d, "a", 1, 1) for d in days]), table, "w", 0)
+    before = files()
+    put(hours(spark, [(days[1], "a", 2, 2), (days[1], "b", 2, 2), (days[3], "a", 2, 2)]), table, "w", 1)
+    assert {x for x in files() if x[0].day in (1, 3)} == {x for x in before if x[0].day in (1, 3)}
+    assert content(spark, table) == [(1, "a", 1, 1), (2, "a", 2, 1), (2, "b", 2, 2), (3, "a", 1, 1), (4, "a", 2, 1)]
 
 
 @pytest.mark.parametrize("day_of", [None, "window_start"])
-def test_lost_driver_during_the_swap(spark, day_of, monkeypatch):
-    """The swap fails with the stored rows already gone; repeating the batch brings all back."""
-    table, staging = new_folder(spark, "t"), new_folder(spark, "s")
-    tables.upsert_table(hours(spark, [(DAY, "a", 1, 1)]), table, f"{staging}/0", KEY, day_of=day_of)
-    batch = hours(spark, [(DAY, "b", 2, 2)])
-
-    def fail(ready, path, keys, day_of):
-        ready.limit(0).write.mode("overwrite").parquet(path)
+@pytest.mark.parametrize("where", ["_write_version", "replace_text"])
+def test_lost_driver_leaves_the_table_whole(spark, day_of, where, monkeypatch):
+    """A batch is lost half-way; readers see the old table, and another run goes on from it."""
+    table = new_folder(spark, "t")
+    put(hours(spark, [(DAY, "a", 1, 1)]), table, "w", 0, day_of)
+    real = getattr(tables, where)
+
+    def lost(*args):
+        if where == "_write_version":
+            real(args[0].limit(1), *args[1:])
         raise OSError("lost")
 
     with monkeypatch.context() as broken:
-        broken.setattr(tables, "_swap_in", fail)
+        broken.setattr(tables, where, lost)
         with pytest.raises(OSError):
-            tables.upsert_table(batch, table, f"{staging}/1", KEY, day_of=day_of)
-    assert tables.upsert_table(batch, table, f"{staging}/1", KEY, day_of=day_of)
-    got = {(r.source_id, r.n) for r in tables.read_table(spark, table, day_of).collect()}
-    assert got == {("a", 1), ("b", 2)}
+            put(hours(spark, [(DAY, "b", 2, 2)]), table, "w", 1, day_of)
+    assert content(spark, table) == [(1, "a", 1, 1)]
+    assert put(hours(spark, [(DAY, "c", 3, 3)]), table, "another run", 0, day_of)
+    assert put(hours(spark, [(DAY, "b", 2, 2)]), table, "w", 1, day_of)
+    assert content(spark, table) == [(1, "a", 1, 1), (1, "b", 2, 2), (1, "c", 3, 3)]
+    # Only the table and the version before it are left.
+    assert len([n for n in folder_names(spark, table) if n.startswith("v-")]) <= 2
 
 
 def test_repeating_an_old_batch_does_not_undo_newer_ones(spark):
-    table, staging = new_folder(spark, "t"), new_folder(spark, "s")
+    table = new_folder(spark, "t")
     batches = [hours(spark, [(DAY, "a", n, n)]) for n in (1, 2)]
     for n in (0, 1, 0):
-        tables.upsert_table(batches[n], table, f"{staging}/{n}", KEY, day_of="window_start")
-    assert tables.read_table(spark, table, "d").first().n == 2
+        assert put(batches[n], table, "w", n)
+    assert tables.read_table(spark, table).first().n == 2
+
+
+def test_a_new_checkpoint_starts_its_numbers_anew(spark):
+    """Batch 0 of another stream is another batch."""
+    table = new_folder(spark, "t")
+    put(hours(spark, [(DAY, "a", 1, 1)]), table, "first checkpoint", 0)
+    put(hours(spark, [(DAY, "a", 2, 2)]), table, "second checkpoint", 0)
+    assert content(spark, table) == [(1, "a", 2, 1)]
+
+
+def test_readers_under_way_keep_their_version(spark):
+    table = new_folder(spark, "t")
+    put(hours(spark, [(DAY, "a", 1, 1)]), table, "w", 0)
+    reader = tables.read_table(spark, table)
+    put(hours(spark, [(DAY, "a", 2, 2)]), table, "w", 1)
+    assert reader.first().n == 1 and tables.read_table(spark, table).first().n == 2
 
 
 def test_empty_batch_is_skipped(spark):
-    table, staging = new_folder(spark, "t"), new_folder(spark, "s")
-    assert not tables.upsert_table(hours(spark, []), table, staging, KEY)
+    table = new_folder(spark, "t")
+    for day_of in (None, "window_start"):
+        assert not put(hours(spark, []), table, "w", 0, day_of)
     assert not path_exists(spark, table)
 
 

@@ -115,10 +115,21 @@ def messages(df: DataFrame) -> DataFrame:
     )
 
 
+def undamaged(df: DataFrame) -> DataFrame:
+    """Detections whose messages stay whole."""
+    n = F.col("event_id")
+    return df.where((n % 97 != 0) & (n % 101 != 0) & (n % 103 != 0))
+
+
 def damaged_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of all detections, some of them damaged."""
+    return damaged(detections(spark, folder))
+
+
+def damaged(df: DataFrame) -> DataFrame:
     """Messages of which some are cut, carry a bad time or tracker, or an unknown field."""
     n, value = F.col("event_id"), F.col("value")
-    return messages(detections(spark, folder)).select(
+    return messages(df).select(
         F.when(n % 97 == 0, F.substring(value, 1, 20))
         .when(
             n % 101 == 0,
@@ -187,8 +198,8 @@ def camera_settings(spark: SparkSession, folder: str) -> DataFrame:
     )
     return table(spark, folder, "customer").select(
         F.concat(F.lit("cam_"), n.cast("string")).alias("source_id"),
-        F.when(n % 7 == 0, F.slice(quad, 1, 3)).otherwise(quad).alias("roi"),
-        F.when(n % 13 == 0, 0.0).otherwise((n % 20 + 3).cast("double")).alias("target_w"),
+        F.when(n % 23 == 0, F.lit(None)).when(n % 7 == 0, F.slice(quad, 1, 3)).otherwise(quad).alias("roi"),
+        F.when(n % 19 == 0, F.lit(None)).when(n % 13 == 0, 0.0).otherwise((n % 20 + 3).cast("double")).alias("target_w"),
         F.lit(20.0).alias("target_h"),
         F.lit(1920).alias("frame_w"),
         F.lit(1080).alias("frame_h"),

@@ -103,7 +103,7 @@ def _merged_live() -> str:
 
 @query("sink_live_upsert", _merged_live())
 def sink_live_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    table, staging = new_folder(spark, "live"), new_folder(spark, "staging")
+    table = new_folder(spark, "live")
     windows = I.live_hours(spark, folder)
     old = windows.where(F.col("window_start") < clock.ntz(I.AS_OF))
     new = windows.where(F.col("window_start") >= clock.ntz(I.AS_OF))
@@ -111,8 +111,7 @@ def sink_live_upsert(spark: SparkSession, folder: str) -> DataFrame:
     batches = [(old, I.EARLIER), (new, I.AS_OF), (old, I.EARLIER)]
     for number, (rows, stamp) in enumerate(batches):
         newest = I.live_rows(aggregates.latest_per_source(rows), stamp)
-        staged = f"{staging}/{number}"
-        tables.upsert_table(newest, table, staged, LIVE_KEY, newest="window_start")
+        tables.upsert_table(newest, table, "query", number, LIVE_KEY, newest="window_start")
     return I.plain_live(tables.read_table(spark, table))
 
 
@@ -147,14 +146,14 @@ def _merged_hourly(rows: str, keys: list[str], columns: list[str]) -> str:
 
 
 def _publish(spark: SparkSession, folder: str, summary, keys: list[str]) -> DataFrame:
-    table, staging = new_folder(spark, "summary"), new_folder(spark, "staging")
+    table = new_folder(spark, "summary")
     events = I.detections(spark, folder)
     for number, (when, stamp) in enumerate(
         [(F.col("ts") < clock.ntz(SPLIT), I.EARLIER), (F.col("ts") >= clock.ntz(SPLIT), I.AS_OF)]
     ):
         rows = summary(events.where(when)).withColumn("created_at", clock.ntz(stamp))
-        tables.upsert_table(rows, table, f"{staging}/{number}", keys, day_of="window_start")
-    return tables.read_table(spark, table, "window_start")
+        tables.upsert_table(rows, table, "query", number, keys, day_of="window_start")
+    return tables.read_table(spark, table)
 
 
 @query(

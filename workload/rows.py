@@ -122,10 +122,10 @@ def filter_recent(spark: SparkSession, folder: str) -> DataFrame:
       CAST(c_custkey * 13 % 1500 AS DOUBLE) AS x, CAST(c_custkey * 7 % 800 AS DOUBLE) AS y
       FROM customer),
     checks AS (
-      SELECT source_id, 'roi_points' AS problem FROM c WHERE n % 7 = 0
-      UNION ALL SELECT source_id, 'roi_outside_frame' FROM c WHERE n % 7 <> 0
+      SELECT source_id, 'roi_points' AS problem FROM c WHERE n % 7 = 0 OR n % 23 = 0
+      UNION ALL SELECT source_id, 'roi_outside_frame' FROM c WHERE n % 7 <> 0 AND n % 23 <> 0
         AND ((CASE WHEN n % 11 = 0 THEN 1920 ELSE x + 300 END) >= 1920 OR y + 200 >= 1080)
-      UNION ALL SELECT source_id, 'target_size' FROM c WHERE n % 13 = 0
+      UNION ALL SELECT source_id, 'target_size' FROM c WHERE n % 13 = 0 OR n % 19 = 0
       UNION ALL SELECT source_id, 'video_source' FROM c
         WHERE n % 5 = 0 OR (n % 5 > 2 AND n % 17 = 0))
     SELECT * FROM checks""",

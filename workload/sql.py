@@ -94,6 +94,10 @@ def live_windows(seconds: int, rows: str = "det", name: str = "live") -> str:
 
 
 LIVE = f"{DET}, {live_windows(3600)}"
+# What is left of the damaged messages that streams are fed with.
+ARRIVED = f"""{DECODED},
+arrived AS (SELECT * FROM decoded WHERE "timestamp" <> 'not-a-time')"""
+STREAM_LIVE = f"{ARRIVED}, {live_windows(3600, 'arrived')}"
 
 LIVE_COLUMNS = f"""source_id, window_start, window_end, total_count,
   {rnd("avg_speed", 6)} AS avg_speed, {rnd("max_speed", 6)} AS max_speed,
@@ -149,6 +153,7 @@ def by_type(prefix: str = "") -> str:
 
 
 HOURLY = f"{DET}, {vehicles()}, {totals()}, {by_type()}"
+STREAM_HOURLY = f"{ARRIVED}, {vehicles('arrived')}, {totals()}, {by_type()}"
 
 
 def _solve(source: list, target: list) -> list[float]:

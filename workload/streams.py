@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadpulse.functions import clock
 from roadpulse.functions.traffic import rounded
 from roadpulse.operators import filters
 from roadpulse.plans.hourly import HourlyTables
@@ -14,22 +15,24 @@ from roadpulse.streaming import hourly, live, tracks
 from workload import inputs as I
 from workload import sql as S
 from workload.registry import query
-from workload.runs import append_stream, batch_stream, finish, stamp, with_sentinel, write_files
+from workload.runs import append_stream, batch_stream, finish, stamp, write_files
 
-# Columns that do not depend on the approximate vehicle count.
-_EXACT = ["avg_speed", "max_speed", "min_speed", "avg_confidence"]
-_KEYS = ["source_id", "window_start", "window_end"]
-_MEASURES = ", ".join(f"{S.rnd(c, 6)} AS {c}" for c in _EXACT)
-_WINDOWS = f"source_id, window_start, window_end, {_MEASURES}"
+_SPEEDS = ["avg_speed", "max_speed", "min_speed", "avg_confidence"]
+_WINDOWS = S.LIVE_COLUMNS
 
 
 def _measures(df: DataFrame) -> DataFrame:
-    return df.select(*_KEYS, *[rounded(F.col(c), 6).alias(c) for c in _EXACT])
+    keys = ["source_id", "window_start", "window_end", "total_count"]
+    return df.select(*keys, *[rounded(F.col(c), 6).alias(c) for c in _SPEEDS], "traffic_status")
 
 
-def _message_files(spark: SparkSession, events: DataFrame, path: str | None = None) -> str:
+def _message_files(
+    spark: SparkSession, events: DataFrame, path: str | None = None, extra: DataFrame | None = None
+) -> str:
+    """Messages of all events, valid or not and some of them damaged, and whole messages of ``extra``."""
     path = path or new_folder(spark, "messages")
-    write_files(I.messages(events).select("value"), path)
+    sent = I.damaged(events)
+    write_files(sent if extra is None else sent.unionByName(I.messages(extra).select("value")), path)
     return path
 
 
@@ -37,6 +40,13 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     return I.detections(spark, folder)
 
 
+def _valid_one(events: DataFrame, year: int) -> DataFrame:
+    """One valid event, moved to the first day of a year."""
+    one = I.undamaged(filters.valid_batch(filters.valid_live(events))).limit(1)
+    far = F.lit(f"{year}-01-01 00:00:00")
+    return one.withColumns({"ts": far.cast("timestamp_ntz"), "timestamp": far})
+
+
 def _shifted(events: DataFrame, days: int) -> DataFrame:
     """The same events at another time."""
     ts = (F.col("ts") + F.expr(f"interval {days} days")).alias("ts")
@@ -46,33 +56,29 @@ def _shifted(events: DataFrame, days: int) -> DataFrame:
 
 @query(
     "stream_live",
-    f"""WITH {S.LIVE}, {S.newest("live", "latest")},
-    shown AS (SELECT {S.live_row()} FROM latest)
-    SELECT source_id, window_start, window_end, avg_speed, max_speed, min_speed, avg_confidence,
-      created_at, updated_at FROM shown""",
+    f"""WITH {S.ARRIVED}, {S.live_windows(5, "arrived")}, {S.newest("live", "latest")}
+    SELECT {S.live_row()} FROM latest""",
 )
 def stream_live(spark: SparkSession, folder: str) -> DataFrame:
+    """The pipeline as it is in production: windows of 5 seconds, approximate counts."""
     apply_runtime_options(spark)
-    table, staging, position = (new_folder(spark, n) for n in ("live", "staging", "position"))
+    table, position = (new_folder(spark, n) for n in ("live", "position"))
     messages = streams.read_file_stream(spark, _message_files(spark, _events(spark, folder)))
     finish(
         live.start_live(
             messages,
             table,
-            staging,
             position,
-            window=I.HOUR,
             trigger={"availableNow": True},
             stamp=stamp(),
         )
     )
-    shown = I.plain_live(tables.read_table(spark, table))
-    return shown.select(*_KEYS, *_EXACT, "created_at", "updated_at")
+    return I.plain_live(tables.read_table(spark, table))
 
 
 @query(
     "stream_watermark",
-    f"WITH {S.LIVE} SELECT {_WINDOWS} FROM live",
+    f"WITH {S.STREAM_LIVE} SELECT {_WINDOWS} FROM live",
 )
 def stream_watermark(spark: SparkSession, folder: str) -> DataFrame:
     """Three runs on one checkpoint: all events, a tick far ahead, late copies of all events.
@@ -82,10 +88,11 @@ def stream_watermark(spark: SparkSession, folder: str) -> DataFrame:
     """
     path, position, table = (new_folder(spark, n) for n in ("messages", "position", "changes"))
     events = _events(spark, folder)
-    tick = _shifted(events.where(F.col("source_id").isNotNull()).limit(1), 2000)
-    for rows in (events, tick, _shifted(events, -365)):
-        _message_files(spark, rows, path)
-        windows = live.live_window_stream(streams.read_file_stream(spark, path), I.HOUR)
+    tick = _valid_one(events, 2030)
+    for rows, extra in ((events, None), (events.limit(0), tick), (_shifted(events, -365), None)):
+        _message_files(spark, rows, path, extra)
+        messages = streams.read_file_stream(spark, path)
+        windows = live.live_window_stream(messages, I.HOUR, exact=True)
         batch_stream(
             live.zoneless(windows), "update", live.BatchTableWriter(table), position
         )
@@ -93,23 +100,24 @@ def stream_watermark(spark: SparkSession, folder: str) -> DataFrame:
     return _measures(current.where(F.col("window_start") < "2026-01-01"))
 
 
-@query("stream_tumbling", f"WITH {S.LIVE} SELECT {_WINDOWS} FROM live")
+@query("stream_tumbling", f"WITH {S.STREAM_LIVE} SELECT {_WINDOWS} FROM live")
 def stream_tumbling(spark: SparkSession, folder: str) -> DataFrame:
     """Append mode: a window comes out once, after the watermark has passed it."""
-    events = with_sentinel(filters.valid_live(_events(spark, folder)))
-    messages = streams.read_file_stream(spark, _message_files(spark, events))
-    windows = live.live_window_stream(messages, I.HOUR, "1 hour")
+    events = _events(spark, folder)
+    path = _message_files(spark, events, extra=_valid_one(events, 2030))
+    messages = streams.read_file_stream(spark, path)
+    windows = live.live_window_stream(messages, I.HOUR, "1 hour", exact=True)
     return _measures(append_stream(live.zoneless(windows)))
 
 
-@query("stream_update_mode", f"WITH {S.LIVE} SELECT {_WINDOWS} FROM live")
+@query("stream_update_mode", f"WITH {S.STREAM_LIVE} SELECT {_WINDOWS} FROM live")
 def stream_update_mode(spark: SparkSession, folder: str) -> DataFrame:
     """Several batches; each emits the windows it changed, and the last value of each stands."""
     table = new_folder(spark, "changes")
     path = _message_files(spark, _events(spark, folder))
     messages = streams.read_file_stream(spark, path, files_per_trigger=3)
     # The files are not in time order, so no row may count as late.
-    windows = live.live_window_stream(messages, I.HOUR, "40 days")
+    windows = live.live_window_stream(messages, I.HOUR, "40 days", exact=True)
     batch_stream(
         live.zoneless(windows), "update", live.BatchTableWriter(table), new_folder(spark, "position")
     )
@@ -140,14 +148,12 @@ def stream_trigger(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "stream_foreach_batch",
-    f"""WITH {S.LIVE}, {S.newest("live", "latest")},
-    shown AS (SELECT {S.live_row()} FROM latest)
-    SELECT source_id, window_start, avg_speed, avg_confidence FROM shown""",
+    f"WITH {S.STREAM_LIVE}, {S.newest('live', 'latest')} SELECT {S.live_row()} FROM latest",
 )
 def stream_foreach_batch(spark: SparkSession, folder: str) -> DataFrame:
     """Every batch is delivered twice, as after a failure; an empty one is skipped."""
-    table, staging = new_folder(spark, "live"), new_folder(spark, "staging")
-    writer = live.SnapshotWriter(table, staging, stamp=stamp())
+    table, position = new_folder(spark, "live"), new_folder(spark, "position")
+    writer = live.SnapshotWriter(table, position, stamp=stamp())
 
     def deliver_twice(batch: DataFrame, batch_id: int) -> None:
         writer(batch, batch_id)
@@ -156,16 +162,15 @@ def stream_foreach_batch(spark: SparkSession, folder: str) -> DataFrame:
 
     path = _message_files(spark, _events(spark, folder))
     messages = streams.read_file_stream(spark, path, files_per_trigger=4)
-    windows = live.live_window_stream(messages, I.HOUR, "40 days")
-    batch_stream(windows, "update", deliver_twice, new_folder(spark, "position"))
-    shown = I.plain_live(tables.read_table(spark, table))
-    return shown.select("source_id", "window_start", "avg_speed", "avg_confidence")
+    windows = live.live_window_stream(messages, I.HOUR, "40 days", exact=True)
+    batch_stream(windows, "update", deliver_twice, position)
+    return I.plain_live(tables.read_table(spark, table))
 
 
 @query(
     "stream_rate_limit",
-    f"""WITH {S.DET} SELECT source_id, count(*) AS messages, CAST(4 AS BIGINT) AS batches
-    FROM det GROUP BY 1""",
+    f"""WITH {S.DECODED} SELECT source_id, count(*) AS messages, CAST(4 AS BIGINT) AS batches
+    FROM decoded GROUP BY 1""",
 )
 def stream_rate_limit(spark: SparkSession, folder: str) -> DataFrame:
     """Eight files at two per trigger: four batches, nothing left behind."""
@@ -201,13 +206,12 @@ _SESSIONS = f"""marked AS (SELECT source_id, tracker_id, ts, speed_kmh,
 )
 def stream_track_state(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "points")
-    points = _events(spark, folder).where(
-        F.col("source_id").isNotNull() & F.col("speed_kmh").isNotNull()
-    )
-    points = with_sentinel(points.select("source_id", "tracker_id", "ts", "speed_kmh"))
-    write_files(points.withColumn("ts", F.col("ts").cast("timestamp")), path)
+    events = _events(spark, folder)
+    points = events.unionByName(_valid_one(events, 2030)).select("source_id", "tracker_id", "ts", "speed_kmh")
+    write_files(points.withColumn("ts", clock.as_instant(F.col("ts"))), path)
     stream = streams.read_file_stream(spark, path, spark.read.parquet(path).schema)
-    visits = tracks.session_stream(stream, I.SESSION_GAP, "1 hour")
+    known = stream.where(F.col("source_id").isNotNull() & F.col("speed_kmh").isNotNull())
+    visits = tracks.session_stream(known, I.SESSION_GAP, "1 hour")
     table = append_stream(live.zoneless(visits, "session_start", "session_end"))
     return table.withColumn("avg_speed", rounded(F.col("avg_speed"), 6))
 
@@ -215,7 +219,7 @@ def stream_track_state(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "stream_track_speed",
     f"""WITH {S.LOCATED}, {S.ENDPOINT} SELECT source_id, tracker_id, frame,
-    CAST(points AS INTEGER) AS points, {S.rnd("speed_kmh", 4)} AS speed_kmh,
+    points, {S.rnd("speed_kmh", 4)} AS speed_kmh,
     {S.rnd("mx", 4)} AS mx, {S.rnd("my", 4)} AS my FROM points""",
 )
 def stream_track_speed(spark: SparkSession, folder: str) -> DataFrame:
@@ -223,12 +227,12 @@ def stream_track_speed(spark: SparkSession, folder: str) -> DataFrame:
     apply_runtime_options(spark)
     path, position, table = (new_folder(spark, n) for n in ("points", "position", "table"))
     located = I.located(spark, folder)
-    points = located.select("source_id", "tracker_id", "frame", "mx", "my", "ts")
+    points = located.select("source_id", "tracker_id", "frame", "mx", "my", "fps", "ts")
     early = F.col("ts") < F.lit(str(I.AS_OF)).cast("timestamp_ntz")
     for rows in (points.where(early), points.where(~early)):
         write_files(rows.drop("ts"), path)
         stream = streams.read_file_stream(spark, path, rows.drop("ts").schema)
-        append_stream(tracks.endpoint_speed_stream(stream), table, position)
+        finish(tracks.start_track_speed(stream, table, position, "fps", I.RATES))
     speeds = spark.read.parquet(table)
     return speeds.select(
         "source_id",
@@ -239,23 +243,30 @@ def stream_track_speed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("stream_hourly", f"WITH {S.HOURLY} SELECT *, {S.NOW} AS created_at FROM kinds")
+@query(
+    "stream_hourly",
+    f"""WITH {S.STREAM_HOURLY}
+    SELECT window_start, window_end, source_id, 'all' AS vehicle_type, total_vehicles AS vehicle_count,
+      avg_speed_kmh, CAST(NULL AS DOUBLE) AS avg_observations, {S.NOW} AS created_at FROM total
+    UNION ALL SELECT window_start, window_end, source_id, vehicle_type, vehicle_count, avg_speed_kmh,
+      avg_observations, {S.NOW} FROM kinds""",
+)
 def stream_hourly(spark: SparkSession, folder: str) -> DataFrame:
+    """Both published tables; the totals as type 'all'."""
     apply_runtime_options(spark)
-    names = ("totals", "by_type", "staging", "position")
-    totals, by_type, staging, position = (new_folder(spark, n) for n in names)
-    events = with_sentinel(filters.valid_batch(_events(spark, folder)))
-    messages = streams.read_file_stream(spark, _message_files(spark, events))
-    out = HourlyTables(totals, by_type, staging)
-    finish(hourly.start_hourly(messages, out, position, stamp=stamp()))
-    return tables.read_table(spark, by_type, "window_start")
+    totals, by_type, position = (new_folder(spark, n) for n in ("totals", "by_type", "position"))
+    events = _events(spark, folder)
+    path = _message_files(spark, events, extra=_valid_one(events, 2030))
+    messages = streams.read_file_stream(spark, path)
+    finish(hourly.start_hourly(messages, HourlyTables(totals, by_type), position, stamp=stamp()))
+    whole = tables.read_table(spark, totals).withColumnRenamed("total_vehicles", "vehicle_count")
+    whole = whole.withColumns({"vehicle_type": F.lit("all"), "avg_observations": F.lit(None).cast("double")})
+    return tables.read_table(spark, by_type).unionByName(whole)
 
 
-@query("stream_hourly_totals", f"WITH {S.HOURLY} SELECT * FROM total")
+@query("stream_hourly_totals", f"WITH {S.STREAM_HOURLY} SELECT * FROM total")
 def stream_hourly_totals(spark: SparkSession, folder: str) -> DataFrame:
-    events = with_sentinel(filters.valid_batch(_events(spark, folder)))
-    messages = streams.read_file_stream(spark, _message_files(spark, events))
-    vehicles = hourly.vehicle_stream(messages)
+    events = _events(spark, folder)
+    path = _message_files(spark, events, extra=_valid_one(events, 2030))
+    vehicles = hourly.vehicle_stream(streams.read_file_stream(spark, path))
     return append_stream(live.zoneless(hourly.total_stream(vehicles)))
-
-
