@@ -352,21 +352,35 @@ def _sort_contexts(groups: int, per: int, length: int) -> Callable:
         if not columns:
             return pa.Table.from_batches([_rows(rows, ["bucket", "kind", "blob"])])
         doc, h, first, size = (np.concatenate(c) for c in zip(*columns))
-        size = size.astype(np.int64)
-        stop = np.cumsum(size)
-        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-        order = np.argsort(h, kind="stable")
-        found = []
-        for own in _pieces(h[order], size[order]):
+        owner = doc // per
+        # Equal texts are one class: the smallest owner's is sorted, what others have of it goes whole.
+        joined, classes = b"".join(texts), {}
+        stops = np.cumsum(size, dtype=np.int64)
+        bounds = zip((stops - size).tolist(), stops.tolist())
+        which = np.array([classes.setdefault(joined[a:z], len(classes)) for a, z in bounds], dtype=np.int64)
+        least = np.full(len(classes), np.iinfo(np.int64).max)
+        np.minimum.at(least, which, owner)
+        cut = owner > least[which]
+        found = [_spans(doc[cut], first[cut], size[cut] - np.uint32(length - 1))]
+        listed, hashes = list(classes), np.zeros(len(classes), dtype=np.uint64)
+        hashes[which] = h
+        order = np.argsort(hashes, kind="stable")
+        lengths = np.array([len(t) for t in listed], dtype=np.int64)
+        stays = np.flatnonzero(~cut)
+        stays = stays[np.argsort(which[stays], kind="stable")]
+        starts = np.searchsorted(which[stays], np.arange(len(listed) + 1))
+        for own in _pieces(hashes[order], lengths[order]):
             chosen = order[own]
-            lengths = size[chosen]
-            # Places of the piece's bytes in ``data``, text after text.
-            inside = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            part = data[np.repeat(stop[chosen] - lengths, lengths) + inside]
-            text, place = repeated_windows(part, lengths, doc[chosen] // per, length)
-            found.append((chosen[text], place))
-        text, place = (np.concatenate(c) for c in zip(*found))
-        marks = _spans(doc[text], (first[text] + place).astype(np.uint32), np.ones(len(text), np.uint32))
+            part = np.frombuffer(b"".join(listed[i] for i in chosen.tolist()), dtype=np.uint8)
+            text, place = repeated_windows(part, lengths[chosen], least[chosen], length)
+            # Back from a class to all its texts in the owner's rows.
+            kind = chosen[text]
+            times = starts[kind + 1] - starts[kind]
+            at = np.repeat(starts[kind], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            own_rows = stays[at]
+            windows = first[own_rows].astype(np.int64) + np.repeat(place, times)
+            found.append(_spans(doc[own_rows], windows, np.ones(len(windows), np.int64)))
+        marks = [np.concatenate(c) for c in zip(*found)]
         rows += [(g, CUT, b) for g, b in _dealt(marks[0] % groups, *marks)]
         return pa.Table.from_batches([_rows(rows, ["bucket", "kind", "blob"])])
 
