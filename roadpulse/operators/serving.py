@@ -40,33 +40,26 @@ def union_times(by_type: DataFrame, cameras: list[str]) -> DataFrame:
 def type_timeline(by_type: DataFrame) -> DataFrame:
     """Per camera every one of its times with every one of its types, zeros where absent.
 
-    Long form: one row per (camera, time, type, metric). The values of one (camera, time) travel
-    as a map with an entry per type, so each row is expanded in place: the join attaches one row
-    of types per camera and no pairs are formed.
+    Long form: one row per (camera, time, type, metric). A camera's types are gathered beside its rows, so
+    the input is computed once, and each (camera, time) is expanded in place: no pairs are formed. Rows
+    without a type are left out; of repeated rows the one with the most vehicles counts.
     """
-    at = by_type.groupBy("source_id", F.col("window_end").alias("recorded_at")).agg(
-        F.map_from_entries(
-            F.collect_list(
-                F.struct(
-                    "vehicle_type",
-                    F.struct(
-                        F.coalesce("vehicle_count", F.lit(0)).alias("vehicle_count"),
-                        F.coalesce("avg_speed_kmh", F.lit(0.0)).alias("avg_speed_kmh"),
-                    ),
-                )
-            )
-        ).alias("seen")
+    typed = by_type.where(F.col("vehicle_type").isNotNull())
+    of_camera = F.collect_set("vehicle_type").over(Window.partitionBy("source_id"))
+    value = F.struct(
+        "vehicle_type",
+        F.coalesce("vehicle_count", F.lit(0)).alias("vehicle_count"),
+        F.coalesce("avg_speed_kmh", F.lit(0.0)).alias("avg_speed_kmh"),
     )
-    types = (
-        by_type.select("source_id", "vehicle_type")
-        .distinct()
-        .groupBy("source_id")
-        .agg(F.collect_list("vehicle_type").alias("types"))
+    at = (
+        typed.withColumn("types", of_camera)
+        .groupBy("source_id", F.col("window_end").alias("recorded_at"))
+        .agg(F.sort_array(F.collect_list(value)).alias("seen"), F.any_value("types").alias("types"))
     )
+    own = F.filter("seen", lambda v: v["vehicle_type"] == F.col("vehicle_type"))
     dense = (
-        at.join(types, "source_id")
-        .select("source_id", "recorded_at", "seen", F.explode("types").alias("vehicle_type"))
-        .withColumn("value", F.try_element_at("seen", F.col("vehicle_type")))
+        at.select("source_id", "recorded_at", "seen", F.explode("types").alias("vehicle_type"))
+        .withColumn("value", F.try_element_at(own, F.lit(-1)))
         .select(
             "source_id",
             "recorded_at",
@@ -87,7 +80,7 @@ def pivot_types(by_type: DataFrame, camera: str, types: list[str]) -> DataFrame:
         by_type.where((F.col("source_id") == camera) & F.col("vehicle_type").isin(types))
         .groupBy(F.col("window_end").alias("recorded_at"))
         .pivot("vehicle_type", types)
-        .agg(F.sum("vehicle_count").alias("count"), F.first("avg_speed_kmh").alias("speed"))
+        .agg(F.sum("vehicle_count").alias("count"), F.max("avg_speed_kmh").alias("speed"))
         .na.fill(0, metrics)
         .orderBy("recorded_at")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,6 +64,35 @@ HOURLY_BY_TYPE_SCHEMA = T.StructType(
     ]
 )
 
+# The history of 5-second windows per camera and vehicle type.
+LIVE_HISTORY_SCHEMA = T.StructType(
+    [
+        T.StructField("source_id", T.StringType(), False),
+        T.StructField("vehicle_type", T.StringType(), False),
+        T.StructField("window_start", T.TimestampNTZType(), False),
+        T.StructField("window_end", T.TimestampNTZType(), False),
+        T.StructField("total_count", T.IntegerType()),
+        T.StructField("avg_speed", T.DecimalType(6, 2)),
+        T.StructField("max_speed", T.DecimalType(6, 2)),
+        T.StructField("min_speed", T.DecimalType(6, 2)),
+        T.StructField("avg_confidence", T.DecimalType(4, 3)),
+        T.StructField("traffic_status", T.StringType()),
+        T.StructField("created_at", T.TimestampNTZType()),
+    ]
+)
+
+# Lengths and defaults of the published tables; "now" is the time of writing.
+LENGTHS = {
+    "live_history": {"source_id": 20, "vehicle_type": 20, "traffic_status": 20},
+    "hourly_summary": {"source_id": 50},
+    "hourly_by_type": {"source_id": 50, "vehicle_type": 50},
+}
+DEFAULTS = {
+    "live_history": {"total_count": 0, "created_at": "now"},
+    "hourly_summary": {"total_vehicles": 0, "created_at": "now"},
+    "hourly_by_type": {"vehicle_count": 0, "created_at": "now"},
+}
+
 LIVE_KEY = ["source_id"]
 SUMMARY_KEY = ["window_start", "source_id"]
 TYPE_KEY = ["window_start", "source_id", "vehicle_type"]
@@ -81,6 +110,21 @@ def schema_violations(df: DataFrame, expected: T.StructType) -> list[tuple[str,
     return problems
 
 
+def with_defaults(df: DataFrame, defaults: dict, stamp: Column | None = None) -> DataFrame:
+    """Add the columns that are absent, filled with their defaults, and fill nulls of those present."""
+    now = F.current_timestamp().cast("timestamp_ntz") if stamp is None else stamp
+    values = {c: now if v == "now" else F.lit(v) for c, v in defaults.items()}
+    return df.withColumns({c: F.coalesce(F.col(c), v) if c in df.columns else v for c, v in values.items()})
+
+
+def column_listing(df: DataFrame) -> DataFrame:
+    """One row per column: position, name, type and whether it may be null."""
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields, 1)]
+    return df.sparkSession.createDataFrame(
+        rows, "position int, column_name string, data_type string, is_nullable boolean"
+    )
+
+
 def contract_violations(
     df: DataFrame,
     not_null: list[str] = (),
@@ -121,6 +165,8 @@ def contract_violations(
                 "violations",
             )
         )
+    if not parts:
+        return df.sparkSession.createDataFrame([], "check string, column_name string, violations bigint")
     return reduce(DataFrame.unionByName, parts)
 
 

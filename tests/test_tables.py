@@ -155,3 +155,34 @@ def test_snapshot_changes(spark):
     after = spark.createDataFrame([("a", 1, 1.0, 1.0, "X", None), ("b", 1, 1.0, 1.0, "Y", "t"), ("d", None, None, None, None, None)], schema)
     got = {r.source_id: r.changed for r in snapshot_changes(before, after).collect()}
     assert got == {"a": False, "b": True, "c": True, "d": True}
+
+
+def test_written_columns_keep_the_contract(spark, small):
+    from roadpulse import schema as S
+    from workload import inputs as I
+
+    stamp = F.lit(DAY).cast("timestamp_ntz")
+    assert S.schema_violations(I.snapshot_rows(spark, small), S.LIVE_SNAPSHOT_SCHEMA) == []
+    for rows, declared, name in (
+        (I.hourly_totals(spark, small), S.HOURLY_SUMMARY_SCHEMA, "hourly_summary"),
+        (I.hourly_by_type(spark, small), S.HOURLY_BY_TYPE_SCHEMA, "hourly_by_type"),
+    ):
+        assert S.schema_violations(rows, declared) == []
+        filled = S.with_defaults(rows, S.DEFAULTS[name], stamp)
+        assert filled.where("created_at is null").isEmpty()
+        needed = [f.name for f in declared.fields if not f.nullable]
+        found = S.contract_violations(filled, needed, S.LENGTHS[name], S.SUMMARY_KEY if name == "hourly_summary" else S.TYPE_KEY)
+        assert {r.violations for r in found.collect()} == {0}
+
+
+def test_defaults_listing_and_no_rules(spark):
+    from roadpulse import schema as S
+
+    df = spark.createDataFrame([("a", None), ("b", 3)], "source_id string, total_count int")
+    filled = S.with_defaults(df, S.DEFAULTS["live_history"], F.lit(DAY).cast("timestamp_ntz"))
+    assert [(r.total_count, r.created_at) for r in filled.collect()] == [(0, DAY), (3, DAY)]
+    listed = [tuple(r) for r in S.column_listing(df).collect()]
+    assert listed == [(1, "source_id", "string", True), (2, "total_count", "int", True)]
+    assert S.contract_violations(df).collect() == []
+    history = spark.createDataFrame([], S.LIVE_HISTORY_SCHEMA)
+    assert S.schema_violations(history, S.LIVE_HISTORY_SCHEMA) == []

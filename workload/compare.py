@@ -9,7 +9,7 @@ def canonical(names: list[str], rows) -> list[tuple]:
 
     def plain(value):
         if value is None:
-            return ""
+            return "\0"  # not the empty string
         if isinstance(value, float):
             return f"{value:.9g}" if value else "0"
         return str(value)

@@ -125,6 +125,32 @@ def dq_speed_anomalies(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_REPORTED = f"""{S.HOURLY}, once AS (SELECT window_start, source_id, avg_speed_kmh * 6 AS avg_speed_kmh FROM total),
+  loaded AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE source_id IN ('cam_01', 'cam_03')),
+  recent AS (SELECT * FROM loaded WHERE window_start >= {S.NOW} - INTERVAL 1 HOUR)"""
+
+
+@query(
+    "dq_quality_report",
+    f"""WITH {_REPORTED}
+    SELECT source_id, window_start, count(*) AS dup_count, CAST(NULL AS DOUBLE) AS max_speed,
+      CAST(NULL AS BOOLEAN) AS is_anomaly FROM recent GROUP BY 1, 2 HAVING count(*) > 1
+    UNION ALL SELECT source_id, NULL, NULL, {S.rnd("max(avg_speed_kmh)", 4)},
+      min(avg_speed_kmh) < 0 OR max(avg_speed_kmh) > 200 FROM recent GROUP BY 1""",
+)
+def dq_quality_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of the last hour over a summary that was loaded twice for two cameras."""
+    once = I.hourly_totals(spark, folder).select(
+        "window_start", "source_id", (F.col("avg_speed_kmh") * 6).alias("avg_speed_kmh")
+    )
+    loaded = once.unionByName(once.where(F.col("source_id").isin("cam_01", "cam_03")))
+    duplicates, anomalies = aggregates.quality_report(loaded, I.AS_OF)
+    speeds = anomalies.select("source_id", rounded(F.col("max_speed"), 4).alias("max_speed"), "is_anomaly")
+    return duplicates.unionByName(speeds, allowMissingColumns=True).select(
+        "source_id", "window_start", "dup_count", "max_speed", "is_anomaly"
+    )
+
+
 @query(
     "agg_network_summary",
     f"""WITH {S.SNAPSHOT} SELECT CAST(coalesce(sum(total_vehicles), 0) AS BIGINT) AS total_vehicles,

@@ -222,10 +222,14 @@ def live_rows(windows: DataFrame, stamp: datetime = AS_OF) -> DataFrame:
     return projections.live_row(windows, clock.ntz(stamp))
 
 
+def snapshot_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The published current row per camera."""
+    return live_rows(aggregates.latest_per_source(live_hours(spark, folder)))
+
+
 def snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """The dashboard's current row per camera."""
-    newest = aggregates.latest_per_source(live_hours(spark, folder))
-    return projections.snapshot_view(live_rows(newest))
+    return projections.snapshot_view(snapshot_rows(spark, folder))
 
 
 def hourly_totals(spark: SparkSession, folder: str) -> DataFrame:

@@ -89,6 +89,26 @@ def filter_frame_sample(spark: SparkSession, folder: str) -> DataFrame:
     return sampled.select("event_id", "source_id", "frame")
 
 
+@query(
+    "local_time_formats",
+    f"""WITH {S.DET} SELECT event_id, date_trunc('second', ts) AS event_time FROM det
+    WHERE event_id % 5 <> 4""",
+)
+def local_time_formats(spark: SparkSession, folder: str) -> DataFrame:
+    """Event times as they come: plain, ISO with an offset, in UTC, with a fraction, and broken ones."""
+    n, ts = F.col("event_id"), F.date_trunc("second", F.col("ts"))
+    utc = ts.cast("timestamp_ntz") - F.expr("interval 7 hours")
+    text = (
+        F.when(n % 5 == 0, F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+        .when(n % 5 == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+07:00'"))
+        .when(n % 5 == 2, F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .when(n % 5 == 3, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+        .otherwise(F.date_format(ts, "dd/MM/yyyy HH:mm"))
+    )
+    events = I.detections(spark, folder).withColumn("timestamp", text)
+    return filters.parsable_time(events).select("event_id", "event_time")
+
+
 @query(
     "filter_incidents",
     f"""WITH {S.LIVE} SELECT source_id, window_start, traffic_status FROM live
