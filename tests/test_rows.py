@@ -204,3 +204,24 @@ def test_camera_settings_are_checked(spark):
 
 def test_event_schema_is_nullable():
     assert all(f.nullable for f in EVENT_SCHEMA.fields)
+
+
+def test_timeline_of_odd_rows(spark):
+    """A row without a type is left out; of repeated rows the one with the most vehicles counts."""
+    from roadpulse.operators import serving
+
+    at = [datetime(2024, 1, 1, h) for h in (1, 2)]
+    rows = [("a", at[0], "car", 2, 10.0), ("a", at[0], "car", 5, 20.0), ("a", at[0], None, 9, 9.0), ("a", at[1], "bus", None, None)]
+    df = spark.createDataFrame(rows, "source_id string, window_end timestamp_ntz, vehicle_type string, vehicle_count int, avg_speed_kmh double")
+    got = {(r.recorded_at.hour, r.vehicle_type, r.metric): r.value for r in serving.type_timeline(df).collect()}
+    assert got[(1, "car", "count")] == 5 and got[(1, "car", "speed")] == 20.0
+    assert got[(2, "car", "count")] == got[(2, "bus", "count")] == got[(1, "bus", "speed")] == 0.0
+    assert len(got) == 8
+
+
+def test_times_with_offsets(spark):
+    texts = ["2024-01-01T10:00:00+07:00", "2024-01-01T03:00:00Z", "2024-01-01 10:00:00", "2024-01-01T00:30:00.5-02:30", "2024-01-01", None]
+    df = spark.createDataFrame([(t,) for t in texts], "timestamp string")
+    kept = [r.event_time for r in filters.parsable_time(df).collect()]
+    assert kept == [datetime(2024, 1, 1, 10)] * 3 + [datetime(2024, 1, 1, 10, 0, 0, 500_000)]
+    assert tuple(filters.unparsable_times(df).first()) == (4, 1, 1)

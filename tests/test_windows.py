@@ -119,3 +119,68 @@ def test_heat_points_keep_plausible_last_rows(spark):
     df = spark.createDataFrame(rows, "source_id string, tracker_id int, frame int, mx double, my double, speed_kmh double")
     got = {r.tracker_id: (r.mx, r.heat) for r in windows.heat_points(df).collect()}
     assert got == {1: (1.0, 0.5), 3: (3.0, 1.0)}
+
+
+def visits(rows, seconds):
+    """Number of the visit of each row: a track unseen for longer starts anew."""
+    out, last = {}, {}
+    for event, source, tracker, frame, *_ in sorted(rows, key=lambda r: r[3]):
+        before = last.get((source, tracker))
+        number = 0 if before is None else before[1] + (frame - before[0] > seconds)
+        last[(source, tracker)] = (frame, number)
+        out[event] = number
+    return out
+
+
+@pytest.mark.parametrize("slice_rows", [10**6, 37])
+def test_a_track_unseen_for_long_starts_anew(walk, slice_rows):
+    """A frame stands for a second here; jumps of 300 frames part visits."""
+    rows, df = walk
+    number = visits(rows, 5)
+    apart = [(e, s, (t, number[e]), f, x, y, c) for e, s, t, f, x, y, c in rows]
+    want = simulate(apart)
+    timed = df.withColumn("ts", F.timestamp_seconds("frame"))
+    end = windows.endpoint_speed(timed, FPS, gap="5 seconds", slice_rows=slice_rows).collect()
+    for r in end:
+        assert (r.points, r.speed_kmh) == pytest.approx(want[r.event_id][:2], abs=1e-9)
+    for r in windows.smooth_speed(timed, FPS, gap="5 seconds", slice_rows=slice_rows).collect():
+        assert r.path_speed_kmh == pytest.approx(want[r.event_id][2], abs=1e-9)
+        assert r.smooth_speed_kmh == pytest.approx(want[r.event_id][3], abs=1e-9)
+    for r in windows.trajectory_array(timed, gap="5 seconds", slice_rows=slice_rows).collect():
+        assert [(p.x, p.y) for p in r.trajectory] == want[r.event_id][4]
+    assert len(end) == len(rows)
+
+
+@pytest.mark.parametrize("slice_rows", [10**6, 50])
+def test_each_track_has_its_own_frame_rate(walk, slice_rows):
+    rows, df = walk
+    rate = {1: 7.0, 2: 12.5, 6: 3.0}
+    column = F.when(F.col("tracker_id") == 1, 7.0).when(F.col("tracker_id") == 2, 12.5).when(F.col("tracker_id") == 6, 3.0)
+    got = windows.endpoint_speed(df.withColumn("fps", column), "fps", rates=[7.0, 12.5, 3.0], slice_rows=slice_rows).collect()
+    want = {fps: simulate(rows, fps) for fps in (7.0, 12.5, 3.0, 25.0)}
+    for r in got:
+        assert (r.points, r.speed_kmh) == pytest.approx(want[rate.get(r.tracker_id, 25.0)][r.event_id][:2], abs=1e-9)
+    assert len(got) == len(rows)
+
+
+@pytest.mark.parametrize("slice_rows", [10**6, 50])
+def test_first_class_in_the_same_pass(walk, slice_rows):
+    rows, df = walk
+    first = {}
+    for r in sorted(rows, key=lambda r: r[3]):
+        first.setdefault((r[1], r[2]), r[6])
+    got = windows.endpoint_speed(df, FPS, first="class_id", slice_rows=slice_rows).collect()
+    assert len(got) == len(rows)
+    assert all(r.class_id == first[(r.source_id, r.tracker_id)] for r in got)
+
+
+def test_speeds_recover_from_an_outlier_and_a_nan(spark):
+    rows = [("a", 1, f, f * 0.1, 0.0) for f in range(200)]
+    rows[60] = ("a", 1, 60, 1e15, 0.0)
+    rows[120] = ("a", 1, 120, float("nan"), 0.0)
+    df = spark.createDataFrame(rows, "source_id string, tracker_id int, frame int, mx double, my double")
+    got = {r.frame: r for r in windows.smooth_speed(df, 25.0).collect()}
+    steady = got[50].path_speed_kmh
+    for frame in (105, 110, 165, 199):
+        assert got[frame].path_speed_kmh == pytest.approx(steady)
+        assert got[frame].smooth_speed_kmh == pytest.approx(steady)
