@@ -112,4 +112,59 @@ SELECT doc_id, CAST(len(coded.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0)
 FROM coded LEFT JOIN stays USING (doc_id) LEFT JOIN sums USING (doc_id)
 """
 
-SQL = {"op6_suffix_array_dedup": OP6, "op7_benchmark_decontamination": OP7, "op1_license_scans": OP1, "op2_chat_formatting": OP2}
+def _url_level(k: int) -> str:
+    """Tables of one level of the template tree: ``tree{k}`` with one more segment generalised."""
+    return f"""
+  at{k} AS (SELECT *, coalesce(segments[{k + 1}], '') AS segment FROM tree{k}),
+  branches{k} AS (SELECT host, done, segment, sum(n) AS bn, sum(labelled) AS bl, sum(bad) AS bb FROM at{k} GROUP BY ALL),
+  parents{k} AS (
+    SELECT host, done, sum(bn) AS pn, count(*) AS children, sum(CASE WHEN bl >= 5 THEN bl ELSE 0 END) AS pl,
+      sum(CASE WHEN bl >= 5 THEN bb ELSE 0 END) AS pb FROM branches{k} GROUP BY ALL),
+  steps{k} AS (
+    SELECT host, done, segment, CASE WHEN segment = '' THEN ''
+      WHEN children >= 10 AND children >= 0.3::DOUBLE * pn THEN '/*'
+      WHEN bl >= 5 AND pl - bl >= 5 AND abs(bb / bl - (pb - bb) / (pl - bl))
+        <= 1.96::DOUBLE * sqrt((pb / pl) * (1 - pb / pl) * (1 / bl + 1 / (pl - bl))) THEN '/*'
+      ELSE '/' || segment END AS step
+    FROM branches{k} JOIN parents{k} USING (host, done)),
+  tree{k + 1} AS (
+    SELECT host, segments, n, labelled, bad, done || step AS done FROM at{k} JOIN steps{k} USING (host, done, segment)),"""
+
+
+_STEM = r"regexp_replace(x, '\.[A-Za-z]{1,5}$', '')"
+OP8 = rf"""
+WITH rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+  ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+parts AS (SELECT row_number() OVER () AS r, page_id, url, substr(url, strpos(url, '://') + 3) AS rest FROM pages),
+urls AS (
+  SELECT r, page_id,
+    CASE WHEN strpos(url, '://') > 0 THEN translate(regexp_extract(rest, '^[^/?#]*'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+    CASE WHEN strpos(url, '://') > 0 THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM parts),
+fits AS (
+  SELECT r, h || p AS rule, verdict FROM urls, rules
+  WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY length(h || p) DESC, h || p) = 1),
+shaped AS (
+  SELECT urls.*, rule, verdict, list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x:
+    CASE WHEN regexp_full_match({_STEM}, '[0-9]+') OR length({_STEM}) >= 40
+        OR (regexp_full_match({_STEM}, '[0-9A-Fa-f-]{{8,}}') AND regexp_matches({_STEM}, '[0-9]'))
+        OR (length({_STEM}) >= 12 AND regexp_matches({_STEM}, '[0-9].*[0-9].*[0-9]'))
+      THEN '*' || regexp_extract(x, '\.[A-Za-z]{{1,5}}$') ELSE x END) AS own
+  FROM urls LEFT JOIN fits USING (r)),
+ruled AS (SELECT *, CASE WHEN len(own) > 4 THEN list_append(own[1:4], '**') ELSE own END AS segments FROM shaped),
+tree0 AS (
+  SELECT host, segments, count(*) AS n, count(verdict) AS labelled,
+    sum(CASE WHEN verdict = 'block' THEN 1 ELSE 0 END) AS bad, '' AS done FROM ruled GROUP BY host, segments),
+{"".join(_url_level(k) for k in range(4))}
+judged AS (
+  SELECT host, done AS template, (sum(bad) + 4.0::DOUBLE * 0.25::DOUBLE) / (sum(labelled) + 4.0::DOUBLE) AS share
+  FROM tree4 GROUP BY ALL),
+leaves AS (
+  SELECT tree4.host, segments, template, share FROM tree4 JOIN judged ON tree4.host = judged.host AND done = template)
+SELECT page_id, ruled.host, path, rule,
+  coalesce(verdict, CASE WHEN share >= 0.6::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict, template, share
+FROM ruled JOIN leaves ON ruled.host = leaves.host AND ruled.segments = leaves.segments
+"""
+
+SQL = {"op8_url_filters": OP8, "op6_suffix_array_dedup": OP6, "op7_benchmark_decontamination": OP7, "op1_license_scans": OP1, "op2_chat_formatting": OP2}
