@@ -57,6 +57,9 @@ SEVERITY_MEDIUM = "Sedang"
 SEVERITY_INFO = "Info"
 NO_LIVE_DATA_TITLE = "Belum ada data realtime"
 NO_LIVE_DATA_TIME = "Menunggu sinkronisasi"
+
+# Route cards (name, load, status) while there is no data.
+WAITING_ROUTE_CARDS = [("Camera-01", 72, "PADAT"), ("Camera-02", 58, "LANCAR")]
 JUST_NOW = "baru saja"
 
 # Camera calibration. (x, y) are frame pixels, target sizes are metres.

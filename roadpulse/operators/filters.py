@@ -86,7 +86,11 @@ def frame_sample(df: DataFrame, every: int = 2, column: str = "frame") -> DataFr
 
 def incidents(df: DataFrame, status: str = "traffic_status") -> DataFrame:
     """Cameras that are not free-flowing; an unknown state counts as free."""
-    return df.where(F.coalesce(F.col(status), F.lit(C.STATUS_FREE)) != C.STATUS_FREE)
+    return df.where(is_incident(status))
+
+
+def is_incident(status: str = "traffic_status") -> Column:
+    return F.coalesce(F.col(status), F.lit(C.STATUS_FREE)) != C.STATUS_FREE
 
 
 def between(column: Column, start: datetime, end: datetime) -> Column:

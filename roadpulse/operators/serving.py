@@ -119,17 +119,29 @@ def alert_rows(incidents: DataFrame) -> DataFrame:
     )
 
 
+def _or_waiting(snapshot: DataFrame, waiting: DataFrame) -> DataFrame:
+    """The snapshot's rows with ``_live`` true, or where there are none those of ``waiting``.
+
+    A snapshot has a row per camera; it is computed once.
+    """
+    both = snapshot.withColumn("_live", F.lit(True)).unionByName(
+        waiting.withColumn("_live", F.lit(False)), allowMissingColumns=True
+    )
+    some = F.max("_live").over(Window.partitionBy(F.lit(0)))
+    return both.withColumn("_some", some).where(F.col("_live") == F.col("_some")).drop("_some")
+
+
 def top_alerts(spark: SparkSession, snapshot: DataFrame, n: int = 3) -> DataFrame:
     """The first n incidents by camera; one information row when there is no snapshot at all."""
-    alerts = alert_rows(filters.incidents(snapshot).orderBy("source_id").limit(n))
-    info = spark.range(1).where(~snapshot.exists())
-    return alerts.unionByName(
-        info.select(
-            F.lit(C.NO_LIVE_DATA_TITLE).alias("title"),
-            F.lit(C.NO_LIVE_DATA_TIME).alias("time"),
-            F.lit(C.SEVERITY_INFO).alias("severity"),
-        )
-    )
+    rows = _or_waiting(snapshot, spark.range(1).select(F.lit("").alias("source_id")))
+    shown = rows.where(~F.col("_live") | filters.is_incident()).orderBy("source_id").limit(n)
+    texts = {"title": C.NO_LIVE_DATA_TITLE, "time": C.NO_LIVE_DATA_TIME, "severity": C.SEVERITY_INFO}
+    own = {
+        "title": traffic.alert_title(F.col("source_id"), F.col("traffic_status")),
+        "time": traffic.alert_time(F.col("last_update")),
+        "severity": traffic.alert_severity(F.col("traffic_status")),
+    }
+    return shown.select(*[F.when(F.col("_live"), own[c]).otherwise(F.lit(texts[c])).alias(c) for c in own])
 
 
 def camera_cards(snapshot: DataFrame, n: int = 2) -> DataFrame:
@@ -145,13 +157,18 @@ def camera_cards(snapshot: DataFrame, n: int = 2) -> DataFrame:
 
 
 def route_cards(snapshot: DataFrame, n: int = 3) -> DataFrame:
-    """The first n cameras with their road load."""
+    """The first n cameras with their road load; two fixed cards when there is no snapshot at all."""
+    fixed = snapshot.sparkSession.createDataFrame(
+        C.WAITING_ROUTE_CARDS, "source_id string, _load int, traffic_status string"
+    )
+    load = traffic.load_score(F.col("avg_speed"), F.col("total_vehicles"))
     return (
-        snapshot.orderBy("source_id")
+        _or_waiting(snapshot, fixed)
+        .orderBy("source_id")
         .limit(n)
         .select(
             F.col("source_id").alias("name"),
-            traffic.load_score(F.col("avg_speed"), F.col("total_vehicles")).alias("load"),
+            F.when(F.col("_live"), load).otherwise(F.col("_load")).alias("load"),
             F.col("traffic_status").alias("status"),
         )
     )

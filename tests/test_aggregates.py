@@ -143,6 +143,8 @@ def test_empty_network(spark):
         }
     alerts = serving.top_alerts(spark, empty).collect()
     assert [tuple(r) for r in alerts] == [("Belum ada data realtime", "Menunggu sinkronisasi", "Info")]
+    cards = [tuple(r) for r in serving.route_cards(empty).collect()]
+    assert cards == [("Camera-01", 72, "PADAT"), ("Camera-02", 58, "LANCAR")]
 
 
 def test_roster_with_some_snapshots(spark):
@@ -157,6 +159,9 @@ def test_roster_with_some_snapshots(spark):
     assert [r.source_id for r in joins.roster_default(one, roster, True).collect()] == ["cam_02"]
     alerts = serving.top_alerts(spark, one).collect()
     assert [(r.title, r.severity) for r in alerts] == [("cam_02 macet", "Tinggi")]
+    assert [r.name for r in serving.route_cards(one).collect()] == ["cam_02"]
+    free = one.withColumn("traffic_status", F.lit("LANCAR"))
+    assert serving.top_alerts(spark, free).collect() == []
 
 
 def test_timeline_is_dense_per_camera(spark):

@@ -53,6 +53,19 @@ def decode_events_checked(spark: SparkSession, folder: str) -> DataFrame:
     return I.flat_nullable(good)
 
 
+@query(
+    "decode_quarantine",
+    f"""WITH {S.DECODED} SELECT 'source_id,tracker_id,vehicle_type,speed_kmh,timestamp' AS missing,
+    count(*) AS messages, CAST(20 AS BIGINT) AS characters FROM decoded WHERE cut""",
+)
+def decode_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """What the checked decoding sets aside, by what it lacks, and how long the texts are at most."""
+    _, aside = streams.decode_checked(I.damaged_messages(spark, folder))
+    return aside.groupBy(F.array_join("missing", ",").alias("missing")).agg(
+        F.count("*").alias("messages"), F.max(F.length("value")).cast("bigint").alias("characters")
+    )
+
+
 @query(
     "set_missing_columns",
     f"""WITH {S.DECODED}, n AS (SELECT count_if(NOT cut) AS messages FROM decoded)

@@ -129,11 +129,12 @@ def join_roster_default(spark: SparkSession, folder: str) -> DataFrame:
     "diff_snapshot",
     f"""WITH {S.LIVE},
     {S.newest("live", "old_rows", f"window_start < {S.NOW}")}, {S.newest("live", "new_rows")},
-    o AS (SELECT {S.live_row(S.BEFORE)} FROM old_rows), n AS (SELECT {S.live_row()} FROM new_rows)
+    o AS (SELECT {S.live_row()} FROM old_rows), n AS (SELECT {S.live_row()} FROM new_rows)
     SELECT coalesce(o.source_id, n.source_id) AS source_id,
       o.total_count IS DISTINCT FROM n.total_count OR o.avg_speed IS DISTINCT FROM n.avg_speed
       OR o.max_speed IS DISTINCT FROM n.max_speed
-      OR o.traffic_status IS DISTINCT FROM n.traffic_status AS changed
+      OR o.traffic_status IS DISTINCT FROM n.traffic_status
+      OR o.updated_at IS DISTINCT FROM n.updated_at AS changed
     FROM o FULL JOIN n ON o.source_id = n.source_id""",
 )
 def diff_snapshot(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,8 +144,7 @@ def diff_snapshot(spark: SparkSession, folder: str) -> DataFrame:
         projections.snapshot_view(I.live_rows(aggregates.latest_per_source(rows)))
         for rows in (before, windows)
     )
-    shown = ["total_vehicles", "avg_speed", "max_speed", "traffic_status"]
-    return joins.snapshot_changes(old, new, shown)
+    return joins.snapshot_changes(old, new)
 
 
 @query(
