@@ -37,9 +37,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of the text that they decode to."""
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), WORD_BPE).drop("text")
-    decoded = bpe.decode(ids, WORD_BPE)
-    return decoded.select(
+    return bpe.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), WORD_BPE).select(
         "doc_id",
         "lang",
         "source",

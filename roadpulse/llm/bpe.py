@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from roadpulse.llm.common import with_computed
 
@@ -169,6 +170,23 @@ def _content(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(file.read())
 
 
+def _id_lists(texts: pa.Array, chunks: _Chunks) -> pa.ListArray:
+    """Token ids of each text."""
+    ends, found = [0], []
+    for value in texts:
+        found.append(chunks.encode(value.as_py() or ""))
+        ends.append(ends[-1] + len(found[-1]) // 4)
+        chunks.forget()
+    flat = pa.array(np.frombuffer(b"".join(found), dtype=np.int32))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+
+
+def _decoded(lists: pa.Array, strings: np.ndarray) -> pa.Array:
+    """The vocabulary's strings of each list, joined by a space."""
+    texts = [" ".join(strings[x.values.to_numpy()]) if x.is_valid and len(x) else "" for x in lists]
+    return pa.array(texts, pa.string())
+
+
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """The rows with ``out``, the token ids (array<int>) of the whole ``text``.
 
@@ -179,17 +197,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
 
     def start() -> Callable:
         chunks = _Chunks(Vocabulary(content.value))
-
-        def compute(texts: pa.Array) -> pa.Array:
-            ends, found = [0], []
-            for value in texts:
-                found.append(chunks.encode(value.as_py() or ""))
-                ends.append(ends[-1] + len(found[-1]) // 4)
-                chunks.forget()
-            flat = pa.array(np.frombuffer(b"".join(found), dtype=np.int32))
-            return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
-
-        return compute
+        return lambda texts: _id_lists(texts, chunks)
 
     return with_computed(df, text, out, "array<int>", start)
 
@@ -200,17 +208,32 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     These files name no decoder; their library then puts a space between the strings. Null or empty
     ids give an empty text. The other columns pass through; one already named ``out`` is replaced.
     """
-    with open(path, encoding="utf-8") as file:
-        listed = Vocabulary(file.read()).strings
-    sent = df.sparkSession.sparkContext.broadcast(listed)
+    content = _content(df, path)
 
     def start() -> Callable:
-        strings = np.array(sent.value, dtype=object)
+        strings = np.array(Vocabulary(content.value).strings, dtype=object)
+        return lambda lists: _decoded(lists, strings)
 
-        def compute(lists: pa.Array) -> pa.Array:
-            texts = [" ".join(strings[x.values.to_numpy()]) if x.is_valid and len(x) else "" for x in lists]
-            return pa.array(texts, pa.string())
+    return with_computed(df, ids, out, "string", start)
+
+
+def encode_and_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``decode(encode(df))`` in one pass: the rows with ``ids`` and ``out``.
+
+    One Python process per task does both; two in a row would hold two copies of the vocabulary.
+    """
+    content = _content(df, path)
+
+    def start() -> Callable:
+        vocabulary = Vocabulary(content.value)
+        chunks, strings = _Chunks(vocabulary), np.array(vocabulary.strings, dtype=object)
+
+        def compute(texts: pa.Array) -> pa.Array:
+            lists = _id_lists(texts, chunks)
+            return pa.StructArray.from_arrays([lists, _decoded(lists, strings)], ["ids", "decoded"])
 
         return compute
 
-    return with_computed(df, ids, out, "string", start)
+    both = with_computed(df, text, "__both", "struct<ids:array<int>,decoded:string>", start)
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in (ids, out)]
+    return both.select(*kept, F.col("__both.ids").alias(ids), F.col("__both.decoded").alias(out))

@@ -201,31 +201,12 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 @query
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of every document, and the text that they decode to, as digests."""
-    ids = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), WORD_BPE)
-    listed = ids.select(
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.encode_and_decode(docs, WORD_BPE).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        "ids",
-    )
-    return bpe.decode(listed, WORD_BPE).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
-    )
-
-
-KEEP_SCORE = 0.3
-
-
-@query
-def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document's quality score by trees that learned from the rows not held out."""
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    trees = quality.train(docs, table(spark, folder, "labels"))
-    return quality.score(docs, trees).select(
-        "doc_id",
-        quality.held_out(F.col("doc_id")).alias("held_out"),
-        "score",
-        (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

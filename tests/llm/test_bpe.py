@@ -26,7 +26,9 @@ def test_rows_equal_the_library(spark, prose, library):
     texts = [*ODD, *prose, None]
     df = spark.createDataFrame([(i, t, "ids", 3) for i, t in enumerate(texts)], "doc_id long, text string, ids string, decoded int")
     ids = bpe.encode(df, PATH)
-    rows = {r["doc_id"]: r for r in bpe.decode(ids, PATH, out="back").collect()}
+    back = bpe.decode(ids, PATH, out="back")
+    assert sorted(back.collect()) == sorted(bpe.encode_and_decode(df, PATH, out="back").select(*back.columns).collect())
+    rows = {r["doc_id"]: r for r in back.collect()}
     for i, text in enumerate(texts):
         want = library.encode(text or "", add_special_tokens=False).ids
         assert list(rows[i]["ids"]) == want
