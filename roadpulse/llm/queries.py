@@ -210,6 +210,22 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+KEEP_SCORE = 0.3
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's quality score by trees that learned from the rows not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    trees = quality.train(docs, table(spark, folder, "labels"))
+    return quality.score(docs, trees).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The stages of the corpus pipeline over all documents."""

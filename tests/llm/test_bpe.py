@@ -5,7 +5,6 @@ import unicodedata
 
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from roadpulse.llm import bpe
