@@ -32,10 +32,14 @@ def words(text: Column) -> Column:
 
 
 def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """Batches cut into parts of few rows, so that what is made from long texts at once stays small."""
+    """Batches cut into parts of few rows, so that what is made from long texts at once stays small.
+
+    Python processes outlive their tasks, so freed Arrow memory is handed back after every batch.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        pa.default_memory_pool().release_unused()
 
 
 def with_computed(df: DataFrame, source: str, out: str, kind: str, start: Callable) -> DataFrame:

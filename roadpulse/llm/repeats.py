@@ -37,10 +37,10 @@ from roadpulse.session import written_out
 
 LENGTH, GRAM = 50, 24
 GROUP_BYTES = 8 << 20  # text per group; the number of groups follows the size of the corpus
-FLUSH = 8 << 20  # bytes of text whose anchors a task holds before it passes them on
+FLUSH = 3 << 20  # bytes of text whose anchors a task holds before it passes them on
 CHUNK = 1 << 20  # windows of a text that are hashed at once
 PIECE = 128 << 10  # text that is sorted at once, in whole anchors
-CROWD = 64  # contexts of one anchor in a task from which it is dealt by context and sorted by window
+CROWD = 24  # contexts of one anchor in a task from which it is dealt by context and sorted by window
 # Rows: windows to cut; contexts dealt by anchor; contexts dealt by themselves; anchors so dealt.
 CUT, ASK, CROWDED, NOTICE = range(4)
 
@@ -169,6 +169,7 @@ def _find_contexts(groups: int, per: int, length: int, gram: int) -> Callable:
                 if size >= FLUSH:
                     yield flush(held)
                     held, size = [], 0
+                    pa.default_memory_pool().release_unused()
         if held:
             yield flush(held)
 
@@ -276,7 +277,7 @@ def _texts_with_marks(kinds: tuple[str, ...], each: Callable, finish: Callable)
 
 def _cut_contexts(groups: int, per: int, length: int) -> Callable:
     """The asked contexts as texts, dealt by anchor; those of crowded anchors window by window, by text."""
-    limit = 8 << 20
+    limit = 3 << 20
 
     def each(state, batch, row, doc, data, marks):
         held, windows, cut = state.setdefault("parts", ([], {}, []))
@@ -414,14 +415,23 @@ def _cut_texts(kept: list[str], kept_bytes: str, spans: str, length: int) -> Cal
 
 
 def _step(df: DataFrame, label: str) -> DataFrame:
-    """Write a step's result; its shuffle files are not needed after that and are removed."""
-    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(name, "false")
-    conf.set(name, "true")
+    """Write a step's result; its shuffle files are not needed after that and are removed.
+
+    Texts go to Python in smaller batches meanwhile, which hold less memory on both sides.
+    """
+    conf = df.sparkSession.conf
+    wanted = {
+        "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    }
+    before = {name: conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        conf.set(name, value)
     try:
         return written_out(df, label)
     finally:
-        conf.set(name, before)
+        for name, value in before.items():
+            conf.set(name, value)
 
 
 def _numbered(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int, int]:
