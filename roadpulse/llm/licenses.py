@@ -4,6 +4,9 @@ A block is a window of ``BLOCK`` words; windows start every ``STEP`` words, so a
 ``STEP`` words lies in one of them whole. A template holds in a block that has at least ``SHARE`` of its
 distinct words. Candidates come from the rarest words of a template: words are ordered by their count
 in the whole corpus, and a block without one of a template's first ``n - needed + 1`` words can't hold it.
+
+Templates of few words hold for other licenses too, as those differ in a word or two. So a label is stated
+only where the template's name stands in the same block as well, its words side by side.
 """
 
 from __future__ import annotations
@@ -32,6 +35,17 @@ TEMPLATES = [
     ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
     ("proprietary", "All rights reserved no part may be reproduced without written permission"),
 ]
+# Template -> what names its license, and words after which it is another one. The other templates are
+# long sentences of their own.
+NAMES = {
+    "Released under the MIT License": ("mit", ()),
+    "Licensed under the Apache License, Version 2.0": ("apache", ()),
+    "This work is licensed under the GNU General Public License, version 3": ("gnu general public", ()),
+    "you can redistribute it and/or modify it under the terms of the GNU General Public License": ("gnu general public", ()),
+    "Licensed under CC BY 4.0": ("cc by", ("nc", "nd", "sa")),
+    "Licensed under CC BY-NC 4.0": ("cc by nc", ("nd", "sa")),
+    "Licensed under CC BY-SA 4.0": ("cc by sa", ("nc", "nd")),
+}
 
 
 def template_words(text: str) -> list[str]:
@@ -61,16 +75,42 @@ def _places(found: Column, phrase: str) -> Column:
     return F.when(some, F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), stands)).otherwise(none)
 
 
+def name_places(found: Column) -> Column:
+    """Where the names of the templates stand: array of (name, word, until)."""
+
+    def listed(name: str, unless: tuple[str, ...]) -> Column:
+        n = len(name.split())
+        places = _places(found, name)
+        if unless:
+            places = F.filter(places, lambda i: ~F.coalesce(F.get(found, i + n).isin(*unless), F.lit(False)))
+        return F.transform(places, lambda i: F.struct(F.lit(name).alias("name"), i.alias("word"), (i + n).alias("until")))
+
+    return F.concat(*[listed(*named) for named in sorted(set(NAMES.values()))])
+
+
+def _stated(held: Column, names: Column) -> Column:
+    """Labels of the held (block, template, label) whose template has no name or its name in the block."""
+    name_of = F.array(*[F.lit(NAMES.get(t, (None,))[0]).cast("string") for _, t in TEMPLATES])
+
+    def stands(h: Column) -> Column:
+        name, start = F.get(name_of, h["template"]), h["block"] * STEP
+        inside = lambda p: (p["name"] == name) & (p["word"] >= start) & (p["until"] <= start + BLOCK)
+        return name.isNull() | F.exists(names, inside)
+
+    return F.transform(F.filter(held, stands), lambda h: h["label"])
+
+
 def _labelled(places: Column, label: str) -> Column:
     return F.transform(places, lambda i: F.struct(F.lit(label).alias("label"), i.alias("word")))
 
 
 def phrase_places(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows without ``text``, with ``n_words`` and ``places``: array of (label, word), words from 0."""
+    """The rows without ``text``, with ``n_words``, ``places``: array of (label, word), words from 0, and ``names``."""
     found = docs.withColumn("__words__", words(F.col(text)))
     listed = F.concat(*[_labelled(_places(F.col("__words__"), p), label) for p, label in PHRASES.items()])
-    kept = [c for c in docs.columns if c not in (text, "n_words", "places")]
-    return found.select(*kept, F.size("__words__").alias("n_words"), listed.alias("places"))
+    kept = [c for c in docs.columns if c not in (text, "n_words", "places", "names")]
+    names = name_places(F.col("__words__"))
+    return found.select(*kept, F.size("__words__").alias("n_words"), listed.alias("places"), names.alias("names"))
 
 
 def word_order(docs: DataFrame, vocabulary: list[str], text: str = "text") -> list[str]:
@@ -131,6 +171,8 @@ def template_matches(
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: key, n_words, places of the phrases, labels of phrases and templates, and a score.
 
+    ``labels`` are those of every template that holds, also of one that only resembles the text's license;
+    ``stated_labels`` are those of the phrases and of the templates that hold and whose names stand there.
     ``score`` is 1 where a phrase stands, else the greatest containment of a template that holds, else 0.
     A null or empty text has no words, no labels and a score of 0. Repeated rows stay, each with the result
     of its own text; a null key is a key like any other. Other columns are not read, whatever their names.
@@ -140,16 +182,22 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     matched = (
         template_matches(rows, ["k", "h"], "t")
         .groupBy(F.col("k").alias("mk"), F.col("h").alias("mh"))
-        .agg(F.collect_set("label").alias("found"), F.max("containment").alias("best"))
+        .agg(
+            F.collect_set("label").alias("found"),
+            F.max("containment").alias("best"),
+            F.collect_set(F.struct("block", "template", "label")).alias("held"),
+        )
     )
     joined = based.join(matched, F.col("k").eqNullSafe(F.col("mk")) & (F.col("h") == F.col("mh")), "left")
     base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
     none = F.array().cast("array<string>")
+    stated = F.coalesce(_stated(F.col("held"), F.col("names")), none)
     return joined.select(
         F.col("k").alias(key),
         "n_words",
         "places",
         base.alias("base_labels"),
         F.array_sort(F.array_union(base, F.coalesce("found", none))).alias("labels"),
+        F.array_sort(F.array_union(base, stated)).alias("stated_labels"),
         F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
     )

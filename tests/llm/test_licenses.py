@@ -54,3 +54,28 @@ def test_equals_a_search_without_filters(spark, prose):
 
 def test_empty_table(spark):
     assert L.scan_licenses(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_each_license_is_told_from_the_others(spark):
+    given = [
+        ("Released under the MIT License", ["mit"]),
+        ("Released under the BSD License", []),
+        ("Licensed under the Apache License, Version 2.0", ["apache"]),
+        ("Licensed under the Mozilla Public License, Version 2.0", []),
+        ("This work is licensed under the GNU General Public License, version 3", ["gpl"]),
+        ("Licensed under CC BY 4.0", ["cc-by"]),
+        ("Licensed under CC BY 3.0", ["cc-by"]),
+        ("Licensed under CC BY-NC 4.0", ["cc-by-nc"]),
+        ("Licensed under CC BY-SA 4.0", ["cc-by-sa"]),
+        ("Licensed under CC BY-ND 4.0", []),
+        ("Licensed under CC BY-NC-SA 4.0", []),
+        ("Licensed under CC BY-SA 4.0, the figures licensed under CC BY 4.0", ["cc-by", "cc-by-sa"]),
+        *[(t, [label]) for label, t in L.TEMPLATES if t not in L.NAMES],
+        ("you can redistribute it and/or modify it under the terms of the GNU General Public License", ["gpl"]),
+    ]
+    # Also far into a text, and with a name only in a block where its template does not hold.
+    given += [(f"{PAD} {t}. {PAD}", want) for t, want in given]
+    given += [(f"Released under the BSD License {PAD} mit {PAD}", []), ("", []), (None, [])]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(given)], DOCS)
+    got = {r["doc_id"]: r["stated_labels"] for r in L.scan_licenses(docs).collect()}
+    assert [(t, got[i]) for i, (t, _) in enumerate(given)] == given
