@@ -19,7 +19,7 @@ from roadpulse.session import written_out
 Rule = tuple[str, str, str]
 
 WILD = "*"
-DEPTH = 4  # levels of the tree; what lies deeper is one wildcard tail
+DEPTH = 4  # levels of a tree that is cut; what lies deeper is one wildcard tail
 MANY, VARIED = 10, 0.3  # children of a branch, and children per url, from which they are variable
 Z = 1.96  # siblings whose labels differ by less are merged
 LEAST = 5  # labels that a branch needs before it is compared
@@ -65,27 +65,40 @@ def shape(segment: Column) -> Column:
     return F.when(variable, F.concat(F.lit(WILD), extension)).otherwise(segment)
 
 
-def _segments(path: Column) -> Column:
+def _segments(path: Column, depth: int | None) -> Column:
     parts = F.transform(F.array_remove(F.split(path, "/"), ""), shape)
-    deep = F.concat(F.slice(parts, 1, DEPTH), F.array(F.lit("**")))
-    return F.when(F.size(parts) > DEPTH, deep).otherwise(parts)
+    if depth is None:
+        return parts
+    deep = F.concat(F.slice(parts, 1, depth), F.array(F.lit("**")))
+    return F.when(F.size(parts) > depth, deep).otherwise(parts)
 
 
-def templates(urls: DataFrame) -> DataFrame:
+def templates(urls: DataFrame, depth: int | None = DEPTH) -> DataFrame:
     """The tree's leaves with their verdicts, from rows of (host, path, bad).
 
     ``bad`` is 1, 0 or null (no label). Gives one row per (host, segments): the segments with id-like
     ones already generalised, the ``template`` they fall under, its labels and ``verdict``. Each level
     is two aggregations of counts that are reduced before the shuffle, so a host with a third of all
     rows costs one row per distinct branch and task.
+
+    Paths are cut at ``depth`` levels, or not at all where it is None. A path ends at its own last segment,
+    and the rest of a path that is the only one of its branch is taken as it is, so levels are as many as
+    paths of one branch share.
     """
-    leaves = urls.groupBy("host", _segments(F.col("path")).alias("segments")).agg(
+    leaves = urls.groupBy("host", _segments(F.col("path"), depth).alias("segments")).agg(
         F.count("*").alias("n"), F.count("bad").alias("labelled"), F.sum(F.coalesce("bad", F.lit(0))).alias("bad")
     )
     # Template so far; every level replaces one more segment.
-    tree = leaves.withColumn("done", F.lit(""))
-    for level in range(DEPTH):
-        tree = written_out(_generalised(tree, level), f"url-level-{level}")
+    tree = leaves.withColumn("done", F.lit("")).withColumn("alone", F.lit(False))
+    tree, ended, level = written_out(tree, "url-leaves"), [], 0
+    while (depth is None or level < depth) and not tree.where(F.size("segments") > level).isEmpty():
+        tree = written_out(_generalised(tree, level, depth), f"url-level-{level}")
+        level += 1
+        # A path of just these segments stays for one more level, as a sibling of those that go on.
+        over = F.col("alone") | (F.size("segments") < level)
+        ended.append(tree.where(over))
+        tree = tree.where(~over)
+    tree = reduce(DataFrame.unionAll, ended, tree)
     whole = tree.groupBy("host", "done").agg(F.sum("labelled").alias("seen"), F.sum("bad").alias("refused"))
     share = (F.col("refused") + STRENGTH * PRIOR) / (F.col("seen") + STRENGTH)
     judged = whole.select(
@@ -101,17 +114,21 @@ def templates(urls: DataFrame) -> DataFrame:
     )
 
 
-def _generalised(tree: DataFrame, level: int) -> DataFrame:
-    """Replace the segment of one level: by a wildcard, by the merged siblings' mark, or by itself."""
+def _generalised(tree: DataFrame, level: int, depth: int | None) -> DataFrame:
+    """Replace the segment of one level: by a wildcard, by the merged siblings' mark, or by itself.
+
+    A leaf without siblings is done with all its segments, and is marked as ``alone``.
+    """
     segment = F.coalesce(F.get("segments", F.lit(level)), F.lit(""))
     at = tree.withColumn("segment", segment)
     branches = at.groupBy("host", "done", "segment").agg(
-        F.sum("n").alias("bn"), F.sum("labelled").alias("bl"), F.sum("bad").alias("bb")
+        F.sum("n").alias("bn"), F.sum("labelled").alias("bl"), F.sum("bad").alias("bb"), F.count("*").alias("leaves")
     )
     known = F.col("bl") >= LEAST
     parents = branches.groupBy(F.col("host").alias("ph"), F.col("done").alias("pd")).agg(
         F.sum("bn").alias("pn"),
         F.count("*").alias("children"),
+        F.sum("leaves").alias("among"),
         F.sum(F.when(known, F.col("bl")).otherwise(0)).alias("pl"),
         F.sum(F.when(known, F.col("bb")).otherwise(0)).alias("pb"),
     )
@@ -129,17 +146,21 @@ def _generalised(tree: DataFrame, level: int) -> DataFrame:
         .when(variable | F.coalesce(alike, F.lit(False)), F.lit("/" + WILD))
         .otherwise(F.concat(F.lit("/"), F.col("segment")))
         .alias("step"),
+        (F.col("among") == 1).alias("alone"),
     )
+    rest = F.slice("segments", F.lit(level + 1), F.size("segments") if depth is None else F.lit(depth - level))
+    step = F.when(named["alone"], F.array_join(F.transform(rest, lambda s: F.concat(F.lit("/"), s)), "")).otherwise(F.col("step"))
     on = (at.host == named.nh) & (at.done == named.nd) & (at.segment == named.ns)
     return at.join(named, on).select(
-        "host", "segments", "n", "labelled", "bad", F.concat("done", "step").alias("done")
+        "host", "segments", "n", "labelled", "bad", F.concat("done", step).alias("done"), named["alone"]
     )
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], page: str = "page_id", url: str = "url") -> DataFrame:
     """Every page with host, path, the rule that fits (or null), template, share and verdict.
 
-    The rules' verdicts are the labels from which the templates of the same host learn. A null url or
+    The rules' verdicts are the labels from which the templates of the same host learn, over paths of any
+    depth. A null url or
     one without ``://`` has an empty host and path and is judged like any other. Repeated rows stay;
     only ``page`` and ``url`` are read, so other columns may have any name. An empty table gives none.
     """
@@ -148,11 +169,11 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], page: str = "page_id",
     )
     ruled = rows.withColumn("fit", rule_for(F.col("host"), F.col("path"), rules))
     bad = F.when(F.col("fit").isNotNull(), (F.col("fit.verdict") == "block").cast("int"))
-    tree = templates(ruled.select("host", "path", bad.alias("bad")))
+    tree = templates(ruled.select("host", "path", bad.alias("bad")), depth=None)
     leaf = tree.select(
         F.col("host").alias("h"), F.col("segments").alias("s"), "template", "share", F.col("verdict").alias("method")
     )
-    at = ruled.withColumn("segments", _segments(F.col("path")))
+    at = ruled.withColumn("segments", _segments(F.col("path"), None))
     return at.join(leaf, (at.host == leaf.h) & (at.segments == leaf.s), "left").select(
         F.col("page").alias(page),
         "host",

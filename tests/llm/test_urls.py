@@ -83,3 +83,17 @@ def test_nulls_repeats_empty_and_clashing(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, host string")
     assert len(U.filter_urls(df, URL_RULES).collect()) == 3
     assert U.filter_urls(df.limit(0), URL_RULES).collect() == []
+
+
+def test_labels_differ_below_the_fourth_segment(spark):
+    rules = [("block", "h.example", "/a/b/c/d/bad/"), ("allow", "h.example", "/a/b/c/d/good/")]
+    tails = [*(f"bad/x/{i}" for i in range(30)), *(f"good/x/{i}" for i in range(30)), "", "good", "bad", "e/f/g/h/i/j"]
+    paths = [f"/a/b/c/d/{t}" for t in tails] + ["/" + "/".join("abc"[i % 3] for i in range(60)), "/a", ""]
+    rows = [(i, f"http://h.example{p}") for i, p in enumerate(paths)]
+    got = {r["path"]: r for r in U.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert len(got) == len(paths)
+    assert {got[p]["template"] for p in paths[:30]} == {"/a/b/c/d/bad/x/*"}
+    assert {got[p]["template"] for p in paths[30:60]} == {"/a/b/c/d/good/x/*"}
+    assert got[paths[0]]["share"] == 31 / 34 and got[paths[30]]["share"] == 1 / 34
+    assert all(got[p]["template"] == p.rstrip("/") for p in paths[60:])
+    assert {got[p]["share"] for p in paths[60:]} == {0.25}
