@@ -156,11 +156,50 @@ def _generalised(tree: DataFrame, level: int, depth: int | None) -> DataFrame:
     )
 
 
-def filter_urls(pages: DataFrame, rules: Sequence[Rule], page: str = "page_id", url: str = "url") -> DataFrame:
+def domain_of(host: Column) -> Column:
+    """The registered domain by its shape: two labels, three under one like ``co.uk``; a number stays whole."""
+    name = F.regexp_replace(host, r":[0-9]*$", "")
+    two = F.regexp_extract(name, r"(?:[^.]+\.)?(?:[^.]{1,3}\.[a-z]{2}|[^.]+)$", 0)
+    return F.when(F.regexp_like(name, F.lit(r"^[0-9.]+$|^\[")), name).otherwise(two)
+
+
+def backed_off(tree: DataFrame) -> DataFrame:
+    """Share of bad labels per (host, template), smoothed towards the evidence of wider branches.
+
+    From rows of (host, template, labelled, bad). The chain starts at the share of all labels. At each
+    level the registered domain's branch over its subdomains comes first, then the host's own, and each
+    takes the share before it as its prior, with the weight ``STRENGTH``; one without labels passes it on.
+    """
+    every = tree.agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b")).first()
+    whole = (every["b"] or 0) / every["l"] if every["l"] else PRIOR
+    steps = F.split("template", "/")
+    ends = tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    branches = ends.withColumn("domain", domain_of(F.col("host"))).select(
+        "*", F.explode(F.transform(steps, lambda s, i: F.array_join(F.slice(steps, F.lit(1), i + 1), "/"))).alias("branch")
+    )
+    own = branches.groupBy("domain", "host", "branch").agg(F.sum("labelled").alias("hl"), F.sum("bad").alias("hb"))
+    own = written_out(own, "url-branches")
+    wide = own.groupBy("domain", "branch").agg(F.sum("hl").alias("dl"), F.sum("hb").alias("db"))
+    counted = own.join(wide, ["domain", "branch"]).select("host", "branch", "dl", "db", "hl", "hb")
+    # A row per template with as many numbers as its path has levels.
+    chain = branches.select("host", "template", "branch").join(counted, ["host", "branch"]).groupBy("host", "template")
+    levels = chain.agg(F.array_sort(F.collect_list(F.struct(F.size(F.split("branch", "/")).alias("k"), "dl", "db", "hl", "hb"))).alias("c"))
+
+    def smoothed(prior: Column, bad: Column, labels: Column) -> Column:
+        return (bad + STRENGTH * prior) / (labels + STRENGTH)
+
+    share = F.aggregate("c", F.lit(float(whole)), lambda p, x: smoothed(smoothed(p, x["db"], x["dl"]), x["hb"], x["hl"]))
+    return levels.select("host", "template", share.alias("share"))
+
+
+def filter_urls(
+    pages: DataFrame, rules: Sequence[Rule], page: str = "page_id", url: str = "url", back_off: bool = False
+) -> DataFrame:
     """Every page with host, path, the rule that fits (or null), template, share and verdict.
 
     The rules' verdicts are the labels from which the templates of the same host learn, over paths of any
-    depth. A null url or
+    depth. With ``back_off`` a template without labels of its own learns from its parent branches, its
+    registered domain and all labels (``backed_off``); else its share is ``PRIOR``. A null url or
     one without ``://`` has an empty host and path and is judged like any other. Repeated rows stay;
     only ``page`` and ``url`` are read, so other columns may have any name. An empty table gives none.
     """
@@ -170,6 +209,13 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], page: str = "page_id",
     ruled = rows.withColumn("fit", rule_for(F.col("host"), F.col("path"), rules))
     bad = F.when(F.col("fit").isNotNull(), (F.col("fit.verdict") == "block").cast("int"))
     tree = templates(ruled.select("host", "path", bad.alias("bad")), depth=None)
+    if back_off:
+        ends = tree.select("host", "template", "segments")
+        labels = ruled.select("host", _segments(F.col("path"), None).alias("segments"), bad.alias("bad"))
+        counts = labels.groupBy("host", "segments").agg(F.count("bad").alias("labelled"), F.sum(F.coalesce("bad", F.lit(0))).alias("bad"))
+        shares = backed_off(ends.join(counts, ["host", "segments"]))
+        verdict = F.when(F.col("share") >= REJECT, "block").otherwise("allow")
+        tree = ends.join(shares, ["host", "template"]).withColumn("verdict", verdict)
     leaf = tree.select(
         F.col("host").alias("h"), F.col("segments").alias("s"), "template", "share", F.col("verdict").alias("method")
     )

@@ -97,3 +97,29 @@ def test_labels_differ_below_the_fourth_segment(spark):
     assert got[paths[0]]["share"] == 31 / 34 and got[paths[30]]["share"] == 1 / 34
     assert all(got[p]["template"] == p.rstrip("/") for p in paths[60:])
     assert {got[p]["share"] for p in paths[60:]} == {0.25}
+
+
+def test_a_branch_without_labels_backs_off(spark):
+    rules = [("block", "spam.example", "/de/"), ("allow", "good.example", "/de/")]
+    urls = [f"http://{h}/de/{i}" for h in ("a.spam.example", "good.example") for i in range(40)]
+    asked = {
+        "http://a.spam.example/en/1": "block",
+        "http://b.spam.example/x": "block",
+        "http://good.example/en/1": "allow",
+        "http://b.good.example/x": "allow",
+        "http://other.test/x": "allow",
+    }
+    rows = list(enumerate([*urls, *asked]))
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r["page_id"]: r for r in U.filter_urls(df, rules, back_off=True).collect()}
+    assert len(got) == len(rows)
+    assert {u: got[i]["verdict"] for i, u in rows if u in asked} == asked
+    assert all(got[i]["rule"] is None for i, u in rows if u in asked)
+    assert got[len(rows) - 1]["share"] == 0.5
+    assert U.filter_urls(df.limit(0), rules, back_off=True).collect() == []
+
+
+def test_domains(spark):
+    given = {"a.b.example.com": "example.com", "x.co.uk": "x.co.uk", "a.x.co.uk": "x.co.uk", "h": "h", "": "", "10.0.0.1:80": "10.0.0.1", "a.b.org:8": "b.org"}
+    df = spark.createDataFrame([(k,) for k in given], "h string")
+    assert {r[0]: r[1] for r in df.select("h", U.domain_of(F.col("h"))).collect()} == given
