@@ -79,3 +79,50 @@ def test_odd_rows(spark):
     assert len(got) == 5 and sorted(r["text"] for r in got) == sorted((t or "") for _, t in rows)
     like = spark.createDataFrame([([1], [1]), ([], []), ([1, 2], [2, 3]), ([], [1])], "a array<bigint>, b array<bigint>")
     assert [r[0] for r in like.select(W.likeness(F.col("a"), F.col("b"))).collect()] == [1.0, 1.0, 1 / 3, 0.0]
+
+
+def test_characters_by_the_definition(spark, prose):
+    texts = [t for t in prose if len(t) < 3000] + ["𝔘𝔫𝔦 😀" * 9, "日本語の文章です。" * 3, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = W.with_fingerprint(df, "text", "fp", "characters").select("doc_id", W.positions(F.col("fp")).alias("p"), F.transform("fp", lambda v: F.shiftright(v, 31)).alias("h"))
+    gram, window = W.SIZES["characters"]
+    for r in made.collect():
+        own = "".join(words(texts[r["doc_id"]]))
+        hashes = []
+        for j in range(len(own) - gram + 1):
+            h = 0
+            for c in own[j : j + gram]:
+                h = (h * W._BASE + ord(c)) % W._PRIME
+            hashes.append(h)
+        keep = []
+        for j in range(max(len(hashes) - window, 0) + 1 if hashes else 0):
+            part = hashes[j : j + window]
+            least = min(range(len(part)), key=lambda k: (part[k], -k)) + j
+            if least not in keep:
+                keep.append(least)
+        if hashes:
+            assert list(r["p"]) == keep and list(r["h"]) == [hashes[k] for k in keep]
+        else:
+            assert len(r["p"]) == (1 if own else 0)
+
+
+def test_near_copies_without_spaces_or_with_few_words(spark):
+    rng = random.Random(3)
+    chinese = "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(400))
+    token = "".join(rng.choice("abcdefghij0123456789") for _ in range(400))
+    few = "internationalisation misunderstandings counterrevolutionary"
+    rows = [(1, chinese), (2, token), (3, few)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made = W.edited_beside_next(docs)
+    own, changed, following = (W.hashes(F.col(c)) for c in ("fingerprint", "edited_fingerprint", "next_fingerprint"))
+    for r in made.select("doc_id", W.likeness(own, changed).alias("near"), W.likeness(own, following).alias("far")).collect():
+        assert 0.3 < r["near"] < 1 and r["far"] < 0.1
+
+
+def test_joined_fingerprint_is_that_of_the_edited_text(spark, prose):
+    rng = random.Random(5)
+    texts = [*prose, *("".join(rng.choice("ab é中.") for _ in range(n)) for n in [*range(20, 420, 9), 900, 30, 2000])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = W.edited_beside_next(docs).withColumnRenamed("edited_fingerprint", "joined")
+    whole = W.with_fingerprint(made, "edited", "whole", "characters")
+    assert [(r["joined"] == r["whole"]) for r in whole.select("joined", "whole").collect()] == [True] * len(texts)
