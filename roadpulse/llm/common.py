@@ -42,6 +42,14 @@ def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.
         pa.default_memory_pool().release_unused()
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have, in upper or lower case."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def with_computed(df: DataFrame, source: str, out: str, kind: str, start: Callable) -> DataFrame:
     """The rows with column ``out`` of SQL type ``kind``, computed from column ``source`` in the tasks.
 
@@ -57,6 +65,6 @@ def with_computed(df: DataFrame, source: str, out: str, kind: str, start: Callab
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], made], names=[*kept, out])
 
     own = [F.col(f"`{c}`") for c in kept]
-    given = df.select(*own, F.col(f"`{source}`").alias("__source__"))
+    given = df.select(*own, F.col(f"`{source}`").alias(free_name(df, "source")))
     schema = df.select(*own, F.lit(None).cast(kind).alias(out)).schema
     return given.mapInArrow(run, schema)

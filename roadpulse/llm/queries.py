@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import bpe, chat, decontaminate, licenses, quality, repeats, simhash, tokens, urls, winnow
+from roadpulse.llm import bpe, chat, decontaminate, licenses, quality, repeats, simhash, tokens, urls, whitening, winnow
 from roadpulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -226,6 +226,27 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable embedding on the first components of all of them, each with variance one."""
+    rows = whitening.usable(table(spark, folder, "embeddings").select("vec_id", "embedding"), "embedding")
+    model = whitening.fit(rows)
+    if model is None:
+        kinds = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
+        return spark.createDataFrame([], kinds)
+    made = whitening.whiten(rows, model).drop("embedding")
+    listed = made.select("vec_id", "deviation", F.inline(whitening.by_component(model, F.col("whitened"))))
+    return listed.select(
+        "vec_id",
+        "component",
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        "explained",
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The stages of the corpus pipeline over all documents."""
