@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import bpe, chat, decontaminate, licenses, quality, repeats, simhash, tokens, urls, whitening, winnow
+from roadpulse.llm import bpe, chat, decontaminate, licenses, quality, repeats, simhash, tokens, trie, urls, whitening, winnow
 from roadpulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -226,6 +226,20 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op12_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, rebuilt with the heads of their groups."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    paths = trie.with_paths(trie.with_shared_heads(trie.conversations(turns)))
+    nodes = trie.prefix_trie(paths)
+    digests = trie.digests_of_ids(paths.select("end", "conv_id"), "end", "conv_id")
+    ended = nodes.where(F.col("end").isNotNull()).join(digests, "end").withColumnRenamed("sha256", "ends_sha256")
+    passed = nodes.where(F.col("end").isNull()).withColumn("ends_sha256", F.sha2(F.lit(""), 256))
+    counts = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves"]
+    columns = [*counts, F.col("saved").alias("saved_tokens"), "ends_sha256"]
+    return ended.select(*columns).unionByName(passed.select(*columns))
+
+
 @query
 def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     """Every usable embedding on the first components of all of them, each with variance one."""

@@ -167,4 +167,41 @@ SELECT page_id, ruled.host, path, rule,
 FROM ruled JOIN leaves ON ruled.host = leaves.host AND ruled.segments = leaves.segments
 """
 
-SQL = {"op8_url_filters": OP8, "op6_suffix_array_dedup": OP6, "op7_benchmark_decontamination": OP7, "op1_license_scans": OP1, "op2_chat_formatting": OP2}
+OP12 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), coded AS (SELECT *, left(sha256(length(role) || ':' || role || text), 32) AS token FROM turns),
+ordered AS (
+  SELECT conv_id, token, length(text) AS chars,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, token) - 1 AS i FROM coded
+), sizes AS (SELECT conv_id, count(*) AS n FROM ordered GROUP BY conv_id),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+      lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) % 6 AS h
+  FROM sizes
+), heads AS (SELECT convs.*, least(h, coalesce(n, 0)) AS taken FROM convs LEFT JOIN sizes ON sizes.conv_id = base),
+rebuilt AS (
+  SELECT heads.conv_id, i + 1 AS d, token, chars FROM heads JOIN ordered ON ordered.conv_id = base AND i < taken
+  UNION ALL
+  SELECT heads.conv_id, taken + i - h + 1, token, chars FROM heads JOIN ordered ON ordered.conv_id = heads.conv_id AND i >= h
+), steps AS (
+  SELECT conv_id, 0 AS d, '' AS path, 0 AS chars FROM convs
+  UNION ALL SELECT conv_id, d, string_agg(token, '') OVER (PARTITION BY conv_id ORDER BY d), chars FROM rebuilt
+), nodes AS (SELECT path, d, min(conv_id) AS conv_id, count(*) AS n, any_value(chars) AS chars FROM steps GROUP BY path, d),
+broods AS (SELECT left(path, length(path) - 32) AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+sums AS (
+  SELECT steps.path, sum((nodes.n - 1) * nodes.chars) AS saved, count(*) FILTER (broods.n IS NULL) AS leaves
+  FROM nodes JOIN steps ON steps.conv_id = nodes.conv_id AND steps.d <= nodes.d LEFT JOIN broods ON broods.path = nodes.path
+  GROUP BY steps.path
+), whole AS (SELECT conv_id, max_by(path, d) AS path FROM steps GROUP BY conv_id),
+ends AS (SELECT path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM whole GROUP BY path)
+SELECT nodes.conv_id, CAST(nodes.d AS BIGINT) AS depth, above.conv_id AS parent_conv_id, nodes.n AS n_convs,
+  coalesce(broods.n, 0) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+  sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes JOIN sums USING (path) LEFT JOIN broods USING (path) LEFT JOIN ends USING (path)
+LEFT JOIN nodes AS above ON nodes.d > 0 AND above.path = left(nodes.path, length(nodes.path) - 32)
+"""
+
+SQL = {"op12_conversation_prefix_trie": OP12, "op8_url_filters": OP8, "op6_suffix_array_dedup": OP6, "op7_benchmark_decontamination": OP7, "op1_license_scans": OP1, "op2_chat_formatting": OP2}
