@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm import bpe, chat, decontaminate, licenses, quality, repeats, simhash, tokens, trie, urls, whitening, winnow
+from roadpulse.llm import bpe, chat, decontaminate, fertility, licenses, quality, repeats, simhash, tokens, trie, urls, whitening, winnow
 from roadpulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -226,6 +226,27 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+MANY_LANGUAGES = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@query
+def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts of every document, and whether its tokens are as usual in its language and script."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    rows = fertility.with_measures(docs, PIECES, MANY_LANGUAGES, public_tokenizers.PATTERN).drop("text")
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return fertility.judged(rows).select(
+        "doc_id",
+        *[f"measured.{c}" for c in base],
+        "verdict.base_failed",
+        "verdict.kept",
+        "measured.script",
+        *[f"measured.{c}" for c in fertility.MEASURES],
+        F.array_join("verdict.outside", ",").alias("outside"),
+    )
+
+
 @query
 def op12_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     """Nodes of the prefix trie of all conversations, rebuilt with the heads of their groups."""
