@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import with_computed
+from roadpulse.llm.common import free_name, with_computed
 
 MOST_WORDS = 250_000  # chunks and words after which a task forgets those not met since the last time
 _SHIFT = 20  # bits of a token id
@@ -234,6 +234,7 @@ def encode_and_decode(df: DataFrame, path: str, text: str = "text", ids: str = "
 
         return compute
 
-    both = with_computed(df, text, "__both", "struct<ids:array<int>,decoded:string>", start)
+    name = free_name(df, "both")
+    both = with_computed(df, text, name, "struct<ids:array<int>,decoded:string>", start)
     kept = [F.col(f"`{c}`") for c in df.columns if c not in (ids, out)]
-    return both.select(*kept, F.col("__both.ids").alias(ids), F.col("__both.decoded").alias(out))
+    return both.select(*kept, F.col(f"`{name}`.ids").alias(ids), F.col(f"`{name}`.decoded").alias(out))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import in_parts, words
+from roadpulse.llm.common import free_name, in_parts, words
 
 WINDOW = 10
 BLOCK_ITEMS = 20_000  # benchmark items that one pass looks up; more items take more passes
@@ -185,7 +185,7 @@ def _with_hits(
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, kind)], names=[*kept, out])
 
     own = [F.col(f"`{c}`") for c in kept]
-    given = docs.select(*own, F.col(f"`{text}`").alias("__text__"))
+    given = docs.select(*own, F.col(f"`{text}`").alias(free_name(docs, "text")))
     schema = docs.select(*own, F.lit(None).cast(_FOUND).alias(out)).schema
     return given.mapInArrow(run, schema)
 
@@ -232,7 +232,7 @@ def benchmark_hits(
     asked = asked.where(F.col("i").isNotNull() & (F.size("w") > 0))
     blocks = max(1, -(-asked.count() // block_items))
     found = docs
-    names = [f"__hits_{n}" for n in range(blocks)]
+    names = [free_name(docs, f"hits_{n}") for n in range(blocks)]
     for n, name in enumerate(names):
         block = asked.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == n) if blocks > 1 else asked
         items = [(r["i"], r["w"]) for r in block.collect()]

@@ -171,9 +171,10 @@ def template_matches(
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: key, n_words, places of the phrases, labels of phrases and templates, and a score.
 
-    ``labels`` are those of every template that holds, also of one that only resembles the text's license;
-    ``stated_labels`` are those of the phrases and of the templates that hold and whose names stand there.
-    ``score`` is 1 where a phrase stands, else the greatest containment of a template that holds, else 0.
+    ``labels`` are those of the phrases and of the templates that hold and whose names stand there, so they do
+    not contradict each other; ``held_labels`` are those of every template that holds, also of one that only
+    resembles the text's license. ``score`` is 1 where a phrase stands, else the greatest containment of a
+    template that holds, stated or not, else 0.
     A null or empty text has no words, no labels and a score of 0. Repeated rows stay, each with the result
     of its own text; a null key is a key like any other. Other columns are not read, whatever their names.
     """
@@ -197,7 +198,7 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
         "n_words",
         "places",
         base.alias("base_labels"),
-        F.array_sort(F.array_union(base, F.coalesce("found", none))).alias("labels"),
-        F.array_sort(F.array_union(base, stated)).alias("stated_labels"),
+        F.array_sort(F.array_union(base, stated)).alias("labels"),
+        F.array_sort(F.coalesce("found", none)).alias("held_labels"),
         F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
     )

@@ -213,7 +213,8 @@ def train(
     """Trees from the statistics of at most ``rows`` labelled documents that are not held out.
 
     They are taken by a hash of their id, so the same tables give the same trees. A repeated label row
-    counts once; where copies differ the majority holds, and a tie is 1. Null labels are ignored.
+    counts once; where copies differ the majority holds, and a tie is 1. Null labels are ignored. Of the
+    texts that share an id one trains, the one with the smallest hash. Very long texts are read whole.
     """
     usable = (
         labels.select(F.col(key).alias("k"), F.col(label).alias("l"))
@@ -225,9 +226,12 @@ def train(
     share = min(1.0, 1.2 * rows / max(usable.count(), 1))
     near = F.pmod(F.xxhash64("k"), F.lit(_SCALE)) <= int(share * _SCALE)
     chosen = usable.where(near).orderBy(F.xxhash64("k"), "k").limit(rows)
-    # The chosen ids are at most ``rows``, so they can go to every task and no text is shuffled.
+    # The chosen ids are at most ``rows``, so they can go to every task. An id may stand with many texts.
     own = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(chosen), "k")
-    sample = statistics(own, "t").select("k", "statistics", "l").toPandas()
+    one = own.groupBy("k").agg(F.min_by("t", F.xxhash64("t")).alias("t"), F.first("l").alias("l"))
+    sample = statistics(one, "t").select("k", "statistics", "l").toPandas()
+    if len(sample) > rows:
+        raise AssertionError("more rows to train on than ids chosen")
     x = np.stack(sample["statistics"].to_list()) if len(sample) else np.zeros((0, len(STATISTICS)))
     order = np.lexsort((*x.T, sample["k"].to_numpy()))
     return fit(x[order], sample["l"].to_numpy(dtype=float)[order])

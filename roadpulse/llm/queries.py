@@ -34,6 +34,7 @@ def op1_license_scans(spark: SparkSession, folder: str) -> DataFrame:
         F.array_join("base_labels", ",").alias("base_labels"),
         F.array_join("labels", ",").alias("labels"),
         "score",
+        F.array_join("held_labels", ",").alias("held_labels"),
     )
 
 

@@ -434,25 +434,32 @@ def _step(df: DataFrame, label: str) -> DataFrame:
             conf.set(name, value)
 
 
-def _numbered(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, int, int]:
-    """The rows with a number per (key, text), how many numbers a key has, and the bytes of all texts.
+def _numbered(docs: DataFrame, key: str, text: str, passing: list[str]) -> tuple[DataFrame, int, int]:
+    """(d, t, c0, c1, ...): a number per (key, text), the text, and the columns ``passing`` by their place.
 
-    The number is the key itself unless a key stands with different texts.
+    Also how many numbers a key has, and the bytes of all texts. The number is the key itself unless a key
+    stands with different texts.
     """
-    own = docs.select(F.col(f"`{key}`").cast("bigint").alias("k"), F.col(f"`{text}`").alias("t"))
-    own = own.select("k", F.xxhash64("t").alias("h"), F.coalesce(F.octet_length("t"), F.lit(0)).alias("n"))
+    named = docs.select(
+        F.col(f"`{key}`").cast("bigint").alias("d"),
+        F.col(f"`{text}`").alias("t"),
+        *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(passing)],
+    )
+    own = named.select(F.col("d").alias("k"), F.xxhash64("t").alias("h"), F.coalesce(F.octet_length("t"), F.lit(0)).alias("n"))
     known = own.groupBy("k").agg(F.min("h").alias("a"), F.max("h").alias("z"), F.sum("n").alias("n"))
-    total = known.agg(F.sum("n").alias("n"), F.max((F.col("k").isNotNull() & (F.col("a") != F.col("z"))).cast("int")).alias("r")).first()
-    column = F.col(f"`{key}`").cast("bigint")
+    repeated = F.max((F.col("k").isNotNull() & (F.col("a") != F.col("z"))).cast("int"))
+    total = known.agg(F.sum("n").alias("n"), repeated.alias("r"), F.max("k").alias("high"), F.min("k").alias("low")).first()
     if not total["r"]:
-        return docs.withColumn("__doc", column), 1, total["n"] or 0
+        return named, 1, total["n"] or 0
     several = own.where("k is not null").select("k", "h").distinct()
-    several = several.groupBy("k").agg(F.array_sort(F.collect_set("h")).alias("all")).where(F.size("all") > 1)
+    several = several.groupBy("k").agg(F.array_sort(F.collect_set("h")).alias("hashes")).where(F.size("hashes") > 1)
     several = _step(several, "texts-of-one-id")
-    per = several.agg(F.max(F.size("all"))).first()[0]
-    joined = docs.join(several, column == F.col("k"), "left")
-    at = F.coalesce(F.array_position("all", F.xxhash64(F.col(f"`{text}`"))), F.lit(1)) - 1
-    return joined.withColumn("__doc", column * per + at).drop("k", "all"), per, total["n"] or 0
+    per = several.agg(F.max(F.size("hashes"))).first()[0]
+    if max(abs(total["high"]), abs(total["low"])) + 1 > (1 << 62) // per:
+        raise ValueError(f"{key} is too large for rows that share one: {per} texts have the same")
+    joined = named.join(several, F.col("d") == F.col("k"), "left")
+    at = F.coalesce(F.array_position("hashes", F.xxhash64("t")), F.lit(1)) - 1
+    return joined.withColumn("d", F.col("d") * per + at).drop("k", "hashes"), per, total["n"] or 0
 
 
 def _prime(n: int) -> int:
@@ -475,45 +482,46 @@ def cut_repeats(
     A byte goes if a string of ``length`` bytes that covers it also starts in a row with a smaller key;
     strings are compared in the given texts and never cross rows. A null or empty text keeps no bytes
     and has no spans. A row with a null key is compared with none and stays whole. Rows that share a key
-    do not cut each other; those that repeat a row are cut alike. Keys are whole numbers. Other columns
-    pass through, whatever their names; ``kept`` and ``spans`` are replaced. No rows give no rows.
+    do not cut each other; those that repeat a row are cut alike. Keys are whole numbers; where one
+    stands with several texts, their product must fit 62 bits, else it is an error. Very long texts are cut like
+    others. Other columns pass through, whatever their names; ``kept`` and ``spans`` are replaced. No rows give no rows.
     """
     spark = docs.sparkSession
-    rows, per, size = _numbered(docs, key, text)
+    passing = [c for c in docs.columns if c not in (text, kept, spans)]
+    rows, per, size = _numbered(docs, key, text, passing)
     groups = _prime(max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // GROUP_BYTES))
-    texts = rows.select("__doc", F.col(f"`{text}`").alias("__text"))
+    texts = rows.select("d", "t")
 
     dealt = "bucket bigint, kind bigint, target bigint, blob binary"
     found = texts.mapInArrow(_find_contexts(groups, per, length, gram), dealt)
     marks = "bucket bigint, kind bigint, blob binary"
-    judged = _step(found.groupBy("bucket").applyInArrow(_judge_contexts(groups, per, length, gram), marks), "marks")
+    judged = _step(found.repartition(groups, "bucket").groupBy("bucket").applyInArrow(_judge_contexts(groups, per, length, gram), marks), "marks")
 
-    def beside(own: DataFrame, more: list[str]) -> DataFrame:
-        """Marks and texts by bucket, marks first; the columns ``more`` of the rows go along."""
+    def beside(own: DataFrame, more: int) -> DataFrame:
+        """Marks and texts by bucket, marks first; the first ``more`` of the passing columns go along."""
         here = rows.select(
-            F.coalesce(F.pmod("__doc", F.lit(groups)), F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(groups))).alias("b"),
+            F.coalesce(F.pmod("d", F.lit(groups)), F.pmod(F.xxhash64("t"), F.lit(groups))).alias("b"),
             F.lit(None).cast("bigint").alias("kind"),
             F.lit(None).cast("binary").alias("blob"),
-            F.col("__doc").alias("d"),
-            F.col(f"`{text}`").alias("t"),
-            *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(more)],
+            "d",
+            "t",
+            *[f"c{i}" for i in range(more)],
         )
         there = own.select(F.col("bucket").alias("b"), "kind", "blob")
         both = there.unionByName(here, allowMissingColumns=True)
-        names = ["b", "kind", "blob", "d", "t", *[f"c{i}" for i in range(len(more))]]
-        return both.select(*names).repartition("b").sortWithinPartitions("b", F.col("kind").asc_nulls_last())
+        names = ["b", "kind", "blob", "d", "t", *[f"c{i}" for i in range(more)]]
+        return both.select(*names).repartition(groups, "b").sortWithinPartitions("b", F.col("kind").asc_nulls_last())
 
-    asked = beside(judged.where(F.col("kind") == ASK), [])
+    asked = beside(judged.where(F.col("kind") == ASK), 0)
     cut = asked.mapInArrow(_cut_contexts(groups, per, length), dealt)
-    sorted_ = _step(cut.groupBy("bucket").applyInArrow(_sort_contexts(groups, per, length), marks), "sorted")
+    sorted_ = _step(cut.repartition(groups, "bucket").groupBy("bucket").applyInArrow(_sort_contexts(groups, per, length), marks), "sorted")
 
-    passing = [c for c in docs.columns if c not in (text, kept, spans)]
     out = docs.select(
         *[F.col(f"`{c}`") for c in passing],
         F.lit(None).cast("binary").alias(kept),
         F.lit(None).cast("array<struct<start:bigint,stop:bigint>>").alias(spans),
     ).schema
-    every = beside(judged.where(F.col("kind") == CUT).unionByName(sorted_), passing)
+    every = beside(judged.where(F.col("kind") == CUT).unionByName(sorted_), len(passing))
     return every.mapInArrow(_cut_texts(passing, kept, spans, length), out)
 
 

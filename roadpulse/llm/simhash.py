@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import with_computed
+from roadpulse.llm.common import free_name, with_computed
 from roadpulse.llm.components import connected_components
 from roadpulse.session import written_out
 
@@ -165,14 +165,15 @@ def one_per_group(
     """
     own = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
     groups = near_groups(with_simhash(own, shingle, "t", "fp").drop("t"), distance, "k", "fp")
-    beaten = groups.where(F.col("component") != F.col("k")).select(F.col("k").alias("__k")).distinct()
-    left = docs.join(beaten, F.col(f"`{key}`") == F.col("__k"), "left_anti")
+    name, row = free_name(docs, "k"), free_name(docs, "row")
+    beaten = groups.where(F.col("component") != F.col("k")).select(F.col("k").alias(name)).distinct()
+    left = docs.join(beaten, F.col(f"`{key}`") == F.col(name), "left_anti")
     repeats = own.where(F.col("k").isNotNull()).groupBy("k").count().where("count > 1")
     if repeats.isEmpty():
         return left
     first = Window.partitionBy(F.col(f"`{key}`")).orderBy(F.xxhash64(F.col(f"`{text}`")))
-    numbered = left.withColumn("__row", F.row_number().over(first))
-    return numbered.where(F.col(f"`{key}`").isNull() | (F.col("__row") == 1)).drop("__row")
+    numbered = left.withColumn(row, F.row_number().over(first))
+    return numbered.where(F.col(f"`{key}`").isNull() | (F.col(row) == 1)).drop(row)
 
 
 def hex_digits(fingerprint: Column) -> Column:

@@ -21,18 +21,18 @@ FROM marked GROUP BY conv_id
 """
 
 OP1 = r"""
-WITH templates(label, own) AS (VALUES
-  ('mit', ['released', 'under', 'the', 'mit', 'license']),
-  ('mit', ['permission', 'is', 'hereby', 'granted', 'free', 'of', 'charge', 'to', 'any', 'person', 'obtaining', 'a', 'copy', 'this', 'software']),
-  ('apache', ['licensed', 'under', 'the', 'apache', 'license', 'version', '2', '0']),
-  ('apache', ['you', 'may', 'not', 'use', 'this', 'file', 'except', 'in', 'compliance', 'with', 'the', 'license']),
-  ('gpl', ['this', 'work', 'is', 'licensed', 'under', 'the', 'gnu', 'general', 'public', 'license', 'version', '3']),
-  ('gpl', ['you', 'can', 'redistribute', 'it', 'and', 'or', 'modify', 'under', 'the', 'terms', 'of', 'gnu', 'general', 'public', 'license']),
-  ('bsd', ['redistribution', 'and', 'use', 'in', 'source', 'binary', 'forms', 'with', 'or', 'without', 'modification', 'are', 'permitted']),
-  ('cc-by', ['licensed', 'under', 'cc', 'by', '4', '0']),
-  ('cc-by-nc', ['licensed', 'under', 'cc', 'by', 'nc', '4', '0']),
-  ('cc-by-sa', ['licensed', 'under', 'cc', 'by', 'sa', '4', '0']),
-  ('proprietary', ['all', 'rights', 'reserved', 'no', 'part', 'may', 'be', 'reproduced', 'without', 'written', 'permission'])
+WITH templates(label, own, name, unless) AS (VALUES
+  ('mit', ['released', 'under', 'the', 'mit', 'license'], ['mit'], []),
+  ('mit', ['permission', 'is', 'hereby', 'granted', 'free', 'of', 'charge', 'to', 'any', 'person', 'obtaining', 'a', 'copy', 'this', 'software'], NULL, []),
+  ('apache', ['licensed', 'under', 'the', 'apache', 'license', 'version', '2', '0'], ['apache'], []),
+  ('apache', ['you', 'may', 'not', 'use', 'this', 'file', 'except', 'in', 'compliance', 'with', 'the', 'license'], NULL, []),
+  ('gpl', ['this', 'work', 'is', 'licensed', 'under', 'the', 'gnu', 'general', 'public', 'license', 'version', '3'], ['gnu', 'general', 'public'], []),
+  ('gpl', ['you', 'can', 'redistribute', 'it', 'and', 'or', 'modify', 'under', 'the', 'terms', 'of', 'gnu', 'general', 'public', 'license'], ['gnu', 'general', 'public'], []),
+  ('bsd', ['redistribution', 'and', 'use', 'in', 'source', 'binary', 'forms', 'with', 'or', 'without', 'modification', 'are', 'permitted'], NULL, []),
+  ('cc-by', ['licensed', 'under', 'cc', 'by', '4', '0'], ['cc', 'by'], ['nc', 'nd', 'sa']),
+  ('cc-by-nc', ['licensed', 'under', 'cc', 'by', 'nc', '4', '0'], ['cc', 'by', 'nc'], ['nd', 'sa']),
+  ('cc-by-sa', ['licensed', 'under', 'cc', 'by', 'sa', '4', '0'], ['cc', 'by', 'sa'], ['nc', 'nd']),
+  ('proprietary', ['all', 'rights', 'reserved', 'no', 'part', 'may', 'be', 'reproduced', 'without', 'written', 'permission'], NULL, [])
 ), worded AS (
   SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -45,19 +45,23 @@ places AS (
   SELECT doc_id, count(*) AS n, min(i) AS a, max(i) AS z, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
   FROM places GROUP BY doc_id
 ), blocks AS (
-  SELECT doc_id, w[s + 1 : s + 64] AS b FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 1 - 32, 0) + 1, 32)) AS s FROM worded)
+  SELECT doc_id, w, s, w[s + 1 : s + 64] AS b FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 1 - 32, 0) + 1, 32)) AS s FROM worded)
 ), held AS (
-  SELECT doc_id, label, len(list_intersect(b, own)) / len(own) AS containment FROM blocks, templates
+  SELECT doc_id, label, len(list_intersect(b, own)) / len(own) AS containment,
+    name IS NULL OR list_bool_or(list_transform(range(s, s + 65 - len(name)), lambda i:
+      w[i + 1 : i + len(name)] = name AND NOT coalesce(list_contains(unless, w[i + len(name) + 1]), false))) AS stated
+  FROM blocks, templates
   WHERE len(list_intersect(b, own)) >= ceil(0.8 * len(own) - 1e-9)
 ), method AS (SELECT doc_id, max(containment) AS best FROM held GROUP BY doc_id),
 every AS (
   SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
-  FROM (SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM held) GROUP BY doc_id
-)
+  FROM (SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM held WHERE stated) GROUP BY doc_id
+), resembled AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM held GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, z AS last_word,
        coalesce(base.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
-       CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
-FROM worded LEFT JOIN base USING (doc_id) LEFT JOIN method USING (doc_id) LEFT JOIN every USING (doc_id)
+       CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score,
+       coalesce(resembled.labels, '') AS held_labels
+FROM worded LEFT JOIN resembled USING (doc_id) LEFT JOIN base USING (doc_id) LEFT JOIN method USING (doc_id) LEFT JOIN every USING (doc_id)
 """
 
 OP7 = r"""

@@ -17,7 +17,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import in_parts
+from roadpulse.llm.common import free_name, in_parts
 
 LEAF = 64  # pre-tokens of a leaf when it is built
 MOST_PIECES = 500_000  # remembered pre-tokens of a task; beyond it the memory starts anew
@@ -171,7 +171,8 @@ def _mapped(df: DataFrame, drop: list[str], inputs: list[str], made: dict[str, s
 
     own = [F.col(f"`{c}`") for c in kept]
     schema = df.select(*own, *[F.lit(None).cast(t).alias(c) for c, t in made.items()]).schema
-    return df.select(*own, *[F.col(f"`{c}`").alias(f"__in_{i}") for i, c in enumerate(inputs)]).mapInArrow(batches, schema)
+    given = [F.col(f"`{c}`").alias(free_name(df, f"in_{i}")) for i, c in enumerate(inputs)]
+    return df.select(*own, *given).mapInArrow(batches, schema)
 
 
 def with_tree(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "tree") -> DataFrame:

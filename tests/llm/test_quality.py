@@ -29,6 +29,54 @@ def test_bounded_and_repeatable(tables):
     assert np.array_equal(first.value, second.value) and np.array_equal(first.cut, second.cut)
 
 
+def test_copies_of_an_id_train_once(spark, tables, monkeypatch):
+    docs, labels = tables
+    key = labels.where(~Q.held_out(labels["doc_id"])).first()["doc_id"]
+    copies = docs.where(docs["doc_id"] == key).crossJoin(spark.range(500)).selectExpr("doc_id", "concat(text, id % 3) AS text")
+    seen = []
+    monkeypatch.setattr(Q, "fit", lambda x, y: seen.append(len(x)))
+    one = labels.where(labels["doc_id"] == key)
+    Q.train(copies, one, rows=2)
+    Q.train(docs.select("doc_id", "text").unionByName(copies), labels, rows=20)
+    assert seen == [1, 20]
+
+
+def plain_split(x, g, h):
+    """Best (gain, feature, cut) over all cuts between values, by trying each."""
+    best = (1e-6, None, None)
+    for f in range(x.shape[1]):
+        for cut in np.unique(np.quantile(x[:, f], np.linspace(0, 1, Q.BINS + 1)[1:-1])):
+            left = x[:, f] <= cut
+            if min(left.sum(), (~left).sum()) < Q.LEAST:
+                continue
+            parts = [g[s].sum() ** 2 / (h[s].sum() + Q.WEIGHT) for s in (left, ~left)]
+            gain = sum(parts) - g.sum() ** 2 / (h.sum() + Q.WEIGHT)
+            if gain > best[0] + 1e-9:
+                best = (gain, f, cut)
+    return best
+
+
+def test_first_splits_equal_a_plain_search():
+    for seed in range(3):
+        rng = np.random.default_rng(seed)
+        x = np.round(rng.normal(size=(200, 5)), 1)
+        y = (x[:, seed] + 0.3 * rng.normal(size=200) > 0.2).astype(float)
+        trees = Q.fit(x, y)
+        p = 1 / (1 + np.exp(-np.full(200, trees.base)))
+        root = trees.roots[0]
+        gain, feature, cut = plain_split(x, p - y, p * (1 - p))
+        assert (trees.feature[root], trees.cut[root]) == (feature, cut)
+        for side, rows in (("left", x[:, feature] <= cut), ("right", x[:, feature] > cut)):
+            child = getattr(trees, side)[root]
+            want = plain_split(x[rows], (p - y)[rows], (p * (1 - p))[rows])
+            # A node's cuts come from all rows; a node without a gain is a leaf.
+            if trees.left[child] != child:
+                chosen = x[rows][:, trees.feature[child]] <= trees.cut[child]
+                g, h = (p - y)[rows], (p * (1 - p))[rows]
+                got = sum(g[s].sum() ** 2 / (h[s].sum() + Q.WEIGHT) for s in (chosen, ~chosen)) - g.sum() ** 2 / (h.sum() + Q.WEIGHT)
+                assert got > 0 and got >= 0.9 * want[0]
+
+
 def test_walk_equals_single_steps():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(300, len(Q.STATISTICS)))
