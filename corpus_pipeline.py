@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.llm import bpe, decontaminate, quality, repeats, simhash
-from roadpulse.llm.common import table
+from roadpulse.llm.common import free_name, table
 from roadpulse.llm.queries import DISTANCE, KEEP_SCORE, SHINGLE, WORD_BPE
 from roadpulse.session import written_out
 
 
+def _columns(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     trees = quality.train(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, trees, out="__score")
-    return scored.where(F.col("__score") >= KEEP_SCORE).select(*docs.columns)
+    score = free_name(docs, "score")
+    scored = quality.score(docs, trees, out=score)
+    return scored.where(F.col(score) >= KEEP_SCORE).select(*_columns(docs))
 
 
 def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,14 +30,16 @@ def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the 50-byte strings that a smaller document has too."""
-    cut = repeats.whole_characters(repeats.cut_repeats(docs, kept="__kept", spans="__spans"), "__kept")
-    return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    kept, spans = free_name(docs, "kept"), free_name(docs, "spans")
+    cut = repeats.whole_characters(repeats.cut_repeats(docs, kept=kept, spans=spans), kept)
+    return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*_columns(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item stands."""
-    hits = decontaminate.benchmark_hits(docs, table(spark, sf_dir, "benchmark"), out="__hits")
-    return hits.where(F.col("__hits.n_hit") == 0).select(*docs.columns)
+    out = free_name(docs, "hits")
+    hits = decontaminate.benchmark_hits(docs, table(spark, sf_dir, "benchmark"), out=out)
+    return hits.where(F.col(f"{out}.n_hit") == 0).select(*_columns(docs))
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
