@@ -175,7 +175,9 @@ def endpoint_speed(
         speed = F.col("_moved") / (F.col("points") / rate) * F.lit(3.6)
         return part.withColumns(added).withColumn("speed_kmh", speed).drop("_moved", "_opens", "_visit")
 
-    if not first or gap is not None:
+    if first and gap is not None:
+        df, first = with_first_of_visit(df, first, gap, order, time, **sliced), None
+    if not first:
         return over_recent_rows(df, compute, kept[-1] - 1 + (1 if gap else 0), order=order, **sliced)
     return _with_first_of_long_tracks(df, compute, kept[-1] - 1, order, first, **sliced)
 
@@ -196,6 +198,48 @@ def _with_first_of_long_tracks(df, compute, lookback, order, first, slice_rows=R
     return joined.select(*[whole.alias(c) if c == first else F.col(c) for c in done.columns])
 
 
+def with_first_of_visit(
+    df: DataFrame,
+    column: str,
+    gap: str,
+    order: str = "frame",
+    time: str = "ts",
+    slice_rows: int = ROWS_PER_SLICE,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """The rows with ``column`` replaced by its value in the first row of their visit.
+
+    A track unseen for longer than ``gap`` starts another visit. Whether a row starts one depends on the row
+    before it alone. A long track is cut as in ``over_recent_rows``; each slice then hands the value of its
+    last start on to the slices after it, of which a track has at most a thousand.
+    """
+    sizes = df if sizes is None else sizes
+
+    def starts(part: DataFrame, keys: list[str]) -> DataFrame:
+        ordered = Window.partitionBy(*keys).orderBy(order)
+        opens = F.col(time) > F.lag(time).over(ordered) + F.expr(f"interval {gap}")
+        opens = F.coalesce(opens, F.lit(False)) | (F.row_number().over(ordered) == 1)
+        return part.withColumn("_start", F.when(opens, F.struct(F.col(column).alias("value"))))
+
+    marked = over_recent_rows(df, starts, 1, order=order, slice_rows=slice_rows, sizes=sizes)
+    cuts = F.broadcast(_long_tracks(df.select(*TRACK, order), sizes.select(*TRACK), TRACK, order, slice_rows))
+    same_key = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in TRACK]
+    part = _slice_of(F.col("_cuts"), F.col(order).cast("double"))
+    sliced = marked.join(cuts, same_key, "left").select(
+        *marked.columns, F.when(F.col("_cuts").isNull(), F.lit(-1)).otherwise(part).alias("_slice")
+    )
+    # Only slices of long tracks have a number from 0 on; each is one row here.
+    place = F.when(F.col("_start").isNotNull(), F.col(order))
+    ends = sliced.where(F.col("_slice") >= 0).groupBy(*[F.col(k).alias(f"_{k}") for k in TRACK], F.col("_slice").alias("_at"))
+    ends = ends.agg(F.max_by("_start", place).alias("_end"))
+    earlier = Window.partitionBy(*[f"_{k}" for k in TRACK]).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    handed = ends.withColumn("_handed", F.last("_end", ignorenulls=True).over(earlier)).drop("_end")
+    joined = sliced.join(handed, [*same_key, F.col("_slice") == F.col("_at")], "left")
+    so_far = Window.partitionBy(*TRACK, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    latest = F.coalesce(F.last("_start", ignorenulls=True).over(so_far), F.col("_handed"))["value"]
+    return joined.withColumn("_value", latest).select(*[F.col("_value").alias(c) if c == column else F.col(c) for c in df.columns])
+
+
 def _path_columns(
     part: DataFrame, keys: list[str], x: str, y: str, order: str, points: int, fps: float | str
 ) -> DataFrame:

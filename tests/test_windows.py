@@ -3,6 +3,7 @@
 import math
 import random
 from collections import deque
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -184,3 +185,40 @@ def test_speeds_recover_from_an_outlier_and_a_nan(spark):
     for frame in (105, 110, 165, 199):
         assert got[frame].path_speed_kmh == pytest.approx(steady)
         assert got[frame].smooth_speed_kmh == pytest.approx(steady)
+
+
+def test_first_value_of_a_visit_does_not_depend_on_slices(spark):
+    """Sliced equals whole equals a simulation, for tracks that come back after a gap."""
+    rng = random.Random(4)
+    begin, rows = datetime(2024, 1, 1), []
+    for source, tracker, n in [("a", 1, 300), (None, 2, 60), ("b", None, 7), ("b", 3, 1)]:
+        at, frame = begin, 0
+        for _ in range(n):
+            at += timedelta(minutes=rng.choice([1, 1, 1, 5, 59, 60, 61, 300]) if rng.random() < 0.3 else 1)
+            frame += rng.choice([1, 2, 50])
+            rows.append((source, tracker, frame, at, float(frame), 1.0, rng.choice([2, 3, 5, None])))
+    schema = "source_id string, tracker_id int, frame int, ts timestamp_ntz, mx double, my double, class_id int"
+    df = spark.createDataFrame(rng.sample(rows, len(rows)), schema)
+    want, last, first = {}, {}, {}
+    for source, tracker, frame, at, *_, kind in rows:
+        key = (source, tracker)
+        if key not in last or at - last[key] > timedelta(hours=1):
+            first[key] = kind
+        last[key] = at
+        want[(*key, frame)] = first[key]
+    plain = {(r.source_id, r.tracker_id, r.frame): (r.points, r.speed_kmh) for r in windows.endpoint_speed(df, FPS, gap="1 hour").collect()}
+    for slice_rows in (10**6, 20):
+        got = windows.endpoint_speed(df, FPS, first="class_id", gap="1 hour", slice_rows=slice_rows)
+        assert got.columns == [*df.columns, "points", "speed_kmh"]
+        found = {(r.source_id, r.tracker_id, r.frame): r for r in got.collect()}
+        assert {k: r.class_id for k, r in found.items()} == want
+        assert {k: (r.points, r.speed_kmh) for k, r in found.items()} == plain
+
+
+def test_a_long_track_keeps_its_first_class_per_visit(spark):
+    """200 rows of one visit, seen first as class 2."""
+    begin = datetime(2024, 1, 1)
+    rows = [("a", 1, f, begin + timedelta(seconds=f), float(f), 0.0, 2 if f == 0 else 3) for f in range(200)]
+    schema = "source_id string, tracker_id int, frame int, ts timestamp_ntz, mx double, my double, class_id int"
+    got = windows.endpoint_speed(spark.createDataFrame(rows, schema), FPS, first="class_id", gap="1 hour", slice_rows=20)
+    assert [r.class_id for r in got.collect()] == [2] * 200
