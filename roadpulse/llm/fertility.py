@@ -21,7 +21,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import unicodedata
-from collections.abc import Callable
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -67,12 +68,15 @@ class Vocabularies:
         self.single = np.array([self.pieces.is_byte(i) for i in range(self.size)], dtype=np.int64)
         self.names: dict[str, str] = {}
 
-    def cut(self, word: str) -> tuple[list[int], int]:
-        """(pieces, number of tokens) of a word; one without pieces counts as unknown."""
-        parts = [word[i : i + LONG_WORD] for i in range(0, len(word), LONG_WORD)]
-        found = [i for ids in self.pieces.encode(parts, num_threads=1) for i in ids]
-        count = len(self.tokens.encode_ordinary(" " + parts[0]))
-        return found or [self.pieces.unk_id()], count + sum(len(self.tokens.encode_ordinary(p)) for p in parts[1:])
+    def cut(self, words: list[str]) -> Iterator[tuple[list[int], int]]:
+        """(pieces, number of tokens) of each word; one without pieces counts as unknown."""
+        parts = [[w] if len(w) <= LONG_WORD else [w[i : i + LONG_WORD] for i in range(0, len(w), LONG_WORD)] for w in words]
+        cut = iter(self.pieces.encode([p for own in parts for p in own], num_threads=1))
+        count = self.tokens.encode_ordinary
+        for own in parts:
+            found = next(cut) if len(own) == 1 else [i for _ in own for i in next(cut)]
+            tokens = len(count(" " + own[0])) + sum(len(count(p)) for p in own[1:])
+            yield found or [self.pieces.unk_id()], tokens
 
     def script(self, word: str) -> str:
         """Script of a word's first letter that tells one, by the letter's Unicode name; empty without letters."""
@@ -97,21 +101,20 @@ class Words:
 
     def forget(self) -> None:
         self.numbers: dict[str, int] = {}
-        self.chars, self.tokens, self.script = [], [], []
-        self.flat, self.ends = [], [0]
+        self.chars, self.tokens, self.script = array("q"), array("q"), array("q")
+        self.flat, self.ends = array("q"), array("q", [0])
 
     def known(self, words: list[str]) -> np.ndarray:
         """Numbers of different words."""
         numbers = self.numbers
-        for word in words:
-            if word not in numbers:
-                ids, tokens = self.vocabularies.cut(word)
-                numbers[word] = len(numbers)
-                self.chars.append(len(word))
-                self.tokens.append(tokens)
-                self.script.append(self.scripts.setdefault(self.vocabularies.script(word), len(self.scripts)))
-                self.flat.extend(ids)
-                self.ends.append(len(self.flat))
+        new = [w for w in words if w not in numbers]
+        for word, (ids, tokens) in zip(new, self.vocabularies.cut(new)):
+            numbers[word] = len(numbers)
+            self.chars.append(len(word))
+            self.tokens.append(tokens)
+            self.script.append(self.scripts.setdefault(self.vocabularies.script(word), len(self.scripts)))
+            self.flat.extend(ids)
+            self.ends.append(len(self.flat))
         return np.array([numbers[w] for w in words], dtype=np.int64)
 
 
@@ -159,10 +162,9 @@ def measured(texts: pa.Array, words: Words) -> pa.StructArray:
     number = words.known(distinct)
     word = number[code]
 
-    def of(values: list[int]) -> np.ndarray:
-        return np.array(values, dtype=np.int64)
-
-    chars, tokens, script, ends = of(words.chars), of(words.tokens), of(words.script), of(words.ends)
+    chars, tokens, script, ends, flat = (
+        np.frombuffer(x, np.int64) for x in (words.chars, words.tokens, words.script, words.ends, words.flat)
+    )
     per = np.bincount(doc, minlength=docs)
 
     def total(values: np.ndarray) -> np.ndarray:
@@ -173,7 +175,7 @@ def measured(texts: pa.Array, words: Words) -> pa.StructArray:
     owner, one = np.divmod(pairs, max(len(chars), 1))
     length = ends[one + 1] - ends[one]
     place = np.repeat(ends[one] - np.concatenate([[0], np.cumsum(length)[:-1]])[: len(one)], length) + np.arange(length.sum())
-    piece = of(words.flat)[place]
+    piece = flat[place]
     size = words.vocabularies.size
     keys, counts = _counted(np.repeat(owner, length) * size + piece, np.repeat(times, length))
     of_doc, piece = np.divmod(keys, size)
