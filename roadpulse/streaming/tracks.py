@@ -1,83 +1,120 @@
-"""Per-vehicle state on a stream: trajectory speed and visits."""
+"""Per-vehicle state on a stream: trajectory speed, running visits, and visits as sessions.
+
+State lives in the stream's state store, keyed by track; a batch reads and writes the tracks it has rows of,
+and no others. The rows of one track in one batch are held together, so a stream's record limit bounds them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from roadpulse import constants as C
 from roadpulse.operators import windows
 from roadpulse.operators.windows import TRACK, track_sessions
-from roadpulse.session import path_exists, remove_folder
 
-POINT = [*TRACK, "frame", "mx", "my"]
+# Spark starts a worker beside the driver that may not have this package on its path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+SPEEDS = "source_id string, tracker_id int, frame int, mx double, my double, points bigint, speed_kmh double"
+VISITS = (
+    "source_id string, tracker_id int, frame int, micros bigint, visit_micros bigint, observations bigint, "
+    "avg_speed double, closed boolean"
+)
 
-def speeds_after(
-    points: DataFrame,
-    kept: DataFrame | None,
-    fps: float | str = C.DEFAULT_FPS,
-    rates: list[float] | None = None,
-    forget: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(speeds of new points, last points of every track) from new points and the last ones kept so far.
+
+class SpeedOfTracks(StatefulProcessor):
+    """The last int(fps) points of every track, by frame, and the speed of each new point.
 
     A point that arrives after later frames of its track takes its place among the points that are kept;
-    speeds that are out already stay as they are. A track keeps the int(fps) points with the latest frames; with ``forget`` it is dropped once it is so many
-    frames behind its camera.
+    speeds that are out already stay as they are. With ``forget`` a timer in event time removes a track's
+    points when the watermark is that much past its last one.
     """
-    columns = [*POINT, fps] if isinstance(fps, str) else POINT
-    rows = points.select(*columns, F.lit(True).alias("_new"))
-    if kept is not None:
-        rows = rows.unionByName(kept.select(*columns, F.lit(False).alias("_new")))
-    speeds = windows.endpoint_speed(rows, fps, rates=rates).where("_new").drop("_new")
-    latest = Window.partitionBy(*TRACK).orderBy(F.desc("frame"))
-    length = F.greatest(F.floor(windows.per_second(fps)), F.lit(1))
-    last = rows.withColumn("_place", F.row_number().over(latest)).where(F.col("_place") <= length)
-    if forget is not None:
-        newest = F.max("frame").over(Window.partitionBy(*TRACK))
-        cameras = rows.groupBy(F.col("source_id").alias("_camera")).agg(F.max("frame").alias("_now"))
-        last = last.withColumn("_seen", newest).join(cameras, F.col("source_id").eqNullSafe(F.col("_camera")))
-        last = last.where(F.col("_seen") >= F.col("_now") - forget)
-    return speeds, last.select(*columns)
-
-
-class TrackSpeedWriter:
-    """``foreachBatch`` sink for ``endpoint_speed`` on an unbounded stream of points.
-
-    Batch n reads the points kept by batch n - 1 and writes its speeds and the points to keep, each to a
-    folder of its own, so a batch that Spark repeats writes the same again. The points lie beside the
-    stream's checkpoint and share its life. Everything runs as one Spark job on built-in functions.
+
+    def __init__(self, forget_micros: int | None = None) -> None:
+        self.forget = forget_micros
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.points = handle.getListState("points", "frame int, mx double, my double")
+        if self.forget is not None:
+            self.seen = handle.getValueState("seen", "timer bigint")
+
+    def _set_timer(self, latest: int) -> None:
+        timer = (latest + self.forget) // 1000 + 1
+        if self.seen.exists():
+            old = self.seen.get()[0]
+            self.handle.deleteTimer(old)
+            timer = max(timer, old)
+        self.seen.update((timer,))
+        self.handle.registerTimer(timer)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.seen.exists() and self.seen.get()[0] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.points.clear()
+            self.seen.clear()
+        return iter(())
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows)).sort_values("frame", kind="stable")
+        fps = float(new["fps"].iloc[0])
+        length = max(int(fps), 1)
+        kept = [tuple(p) for p in self.points.get()] if self.points.exists() else []
+        frame, x, y = (
+            np.concatenate([np.array([p[i] for p in kept], dtype=kind), new[c].to_numpy(kind)])
+            for i, (c, kind) in enumerate((("frame", np.int64), ("mx", np.float64), ("my", np.float64)))
+        )
+        order = np.argsort(frame, kind="stable")
+        is_new, frame, x, y = order >= len(kept), frame[order], x[order], y[order]
+        number = np.arange(len(order))
+        points = np.minimum(number + 1, length)
+        oldest = number + 1 - points
+        speed = np.hypot(x - x[oldest], y - y[oldest]) / (points / fps) * 3.6
+        if self.forget is not None:
+            self._set_timer(int(new["micros"].max()))
+        last = slice(max(len(order) - length, 0), None)
+        self.points.put(list(zip(frame[last].tolist(), x[last].tolist(), y[last].tolist())))
+        made = {"frame": frame, "mx": x, "my": y, "points": points, "speed_kmh": speed}
+        out = pd.DataFrame({c: values[is_new] for c, values in made.items()})
+        out.insert(0, "source_id", key[0])
+        out.insert(1, "tracker_id", pd.array([key[1]] * len(out), dtype="Int32"))
+        yield out
+
+    def close(self) -> None:
+        pass
+
+
+def track_speeds(
+    points: DataFrame,
+    fps: float | str = C.DEFAULT_FPS,
+    forget: str | None = None,
+    time: str = "ts",
+    watermark: str = C.TRACK_TIMEOUT,
+) -> DataFrame:
+    """Speed of every point of a stream with ``mx``, ``my`` and ``frame``; see ``SpeedOfTracks``.
+
+    ``fps`` is a number or the column that holds the rate of the camera. With ``forget``, such as
+    "1 hour", a track leaves the state that long after its last ``time``, and rows later than ``watermark``
+    are dropped; without it tracks stay for ever and no time is read.
     """
+    columns = [*TRACK, "frame", "mx", "my", windows.per_second(fps).alias("fps")]
+    if forget is None:
+        rows = points.select(*columns)
+        return rows.groupBy(*TRACK).transformWithStateInPandas(SpeedOfTracks(), SPEEDS, "Append", "None")
+    known = points.where(F.col(time).isNotNull()).withWatermark(time, watermark)
+    rows = known.select(*columns, F.unix_micros(F.col(time)).alias("micros"), time)
+    return rows.groupBy(*TRACK).transformWithStateInPandas(SpeedOfTracks(_micros(forget)), SPEEDS, "Append", "EventTime")
+
 
-    def __init__(
-        self,
-        table: str,
-        checkpoint: str,
-        fps: float | str = C.DEFAULT_FPS,
-        rates: list[float] | None = None,
-        forget: int | None = None,
-    ) -> None:
-        self.table = table
-        self.points = f"{checkpoint}-points"
-        self.fps = fps
-        self.rates = rates
-        self.forget = forget
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = f"{self.points}/batch-{batch_id - 1}"
-        rows = batch.persist()
-        try:
-            kept = spark.read.parquet(before) if path_exists(spark, before) else None
-            speeds, last = speeds_after(rows, kept, self.fps, self.rates, self.forget)
-            speeds.write.mode("overwrite").parquet(f"{self.table}/batch={batch_id}")
-            last.write.mode("overwrite").parquet(f"{self.points}/batch-{batch_id}")
-        finally:
-            rows.unpersist()
-        # Batch n - 1 may still be needed if this one is repeated.
-        remove_folder(spark, f"{self.points}/batch-{batch_id - 2}")
+def _micros(duration: str) -> int:
+    return int(pd.Timedelta(duration).total_seconds() * 1_000_000)
 
 
 def start_track_speed(
@@ -85,19 +122,123 @@ def start_track_speed(
     table: str,
     checkpoint: str,
     fps: float | str = C.DEFAULT_FPS,
-    rates: list[float] | None = None,
-    forget: int | None = None,
     trigger: dict | None = None,
+    **forgetting: str,
 ) -> StreamingQuery:
-    """Publish the speed of every point of a stream with ``mx``, ``my`` and ``frame``."""
+    """Publish the speed of every point; the file sink's log holds each batch once."""
     return (
-        points.writeStream.foreachBatch(TrackSpeedWriter(table, checkpoint, fps, rates, forget))
+        track_speeds(points, fps, **forgetting)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", table)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
+class RunningVisits(StatefulProcessor):
+    """Observations and mean speed of every track's visit so far; the visit closes after ``gap`` unseen.
+
+    State is one row per track on view: begin and end of its visit, observations, sum of speeds. A timer
+    in event time closes the visit when the watermark passes its end; the row then leaves the state.
+    """
+
+    def __init__(self, gap_micros: int) -> None:
+        self.gap = gap_micros
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.visit = handle.getValueState("visit", "first bigint, last bigint, n bigint, total double")
+
+    def _timer(self, last: int) -> int:
+        return (last + self.gap) // 1000 + 1
+
+    def _rows(self, key, frame, micros, first, n, total, closed) -> pd.DataFrame:
+        count = len(micros)
+        return pd.DataFrame(
+            {
+                "source_id": [key[0]] * count,
+                "tracker_id": pd.array([key[1]] * count, dtype="Int32"),
+                "frame": pd.array(frame, dtype="Int32"),
+                "micros": micros,
+                "visit_micros": first,
+                "observations": n,
+                "avg_speed": np.asarray(total) / np.asarray(n),
+                "closed": [closed] * count,
+            }
+        )
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows)).sort_values(["micros", "frame"], kind="stable")
+        micros, speed = new["micros"].to_numpy(np.int64), new["speed_kmh"].to_numpy(np.float64)
+        open_ = self.visit.get() if self.visit.exists() else None
+        if open_ is not None:
+            self.handle.deleteTimer(self._timer(open_[1]))
+        # The latest time seen up to each row; a row that comes late belongs to the visit that is open.
+        before = micros[0] - self.gap - 1 if open_ is None else open_[1]
+        seen = np.maximum.accumulate(np.concatenate([[before], micros]))
+        opens = micros - seen[:-1] > self.gap
+        visit = np.cumsum(opens)
+        starts = np.concatenate([[0], np.flatnonzero(opens)]) if visit[0] == 0 else np.flatnonzero(opens)
+        of_row = np.searchsorted(starts, np.arange(len(micros)), side="right") - 1
+        carried = open_ is not None and visit[0] == 0
+        base_n = np.where((of_row == 0) & carried, open_[2] if carried else 0, 0)
+        sums = np.cumsum(speed)
+        before_visit = np.concatenate([[0.0], sums])[starts]
+        n = base_n + np.arange(len(micros)) - starts[of_row] + 1
+        total = sums - before_visit[of_row] + np.where((of_row == 0) & carried, open_[3] if carried else 0.0, 0.0)
+        first = micros[starts].copy()
+        if carried:
+            first[0] = min(first[0], open_[0])
+        yield self._rows(key, new["frame"].to_numpy(), micros, first[of_row], n, total, False)
+        ends = np.concatenate([starts[1:], [len(micros)]]) - 1
+        if open_ is not None and not carried:
+            yield self._closed(key, open_)
+        for i in range(len(starts) - 1):
+            yield self._closed(key, (first[i], seen[ends[i] + 1], n[ends[i]], total[ends[i]]))
+        state = (int(first[-1]), int(seen[-1]), int(n[-1]), float(total[-1]))
+        self.visit.update(state)
+        self.handle.registerTimer(self._timer(state[1]))
+
+    def _closed(self, key, visit) -> pd.DataFrame:
+        first, last, n, total = visit
+        return self._rows(key, [None], [last + self.gap], [first], [n], [total], True)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        visit = self.visit.get() if self.visit.exists() else None
+        if visit is not None and self._timer(visit[1]) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.visit.clear()
+            yield self._closed(key, visit)
+
+    def close(self) -> None:
+        pass
+
+
+def running_visits(
+    points: DataFrame, gap: str = C.TRACK_TIMEOUT, watermark: str = C.TRACK_TIMEOUT, time: str = "ts"
+) -> DataFrame:
+    """A row per point with its visit so far, and a row (``closed``) per visit that has ended.
+
+    ``points`` is a stream with ``frame``, ``speed_kmh`` and the timestamp ``time``. ``seen`` is the time of the
+    point, or for a closed visit its last point's time plus ``gap``; ``visit_start`` is the visit's first.
+    A point later than ``gap`` after the one before it starts another visit. Points with a null speed or time
+    are not observations.
+    """
+    known = points.where(F.col("speed_kmh").isNotNull() & F.col(time).isNotNull()).withWatermark(time, watermark)
+    rows = known.select(*TRACK, F.col("frame").cast("int").alias("frame"), F.unix_micros(F.col(time)).alias("micros"), "speed_kmh", time)
+    visits = rows.groupBy(*TRACK).transformWithStateInPandas(RunningVisits(_micros(gap)), VISITS, "Append", "EventTime")
+    return visits.select(
+        *TRACK,
+        "frame",
+        F.timestamp_micros("micros").alias("seen"),
+        F.timestamp_micros("visit_micros").alias("visit_start"),
+        "observations",
+        "avg_speed",
+        "closed",
+    )
+
+
 def session_stream(
     points: DataFrame, gap: str = C.TRACK_TIMEOUT, watermark: str = C.TRACK_TIMEOUT, time: str = "ts"
 ) -> DataFrame:

@@ -126,31 +126,88 @@ def test_track_speed_state_continues_over_triggers(spark):
         assert (state.points, state.speed_kmh) == pytest.approx((r.points, r.speed_kmh))
 
 
-def test_late_points_take_their_place_and_old_tracks_go(spark):
+def speed_run(spark, path, out, position, rows, **more):
+    """One run over added points; (batch's state operator, all speeds so far)."""
     schema = "source_id string, tracker_id int, frame int, mx double, my double"
-
-    def points(*rows):
-        return spark.createDataFrame([("a", t, f, float(x), 0.0) for t, f, x in rows], schema)
-
-    first, kept = tracks.speeds_after(points((1, 1, 0), (1, 3, 20), (2, 1, 0)), None, 5.0)
-    assert sorted((r.tracker_id, r.frame, r.points) for r in first.collect()) == [(1, 1, 1), (1, 3, 2), (2, 1, 1)]
-    # Frame 2 comes late: it is the second point, two metres on.
-    late, kept = tracks.speeds_after(points((1, 2, 2), (1, 400, 30)), kept, 5.0, forget=100)
-    got = {r.frame: (r.points, r.speed_kmh) for r in late.collect()}
-    assert got[2] == pytest.approx((2, 2 / (2 / 5) * 3.6)) and got[400][0] == 4
-    assert sorted((r.tracker_id, r.frame) for r in kept.collect()) == [(1, 1), (1, 2), (1, 3), (1, 400)]
-
-
-def test_repeated_batch_writes_the_same(spark):
-    out, position = new_folder(spark, "out"), new_folder(spark, "position")
-    schema = "source_id string, tracker_id int, frame int, mx double, my double"
-    writer = tracks.TrackSpeedWriter(out, position, 5.0)
-    batches = [spark.createDataFrame([("a", 1, f, float(f), 0.0) for f in part], schema) for part in (range(4), range(4, 9))]
-    for n in (0, 0, 1, 1):
-        writer(batches[n], n)
-    want = windows.endpoint_speed(batches[0].unionByName(batches[1]), 5.0)
-    got = spark.read.parquet(out).select("frame", "points", "speed_kmh")
-    assert sorted(map(tuple, got.collect())) == sorted((r.frame, r.points, r.speed_kmh) for r in want.collect())
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    query = tracks.start_track_speed(streams.read_file_stream(spark, path, schema), out, position, 5.0, **more)
+    finish(query)
+    return query.lastProgress.stateOperators[0], {(r.tracker_id, r.frame): r for r in spark.read.parquet(out).collect()}
+
+
+def test_late_points_take_their_place_and_state_has_fps_points(spark):
+    where = [new_folder(spark, n) for n in ("in", "out", "position")]
+    state, got = speed_run(spark, *where, [("a", 1, 1, 0.0, 0.0), ("a", 1, 3, 20.0, 0.0), ("a", 2, 1, 0.0, 0.0)])
+    assert {k: r.points for k, r in got.items()} == {(1, 1): 1, (1, 3): 2, (2, 1): 1}
+    # Frame 2 comes late: it is the second point, two metres on. The speed of frame 3 is out already.
+    state, late = speed_run(spark, *where, [("a", 1, 2, 2.0, 0.0), ("a", 1, 400, 30.0, 0.0)])
+    assert (late[1, 2].points, late[1, 2].speed_kmh) == pytest.approx((2, 2 / (2 / 5) * 3.6))
+    assert late[1, 400].points == 4 and late[1, 3] == got[1, 3]
+    # Many points later a track still keeps five; the batch wrote one track's state, not both.
+    state, more = speed_run(spark, *where, [("a", 1, 500 + f, float(f), 0.0) for f in range(40)])
+    assert more[1, 539].points == 5
+    assert state.numRowsTotal <= 6 + 2 and state.numRowsUpdated <= 6
+
+
+def test_speed_state_is_forgotten(spark):
+    path, out, position = (new_folder(spark, n) for n in ("in", "out", "position"))
+    schema = "source_id string, tracker_id int, frame int, mx double, my double, ts timestamp"
+
+    def run(*rows):
+        given = [(s, t, f, x, 0.0, T0 + timedelta(seconds=at)) for s, t, f, x, at in rows]
+        spark.createDataFrame(given, schema).coalesce(1).write.mode("append").parquet(path)
+        stream = streams.read_file_stream(spark, path, schema)
+        query = tracks.start_track_speed(stream, out, position, 5.0, forget="10 seconds", watermark="2 seconds")
+        finish(query)
+        points = {(r.tracker_id, r.frame): r.points for r in spark.read.parquet(out).collect()}
+        return query.lastProgress.stateOperators[0].numRowsTotal, points
+
+    run(("a", 1, 1, 0.0, 0), ("b", None, 1, 0.0, 9))
+    # At 14 seconds less 2 the first track has been unseen for more than ten, the second has not.
+    run(("c", 3, 1, 0.0, 14))
+    total, points = run(("a", 1, 2, 5.0, 15), ("b", None, 2, 5.0, 15))
+    assert points == {(1, 1): 1, (None, 1): 1, (3, 1): 1, (1, 2): 1, (None, 2): 2}
+    run(("d", 4, 1, 0.0, 1_000))
+    total, _ = run(("d", 4, 2, 0.0, 2_000))
+    assert total <= 5  # one track: two points, their count, its time and timer
+
+
+def test_running_visits_close_and_leave_the_state(spark):
+    """Two batches: a visit goes on, one closes within a batch, all close behind the watermark."""
+    path, out, position = (new_folder(spark, n) for n in ("in", "out", "position"))
+    schema = "source_id string, tracker_id int, frame int, ts timestamp, speed_kmh double"
+
+    def run(*rows):
+        given = [(s, t, f, T0 + timedelta(seconds=at), v) for s, t, f, at, v in rows]
+        spark.createDataFrame(given, schema).coalesce(1).write.mode("append").parquet(path)
+        stream = streams.read_file_stream(spark, path, schema)
+        query = (
+            tracks.running_visits(stream, "5 seconds", "2 seconds").writeStream.format("parquet").option("path", out)
+            .option("checkpointLocation", position).trigger(availableNow=True).start()
+        )
+        finish(query)
+        found = [
+            (r.source_id, r.tracker_id, r.frame, (r.seen - T0).total_seconds(), (r.visit_start - T0).total_seconds(), r.observations, r.avg_speed, r.closed)
+            for r in spark.read.parquet(out).collect()
+        ]
+        return query.lastProgress.stateOperators[0].numRowsTotal, sorted(found, key=str)
+
+    first = [("a", 1, 1, 0, 10.0), ("a", 1, 2, 5, 20.0), ("a", 2, 1, 0, 8.0), ("a", 2, 2, 6, 4.0), ("a", 3, 1, 5, None)]
+    _, got = run(*first)
+    want = [
+        ("a", 1, 1, 0, 0, 1, 10.0, False), ("a", 1, 2, 5, 0, 2, 15.0, False),
+        ("a", 2, 1, 0, 0, 1, 8.0, False), ("a", 2, None, 5, 0, 1, 8.0, True), ("a", 2, 2, 6, 6, 1, 4.0, False),
+    ]
+    assert got == sorted(want, key=str)
+    # Track 1 goes on and takes a point that comes late; track 2 is not seen any more.
+    _, got = run(("a", 1, 4, 8, 30.0), ("a", 1, 3, 6, 40.0))
+    want += [("a", 1, 3, 6, 0, 3, 70 / 3, False), ("a", 1, 4, 8, 0, 4, 25.0, False)]
+    assert got == sorted(want, key=str)
+    total, got = run((None, 9, 1, 1_000, 1.0))
+    want += [("a", 1, None, 13, 0, 4, 25.0, True), ("a", 2, None, 11, 6, 1, 4.0, True), (None, 9, 1, 1_000, 1_000, 1, 1.0, False)]
+    assert got == sorted(want, key=str)
+    # One visit is open: its value and its timer, kept by key and by time.
+    assert total <= 3
 
 
 @pytest.mark.parametrize("zone", ["Asia/Kolkata", "America/New_York"])

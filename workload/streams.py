@@ -197,20 +197,48 @@ _SESSIONS = f"""marked AS (SELECT source_id, tracker_id, ts, speed_kmh,
     ROWS UNBOUNDED PRECEDING) AS visit FROM marked)"""
 
 
+def _known_points(spark: SparkSession, events: DataFrame, path: str) -> DataFrame:
+    """Points of known cameras and speeds as a stream of files."""
+    points = events.select("source_id", "tracker_id", "frame", "ts", "speed_kmh")
+    write_files(points.withColumn("ts", clock.as_instant(F.col("ts"))), path, 4)
+    stream = streams.read_file_stream(spark, path, spark.read.parquet(path).schema)
+    return stream.where(F.col("source_id").isNotNull() & F.col("speed_kmh").isNotNull())
+
+
 @query(
     "stream_track_state",
+    f"""WITH {S.DET}, {_SESSIONS.replace("ts, speed_kmh", "ts, frame, speed_kmh", 1)}
+    SELECT source_id, tracker_id, frame, ts AS seen, min(ts) OVER v AS visit_start, count(*) OVER v AS observations,
+      {S.rnd("avg(speed_kmh) OVER v", 6)} AS avg_speed, false AS closed
+    FROM visits WINDOW v AS (PARTITION BY source_id, tracker_id, visit ORDER BY ts, frame ROWS UNBOUNDED PRECEDING)
+    UNION ALL SELECT source_id, tracker_id, NULL, max(ts) + INTERVAL 12 HOUR, min(ts), count(*),
+      {S.rnd("avg(speed_kmh)", 6)}, true FROM visits GROUP BY source_id, tracker_id, visit""",
+)
+def stream_track_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Running state of every track over two runs; timers close the visits and empty the state."""
+    apply_runtime_options(spark)
+    path, position, table = (new_folder(spark, n) for n in ("points", "position", "table"))
+    events = _events(spark, folder)
+    early = F.col("ts") < F.lit(str(I.AS_OF)).cast("timestamp_ntz")
+    for part in (events.where(early), events.where(~early).unionByName(_valid_one(events, 2030))):
+        stream = _known_points(spark, part, path)
+        visits = append_stream(tracks.running_visits(stream, I.SESSION_GAP, "1 hour"), table, position)
+    times = {c: clock.as_wall_clock(F.col(c)) for c in ("seen", "visit_start")}
+    found = visits.withColumns({**times, "avg_speed": rounded(F.col("avg_speed"), 6)})
+    return found.where(F.col("seen") < "2026-01-01")
+
+
+@query(
+    "stream_track_sessions",
     f"""WITH {S.DET}, {_SESSIONS}
     SELECT source_id, tracker_id, min(ts) AS session_start,
       max(ts) + INTERVAL 12 HOUR AS session_end, count(*) AS observations,
       {S.rnd("avg(speed_kmh)", 6)} AS avg_speed FROM visits GROUP BY source_id, tracker_id, visit""",
 )
-def stream_track_state(spark: SparkSession, folder: str) -> DataFrame:
-    path = new_folder(spark, "points")
+def stream_track_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """The same visits as session windows."""
     events = _events(spark, folder)
-    points = events.unionByName(_valid_one(events, 2030)).select("source_id", "tracker_id", "ts", "speed_kmh")
-    write_files(points.withColumn("ts", clock.as_instant(F.col("ts"))), path)
-    stream = streams.read_file_stream(spark, path, spark.read.parquet(path).schema)
-    known = stream.where(F.col("source_id").isNotNull() & F.col("speed_kmh").isNotNull())
+    known = _known_points(spark, events.unionByName(_valid_one(events, 2030)), new_folder(spark, "points"))
     visits = tracks.session_stream(known, I.SESSION_GAP, "1 hour")
     table = append_stream(live.zoneless(visits, "session_start", "session_end"))
     return table.withColumn("avg_speed", rounded(F.col("avg_speed"), 6))
@@ -232,7 +260,7 @@ def stream_track_speed(spark: SparkSession, folder: str) -> DataFrame:
     for rows in (points.where(early), points.where(~early)):
         write_files(rows.drop("ts"), path)
         stream = streams.read_file_stream(spark, path, rows.drop("ts").schema)
-        finish(tracks.start_track_speed(stream, table, position, "fps", I.RATES))
+        finish(tracks.start_track_speed(stream, table, position, "fps"))
     speeds = spark.read.parquet(table)
     return speeds.select(
         "source_id",
