@@ -77,32 +77,3 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-
-
-def replace_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file so that readers see the old content or the new one, whole."""
-    jvm = spark._jvm
-    system, target = _file_system(spark, path)
-    _, fresh = _file_system(spark, f"{path}.{uuid.uuid4().hex}")
-    stream = system.create(fresh)
-    try:
-        stream.write(text.encode())
-    finally:
-        stream.close()
-    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-    how = spark.sparkContext._gateway.new_array(kind, 1)
-    how[0] = kind.OVERWRITE
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), conf).rename(fresh, target, how)
-
-
-def folder_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of what lies in a folder."""
-    system, target = _file_system(spark, path)
-    return [entry.getPath().getName() for entry in system.listStatus(target)]
-
-
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder, if it is there."""
-    system, target = _file_system(spark, path)
-    system.delete(target, True)

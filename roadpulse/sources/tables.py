@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import json
-import uuid
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.operators.filters import between
 from roadpulse.operators.joins import upsert_rows
 from roadpulse.schema import EVENT_SCHEMA
-from roadpulse.session import folder_names, read_text, remove_folder, replace_text
+from roadpulse.session import path_exists, read_text
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -21,6 +21,22 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
+def start_jsonl(
+    stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, by_day: str | None = None
+) -> StreamingQuery:
+    """Append a stream's rows as JSON lines, each exactly once.
+
+    The file sink notes the files of every batch beside the data; a batch that is repeated after a crash
+    replaces its own files in the note, and ``read_jsonl`` reads those that are noted. With ``by_day`` the
+    lines lie in a folder per date of that column.
+    """
+    rows = stream.withColumn("day", F.to_date(by_day)) if by_day else stream
+    writer = rows.writeStream.format("json").outputMode("append").option("ignoreNullFields", "false")
+    writer = writer.partitionBy("day") if by_day else writer
+    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
@@ -42,8 +58,37 @@ def jdbc_options(url: str, table: str, batch_rows: int = 10_000, **extra: str) -
     return {"url": url, "dbtable": table, "batchsize": str(batch_rows), **extra}
 
 
-def read_jdbc(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    return spark.read.format("jdbc").options(**options).load()
+def jdbc_ranges(column: str, low: int, high: int, parts: int, fetch_rows: int = 10_000) -> dict[str, str]:
+    """Reader options that split a table by ranges of a whole-number column, one task and connection each.
+
+    ``low`` and ``high`` only place the borders: rows below, above or without a value are read too.
+    """
+    if parts < 1 or low > high:
+        raise ValueError("parts must be positive and low at most high")
+    bounds = {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(parts)}
+    return {**bounds, "fetchsize": str(fetch_rows)}
+
+
+def jdbc_days(column: str, start: date, end: date) -> list[str]:
+    """Conditions that split a read into a task per day of [start, end), for tables that are queried by time.
+
+    Each reaches the database, whose index on the column then serves it.
+    """
+    days = [start + timedelta(days=i) for i in range((end - start).days)]
+    return [f"{column} >= '{d}' AND {column} < '{d + timedelta(days=1)}'" for d in days]
+
+
+def read_jdbc(spark: SparkSession, options: dict[str, str], conditions: list[str] | None = None) -> DataFrame:
+    """A table of a database, read side by side: by ``jdbc_ranges`` among the options, or a task per condition.
+
+    Without either it is one task, which suits small tables only.
+    """
+    if conditions is None:
+        return spark.read.format("jdbc").options(**options).load()
+    if "partitionColumn" in options:
+        raise ValueError("split by ranges or by conditions, not both")
+    named = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=conditions, properties=named)
 
 
 def write_staging_jdbc(df: DataFrame, options: dict[str, str]) -> None:
@@ -70,14 +115,8 @@ def write_staging(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# A published table is a folder of versions and this small file, which names those that count.
-POINTER = "CURRENT"
-WRITERS = 1_000  # whose last batch the file remembers
-
-
-def _pointer(spark: SparkSession, table: str) -> dict:
-    text = read_text(spark, f"{table}/{POINTER}")
-    return json.loads(text) if text else {"parts": {}, "done": {}, "retired": [], "schema": None}
+# Columns of a published table beside its own: the part it is kept by, and the batch that last set the row.
+PART, WRITER, BATCH = "part", "set_by", "set_in"
 
 
 def upsert_table(
@@ -92,80 +131,51 @@ def upsert_table(
 ) -> bool:
     """Merge a batch into a published table; False when the batch is empty.
 
-    ``writer`` and the rising number ``batch`` tell a repeated batch, which changes nothing: for a stream
-    take ``stream_id``, which a new checkpoint gives anew, for a job its run. One writer at a time.
-
-    The merged rows are written once, to a new version; then the pointer file is replaced in one step.
-    Readers meet the table before or after, never between, and a lost driver leaves the old table whole.
-    Versions are kept for one more batch, for readers under way, and then removed, as are leftovers.
+    The table is plain Parquet, kept by the date of ``day_of`` (by one part without it). Parts that occur in
+    the batch are read, merged and written over by Spark's dynamic partition overwrite, so the cost does not
+    grow with the history. One writer at a time; readers should start anew while a part is replaced, or the
+    rows be handed to a table format that keeps versions.
 
-    With ``day_of`` the table is kept by the date of that column, and only days that occur in the batch are
-    read and rewritten, so the cost does not grow with the history.
+    ``writer`` and the rising number ``batch`` are kept with each row, so a batch that is repeated, whole or
+    after a crash half-way, changes only what it has not set yet and undoes nothing newer: for a stream take
+    ``stream_id``, which a new checkpoint gives anew, for a job its run.
     """
     spark = incoming.sparkSession
-    known = _pointer(spark, table)
-    if known["done"].get(writer, -1) >= batch:
-        return True
-    rows = (incoming.withColumn("day", F.to_date(day_of)) if day_of else incoming).persist()
+    part = F.coalesce(F.to_date(day_of).cast("string"), F.lit("none")) if day_of else F.lit("all")
+    marks = {PART: part, WRITER: F.lit(writer), BATCH: F.lit(batch).cast("bigint")}
+    rows = incoming.withColumns(marks).persist()
     try:
-        if day_of:
-            touched = sorted(str(r["day"]) for r in rows.select("day").distinct().collect())
-        else:
-            touched = [] if rows.isEmpty() else ["*"]
+        touched = [r[PART] for r in rows.select(PART).distinct().collect()]
         if not touched:
             return False
         merged = rows
-        stored = [known["parts"][day] for day in touched if day in known["parts"]]
-        if stored:
-            old = _read_parts(spark, table, known, stored)
-            old = old.withColumn("day", F.to_date(day_of)) if day_of else old
-            merged = upsert_rows(old.select(*rows.columns), rows, keys, keep, newest)
-        version = f"v-{uuid.uuid4().hex}"
-        _write_version(merged, f"{table}/{version}", keys, day_of)
+        if path_exists(spark, table):
+            stored = _stored(spark, table).where(F.col(PART).isin(touched)).select(*rows.columns)
+            merged = upsert_rows(stored, _not_set_yet(rows, stored, keys), keys, (*keep, PART), newest)
+        # Rebalancing gathers the rows of a day in few files, yet lets AQE split a day that is large.
+        spread = merged.hint("rebalance", PART).sortWithinPartitions(PART, *keys)
+        spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(table)
     finally:
         rows.unpersist()
-    parts = {day: f"{version}/day={day}" if day_of else version for day in touched}
-    done = {w: n for w, n in known["done"].items() if w != writer} | {writer: batch}
-    fresh = {
-        "parts": known["parts"] | parts,
-        "done": dict(list(done.items())[-WRITERS:]),
-        "retired": stored,
-        "schema": incoming.schema.json(),
-    }
-    replace_text(spark, f"{table}/{POINTER}", json.dumps(fresh))
-    _remove_unused(spark, table, fresh)
     return True
 
 
-def _write_version(merged: DataFrame, path: str, keys: list[str], day_of: str | None) -> None:
-    """Rebalancing gathers the rows of a day in few files, yet lets AQE split a day that is large."""
-    if day_of is None:
-        merged.write.parquet(path)
-        return
-    spread = merged.hint("rebalance", "day").sortWithinPartitions("day", *keys)
-    spread.write.partitionBy("day").parquet(path)
-
-
-def _remove_unused(spark: SparkSession, table: str, known: dict) -> None:
-    """Remove versions that neither the table nor a reader of the one before it may use."""
-    used = [*known["parts"].values(), *known["retired"]]
-    versions = {part.split("/")[0] for part in used}
-    for name in folder_names(spark, table):
-        if name.startswith("v-") and name not in versions:
-            remove_folder(spark, f"{table}/{name}")
+def _not_set_yet(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a batch without those that it, or a later batch of the same writer, has set already."""
+    known = stored.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(WRITER).alias("_by"), F.col(BATCH).alias("_in"))
+    same = [F.col(k) == F.col(f"_{k}") for k in keys]
+    return rows.join(known, [*same, F.col(WRITER) == F.col("_by"), F.col(BATCH) <= F.col("_in")], "left_anti")
 
 
-def _read_parts(spark: SparkSession, table: str, known: dict, parts: list[str]) -> DataFrame:
-    schema = T.StructType.fromJson(json.loads(known["schema"]))
-    return spark.read.schema(schema).parquet(*[f"{table}/{part}" for part in parts])
+def _stored(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.parquet(table).withColumn(PART, F.col(PART).cast("string"))
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     """A table written by ``upsert_table``, as it is now."""
-    known = _pointer(spark, table)
-    if not known["parts"]:
+    if not path_exists(spark, table):
         raise FileNotFoundError(f"{table} has not been written")
-    return _read_parts(spark, table, known, list(known["parts"].values()))
+    return spark.read.parquet(table).drop(PART, WRITER, BATCH)
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
