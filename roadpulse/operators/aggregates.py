@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse import constants as C
@@ -217,6 +217,42 @@ def window_range(
     )
 
 
+# Names of the metrics that ``counted_filters`` observes, in the order of the filters.
+STEPS = ["rows_read", "rows_complete", "rows_kept"]
+
+
+def counted_filters(
+    df: DataFrame, window_minutes: int = C.HOURLY_WINDOW_MINUTES, time: str = "event_time", label: str = "hourly"
+) -> tuple[DataFrame, list[Observation]]:
+    """(rows that the hourly job counts, what was observed after each filter).
+
+    The counts come with the rows' own action, without another pass. A batch fills the observations:
+    ``filter_counts`` puts them in one row. On a stream there are none; the metrics of each batch are in
+    its progress under ``label`` and the step's name (``streaming.progress``).
+    """
+    seen: list[Observation] = []
+
+    def counted(rows: DataFrame, step: str, *more: Column) -> DataFrame:
+        name = f"{label}_{step}"
+        if not rows.isStreaming:
+            seen.append(Observation(name))
+        return rows.observe(name if rows.isStreaming else seen[-1], F.count(F.lit(1)).alias(step), *more)
+
+    start = clock.window_start(F.col(time), clock.minutes(window_minutes))
+    whole = counted(filters.complete(counted(df, STEPS[0])), STEPS[1])
+    # A window expression drops rows without a time, so the window is a column of its own before that.
+    kept = filters.moving(whole).where(F.col(time).isNotNull()).withColumn("window_start", start)
+    bounds = [F.min("window_start").alias("first_window"), F.max("window_start").alias("last_window")]
+    return counted(kept, STEPS[2], *bounds).drop("window_start"), seen
+
+
+def filter_counts(spark: SparkSession, seen: list[Observation]) -> DataFrame:
+    """One row of the counts and the window range, once the rows' action has run."""
+    found = {name: value for observation in seen for name, value in observation.get.items()}
+    kinds = ", ".join(f"{s} bigint" for s in STEPS) + ", first_window timestamp_ntz, last_window timestamp_ntz"
+    return spark.createDataFrame([tuple(found[c] for c in (*STEPS, "first_window", "last_window"))], kinds)
+
+
 def duplicate_windows(summary: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Keys that occur more than once in a published table."""
     key = key or ["window_start", "source_id"]

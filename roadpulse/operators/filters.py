@@ -32,8 +32,17 @@ def valid_batch(df: DataFrame, required: list[str] | None = None) -> DataFrame:
 
     Unlike the live job it drops standing vehicles.
     """
-    complete = df.dropna(subset=required or C.REQUIRED_COLUMNS)
-    return complete.where((F.col("speed_kmh") > 0) & (F.col("speed_kmh") < C.MAX_SPEED_KMH))
+    return moving(complete(df, required))
+
+
+def complete(df: DataFrame, required: list[str] | None = None) -> DataFrame:
+    """Rows with a value in every required column; a speed that is not a number is none."""
+    return df.dropna(subset=required or C.REQUIRED_COLUMNS)
+
+
+def moving(df: DataFrame) -> DataFrame:
+    """Rows with 0 < speed < 150."""
+    return df.where((F.col("speed_kmh") > 0) & (F.col("speed_kmh") < C.MAX_SPEED_KMH))
 
 
 def parsable_time(df: DataFrame, text: str = "timestamp", into: str = "event_time") -> DataFrame:

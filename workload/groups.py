@@ -9,6 +9,7 @@ from roadpulse.functions import clock
 from roadpulse.functions.traffic import rounded
 from roadpulse.operators import aggregates, filters
 from roadpulse.plans import hourly
+from roadpulse.session import written_out
 from workload import inputs as I
 from workload import sql as S
 from workload.registry import query
@@ -95,6 +96,22 @@ def agg_window_range(spark: SparkSession, folder: str) -> DataFrame:
     return aggregates.window_range(I.detections(spark, folder), time="ts")
 
 
+@query(
+    "agg_filter_counts",
+    f"""WITH {S.DET},
+    marked AS (SELECT *, date_trunc('hour', ts) AS w, source_id IS NOT NULL AND tracker_id IS NOT NULL
+      AND speed_kmh IS NOT NULL AS complete, coalesce({S.BATCH_VALID}, false) AS kept FROM det)
+    SELECT count(*) AS rows_read, CAST(count_if(complete) AS BIGINT) AS rows_complete,
+      CAST(count_if(kept) AS BIGINT) AS rows_kept, min(w) FILTER (WHERE kept) AS first_window,
+      max(w) FILTER (WHERE kept) AS last_window FROM marked""",
+)
+def agg_filter_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The same counts, observed while the vehicle rows are written."""
+    kept, seen = aggregates.counted_filters(I.detections(spark, folder), time="ts")
+    written_out(aggregates.vehicle_means(kept, time="ts"), "vehicles")
+    return aggregates.filter_counts(spark, seen)
+
+
 @query(
     "dq_duplicate_windows",
     f"""WITH {S.DET} SELECT source_id, date_trunc('hour', ts) AS window_start,

@@ -35,16 +35,18 @@ def append_stream(
     return spark.read.schema(stream.schema).parquet(table)
 
 
-def batch_stream(stream: DataFrame, mode: str, sink, checkpoint: str) -> None:
-    """Run a stream over all available input into a ``foreachBatch`` sink."""
+def batch_stream(stream: DataFrame, mode: str, sink, checkpoint: str) -> StreamingQuery:
+    """Run a stream over all available input into a ``foreachBatch`` sink; the query, which has ended."""
     apply_runtime_options(stream.sparkSession)
-    finish(
+    query = (
         stream.writeStream.outputMode(mode)
         .foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    finish(query)
+    return query
 
 
 def write_files(df: DataFrame, path: str, files: int = 8) -> None:

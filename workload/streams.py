@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions import clock
 from roadpulse.functions.traffic import rounded
-from roadpulse.operators import filters
+from roadpulse.operators import aggregates, filters
 from roadpulse.plans.hourly import HourlyTables
 from roadpulse.session import apply_runtime_options, new_folder
 from roadpulse.sources import streams, tables
 from roadpulse.streaming import hourly, live, tracks
+from roadpulse.streaming.progress import ProgressTable
 from workload import inputs as I
 from workload import sql as S
 from workload.registry import query
@@ -100,6 +101,54 @@ def stream_watermark(spark: SparkSession, folder: str) -> DataFrame:
     return _measures(current.where(F.col("window_start") < "2026-01-01"))
 
 
+@query(
+    "stream_late_rows",
+    f"""WITH {S.STREAM_LIVE}, n AS (SELECT count(*) AS n FROM det)
+    SELECT 0 AS run, n AS input_rows, CAST(0 AS BIGINT) AS late_rows FROM n
+    UNION ALL SELECT 1, CAST(1 AS BIGINT), CAST(0 AS BIGINT)
+    UNION ALL SELECT 2, n, (SELECT count(*) FROM live) FROM n""",
+)
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows read and windows dropped behind the watermark, as three runs on one checkpoint report them."""
+    path, position, table = (new_folder(spark, n) for n in ("messages", "position", "changes"))
+    events = _events(spark, folder)
+    runs = ((events, None), (events.limit(0), _valid_one(events, 2030)), (_shifted(events, -365), None))
+    number = {}
+    with ProgressTable(spark) as progress:
+        for rows, extra in runs:
+            _message_files(spark, rows, path, extra)
+            windows = live.live_window_stream(streams.read_file_stream(spark, path), I.HOUR, exact=True)
+            ended = batch_stream(live.zoneless(windows), "update", live.BatchTableWriter(table), position)
+            progress.wait(ended)
+            number[str(ended.runId)] = len(number)
+        found = progress.take()
+    known = spark.createDataFrame(list(number.items()), "run_id string, run int")
+    per_run = found.join(F.broadcast(known), "run_id").groupBy("run")
+    return per_run.agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
+
+
+@query(
+    "stream_filter_counts",
+    f"""WITH {S.DECODED}, steps AS (SELECT *, source_id IS NOT NULL AND tracker_id IS NOT NULL
+        AND vehicle_type IS NOT NULL AND speed_kmh IS NOT NULL AND "timestamp" IS NOT NULL AS complete FROM decoded)
+    SELECT count(*) AS rows_read, CAST(count_if(complete) AS BIGINT) AS rows_complete,
+      CAST(count_if(complete AND speed_kmh > 0 AND speed_kmh < 150 AND "timestamp" <> 'not-a-time') AS BIGINT) AS rows_kept
+    FROM steps""",
+)
+def stream_filter_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows after each filter of the hourly job, observed on a stream in several batches."""
+    path, table = new_folder(spark, "messages"), new_folder(spark, "kept")
+    decoded = streams.decode(streams.read_file_stream(spark, _message_files(spark, _events(spark, folder), path), files_per_trigger=3))
+    timed = decoded.withColumn("event_time", clock.parse_local_time(F.col("timestamp")))
+    kept, _ = aggregates.counted_filters(timed)
+    with ProgressTable(spark) as progress:
+        ended = batch_stream(kept, "append", live.BatchTableWriter(table), new_folder(spark, "position"))
+        progress.wait(ended)
+        found = progress.take()
+    values = [F.get_json_object(F.col("observed")[f"hourly_{s}"], f"$.{s}").cast("bigint") for s in aggregates.STEPS]
+    return found.agg(*[F.sum(v).alias(s) for v, s in zip(values, aggregates.STEPS)])
+
+
 @query("stream_tumbling", f"WITH {S.STREAM_LIVE} SELECT {_WINDOWS} FROM live")
 def stream_tumbling(spark: SparkSession, folder: str) -> DataFrame:
     """Append mode: a window comes out once, after the watermark has passed it."""
