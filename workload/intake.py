@@ -7,16 +7,18 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadpulse import constants as C
 from roadpulse.functions import clock
 from roadpulse.operators import aggregates
 from roadpulse.plans import hourly
 from roadpulse.schema import LIVE_KEY, SUMMARY_KEY, TYPE_KEY, contract_violations
 from roadpulse.session import new_folder
-from roadpulse.sources import streams, tables
+from roadpulse.sources import record_log, streams, tables
+from roadpulse.streaming import live
 from workload import inputs as I
 from workload import sql as S
 from workload.registry import query
-from workload.runs import append_stream
+from workload.runs import append_stream, finish
 
 DECODED = f"WITH {S.DECODED} SELECT {S.FLAT} FROM decoded"
 
@@ -42,6 +44,64 @@ def incremental_batch(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(table)
 
 
+def _log(spark: SparkSession, messages: DataFrame, path: str) -> None:
+    """Messages as one more segment, dealt by their text."""
+    record_log.append_log(messages.select("value"), path, F.col("value"), 4)
+
+
+def _counted_batches(stream: DataFrame, table: str, position: str) -> None:
+    """Drain a stream of a log into a folder per batch."""
+    writer = stream.writeStream.foreachBatch(live.BatchTableWriter(table))
+    record_log.drained(writer.option("checkpointLocation", position).trigger(processingTime="0 seconds").start())
+
+
+@query("src_record_log", f"WITH {S.DECODED} SELECT {S.FLAT}, true AS bounded, true AS whole FROM decoded")
+def src_record_log(spark: SparkSession, folder: str) -> DataFrame:
+    """At most 3,000 records a trigger, as measured in the batches; the offsets of a partition have no gaps."""
+    path, table, position = (new_folder(spark, n) for n in ("log", "table", "position"))
+    _log(spark, I.damaged_messages(spark, folder), path)
+    _counted_batches(record_log.read_log_stream(spark, path, C.LIVE_RECORDS_PER_TRIGGER), table, position)
+    read = spark.read.parquet(table)
+    bounded = read.groupBy("batch").count().agg(F.max("count") <= C.LIVE_RECORDS_PER_TRIGGER).scalar()
+    gaps = read.groupBy("partition").agg((F.max("offset") + 1 == F.count_distinct("offset")).alias("w"), F.count("*").alias("n"), F.max("offset").alias("m"))
+    whole = gaps.agg(F.bool_and(F.col("w") & (F.col("n") == F.col("m") + 1))).scalar()
+    return I.flat_nullable(streams.decode(read)).withColumns({"bounded": bounded, "whole": whole})
+
+
+@query(
+    "src_log_backlog",
+    f"WITH {S.DECODED} SELECT {S.FLAT} FROM decoded",
+)
+def src_log_backlog(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs, each up to the end that the log had at its start, in batches of a tenth of the log."""
+    path, table, position = (new_folder(spark, n) for n in ("log", "table", "position"))
+    everything = I.damaged_messages(spark, folder)
+    late = F.pmod(F.xxhash64("value"), F.lit(2)) == 1
+    _log(spark, everything.where(~late), path)
+    ends = record_log.log_ends(path)
+    cap = -(-sum(ends.values()) // 5)
+    # The second half arrives while the first run is under way; it waits for the second run.
+    _log(spark, everything.where(late), path)
+    _counted_batches(record_log.read_log_stream(spark, path, cap, ends), table, position)
+    if spark.read.parquet(table).count() != sum(ends.values()):
+        raise AssertionError("the first run did not stop at its end")
+    _counted_batches(record_log.read_log_stream(spark, path, cap, record_log.log_ends(path)), table, position)
+    return I.flat_nullable(streams.decode(spark.read.parquet(table).select("value")))
+
+
+@query("sink_jsonl_stream", DECODED)
+def sink_jsonl_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Decoded messages as JSON lines, in two runs of several batches; each record is there once."""
+    source, path, position = (new_folder(spark, n) for n in ("messages", "jsonl", "position"))
+    everything = I.damaged_messages(spark, folder)
+    late = F.pmod(F.xxhash64("value"), F.lit(2)) == 1
+    for part in (everything.where(~late), everything.where(late)):
+        part.repartition(4).write.mode("append").parquet(source)
+        stream = streams.decode(streams.read_file_stream(spark, source, files_per_trigger=2))
+        finish(tables.start_jsonl(stream, path, position))
+    return I.flat_nullable(tables.read_jsonl(spark, path))
+
+
 @query("decode_events", DECODED)
 def decode_events(spark: SparkSession, folder: str) -> DataFrame:
     return I.flat_nullable(streams.decode(I.damaged_messages(spark, folder)))
