@@ -119,25 +119,26 @@ FROM coded LEFT JOIN stays USING (doc_id) LEFT JOIN sums USING (doc_id)
 def _url_level(k: int) -> str:
     """Tables of one level of the template tree: ``tree{k}`` with one more segment generalised."""
     return f"""
-  at{k} AS (SELECT *, coalesce(segments[{k + 1}], '') AS segment FROM tree{k}),
-  branches{k} AS (SELECT host, done, segment, sum(n) AS bn, sum(labelled) AS bl, sum(bad) AS bb FROM at{k} GROUP BY ALL),
-  parents{k} AS (
+  at{k} AS MATERIALIZED (SELECT *, coalesce(segments[{k + 1}], '') AS segment FROM tree{k}),
+  branches{k} AS MATERIALIZED (SELECT host, done, segment, sum(n) AS bn, sum(labelled) AS bl, sum(bad) AS bb FROM at{k} GROUP BY ALL),
+  parents{k} AS MATERIALIZED (
     SELECT host, done, sum(bn) AS pn, count(*) AS children, sum(CASE WHEN bl >= 5 THEN bl ELSE 0 END) AS pl,
       sum(CASE WHEN bl >= 5 THEN bb ELSE 0 END) AS pb FROM branches{k} GROUP BY ALL),
-  steps{k} AS (
+  steps{k} AS MATERIALIZED (
     SELECT host, done, segment, CASE WHEN segment = '' THEN ''
       WHEN children >= 10 AND children >= 0.3::DOUBLE * pn THEN '/*'
       WHEN bl >= 5 AND pl - bl >= 5 AND abs(bb / bl - (pb - bb) / (pl - bl))
         <= 1.96::DOUBLE * sqrt((pb / pl) * (1 - pb / pl) * (1 / bl + 1 / (pl - bl))) THEN '/*'
       ELSE '/' || segment END AS step
     FROM branches{k} JOIN parents{k} USING (host, done)),
-  tree{k + 1} AS (
+  tree{k + 1} AS MATERIALIZED (
     SELECT host, segments, n, labelled, bad, done || step AS done FROM at{k} JOIN steps{k} USING (host, done, segment)),"""
 
 
+URL_LEVELS = 8  # the tree is unrolled; no given path has more segments (tests assert it)
 _STEM = r"regexp_replace(x, '\.[A-Za-z]{1,5}$', '')"
 OP8 = rf"""
-WITH rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+WITH RECURSIVE rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
   ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
 parts AS (SELECT row_number() OVER () AS r, page_id, url, substr(url, strpos(url, '://') + 3) AS rest FROM pages),
 urls AS (
@@ -156,16 +157,34 @@ shaped AS (
         OR (length({_STEM}) >= 12 AND regexp_matches({_STEM}, '[0-9].*[0-9].*[0-9]'))
       THEN '*' || regexp_extract(x, '\.[A-Za-z]{{1,5}}$') ELSE x END) AS own
   FROM urls LEFT JOIN fits USING (r)),
-ruled AS (SELECT *, CASE WHEN len(own) > 4 THEN list_append(own[1:4], '**') ELSE own END AS segments FROM shaped),
+ruled AS (SELECT *, own AS segments FROM shaped),
 tree0 AS (
   SELECT host, segments, count(*) AS n, count(verdict) AS labelled,
     sum(CASE WHEN verdict = 'block' THEN 1 ELSE 0 END) AS bad, '' AS done FROM ruled GROUP BY host, segments),
-{"".join(_url_level(k) for k in range(4))}
-judged AS (
-  SELECT host, done AS template, (sum(bad) + 4.0::DOUBLE * 0.25::DOUBLE) / (sum(labelled) + 4.0::DOUBLE) AS share
-  FROM tree4 GROUP BY ALL),
+{"".join(_url_level(k) for k in range(URL_LEVELS))}
+ends AS (
+  SELECT host, done AS template, sum(labelled) AS labelled, sum(bad) AS bad FROM tree{URL_LEVELS} GROUP BY ALL),
+named AS (SELECT *, regexp_replace(host, ':[0-9]*$', '') AS plain, string_split(template, '/') AS parts FROM ends),
+branches AS (
+  SELECT host, template, labelled, bad, unnest(range(1, len(parts) + 1)) AS k, parts, CASE
+    WHEN regexp_matches(plain, '^[0-9.]+$|^\[') THEN plain
+    ELSE regexp_extract(plain, '(?:[^.]+\.)?(?:[^.]{{1,3}}\.[a-z]{{2}}|[^.]+)$') END AS domain FROM named),
+joined AS (SELECT *, array_to_string(parts[1:k], '/') AS branch FROM branches),
+own AS (SELECT domain, host, branch, sum(labelled) AS hl, sum(bad) AS hb FROM joined GROUP BY ALL),
+wide AS (SELECT domain, branch, sum(hl) AS dl, sum(hb) AS db FROM own GROUP BY ALL),
+chain AS (
+  SELECT joined.host, template, k, len(parts) AS last, dl, db, hl, hb FROM joined
+  JOIN own ON own.host = joined.host AND own.branch = joined.branch
+  JOIN wide ON wide.domain = joined.domain AND wide.branch = joined.branch),
+shares AS (
+  SELECT host, template, 0 AS k, coalesce((SELECT sum(bad)::DOUBLE / nullif(sum(labelled), 0) FROM ends), 0.25::DOUBLE) AS p FROM ends
+  UNION ALL
+  SELECT chain.host, chain.template, chain.k,
+    (hb + 4.0::DOUBLE * ((db + 4.0::DOUBLE * p) / (dl + 4.0::DOUBLE))) / (hl + 4.0::DOUBLE)
+  FROM shares JOIN chain ON chain.host = shares.host AND chain.template = shares.template AND chain.k = shares.k + 1),
+judged AS (SELECT host, template, arg_max(p, k) AS share FROM shares GROUP BY ALL),
 leaves AS (
-  SELECT tree4.host, segments, template, share FROM tree4 JOIN judged ON tree4.host = judged.host AND done = template)
+  SELECT t.host, segments, template, share FROM tree{URL_LEVELS} t JOIN judged ON t.host = judged.host AND done = template)
 SELECT page_id, ruled.host, path, rule,
   coalesce(verdict, CASE WHEN share >= 0.6::DOUBLE THEN 'block' ELSE 'allow' END) AS verdict, template, share
 FROM ruled JOIN leaves ON ruled.host = leaves.host AND ruled.segments = leaves.segments

@@ -19,7 +19,6 @@ from roadpulse.session import written_out
 Rule = tuple[str, str, str]
 
 WILD = "*"
-DEPTH = 4  # levels of a tree that is cut; what lies deeper is one wildcard tail
 MANY, VARIED = 10, 0.3  # children of a branch, and children per url, from which they are variable
 Z = 1.96  # siblings whose labels differ by less are merged
 LEAST = 5  # labels that a branch needs before it is compared
@@ -65,39 +64,32 @@ def shape(segment: Column) -> Column:
     return F.when(variable, F.concat(F.lit(WILD), extension)).otherwise(segment)
 
 
-def _segments(path: Column, depth: int | None) -> Column:
-    parts = F.transform(F.array_remove(F.split(path, "/"), ""), shape)
-    if depth is None:
-        return parts
-    deep = F.concat(F.slice(parts, 1, depth), F.array(F.lit("**")))
-    return F.when(F.size(parts) > depth, deep).otherwise(parts)
+def _segments(path: Column) -> Column:
+    return F.transform(F.array_remove(F.split(path, "/"), ""), shape)
 
 
-def templates(urls: DataFrame, depth: int | None = DEPTH) -> DataFrame:
+def templates(urls: DataFrame) -> DataFrame:
     """The tree's leaves with their verdicts, from rows of (host, path, bad).
 
     ``bad`` is 1, 0 or null (no label). Gives one row per (host, segments): the segments with id-like
-    ones already generalised, the ``template`` they fall under, its labels and ``verdict``. Each level
-    is two aggregations of counts that are reduced before the shuffle, so a host with a third of all
+    ones already generalised, the ``template`` they fall under, its labels and ``verdict``. Each round
+    is aggregations of counts that are reduced before the shuffle, so a host with a third of all
     rows costs one row per distinct branch and task.
 
-    Paths are cut at ``depth`` levels, or not at all where it is None. A path ends at its own last segment,
-    and the rest of a path that is the only one of its branch is taken as it is, so levels are as many as
-    paths of one branch share.
+    A path ends at its own last segment, however deep. Segments that all paths of a branch share are taken in
+    one step, and so is the rest of a path that is the only one of its branch; rounds are thus as many as the
+    branchings on a path.
     """
-    leaves = urls.groupBy("host", _segments(F.col("path"), depth).alias("segments")).agg(
+    leaves = urls.groupBy("host", _segments(F.col("path")).alias("segments")).agg(
         F.count("*").alias("n"), F.count("bad").alias("labelled"), F.sum(F.coalesce("bad", F.lit(0))).alias("bad")
     )
-    # Template so far; every level replaces one more segment.
-    tree = leaves.withColumn("done", F.lit("")).withColumn("alone", F.lit(False))
-    tree, ended, level = written_out(tree, "url-leaves"), [], 0
-    while (depth is None or level < depth) and not tree.where(F.size("segments") > level).isEmpty():
-        tree = written_out(_generalised(tree, level, depth), f"url-level-{level}")
-        level += 1
-        # A path of just these segments stays for one more level, as a sibling of those that go on.
-        over = F.col("alone") | (F.size("segments") < level)
-        ended.append(tree.where(over))
-        tree = tree.where(~over)
+    # Template so far, and how many segments it covers; every round replaces some more.
+    tree = leaves.withColumns({"done": F.lit(""), "taken": F.lit(0), "over": F.lit(False)})
+    tree, ended, number = written_out(tree, "url-leaves"), [], 0
+    while not tree.isEmpty():
+        tree = written_out(_generalised(tree), f"url-round-{number}")
+        ended.append(tree.where("over"))
+        tree, number = tree.where("NOT over"), number + 1
     tree = reduce(DataFrame.unionAll, ended, tree)
     whole = tree.groupBy("host", "done").agg(F.sum("labelled").alias("seen"), F.sum("bad").alias("refused"))
     share = (F.col("refused") + STRENGTH * PRIOR) / (F.col("seen") + STRENGTH)
@@ -110,25 +102,47 @@ def templates(urls: DataFrame, depth: int | None = DEPTH) -> DataFrame:
         F.when(share >= REJECT, "block").otherwise("allow").alias("verdict"),
     )
     return tree.join(judged, (tree.host == judged.h) & (tree.done == judged.template)).select(
-        "host", "segments", "template", "seen", "refused", "share", "verdict"
+        "host", "segments", "template", "labelled", "bad", "seen", "refused", "share", "verdict"
     )
 
 
-def _generalised(tree: DataFrame, level: int, depth: int | None) -> DataFrame:
-    """Replace the segment of one level: by a wildcard, by the merged siblings' mark, or by itself.
+def _joined(segments: Column) -> Column:
+    return F.array_join(F.transform(segments, lambda s: F.concat(F.lit("/"), s)), "")
 
-    A leaf without siblings is done with all its segments, and is marked as ``alone``.
+
+def _past_shared(tree: DataFrame) -> DataFrame:
+    """The leaves moved past the segments that all of their branch share.
+
+    These are what the smallest and the greatest of the branch's paths share. A leaf alone is done.
     """
-    segment = F.coalesce(F.get("segments", F.lit(level)), F.lit(""))
-    at = tree.withColumn("segment", segment)
+    rest = F.slice("segments", F.col("taken") + 1, F.size("segments"))
+    ends = tree.groupBy(F.col("host").alias("bh"), F.col("done").alias("bd")).agg(
+        F.min(rest).alias("low"), F.max(rest).alias("high"), F.count("*").alias("leaves")
+    )
+    differ = F.array_position(F.zip_with("low", "high", lambda a, b: a.eqNullSafe(b)), F.lit(False))
+    shared = F.when(differ > 0, differ - 1).otherwise(F.size("low")).cast("int")
+    known = ends.select("bh", "bd", shared.alias("shared"), (F.col("leaves") == 1).alias("alone"))
+    joined = tree.join(known, (F.col("host") == F.col("bh")) & (F.col("done") == F.col("bd")))
+    return joined.select(
+        "host", "segments", "n", "labelled", "bad",
+        F.concat("done", _joined(F.slice("segments", F.col("taken") + 1, F.col("shared")))).alias("done"),
+        (F.col("taken") + F.col("shared")).alias("taken"),
+        F.col("alone").alias("over"),
+    )
+
+
+def _generalised(tree: DataFrame) -> DataFrame:
+    """Replace the segments that a branch shares by themselves, and the next one by a wildcard, the merged
+    siblings' mark, or itself. A path that has no next segment is a sibling of those that go on, and is over."""
+    moved = _past_shared(tree)
+    at = moved.where("NOT over").withColumn("segment", F.coalesce(F.get("segments", F.col("taken")), F.lit("")))
     branches = at.groupBy("host", "done", "segment").agg(
-        F.sum("n").alias("bn"), F.sum("labelled").alias("bl"), F.sum("bad").alias("bb"), F.count("*").alias("leaves")
+        F.sum("n").alias("bn"), F.sum("labelled").alias("bl"), F.sum("bad").alias("bb")
     )
     known = F.col("bl") >= LEAST
     parents = branches.groupBy(F.col("host").alias("ph"), F.col("done").alias("pd")).agg(
         F.sum("bn").alias("pn"),
         F.count("*").alias("children"),
-        F.sum("leaves").alias("among"),
         F.sum(F.when(known, F.col("bl")).otherwise(0)).alias("pl"),
         F.sum(F.when(known, F.col("bb")).otherwise(0)).alias("pb"),
     )
@@ -146,14 +160,13 @@ def _generalised(tree: DataFrame, level: int, depth: int | None) -> DataFrame:
         .when(variable | F.coalesce(alike, F.lit(False)), F.lit("/" + WILD))
         .otherwise(F.concat(F.lit("/"), F.col("segment")))
         .alias("step"),
-        (F.col("among") == 1).alias("alone"),
     )
-    rest = F.slice("segments", F.lit(level + 1), F.size("segments") if depth is None else F.lit(depth - level))
-    step = F.when(named["alone"], F.array_join(F.transform(rest, lambda s: F.concat(F.lit("/"), s)), "")).otherwise(F.col("step"))
     on = (at.host == named.nh) & (at.done == named.nd) & (at.segment == named.ns)
-    return at.join(named, on).select(
-        "host", "segments", "n", "labelled", "bad", F.concat("done", step).alias("done"), named["alone"]
-    )
+    stepped = at.join(named, on).select(
+        "host", "segments", "n", "labelled", "bad",
+        F.concat("done", "step").alias("done"), (F.col("taken") + 1).alias("taken"), (F.col("segment") == "").alias("over"),
+    )
+    return moved.where("over").unionByName(stepped)
 
 
 def domain_of(host: Column) -> Column:
@@ -174,16 +187,16 @@ def backed_off(tree: DataFrame) -> DataFrame:
     whole = (every["b"] or 0) / every["l"] if every["l"] else PRIOR
     steps = F.split("template", "/")
     ends = tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    branches = ends.withColumn("domain", domain_of(F.col("host"))).select(
-        "*", F.explode(F.transform(steps, lambda s, i: F.array_join(F.slice(steps, F.lit(1), i + 1), "/"))).alias("branch")
-    )
-    own = branches.groupBy("domain", "host", "branch").agg(F.sum("labelled").alias("hl"), F.sum("bad").alias("hb"))
+    # A branch is known by its depth and the hash of its steps, so that deep paths are not spelt out at each level.
+    hashes = F.transform(steps, lambda s, i: F.xxhash64(F.slice(steps, F.lit(1), i + 1)))
+    branches = ends.withColumn("domain", domain_of(F.col("host"))).select("*", F.posexplode(hashes).alias("k", "branch"))
+    own = branches.groupBy("domain", "host", "k", "branch").agg(F.sum("labelled").alias("hl"), F.sum("bad").alias("hb"))
     own = written_out(own, "url-branches")
-    wide = own.groupBy("domain", "branch").agg(F.sum("hl").alias("dl"), F.sum("hb").alias("db"))
-    counted = own.join(wide, ["domain", "branch"]).select("host", "branch", "dl", "db", "hl", "hb")
+    wide = own.groupBy("domain", "k", "branch").agg(F.sum("hl").alias("dl"), F.sum("hb").alias("db"))
+    counted = own.join(wide, ["domain", "k", "branch"]).select("host", "k", "branch", "dl", "db", "hl", "hb")
     # A row per template with as many numbers as its path has levels.
-    chain = branches.select("host", "template", "branch").join(counted, ["host", "branch"]).groupBy("host", "template")
-    levels = chain.agg(F.array_sort(F.collect_list(F.struct(F.size(F.split("branch", "/")).alias("k"), "dl", "db", "hl", "hb"))).alias("c"))
+    chain = branches.select("host", "template", "k", "branch").join(counted, ["host", "k", "branch"]).groupBy("host", "template")
+    levels = chain.agg(F.array_sort(F.collect_list(F.struct("k", "dl", "db", "hl", "hb"))).alias("c"))
 
     def smoothed(prior: Column, bad: Column, labels: Column) -> Column:
         return (bad + STRENGTH * prior) / (labels + STRENGTH)
@@ -193,13 +206,13 @@ def backed_off(tree: DataFrame) -> DataFrame:
 
 
 def filter_urls(
-    pages: DataFrame, rules: Sequence[Rule], page: str = "page_id", url: str = "url", back_off: bool = False
+    pages: DataFrame, rules: Sequence[Rule], page: str = "page_id", url: str = "url", back_off: bool = True
 ) -> DataFrame:
     """Every page with host, path, the rule that fits (or null), template, share and verdict.
 
-    The rules' verdicts are the labels from which the templates of the same host learn, over paths of any
-    depth. With ``back_off`` a template without labels of its own learns from its parent branches, its
-    registered domain and all labels (``backed_off``); else its share is ``PRIOR``. A null url or
+    The rules' verdicts are the labels from which the templates learn, over paths of any depth. With
+    ``back_off`` a template without labels of its own learns from its parent branches, its registered domain
+    and all labels (``backed_off``); else from its own alone, around ``PRIOR``. A null url or
     one without ``://`` has an empty host and path and is judged like any other. Repeated rows stay;
     only ``page`` and ``url`` are read, so other columns may have any name. An empty table gives none.
     """
@@ -208,18 +221,15 @@ def filter_urls(
     )
     ruled = rows.withColumn("fit", rule_for(F.col("host"), F.col("path"), rules))
     bad = F.when(F.col("fit").isNotNull(), (F.col("fit.verdict") == "block").cast("int"))
-    tree = templates(ruled.select("host", "path", bad.alias("bad")), depth=None)
+    tree = templates(ruled.select("host", "path", bad.alias("bad")))
     if back_off:
-        ends = tree.select("host", "template", "segments")
-        labels = ruled.select("host", _segments(F.col("path"), None).alias("segments"), bad.alias("bad"))
-        counts = labels.groupBy("host", "segments").agg(F.count("bad").alias("labelled"), F.sum(F.coalesce("bad", F.lit(0))).alias("bad"))
-        shares = backed_off(ends.join(counts, ["host", "segments"]))
+        shares = backed_off(tree.select("host", "template", "labelled", "bad"))
         verdict = F.when(F.col("share") >= REJECT, "block").otherwise("allow")
-        tree = ends.join(shares, ["host", "template"]).withColumn("verdict", verdict)
+        tree = tree.select("host", "template", "segments").join(shares, ["host", "template"]).withColumn("verdict", verdict)
     leaf = tree.select(
         F.col("host").alias("h"), F.col("segments").alias("s"), "template", "share", F.col("verdict").alias("method")
     )
-    at = ruled.withColumn("segments", _segments(F.col("path"), None))
+    at = ruled.withColumn("segments", _segments(F.col("path")))
     return at.join(leaf, (at.host == leaf.h) & (at.segments == leaf.s), "left").select(
         F.col("page").alias(page),
         "host",

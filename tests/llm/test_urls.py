@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from roadpulse.llm import queries, sql
 from roadpulse.llm import urls as U
 from roadpulse.llm.queries import URL_RULES
 
@@ -69,7 +70,7 @@ def test_alike_siblings_merge_and_unlike_ones_do_not(spark):
 def test_varied_segments_and_deep_paths(spark):
     got = tree(spark, [("h", f"/user/{chr(97 + i)}name/home", 1) for i in range(20)] + [("h", "/a/b/c/d/e/f", 0)])
     assert got["/user/*/home"]["seen"] == 20
-    assert "/a/b/c/d" in got
+    assert "/a/b/c/d/e/f" in got
 
 
 def test_shapes(spark):
@@ -90,7 +91,7 @@ def test_labels_differ_below_the_fourth_segment(spark):
     tails = [*(f"bad/x/{i}" for i in range(30)), *(f"good/x/{i}" for i in range(30)), "", "good", "bad", "e/f/g/h/i/j"]
     paths = [f"/a/b/c/d/{t}" for t in tails] + ["/" + "/".join("abc"[i % 3] for i in range(60)), "/a", ""]
     rows = [(i, f"http://h.example{p}") for i, p in enumerate(paths)]
-    got = {r["path"]: r for r in U.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    got = {r["path"]: r for r in U.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), rules, back_off=False).collect()}
     assert len(got) == len(paths)
     assert {got[p]["template"] for p in paths[:30]} == {"/a/b/c/d/bad/x/*"}
     assert {got[p]["template"] for p in paths[30:60]} == {"/a/b/c/d/good/x/*"}
@@ -99,6 +100,31 @@ def test_labels_differ_below_the_fourth_segment(spark):
     assert {got[p]["share"] for p in paths[60:]} == {0.25}
 
 
+def test_segments_that_a_branch_shares_take_one_step(spark, monkeypatch):
+    """Two urls with 2,000 equal segments are as few tables as two with five."""
+    written = []
+    plain = U.written_out
+    monkeypatch.setattr(U, "written_out", lambda df, label: written.append(label) or plain(df, label))
+    counts = []
+    for shared in (5, 2_000):
+        trunk = "/" + "/".join(f"s{i % 7}x" for i in range(shared))
+        urls = [f"http://h.example{trunk}/{t}" for t in ("a/b", "a/c", "d")] + ["http://h.example/z", f"http://h.example{trunk}"]
+        df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+        got = {r["page_id"]: r["template"] for r in U.filter_urls(df, [("block", "h.example", "/z")]).collect()}
+        assert got == {i: u.removeprefix("http://h.example") for i, u in enumerate(urls)}
+        counts.append(len(written))
+        written.clear()
+    assert counts[0] == counts[1] <= 7
+
+
+def test_pages_without_a_rule_get_other_verdicts_and_paths_fit_the_sql(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    found = queries.op8_url_filters(spark, "/root/testdata/sf0.1").where("rule IS NULL")
+    assert {r["verdict"] for r in found.select("verdict").distinct().collect()} == {"allow", "block"}
+    deepest = pages.select(F.max(F.size(U._segments(U.path_of(F.col("url")))))).first()[0]
+    assert deepest <= sql.URL_LEVELS
+
+
 def test_a_branch_without_labels_backs_off(spark):
     rules = [("block", "spam.example", "/de/"), ("allow", "good.example", "/de/")]
     urls = [f"http://{h}/de/{i}" for h in ("a.spam.example", "good.example") for i in range(40)]
