@@ -14,13 +14,16 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import free_name, in_parts, words
+from roadpulse.session import written_out
 
 WINDOW = 10
 BLOCK_ITEMS = 20_000  # benchmark items that one pass looks up; more items take more passes
+BLOCK_BYTES = 32 << 20  # of words of the items of one pass, about
 SEGMENT = 4_000_000  # bytes of text that are indexed at once, whole documents
 #: Of each byte of a text: A-Z lower-cased, other ASCII outside words a space; bytes beyond ASCII stay.
 _LETTERS = bytes(
@@ -34,7 +37,7 @@ def text_words(text: bytes) -> list[bytes]:
 
 
 class Queries:
-    """The distinct windows of some benchmark items, their words as numbers, rarest first.
+    """The distinct windows of some benchmark items by their rarest word; words are numbers, rarest first.
 
     ``counts`` has the occurrences of each benchmark word in the documents; a window with a word that no
     document has is left out.
@@ -46,12 +49,13 @@ class Queries:
         for item, found in items:
             for at in range(max(len(found) - window, 0) + 1 if found else 0):
                 owners.setdefault(tuple(found[at : at + window]), set()).add(item)
-        self.windows = []
+        self.windows: dict[int, list[tuple[int, list[tuple[int, int]], list[int]]]] = {}
         for run, own in owners.items():
             if all(counts.get(w) for w in run):
                 numbers = [self.ids.setdefault(w.encode(), len(self.ids)) for w in run]
                 order = sorted(range(len(run)), key=lambda i: (counts[run[i]], i))
-                self.windows.append((len(run), [(numbers[i], i) for i in order], sorted(own)))
+                terms = [(numbers[i], i) for i in order]
+                self.windows.setdefault(terms[0][0], []).append((len(run), terms, sorted(own)))
 
 
 class Index:
@@ -66,6 +70,10 @@ class Index:
         self.ends = np.searchsorted(numbers[order], np.arange(size + 1))
         self.places, self.numbers = order, numbers
 
+    def present(self) -> list[int]:
+        """Words that have postings."""
+        return np.flatnonzero(np.diff(self.ends)).tolist()
+
     def postings(self, word: int) -> np.ndarray:
         return self.places[self.ends[word] : self.ends[word + 1]]
 
@@ -129,7 +137,7 @@ def _scan(queries: Queries, texts: pa.Array, within: int | None) -> Iterator[tup
         cover = np.zeros(len(numbers) + 1, dtype=np.int32)
         items: dict[int, set[int]] = {}
         close: dict[int, set[int]] = {}
-        for length, terms, own in queries.windows:
+        for length, terms, own in (w for word in index.present() for w in queries.windows.get(word, ())):
             found = index.phrase(terms)
             if len(found):
                 np.add.at(cover, found, 1)
@@ -161,9 +169,8 @@ _FOUND = (
 
 
 def _with_hits(
-    docs: DataFrame, items: list, counts: dict[str, int], text: str, out: str, window: int, within: int | None
+    docs: DataFrame, sent: Broadcast, text: str, out: str, within: int | None
 ) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(Queries(items, counts, window))
     kept = [c for c in docs.columns if c != out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,19 +232,25 @@ def benchmark_hits(
     many places from its rarest word, in any order. A null text and an item without words have none; an item with a null id is ignored.
     Rows that repeat an item's id add their windows to it. Other columns pass through; ``out`` is replaced.
 
-    The benchmark is taken in blocks of ``block_items`` items, so that what is sent to the tasks has a
-    bound; each further block is a further pass over the rows, whose hits are joined to the earlier ones.
+    The benchmark is taken in blocks of ``block_items`` items and ``BLOCK_BYTES`` of their words, about, so that
+    what is sent to the tasks has a bound, save that one item is sent whole. Where there are several, each is a
+    pass over the rows, which are written with its hits before the next block is sent.
     """
     asked = benchmark.select(F.col(item).cast("bigint").alias("i"), words(F.col(text)).alias("w"))
     asked = asked.where(F.col("i").isNotNull() & (F.size("w") > 0))
-    blocks = max(1, -(-asked.count() // block_items))
+    sizes = asked.agg(F.count("*"), F.sum(F.octet_length(F.array_join("w", " ")))).first()
+    blocks = max(1, -(-sizes[0] // block_items), -(-(sizes[1] or 0) // BLOCK_BYTES))
     found = docs
     names = [free_name(docs, f"hits_{n}") for n in range(blocks)]
     for n, name in enumerate(names):
         block = asked.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == n) if blocks > 1 else asked
         items = [(r["i"], r["w"]) for r in block.collect()]
         counts = _counts(docs, {w for _, own in items for w in own}, text)
-        found = _with_hits(found, items, counts, text, name, window, within)
+        sent = docs.sparkSession.sparkContext.broadcast(Queries(items, counts, window))
+        found = _with_hits(found, sent, text, name, within)
+        if blocks > 1:
+            found = written_out(found, f"hits-{n}")
+            sent.destroy()
     joined = F.col(names[0])
     for name in names[1:]:
         joined = F.struct(

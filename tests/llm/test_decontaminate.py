@@ -64,3 +64,14 @@ def test_empty_tables(spark):
     assert D.benchmark_hits(docs.limit(0), items).collect() == []
     hits = D.benchmark_hits(docs, items.limit(0)).first()["hits"]
     assert (hits["n_words"], hits["n_hit"], hits["items"], hits["spans"]) == (3, 0, [], [])
+
+
+def test_blocks_are_bounded_by_bytes_too(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"{'pad ' * i}alpha beta gamma{i} delta") for i in range(12)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, f"beta gamma{i}") for i in range(0, 24, 2)], "item_id long, text string")
+    want = sorted(map(str, D.benchmark_hits(docs, items).collect()))
+    sent = []
+    plain = D.written_out
+    monkeypatch.setattr(D, "written_out", lambda df, label: sent.append(label) or plain(df, label))
+    monkeypatch.setattr(D, "BLOCK_BYTES", 40)
+    assert sorted(map(str, D.benchmark_hits(docs, items).collect())) == want and len(sent) > 2
