@@ -29,11 +29,15 @@ def apply_runtime_options(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Where that is unset it is a folder in the warehouse, which every executor can reach too.
+    Where that is unset, a session in one process takes a folder in its warehouse. On a cluster it is an error,
+    as the warehouse may be a folder of one machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
 
 
