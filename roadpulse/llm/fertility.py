@@ -105,9 +105,9 @@ class Words:
         self.flat, self.ends = array("q"), array("q", [0])
 
     def known(self, words: list[str]) -> np.ndarray:
-        """Numbers of different words."""
+        """Numbers of words."""
         numbers = self.numbers
-        new = [w for w in words if w not in numbers]
+        new = [w for w in dict.fromkeys(words) if w not in numbers]
         for word, (ids, tokens) in zip(new, self.vocabularies.cut(new)):
             numbers[word] = len(numbers)
             self.chars.append(len(word))

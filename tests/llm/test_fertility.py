@@ -4,6 +4,7 @@ import math
 import re
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
@@ -70,6 +71,18 @@ def test_counts_and_measures_equal_brute_force(spark, small, prose, libraries):
             assert [m[c] for c in fertility.MEASURES] == [None] * 4
 
 
+@pytest.mark.parametrize("texts", [[None], ["", None], ["  \n"], [" x", "x y z", " w  x\tv", "v u"], ["y x ", "x", None, "", "z"]])
+def test_batches_with_few_words(libraries, texts):
+    """Blanks at the ends stand beside words that look like their stand-in; also in a task's later batches."""
+    with open(queries.PIECES, "rb") as a, open(queries.MANY_LANGUAGES, "rb") as b:
+        words = fertility.Words(fertility.Vocabularies(a.read(), b.read(), public_tokenizers.PATTERN))
+    for _ in range(2):
+        for text, m in zip(texts, fertility.measured(pa.array(texts, pa.string()), words).to_pylist()):
+            counts = tuple(m[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))
+            assert counts == base(text or "")
+            assert [m[c] for c in fertility.MEASURES] == (pytest.approx(measures(text, libraries)) if counts[0] else [None] * 4)
+
+
 def test_a_task_that_forgets_gives_the_same(spark, prose, monkeypatch):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(prose * 3)], "k int, text string").coalesce(1)
     want = {r["k"]: r["measured"] for r in with_measures(rows).collect()}
