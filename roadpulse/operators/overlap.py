@@ -41,6 +41,8 @@ def suppress_overlaps(
     """
     if not 0 <= threshold <= 1:
         raise ValueError("the threshold must lie from 0 to 1")
+    if threshold == 1:
+        return df  # nothing overlaps by more than all of it
     group = [source, frame, *([class_col] if class_col else [])]
     rows = written_out(df.withColumn("_row", F.monotonically_increasing_id()), "boxes")
     finite = [F.coalesce(F.abs(F.col(c)) < F.lit(float("inf")), F.lit(False)) for c in BOX]
@@ -51,10 +53,9 @@ def suppress_overlaps(
     named = [F.col(c).alias(f"g{i}") for i, c in enumerate(group)]
     corners = [F.col(c).cast("double").alias(c) for c in BOX]
     boxes = rows.where(solid).select(*named, *corners, place.alias("place"))
-    # Of equal boxes all but the best go whenever two boxes can overlap above the threshold.
+    # Of equal boxes all but the best go: what removes the best one removes them too.
     keys = [f"g{i}" for i in range(len(group))]
-    same = ["place"] if threshold == 1 else []
-    best = written_out(boxes.groupBy(*keys, *BOX, *same).agg(F.min("place").alias("place")) if not same else boxes, "best")
+    best = written_out(boxes.groupBy(*keys, *BOX).agg(F.min("place").alias("place")), "best")
     pairs = written_out(_pairs(best, keys, threshold, block_boxes), "pairs")
     gone = _settled(pairs)
     stays = best.select(F.col("place.row").alias("_row")).join(gone, "_row", "left_anti")
@@ -123,13 +124,11 @@ def _with_block(sized: DataFrame, keys: list[str], name: str, boxes: int) -> Dat
 
 def _settle(block: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What follows for the boxes of one block: rows with ``kept`` where a box can be settled."""
-    table = pa.Table.from_batches(block)
-    order = pa.table({"rank": table["place"].combine_chunks().field("rank"), "id": table["place"].combine_chunks().field("id"),
-                      "row": table["place"].combine_chunks().field("row"), "better": table["better"], "open": table["open"]})
-    order = order.sort_by([("rank", "ascending"), ("id", "ascending"), ("row", "ascending")])
+    order = pa.Table.from_batches(block).flatten()
+    order = order.sort_by([(f"place.{name}", "ascending") for name in ("rank", "id", "row")])
     known: dict[int, bool | None] = {}
     betters: list[tuple[int, bool]] = []
-    rows, better, still = (order[c].to_pylist() for c in ("row", "better", "open"))
+    rows, better, still = (order[c].to_pylist() for c in ("place.row", "better", "open"))
     for i, row in enumerate(rows):
         betters.append((better[i], still[i]))
         if i + 1 < len(rows) and rows[i + 1] == row:
