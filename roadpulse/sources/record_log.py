@@ -3,6 +3,7 @@
 A log is a folder of segments, each written whole by ``append_log``: ``segment=N/partition=K/*.parquet``.
 A record's offset is its number within its partition, in order of segments and files. Positions lie in the
 stream's checkpoint; a batch that is repeated reads the same records. Row counts come from the files' footers.
+Files are cut into small row groups, of which a batch reads those that hold its records and no others.
 """
 
 from __future__ import annotations
@@ -27,6 +28,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _FILE = re.compile(r"segment=(\d+)/partition=(\d+)/[^/_.][^/]*\.parquet$")
 _DONE = re.compile(r"segment=(\d+)/_SUCCESS$")
 
+# Records that one task reads of a batch; bytes of a row group.
+RECORDS_PER_TASK = 50_000
+GROUP_BYTES = 2 * 1024 * 1024
+
 
 def _listed(path: str) -> tuple[fs.FileSystem, list[tuple[int, int, str]]]:
     """(partition, segment, file) of all whole segments, in order."""
@@ -75,13 +80,49 @@ def admitted(start: dict[str, int], ends: dict[str, int], limit: int | None) ->
     return {p: start.get(p, 0) + taken.get(p, 0) for p in sorted({*start, *ends}, key=int)}
 
 
-class Slice(InputPartition):
+class Slice:
     """Rows [low, high) of a file, whose first row has the offset ``base``."""
 
     def __init__(self, name: str, low: int, high: int, base: int, partition: int) -> None:
         self.name, self.low, self.high, self.base, self.partition = name, low, high, base, partition
 
 
+class Slices(InputPartition):
+    """What one task reads."""
+
+    def __init__(self, slices: list[Slice]) -> None:
+        self.slices = slices
+
+
+def dealt(slices: list[Slice], records: int) -> list[list[Slice]]:
+    """Slices by task, of at most ``records`` each: long ones are cut, short ones put together."""
+    tasks: list[list[Slice]] = []
+    room = 0
+    for s in slices:
+        low = s.low
+        while low < s.high:
+            if not room:
+                tasks.append([])
+                room = records
+            high = min(low + room, s.high)
+            tasks[-1].append(Slice(s.name, low, high, s.base, s.partition))
+            room -= high - low
+            low = high
+    return tasks
+
+
+def groups_of(sizes: list[int], low: int, high: int) -> tuple[list[int], int]:
+    """(row groups of these sizes that hold rows of [low, high), rows before the first of them)."""
+    found, skipped, at = [], 0, 0
+    for number, size in enumerate(sizes):
+        if at + size <= low:
+            skipped = at + size
+        elif at < high:
+            found.append(number)
+        at += size
+    return found, skipped
+
+
 class RecordLogReader(DataSourceStreamReader):
     """Offsets are records per partition. Spark plans the last batch again when a query restarts, which
     tells a new reader where to go on."""
@@ -122,28 +163,29 @@ class RecordLogReader(DataSourceStreamReader):
             low, high = max(start.get(p, 0), first), min(end.get(p, 0), first + rows)
             if low < high:
                 found.append(Slice(name, low - first, high - first, first, partition))
-        return found or [Slice("", 0, 0, 0, 0)]
+        return [Slices(task) for task in dealt(found, RECORDS_PER_TASK) or [[]]]
 
-    def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
-        if not partition.name:
-            return
+    def read(self, partition: Slices) -> Iterator[pa.RecordBatch]:
         system, _ = fs.FileSystem.from_uri(self.path) if "://" in self.path or self.path.startswith("file:") else (fs.LocalFileSystem(), "")
-        with system.open_input_file(partition.name) as file:
-            at = 0
-            for batch in pq.ParquetFile(file).iter_batches(columns=["value"]):
-                low, high = max(partition.low - at, 0), min(partition.high - at, batch.num_rows)
-                if low < high:
-                    rows = high - low
-                    first = partition.base + at + low
-                    columns = [
-                        batch.column(0).slice(low, rows).cast(pa.string()),
-                        pa.array([partition.partition] * rows, pa.int32()),
-                        pa.array(range(first, first + rows), pa.int64()),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, names=["value", "partition", "offset"])
-                at += batch.num_rows
-                if at >= partition.high:
-                    return
+        for part in partition.slices:
+            with system.open_input_file(part.name) as file:
+                yield from self._records(pq.ParquetFile(file), part)
+
+    def _records(self, file: pq.ParquetFile, part: Slice) -> Iterator[pa.RecordBatch]:
+        sizes = [file.metadata.row_group(n).num_rows for n in range(file.num_row_groups)]
+        groups, at = groups_of(sizes, part.low, part.high)
+        for batch in file.iter_batches(row_groups=groups, columns=["value"]):
+            low, high = max(part.low - at, 0), min(part.high - at, batch.num_rows)
+            if low < high:
+                rows = high - low
+                first = part.base + at + low
+                columns = [
+                    batch.column(0).slice(low, rows).cast(pa.string()),
+                    pa.array([part.partition] * rows, pa.int32()),
+                    pa.array(range(first, first + rows), pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["value", "partition", "offset"])
+            at += batch.num_rows
 
 
 class RecordLog(DataSource):
@@ -172,9 +214,10 @@ def append_log(messages: DataFrame, path: str, key: Column, partitions: int = 4,
     there = system.get_file_info(fs.FileSelector(root, allow_not_found=True))
     segment = 1 + max((int(m[1]) for m in (re.search(r"segment=(\d+)$", i.path) for i in there) if m), default=-1)
     part = F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int")
-    rows = messages.withColumn("partition", part).repartition(partitions, "partition")
-    rows = rows.sortWithinPartitions("partition", *(order or []))
-    rows.select("value", "partition").write.partitionBy("partition").parquet(f"{path}/segment={segment:012d}")
+    rows = messages.withColumn("partition", part)
+    rows = rows.repartition(partitions, "partition").sortWithinPartitions("partition", *(order or []))
+    writer = rows.select("value", "partition").write.partitionBy("partition").option("parquet.block.size", GROUP_BYTES)
+    writer.parquet(f"{path}/segment={segment:012d}")
     return segment
 
 

@@ -66,3 +66,43 @@ def test_shares_of_a_limit(limit):
     assert sum(taken.values()) == min(103 if limit is None else limit, 103)
     assert all(0 <= taken[p] <= ends[p] - start.get(p, 0) for p in got)
     assert R.admitted(got, ends, None) == {"0": 5, "1": 90, "2": 11, "10": 3}
+
+
+def test_a_batch_reads_the_row_groups_of_its_records_only(spark, monkeypatch):
+    path = new_folder(spark, "log")
+    long = F.concat(F.col("id").cast("string"), F.lit(":"), F.sha2(F.col("id").cast("string"), 512), F.sha2(F.col("id").cast("string"), 256))
+    R.append_log(spark.range(40_000).select(long.alias("value")), path, F.lit("one"), 1, [F.split("value", ":")[0].cast("int")])
+    reader = R.RecordLogReader({"path": path})
+    (task,) = reader.partitions({}, {"0": 40_000})
+    everything = [(o, v) for b in reader.read(task) for o, v in zip(b["offset"].to_pylist(), b["value"].to_pylist())]
+    assert [o for o, _ in everything] == list(range(40_000))
+    assert [int(v.split(":")[0]) for _, v in everything] == list(range(40_000))
+    read, whole = [], R.pq.ParquetFile.iter_batches
+
+    def counted(self, **options):
+        for batch in whole(self, **options):
+            read.append(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(R, "GROUP_BYTES", 256 * 1024)
+    again = new_folder(spark, "log")
+    R.append_log(spark.range(40_000).select(long.alias("value")), again, F.lit("one"), 1, [F.split("value", ":")[0].cast("int")])
+    monkeypatch.setattr(R.pq.ParquetFile, "iter_batches", counted)
+    reader = R.RecordLogReader({"path": again})
+    (task,) = reader.partitions({"0": 39_000}, {"0": 39_010})
+    assert [o for b in reader.read(task) for o in b["offset"].to_pylist()] == list(range(39_000, 39_010))
+    assert sum(read) < 20_000
+
+
+def test_tasks_of_a_batch():
+    def plain(tasks):
+        return [[(s.name, s.low, s.high) for s in task] for task in tasks]
+
+    short = [R.Slice(name, 5, 15, 0, 0) for name in "abc"]
+    assert plain(R.dealt(short, 30)) == [[("a", 5, 15), ("b", 5, 15), ("c", 5, 15)]]
+    assert plain(R.dealt(short, 20)) == [[("a", 5, 15), ("b", 5, 15)], [("c", 5, 15)]]
+    assert plain(R.dealt(short[:1], 4)) == [[("a", 5, 9)], [("a", 9, 13)], [("a", 13, 15)]]
+    assert R.dealt([], 4) == []
+    assert R.groups_of([10, 10, 10], 10, 20) == ([1], 10)
+    assert R.groups_of([10, 10, 10], 9, 21) == ([0, 1, 2], 0)
+    assert R.groups_of([10, 0, 10], 25, 30) == ([], 20)
