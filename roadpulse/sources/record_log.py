@@ -28,8 +28,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 _FILE = re.compile(r"segment=(\d+)/partition=(\d+)/[^/_.][^/]*\.parquet$")
 _DONE = re.compile(r"segment=(\d+)/_SUCCESS$")
 
-# Records that one task reads of a batch; bytes of a row group.
+# Records that one task reads of a batch; shares of a partition that tasks write; bytes of a row group.
 RECORDS_PER_TASK = 50_000
+SHARES = 256
 GROUP_BYTES = 2 * 1024 * 1024
 
 
@@ -209,13 +210,18 @@ def append_log(messages: DataFrame, path: str, key: Column, partitions: int = 4,
 
     Messages with equal ``key`` go to one partition, in the order of ``order``. One writer at a time. A segment
     that a lost driver left unfinished has no mark of success: readers pass it by and the next one has a new number.
+    Several tasks share a partition, by ranges of ``order`` or, without one, by the texts; the session's number
+    of shuffle partitions bounds what a task holds.
     """
     system, root = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
     there = system.get_file_info(fs.FileSelector(root, allow_not_found=True))
     segment = 1 + max((int(m[1]) for m in (re.search(r"segment=(\d+)$", i.path) for i in there) if m), default=-1)
     part = F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int")
     rows = messages.withColumn("partition", part)
-    rows = rows.repartition(partitions, "partition").sortWithinPartitions("partition", *(order or []))
+    if order:
+        rows = rows.repartitionByRange("partition", *order).sortWithinPartitions("partition", *order)
+    else:
+        rows = rows.repartition("partition", F.pmod(F.xxhash64("value", F.lit(0)), F.lit(SHARES)))
     writer = rows.select("value", "partition").write.partitionBy("partition").option("parquet.block.size", GROUP_BYTES)
     writer.parquet(f"{path}/segment={segment:012d}")
     return segment
