@@ -154,25 +154,31 @@ class RunningVisits(StatefulProcessor):
     def _timer(self, last: int) -> int:
         return (last + self.gap) // 1000 + 1
 
-    def _rows(self, key, frame, micros, first, n, total, closed) -> pd.DataFrame:
+    def _frame(self, key, frame, micros, first, n, total, closed) -> pd.DataFrame:
         count = len(micros)
+        unknown = np.isnan(frame)
         return pd.DataFrame(
             {
                 "source_id": [key[0]] * count,
                 "tracker_id": pd.array([key[1]] * count, dtype="Int32"),
-                "frame": pd.array(frame, dtype="Int32"),
+                "frame": pd.arrays.IntegerArray(np.where(unknown, 0, frame).astype(np.int32), unknown),
                 "micros": micros,
                 "visit_micros": first,
                 "observations": n,
-                "avg_speed": np.asarray(total) / np.asarray(n),
-                "closed": [closed] * count,
-            }
+                "avg_speed": total / n,
+                "closed": closed,
+            },
+            copy=False,
         )
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows)).sort_values(["micros", "frame"], kind="stable")
+        parts = list(rows)
+        new = parts[0] if len(parts) == 1 else pd.concat(parts)
+        frame = new["frame"].to_numpy(np.float64, na_value=np.nan)
         micros, speed = new["micros"].to_numpy(np.int64), new["speed_kmh"].to_numpy(np.float64)
-        open_ = self.visit.get() if self.visit.exists() else None
+        order = np.lexsort((frame, micros))
+        frame, micros, speed = frame[order], micros[order], speed[order]
+        open_ = self.visit.get()
         if open_ is not None:
             self.handle.deleteTimer(self._timer(open_[1]))
         # The latest time seen up to each row; a row that comes late belongs to the visit that is open.
@@ -191,25 +197,32 @@ class RunningVisits(StatefulProcessor):
         first = micros[starts].copy()
         if carried:
             first[0] = min(first[0], open_[0])
-        yield self._rows(key, new["frame"].to_numpy(), micros, first[of_row], n, total, False)
-        ends = np.concatenate([starts[1:], [len(micros)]]) - 1
-        if open_ is not None and not carried:
-            yield self._closed(key, open_)
-        for i in range(len(starts) - 1):
-            yield self._closed(key, (first[i], seen[ends[i] + 1], n[ends[i]], total[ends[i]]))
+        # Visits that are over by now: the one kept open, if the first row starts another, and all but the last.
+        ends = starts[1:] - 1
+        past = [] if open_ is None or carried else [open_]
+        over = [np.array([p[i] for p in past], kind) for i, kind in enumerate((np.int64, np.int64, np.int64, np.float64))]
+        over = [np.concatenate(c) for c in zip(over, (first[:-1], seen[ends + 1], n[ends], total[ends]))]
+        closed = len(over[0])
+        # One frame for all rows of the key; a frame of its own costs as much as hundreds of rows.
+        yield self._frame(
+            key,
+            np.concatenate([frame, np.full(closed, np.nan)]),
+            np.concatenate([micros, over[1] + self.gap]),
+            np.concatenate([first[of_row], over[0]]),
+            np.concatenate([n, over[2]]),
+            np.concatenate([total, over[3]]),
+            np.arange(len(micros) + closed) >= len(micros),
+        )
         state = (int(first[-1]), int(seen[-1]), int(n[-1]), float(total[-1]))
         self.visit.update(state)
         self.handle.registerTimer(self._timer(state[1]))
 
-    def _closed(self, key, visit) -> pd.DataFrame:
-        first, last, n, total = visit
-        return self._rows(key, [None], [last + self.gap], [first], [n], [total], True)
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        visit = self.visit.get() if self.visit.exists() else None
+        visit = self.visit.get()
         if visit is not None and self._timer(visit[1]) <= expiredTimerInfo.getExpiryTimeInMs():
             self.visit.clear()
-            yield self._closed(key, visit)
+            first, last, n, total = (np.array([v]) for v in visit)
+            yield self._frame(key, np.array([np.nan]), last + self.gap, first, n, total, np.array([True]))
 
     def close(self) -> None:
         pass

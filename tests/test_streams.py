@@ -1,18 +1,22 @@
 """Streams: equal to batch, late rows, restarts, state."""
 
+import pathlib
 import time
 from datetime import datetime, timedelta
 
+import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from roadpulse.operators import aggregates, windows
+from roadpulse.operators import aggregates, filters, windows
 from roadpulse.plans import hourly as batch_hourly
 from roadpulse.plans.hourly import HourlyTables
 from roadpulse.session import new_folder
 from roadpulse.sources import streams, tables
 from roadpulse.streaming import hourly, live, tracks
 from workload import inputs as I
+from workload import runs
 from workload.runs import batch_stream, finish, stamp, with_sentinel, write_files
 
 
@@ -240,3 +244,35 @@ def test_latest_window_of_a_batch_wins(spark):
         )
     )
     assert aggregates.latest_per_source(live_windows).first().avg_speed == 20.0
+
+
+def test_a_key_gives_one_frame_with_the_visits_that_are_over():
+    class Value:
+        def __init__(self, row):
+            self.row = row
+
+        def get(self):
+            return self.row
+
+        def update(self, row):
+            self.row = row
+
+    class Handle:
+        timers = [12]
+
+        def deleteTimer(self, at):
+            self.timers.remove(at)
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    visits = tracks.RunningVisits(10_000)
+    visits.handle, visits.visit = Handle(), Value((1_000, 1_000, 2, 7.0))
+    rows = pd.DataFrame({"frame": [9, 3, None], "micros": [90_000, 40_000, 40_000], "speed_kmh": [5.0, 1.0, 2.0]})
+    (frame,) = visits.handleInputRows(("a", 1), iter([rows]), None)
+    assert frame[["micros", "visit_micros", "observations", "avg_speed", "closed"]].values.tolist() == [
+        [40_000, 40_000, 1, 1.0, False], [40_000, 40_000, 2, 1.5, False], [90_000, 90_000, 1, 5.0, False],
+        [11_000, 1_000, 2, 3.5, True], [50_000, 40_000, 2, 1.5, True],
+    ]
+    assert [None if pd.isna(f) else int(f) for f in frame["frame"]] == [3, None, 9, None, None]
+    assert visits.visit.row == (90_000, 90_000, 1, 5.0) and Handle.timers == [101]
