@@ -246,6 +246,25 @@ def test_latest_window_of_a_batch_wins(spark):
     assert aggregates.latest_per_source(live_windows).first().avg_speed == 20.0
 
 
+def test_messages_are_parsed_once_however_they_are_filtered(spark):
+    sent = spark.createDataFrame([('{"source_id":"a","tracker_id":1}',), ("{", ), (None,)], "value string")
+    decoded = streams.decode(sent)
+    assert sorted((r.source_id, r.tracker_id) for r in decoded.collect() if r.source_id) == [("a", 1)]
+    assert decoded.count() == 3
+    timed = live.event_times(filters.valid_live(streams.decode(sent)))
+    plan = timed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+def test_message_files_can_be_split(spark, monkeypatch):
+    monkeypatch.setattr(runs, "GROUP_BYTES", 64 * 1024)
+    path = new_folder(spark, "messages")
+    text = F.sha2(F.col("id").cast("string"), 512)
+    runs.write_files(spark.range(20_000).select(text.alias("value")), path, 1)
+    (file,) = pathlib.Path(path.removeprefix("file:")).glob("*.parquet")
+    assert pq.ParquetFile(file).num_row_groups > 1
+
+
 def test_a_key_gives_one_frame_with_the_visits_that_are_over():
     class Value:
         def __init__(self, row):

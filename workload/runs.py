@@ -49,9 +49,13 @@ def batch_stream(stream: DataFrame, mode: str, sink, checkpoint: str) -> Streami
     return query
 
 
+# Row groups of a stream's files: what one task reads at least, so that the tasks of a batch share its files.
+GROUP_BYTES = 4 * 1024 * 1024
+
+
 def write_files(df: DataFrame, path: str, files: int = 8) -> None:
     """Add rows to a stream's folder."""
-    df.repartition(files).write.mode("append").parquet(path)
+    df.repartition(files).write.mode("append").option("parquet.block.size", GROUP_BYTES).parquet(path)
 
 
 def with_sentinel(df: DataFrame) -> DataFrame:
