@@ -34,7 +34,9 @@ def parse_local_time(text: Column, zone: str = C.ZONE) -> Column:
     east = F.when(F.startswith(offset, F.lit("-")), -minutes_).otherwise(minutes_)
     utc = plain - F.make_dt_interval(mins=F.when(offset == "Z", F.lit(0)).otherwise(east))
     local = F.when(offset == "", plain).otherwise(F.convert_timezone(F.lit("UTC"), F.lit(zone), utc))
-    return F.when(F.regexp_like(text, F.lit(_TIMES)), local)
+    # Most texts have neither fraction nor offset, which their length tells; the rest is not worked out for these.
+    found = F.when(F.length(text) == 19, text.try_cast("timestamp_ntz")).otherwise(local)
+    return F.when(F.regexp_like(text, F.lit(_TIMES)), found)
 
 
 _EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.operators import aggregates, joins, serving
 from roadpulse.schema import HOURLY_SUMMARY_SCHEMA, contract_violations, schema_violations
+from workload import groups
 
 EVENT = (
     "event_time timestamp_ntz, source_id string, tracker_id int, vehicle_type string, "
@@ -203,3 +204,9 @@ def test_contracts(spark):
     problems = schema_violations(df, HOURLY_SUMMARY_SCHEMA)
     assert ("total_vehicles", "missing", "int") in problems
     assert not [p for p in problems if p[0] == "source_id"]
+
+
+def test_quality_report_reads_the_events_once(spark, small):
+    report = groups.dq_quality_report(spark, small)
+    files = report.inputFiles()
+    assert files and not any("events.parquet" in f for f in files)
