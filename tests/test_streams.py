@@ -17,6 +17,7 @@ from roadpulse.sources import streams, tables
 from roadpulse.streaming import hourly, live, tracks
 from workload import inputs as I
 from workload import runs
+from workload import streams as queries
 from workload.runs import batch_stream, finish, stamp, with_sentinel, write_files
 
 
@@ -265,6 +266,29 @@ def test_message_files_can_be_split(spark, monkeypatch):
     assert pq.ParquetFile(file).num_row_groups > 1
 
 
+def test_messages_are_made_by_many_tasks_from_one_row_group(spark, monkeypatch):
+    n = F.col("event_id")
+    rows = spark.range(2_000).select(F.col("id").alias("event_id")).select(
+        n, (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=n)).alias("ts"),
+        (n % 50).alias("user_id"), F.lit("click").alias("event_type"), (n % 90).cast("double").alias("value"),
+    )
+    folder = new_folder(spark, "tables")
+    rows.coalesce(1).write.parquet(f"{folder}/events.parquet")
+    made = []
+
+    def counted(df, path, *files):
+        made.append((df.count(), df.rdd.getNumPartitions()))
+        write_files(df, path, *files)
+
+    monkeypatch.setattr(queries, "write_files", counted)
+    found = queries.stream_watermark(spark, folder)
+    assert [c for c, _ in made] == [2_000, 1, 2_000]
+    assert made[0][1] >= 8 and made[2][1] >= 8
+    # The tick and the late copies, a year back, add no window.
+    first, last = found.agg(F.min("window_start"), F.max("window_end")).first()
+    assert datetime(2024, 1, 1) <= first < last <= datetime(2024, 1, 2, 10)
+
+
 def test_a_key_gives_one_frame_with_the_visits_that_are_over():
     class Value:
         def __init__(self, row):

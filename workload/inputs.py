@@ -61,9 +61,14 @@ def _choose(key: Column, options: dict, default) -> Column:
     return chosen
 
 
-def detections(spark: SparkSession, folder: str) -> DataFrame:
-    """Decoded detection events, with the row key ``event_id`` and the zone-less time ``ts``."""
+def detections(spark: SparkSession, folder: str, tasks: int | None = None) -> DataFrame:
+    """Decoded detection events, with the row key ``event_id`` and the zone-less time ``ts``.
+
+    ``tasks`` deals the table's rows out to so many tasks before anything is made of them: one task reads a
+    whole row group, of which a file may have a single one.
+    """
     e = table(spark, folder, "events")
+    e = e if tasks is None else e.repartition(tasks)
     n = F.col("event_id")
     source = F.concat(F.lit("cam_0"), (F.col("user_id") % 4 + 1).cast("string"))
     return e.select(
@@ -121,9 +126,9 @@ def undamaged(df: DataFrame) -> DataFrame:
     return df.where((n % 97 != 0) & (n % 101 != 0) & (n % 103 != 0))
 
 
-def damaged_messages(spark: SparkSession, folder: str) -> DataFrame:
+def damaged_messages(spark: SparkSession, folder: str, tasks: int | None = None) -> DataFrame:
     """Messages of all detections, some of them damaged."""
-    return damaged(detections(spark, folder))
+    return damaged(detections(spark, folder, tasks))
 
 
 def damaged(df: DataFrame) -> DataFrame:

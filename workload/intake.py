@@ -26,7 +26,7 @@ DECODED = f"WITH {S.DECODED} SELECT {S.FLAT} FROM decoded"
 @query("src_detection_stream", DECODED)
 def detection_stream(spark: SparkSession, folder: str) -> DataFrame:
     source = new_folder(spark, "messages")
-    I.damaged_messages(spark, folder).repartition(8).write.parquet(source)
+    I.damaged_messages(spark, folder, 8).write.parquet(source)
     stream = streams.read_file_stream(spark, source, files_per_trigger=4)
     return append_stream(I.flat_nullable(streams.decode(stream)))
 
@@ -34,11 +34,11 @@ def detection_stream(spark: SparkSession, folder: str) -> DataFrame:
 @query("src_incremental_batch", DECODED)
 def incremental_batch(spark: SparkSession, folder: str) -> DataFrame:
     source, table, checkpoint = (new_folder(spark, n) for n in ("messages", "table", "position"))
-    everything = I.damaged_messages(spark, folder)
+    everything = I.damaged_messages(spark, folder, 4)
     # Two runs: the second one starts where the first one stopped.
     late = F.pmod(F.xxhash64("value"), F.lit(2)) == 1
     for part in (everything.where(~late), everything.where(late)):
-        part.repartition(4).write.mode("append").parquet(source)
+        part.write.mode("append").parquet(source)
         stream = streams.read_file_stream(spark, source, files_per_trigger=2)
         append_stream(I.flat_nullable(streams.decode(stream)), table, checkpoint)
     return spark.read.parquet(table)
@@ -93,10 +93,10 @@ def src_log_backlog(spark: SparkSession, folder: str) -> DataFrame:
 def sink_jsonl_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Decoded messages as JSON lines, in two runs of several batches; each record is there once."""
     source, path, position = (new_folder(spark, n) for n in ("messages", "jsonl", "position"))
-    everything = I.damaged_messages(spark, folder)
+    everything = I.damaged_messages(spark, folder, 4)
     late = F.pmod(F.xxhash64("value"), F.lit(2)) == 1
     for part in (everything.where(~late), everything.where(late)):
-        part.repartition(4).write.mode("append").parquet(source)
+        part.write.mode("append").parquet(source)
         stream = streams.decode(streams.read_file_stream(spark, source, files_per_trigger=2))
         finish(tables.start_jsonl(stream, path, position))
     return I.flat_nullable(tables.read_jsonl(spark, path))

@@ -53,9 +53,10 @@ def batch_stream(stream: DataFrame, mode: str, sink, checkpoint: str) -> Streami
 GROUP_BYTES = 4 * 1024 * 1024
 
 
-def write_files(df: DataFrame, path: str, files: int = 8) -> None:
-    """Add rows to a stream's folder."""
-    df.repartition(files).write.mode("append").option("parquet.block.size", GROUP_BYTES).parquet(path)
+def write_files(df: DataFrame, path: str, files: int | None = 8) -> None:
+    """Add rows to a stream's folder; with ``files`` None each task that makes them writes its own file."""
+    dealt = df if files is None else df.repartition(files)
+    dealt.write.mode("append").option("parquet.block.size", GROUP_BYTES).parquet(path)
 
 
 def with_sentinel(df: DataFrame) -> DataFrame:

@@ -30,10 +30,13 @@ def _measures(df: DataFrame) -> DataFrame:
 def _message_files(
     spark: SparkSession, events: DataFrame, path: str | None = None, extra: DataFrame | None = None
 ) -> str:
-    """Messages of all events, valid or not and some of them damaged, and whole messages of ``extra``."""
+    """Messages of all events, valid or not and some of them damaged, and whole messages of ``extra``.
+
+    Each task of ``events`` makes the messages of its rows and writes them; see ``_dealt``.
+    """
     path = path or new_folder(spark, "messages")
     sent = I.damaged(events)
-    write_files(sent if extra is None else sent.unionByName(I.messages(extra).select("value")), path)
+    write_files(sent if extra is None else sent.unionByName(I.messages(extra).select("value")), path, None)
     return path
 
 
@@ -41,6 +44,15 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     return I.detections(spark, folder)
 
 
+# Files of messages, where a stream takes a few of them per batch; more, on more cores, where it takes all.
+FILES = 8
+
+
+def _dealt(spark: SparkSession, folder: str, files: int | None = None) -> DataFrame:
+    """All events, dealt out to the tasks that shall write ``files`` files; None: as many as there are cores."""
+    return I.detections(spark, folder, files or max(FILES, spark.sparkContext.defaultParallelism))
+
+
 def _valid_one(events: DataFrame, year: int) -> DataFrame:
     """One valid event, moved to the first day of a year."""
     one = I.undamaged(filters.valid_batch(filters.valid_live(events))).limit(1)
@@ -64,7 +76,7 @@ def stream_live(spark: SparkSession, folder: str) -> DataFrame:
     """The pipeline as it is in production: windows of 5 seconds, approximate counts."""
     apply_runtime_options(spark)
     table, position = (new_folder(spark, n) for n in ("live", "position"))
-    messages = streams.read_file_stream(spark, _message_files(spark, _events(spark, folder)))
+    messages = streams.read_file_stream(spark, _message_files(spark, _dealt(spark, folder)))
     finish(
         live.start_live(
             messages,
@@ -88,8 +100,8 @@ def stream_watermark(spark: SparkSession, folder: str) -> DataFrame:
     back, in windows of their own, and would show up as extra rows.
     """
     path, position, table = (new_folder(spark, n) for n in ("messages", "position", "changes"))
-    events = _events(spark, folder)
-    tick = _valid_one(events, 2030)
+    events = _dealt(spark, folder)
+    tick = _valid_one(_events(spark, folder), 2030)
     for rows, extra in ((events, None), (events.limit(0), tick), (_shifted(events, -365), None)):
         _message_files(spark, rows, path, extra)
         messages = streams.read_file_stream(spark, path)
@@ -111,8 +123,9 @@ def stream_watermark(spark: SparkSession, folder: str) -> DataFrame:
 def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rows read and windows dropped behind the watermark, as three runs on one checkpoint report them."""
     path, position, table = (new_folder(spark, n) for n in ("messages", "position", "changes"))
-    events = _events(spark, folder)
-    runs = ((events, None), (events.limit(0), _valid_one(events, 2030)), (_shifted(events, -365), None))
+    events = _dealt(spark, folder)
+    tick = _valid_one(_events(spark, folder), 2030)
+    runs = ((events, None), (events.limit(0), tick), (_shifted(events, -365), None))
     number = {}
     with ProgressTable(spark) as progress:
         for rows, extra in runs:
@@ -138,7 +151,7 @@ def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
 def stream_filter_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Rows after each filter of the hourly job, observed on a stream in several batches."""
     path, table = new_folder(spark, "messages"), new_folder(spark, "kept")
-    decoded = streams.decode(streams.read_file_stream(spark, _message_files(spark, _events(spark, folder), path), files_per_trigger=3))
+    decoded = streams.decode(streams.read_file_stream(spark, _message_files(spark, _dealt(spark, folder, FILES), path), files_per_trigger=3))
     timed = decoded.withColumn("event_time", clock.parse_local_time(F.col("timestamp")))
     kept, _ = aggregates.counted_filters(timed)
     with ProgressTable(spark) as progress:
@@ -152,8 +165,7 @@ def stream_filter_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query("stream_tumbling", f"WITH {S.STREAM_LIVE} SELECT {_WINDOWS} FROM live")
 def stream_tumbling(spark: SparkSession, folder: str) -> DataFrame:
     """Append mode: a window comes out once, after the watermark has passed it."""
-    events = _events(spark, folder)
-    path = _message_files(spark, events, extra=_valid_one(events, 2030))
+    path = _message_files(spark, _dealt(spark, folder), extra=_valid_one(_events(spark, folder), 2030))
     messages = streams.read_file_stream(spark, path)
     windows = live.live_window_stream(messages, I.HOUR, "1 hour", exact=True)
     return _measures(append_stream(live.zoneless(windows)))
@@ -163,7 +175,7 @@ def stream_tumbling(spark: SparkSession, folder: str) -> DataFrame:
 def stream_update_mode(spark: SparkSession, folder: str) -> DataFrame:
     """Several batches; each emits the windows it changed, and the last value of each stands."""
     table = new_folder(spark, "changes")
-    path = _message_files(spark, _events(spark, folder))
+    path = _message_files(spark, _dealt(spark, folder, FILES))
     messages = streams.read_file_stream(spark, path, files_per_trigger=3)
     # The files are not in time order, so no row may count as late.
     windows = live.live_window_stream(messages, I.HOUR, "40 days", exact=True)
@@ -178,10 +190,10 @@ def stream_trigger(spark: SparkSession, folder: str) -> DataFrame:
     """A periodic trigger with a durable position: stopped and started again between two loads,
     every message arrives once."""
     path, position, table = (new_folder(spark, n) for n in ("messages", "position", "table"))
-    everything = I.damaged_messages(spark, folder)
+    everything = I.damaged_messages(spark, folder, 4)
     second = F.pmod(F.xxhash64("value"), F.lit(2)) == 1
     for part in (everything.where(~second), everything.where(second)):
-        write_files(part, path, 4)
+        write_files(part, path, None)
         stream = I.flat_nullable(streams.decode(streams.read_file_stream(spark, path)))
         running = (
             stream.writeStream.format("parquet")
@@ -209,7 +221,7 @@ def stream_foreach_batch(spark: SparkSession, folder: str) -> DataFrame:
         writer(batch, batch_id)
         writer(batch.limit(0), 1_000_000 + batch_id)
 
-    path = _message_files(spark, _events(spark, folder))
+    path = _message_files(spark, _dealt(spark, folder, FILES))
     messages = streams.read_file_stream(spark, path, files_per_trigger=4)
     windows = live.live_window_stream(messages, I.HOUR, "40 days", exact=True)
     batch_stream(windows, "update", deliver_twice, position)
@@ -224,7 +236,7 @@ def stream_foreach_batch(spark: SparkSession, folder: str) -> DataFrame:
 def stream_rate_limit(spark: SparkSession, folder: str) -> DataFrame:
     """Eight files at two per trigger: four batches, nothing left behind."""
     table = new_folder(spark, "counts")
-    path = _message_files(spark, _events(spark, folder))
+    path = _message_files(spark, _dealt(spark, folder, FILES))
     decoded = streams.decode(streams.read_file_stream(spark, path, files_per_trigger=2))
 
     def count(batch: DataFrame, batch_id: int) -> None:
@@ -332,8 +344,7 @@ def stream_hourly(spark: SparkSession, folder: str) -> DataFrame:
     """Both published tables; the totals as type 'all'."""
     apply_runtime_options(spark)
     totals, by_type, position = (new_folder(spark, n) for n in ("totals", "by_type", "position"))
-    events = _events(spark, folder)
-    path = _message_files(spark, events, extra=_valid_one(events, 2030))
+    path = _message_files(spark, _dealt(spark, folder), extra=_valid_one(_events(spark, folder), 2030))
     messages = streams.read_file_stream(spark, path)
     finish(hourly.start_hourly(messages, HourlyTables(totals, by_type), position, stamp=stamp()))
     whole = tables.read_table(spark, totals).withColumnRenamed("total_vehicles", "vehicle_count")
@@ -343,7 +354,6 @@ def stream_hourly(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("stream_hourly_totals", f"WITH {S.STREAM_HOURLY} SELECT * FROM total")
 def stream_hourly_totals(spark: SparkSession, folder: str) -> DataFrame:
-    events = _events(spark, folder)
-    path = _message_files(spark, events, extra=_valid_one(events, 2030))
+    path = _message_files(spark, _dealt(spark, folder), extra=_valid_one(_events(spark, folder), 2030))
     vehicles = hourly.vehicle_stream(streams.read_file_stream(spark, path))
     return append_stream(live.zoneless(hourly.total_stream(vehicles)))
