@@ -3,15 +3,19 @@
 A log is a folder of segments, each written whole by ``append_log``: ``segment=N/partition=K/*.parquet``.
 A record's offset is its number within its partition, in order of segments and files. Positions lie in the
 stream's checkpoint; a batch that is repeated reads the same records. Row counts come from the files' footers.
-Files are cut into small row groups, of which a batch reads those that hold its records and no others.
+Files are cut into small row groups, of which a batch reads those that hold its records and no others. A stream
+with a limit of records makes many small batches, so what a batch costs whatever its size counts most: a whole
+segment is listed once, and ``start_batches`` writes a batch without the folders and marks of a Spark write.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 import sys
-from collections.abc import Iterator, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -22,42 +26,55 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.streaming import StreamingQuery
 
+from roadpulse.session import plain_checkpoints
+
 # The reader runs in workers that may not have this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_FILE = re.compile(r"segment=(\d+)/partition=(\d+)/[^/_.][^/]*\.parquet$")
-_DONE = re.compile(r"segment=(\d+)/_SUCCESS$")
+_SEGMENT = re.compile(r"segment=(\d+)$")
+_FILE = re.compile(r"segment=\d+/partition=(\d+)/[^/_.][^/]*\.parquet$")
 
 # Records that one task reads of a batch; shares of a partition that tasks write; bytes of a row group.
 RECORDS_PER_TASK = 50_000
 SHARES = 256
-GROUP_BYTES = 2 * 1024 * 1024
+GROUP_BYTES = 256 * 1024
+
+# Folder of a table for files of batches that have not ended; the dot makes readers pass it by.
+UNDER_WAY = ".under_way"
 
+# A record as it is read: its text, partition and offset.
+RECORD = pa.schema([("value", pa.string()), ("partition", pa.int32()), ("offset", pa.int64())])
 
-def _listed(path: str) -> tuple[fs.FileSystem, list[tuple[int, int, str]]]:
-    """(partition, segment, file) of all whole segments, in order."""
-    system, root = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-    found = [i.path for i in system.get_file_info(fs.FileSelector(root, allow_not_found=True, recursive=True)) if i.is_file]
-    whole = {int(m[1]) for m in map(_DONE.search, found) if m}
-    files = [(int(m[2]), int(m[1]), m.string) for m in map(_FILE.search, found) if m and int(m[1]) in whole]
-    return system, sorted(files)
+
+def _opened(path: str) -> tuple[fs.FileSystem, str]:
+    """(file system, path on it)."""
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
 class _Files:
-    """Row counts of the files met so far; a file never changes once its segment is whole."""
+    """Files and row counts of the whole segments met so far, which never change."""
 
     def __init__(self, path: str) -> None:
         self.path = path
-        self.rows: dict[str, int] = {}
+        self.segments: dict[int, list[tuple[int, str, int]]] = {}
         self.files: list[tuple[int, str, int]] = []
 
     def refresh(self) -> None:
-        system, listed = _listed(self.path)
-        for _, _, name in listed:
-            if name not in self.rows:
-                with system.open_input_file(name) as file:
-                    self.rows[name] = pq.read_metadata(file).num_rows
-        self.files = [(partition, name, self.rows[name]) for partition, _, name in listed]
+        system, root = _opened(self.path)
+        found = system.get_file_info(fs.FileSelector(root, allow_not_found=True))
+        new = {int(m[1]): m.string for m in (_SEGMENT.search(i.path) for i in found) if m and int(m[1]) not in self.segments}
+        # A segment is listed after its mark was seen, so its files are all there.
+        whole = [n for n in sorted(new) if system.get_file_info(f"{new[n]}/_SUCCESS").is_file]
+        for number in whole:
+            listed = sorted(i.path for i in system.get_file_info(fs.FileSelector(new[number], recursive=True)) if i.is_file)
+            self.segments[number] = [(int(m[1]), m.string, self._rows(system, m.string)) for m in map(_FILE.search, listed) if m]
+        if whole:
+            files = [(partition, number, name, rows) for number, held in self.segments.items() for partition, name, rows in held]
+            self.files = [(partition, name, rows) for partition, _, name, rows in sorted(files)]
+
+    def _rows(self, system: fs.FileSystem, name: str) -> int:
+        with system.open_input_file(name) as file:
+            return pq.read_metadata(file).num_rows
 
     def ends(self) -> dict[str, int]:
         """Records of each partition."""
@@ -167,7 +184,7 @@ class RecordLogReader(DataSourceStreamReader):
         return [Slices(task) for task in dealt(found, RECORDS_PER_TASK) or [[]]]
 
     def read(self, partition: Slices) -> Iterator[pa.RecordBatch]:
-        system, _ = fs.FileSystem.from_uri(self.path) if "://" in self.path or self.path.startswith("file:") else (fs.LocalFileSystem(), "")
+        system, _ = _opened(self.path)
         for part in partition.slices:
             with system.open_input_file(part.name) as file:
                 yield from self._records(pq.ParquetFile(file), part)
@@ -185,7 +202,7 @@ class RecordLogReader(DataSourceStreamReader):
                     pa.array([part.partition] * rows, pa.int32()),
                     pa.array(range(first, first + rows), pa.int64()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["value", "partition", "offset"])
+                yield pa.RecordBatch.from_arrays(columns, schema=RECORD)
             at += batch.num_rows
 
 
@@ -213,9 +230,9 @@ def append_log(messages: DataFrame, path: str, key: Column, partitions: int = 4,
     Several tasks share a partition, by ranges of ``order`` or, without one, by the texts; the session's number
     of shuffle partitions bounds what a task holds.
     """
-    system, root = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    system, root = _opened(path)
     there = system.get_file_info(fs.FileSelector(root, allow_not_found=True))
-    segment = 1 + max((int(m[1]) for m in (re.search(r"segment=(\d+)$", i.path) for i in there) if m), default=-1)
+    segment = 1 + max((int(m[1]) for m in (_SEGMENT.search(i.path) for i in there) if m), default=-1)
     part = F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int")
     rows = messages.withColumn("partition", part)
     if order:
@@ -245,6 +262,59 @@ def read_log_stream(spark: SparkSession, path: str, per_trigger: int | None, unt
     return reader.load()
 
 
+def _records_to(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What a task does: write its records to one new file of ``folder`` and give the file's name."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next((b for b in batches if b.num_rows), None)
+        if first is None:
+            return
+        system, root = _opened(folder)
+        name = f"{uuid.uuid4().hex}.parquet"
+        with system.open_output_stream(f"{root}/{name}") as file, pq.ParquetWriter(file, RECORD) as writer:
+            for batch in itertools.chain([first], batches):
+                writer.write_batch(batch.select(RECORD.names).cast(RECORD))
+        yield pa.RecordBatch.from_pydict({"name": [name]})
+
+    return write
+
+
+class _BatchFolders:
+    """``foreachBatch`` sink: the files that the tasks of a batch name become its folder; repeats overwrite it."""
+
+    def __init__(self, table: str) -> None:
+        self.table = table
+
+    def __call__(self, names: DataFrame, batch_id: int) -> None:
+        system, root = _opened(self.table)
+        written = [r.name for r in names.collect()]
+        folder = f"{root}/batch={batch_id}"
+        if system.get_file_info(folder).type != fs.FileType.NotFound:
+            system.delete_dir(folder)
+        system.create_dir(folder)
+        for name in written:
+            system.move(f"{root}/{UNDER_WAY}/{name}", f"{folder}/{name}")
+        if not written:
+            with system.open_output_stream(f"{folder}/none.parquet") as file:
+                pq.write_table(RECORD.empty_table(), file)
+
+
+def start_batches(records: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Write a stream of a log's records into a folder per batch, ``table/batch=N``; to be ended by ``drained``.
+
+    Each task writes one file to a folder that readers pass by, and the driver moves the files of the tasks that
+    count, so what a lost or repeated task left is never read. The folders, marks and moves of a Spark write,
+    several a task, cost more than a batch of a few thousand records does.
+    """
+    spark = records.sparkSession
+    system, root = _opened(table)
+    system.create_dir(f"{root}/{UNDER_WAY}")
+    names = records.mapInArrow(_records_to(f"{table}/{UNDER_WAY}"), "name string")
+    writer = names.writeStream.foreachBatch(_BatchFolders(table)).option("checkpointLocation", checkpoint)
+    with plain_checkpoints(spark, checkpoint):
+        return writer.trigger(processingTime="0 seconds").start()
+
+
 def drained(query: StreamingQuery) -> StreamingQuery:
     """Wait until a query has read all that its sources admit, and stop it.
 

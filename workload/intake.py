@@ -14,7 +14,6 @@ from roadpulse.plans import hourly
 from roadpulse.schema import LIVE_KEY, SUMMARY_KEY, TYPE_KEY, contract_violations
 from roadpulse.session import new_folder
 from roadpulse.sources import record_log, streams, tables
-from roadpulse.streaming import live
 from workload import inputs as I
 from workload import sql as S
 from workload.registry import query
@@ -51,15 +50,14 @@ def _log(spark: SparkSession, messages: DataFrame, path: str) -> None:
 
 def _counted_batches(stream: DataFrame, table: str, position: str) -> None:
     """Drain a stream of a log into a folder per batch."""
-    writer = stream.writeStream.foreachBatch(live.BatchTableWriter(table))
-    record_log.drained(writer.option("checkpointLocation", position).trigger(processingTime="0 seconds").start())
+    record_log.drained(record_log.start_batches(stream, table, position))
 
 
 @query("src_record_log", f"WITH {S.DECODED} SELECT {S.FLAT}, true AS bounded, true AS whole FROM decoded")
 def src_record_log(spark: SparkSession, folder: str) -> DataFrame:
     """At most 3,000 records a trigger, as measured in the batches; the offsets of a partition have no gaps."""
     path, table, position = (new_folder(spark, n) for n in ("log", "table", "position"))
-    _log(spark, I.damaged_messages(spark, folder), path)
+    _log(spark, I.damaged_messages(spark, folder, max(8, spark.sparkContext.defaultParallelism)), path)
     _counted_batches(record_log.read_log_stream(spark, path, C.LIVE_RECORDS_PER_TRIGGER), table, position)
     read = spark.read.parquet(table)
     bounded = read.groupBy("batch").count().agg(F.max("count") <= C.LIVE_RECORDS_PER_TRIGGER).scalar()
